@@ -19,8 +19,8 @@ def split_compound_key(t) -> Column:
     """``"2_35089"`` -> struct(segment int, instrument long); bad parts -> NULL."""
     parts = F.split(_c(t), "_", 2)
     return F.struct(
-        F.try_cast(F.get(parts, 0), "int").alias("segment"),
-        F.try_cast(F.get(parts, 1), "long").alias("instrument"),
+        F.get(parts, 0).try_cast("int").alias("segment"),
+        F.get(parts, 1).try_cast("long").alias("instrument"),
     )
 
 
@@ -28,9 +28,9 @@ def split_depth(info) -> Column:
     """Best ask/bid text ``size|price|orders`` -> struct(size long, price double, orders long)."""
     parts = F.split(_c(info), r"\|")
     return F.struct(
-        F.try_cast(F.get(parts, 0), "long").alias("size"),
-        F.try_cast(F.get(parts, 1), "double").alias("price"),
-        F.try_cast(F.get(parts, 2), "long").alias("orders"),
+        F.get(parts, 0).try_cast("long").alias("size"),
+        F.get(parts, 1).try_cast("double").alias("price"),
+        F.get(parts, 2).try_cast("long").alias("orders"),
     )
 
 

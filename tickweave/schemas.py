@@ -4,7 +4,7 @@ Field names are fixed values that must equal the producers' payloads,
 including the misspelt ``LastTradedQunatity`` of feed 1.
 """
 
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
 
@@ -34,6 +34,22 @@ TICK_FEED2 = _struct([
     ("exchange_timestamp", StringType()),
 ])
 
+_LEVEL = ArrayType(_struct([("quantity", LongType()), ("price", DoubleType()), ("orders", LongType())]))
+
+# Feed 2 tick as the socket delivers it (before pruning).
+TICK_FEED2_RAW = _struct([
+    ("tradable", BooleanType()), ("mode", StringType()), ("instrument_token", LongType()),
+    ("last_price", DoubleType()), ("last_traded_quantity", IntegerType()),
+    ("average_traded_price", DoubleType()), ("volume_traded", LongType()),
+    ("total_buy_quantity", LongType()), ("total_sell_quantity", LongType()),
+    ("ohlc", _struct([("open", DoubleType()), ("high", DoubleType()), ("low", DoubleType()),
+                      ("close", DoubleType())])),
+    ("change", DoubleType()), ("last_trade_time", StringType()),
+    ("oi", LongType()), ("oi_day_high", LongType()), ("oi_day_low", LongType()),
+    ("exchange_timestamp", StringType()),
+    ("depth", _struct([("buy", _LEVEL), ("sell", _LEVEL)])),
+])
+
 # Vendor candle message: t = "<segment>_<instrument>".
 CANDLE = _struct([
     ("t", StringType()), ("o", DoubleType()), ("h", DoubleType()),

@@ -13,8 +13,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table.
+
+    ``spread``: when the scan yields fewer splits than the cluster has task
+    slots (a small file with one row group reads in a single task), deal the
+    rows round-robin over all slots so the map side of the next aggregate or
+    join runs in parallel. Column pruning and pushed filters still reach the
+    scan below this exchange. A large input has far more splits than slots,
+    so on a cluster this is a no-op.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
 
 
 def event_ticks(events: DataFrame) -> DataFrame:
