@@ -54,11 +54,20 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
         grouped = ticks.where(F.col(ts).isNotNull()).groupBy(*keys, start.alias("bar_start")).agg(*aggs)
         out = grouped.withColumn(
             "bar_end", (F.col("bar_start") + F.expr(f"INTERVAL {CALENDAR_UNITS[unit]}")).cast("timestamp_ntz"))
-    else:
+    elif ticks.isStreaming:
+        # A stream must group on the window struct: the watermark is tracked on it.
         grouped = ticks.groupBy(*keys, F.window(F.col(ts), width).alias("bar")).agg(*aggs)
         out = grouped.select(*keys, F.col("bar.start").alias("bar_start"),
-                             F.col("bar.end").alias("bar_end"), *[a for a in
-                             ("open", "high", "low", "close", "volume", "ticks")])
+                             F.col("bar.end").alias("bar_end"),
+                             "open", "high", "low", "close", "volume", "ticks")
+    else:
+        # Batch groups on a plain bar_start column, so the result is hash
+        # partitioned on (keys, bar_start): a later join or aggregate on the
+        # same keys reuses that partitioning instead of shuffling again.
+        start = F.window(F.col(ts), width).start
+        grouped = (ticks.where(F.col(ts).isNotNull())
+                   .groupBy(*keys, start.alias("bar_start")).agg(*aggs))
+        out = grouped.withColumn("bar_end", (F.col("bar_start") + F.expr(f"INTERVAL {width}")))
     cols = [*keys, "bar_start", "bar_end", "open", "high", "low", "close", "volume", "ticks"]
     out = out.select(*cols)
     if label:

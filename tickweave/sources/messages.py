@@ -89,3 +89,29 @@ def feed2_tick_lists(events: DataFrame, per_list: int = 4) -> DataFrame:
     return (events.groupBy(lst.alias("list_id"))
             .agg(F.array_sort(F.collect_list(F.struct(F.col("event_id"), feed2_tick().alias("t")))).alias("a"))
             .select("list_id", F.to_json(F.transform("a", lambda x: x["t"])).alias("value")))
+
+
+def master_lines(part: DataFrame) -> DataFrame:
+    """Instrument-master dump rows built from ``part`` (one pipe-joined line per part).
+
+    symbol (Name) = p_type, series = p_brand, strike = p_size; PROMO parts play
+    futures: their series gets a ``FUT`` prefix and the line lacks strike and
+    option type (two fields short), as the service sends futures rows.
+    """
+    fut = F.col("p_type") == "PROMO"
+    series = F.when(fut, F.concat(F.lit("FUT"), F.col("p_brand"))).otherwise(F.col("p_brand"))
+    segment = F.when(F.col("p_type").isin("PROMO", "LARGE", "MEDIUM"), F.lit("NSEFO")).otherwise(F.lit("NSECM"))
+    expiry = (F.when(F.col("p_partkey") % 3 == 0, F.lit("2024-01-25"))
+              .when(F.col("p_partkey") % 3 == 1, F.lit("2024-02-29")).otherwise(F.lit("2024-03-28")))
+    s = lambda c: F.col(c).cast("string")
+    head = [segment, s("p_partkey"), F.when(fut, F.lit("1")).otherwise(F.lit("2")), F.col("p_type"),
+            F.col("p_name"), series, F.concat_ws("-", F.col("p_type"), series),
+            (F.col("p_partkey") + 1000000).cast("string"),
+            (F.col("p_retailprice") + 10).cast("string"), (F.col("p_retailprice") - 10).cast("string"),
+            (F.col("p_size") * 100).cast("string"), F.lit("0.05"), s("p_size"), F.lit("1"), F.lit("-1"),
+            F.upper(F.get(F.split(F.col("p_name"), " "), 0)), expiry]
+    strike_opt = [s("p_size"), F.when(F.col("p_partkey") % 2 == 0, F.lit("3")).otherwise(F.lit("4"))]
+    tail = [F.concat_ws(" ", F.col("p_name"), s("p_size")), F.lit("1"), F.lit("1"),
+            F.concat_ws(" ", F.col("p_name"), F.col("p_brand"))]
+    line = F.when(fut, F.concat_ws("|", *head, *tail)).otherwise(F.concat_ws("|", *head, *strike_opt, *tail))
+    return part.select(line.alias("value"))
