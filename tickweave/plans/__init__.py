@@ -5,4 +5,5 @@ from tickweave.plans import (  # noqa: F401  (import fills the registry)
     bar_queries,
     decode_queries,
     reference_queries,
+    order_queries,
 )
