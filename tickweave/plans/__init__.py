@@ -6,4 +6,5 @@ from tickweave.plans import (  # noqa: F401  (import fills the registry)
     decode_queries,
     reference_queries,
     order_queries,
+    io_queries,
 )

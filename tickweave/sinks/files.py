@@ -5,6 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Text formats keep full microsecond precision (the default writes milliseconds).
+TIME_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 
 def write_text(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One text line per row (a single string column)."""
@@ -14,13 +20,13 @@ def write_text(lines: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> str:
     """CSV export with a header; overwrite replaces the folder atomically per job."""
-    df.write.mode(mode).option("header", header).csv(path)
+    df.write.mode(mode).options(**TIME_OPTIONS).option("header", header).csv(path)
     return path
 
 
 def append_json_lines(df: DataFrame, path: str) -> str:
     """Append rows as JSON lines (one object per line)."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").options(**TIME_OPTIONS).json(path)
     return path
 
 

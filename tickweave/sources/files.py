@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickweave.schemas import MASTER_TEXT
+from tickweave.sinks.files import TIME_OPTIONS
 
 
 def read_landed(spark: SparkSession, root: str, day: str | None = None,
@@ -25,7 +26,8 @@ def read_landed(spark: SparkSession, root: str, day: str | None = None,
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
     """CSV with a header and an explicit schema (no inference pass over the data)."""
-    return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+    return (spark.read.schema(schema).options(**TIME_OPTIONS).option("header", header)
+            .option("mode", "PERMISSIVE").csv(path))
 
 
 def read_master_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -38,4 +40,4 @@ def read_master_dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(**TIME_OPTIONS).json(path)
