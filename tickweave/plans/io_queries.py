@@ -105,7 +105,7 @@ def q_table_append(spark, sf_dir):
 
 @register("ping_log", sql="""
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, round(value, 2) AS latency,
-       event_type AS sponsor, round(user_id * 1.5, 2) AS distance
+       event_type AS sponsor, round(user_id * CAST(1.5 AS DOUBLE), 2) AS distance
 FROM events
 """, ids=("N1", "T9", "K4"))
 def q_ping_log(spark, sf_dir):
