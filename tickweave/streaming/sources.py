@@ -25,9 +25,12 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting_offsets
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet",
-                glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                glob: str | None = None, max_files_per_trigger: int | None = None,
+                recursive: bool = False) -> DataFrame:
     """Files appearing in a folder as a stream (used where no broker is at hand)."""
     r = spark.readStream.format(fmt).schema(schema)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
