@@ -13,25 +13,43 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Tables at most this large may be re-dealt over all task slots after the scan.
+SPREAD_MAX_BYTES = 1 << 30
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read one driver table.
 
-    ``spread``: when the scan yields fewer splits than the cluster has task
-    slots (a small file with one row group reads in a single task), deal the
-    rows round-robin over all slots so the map side of the next aggregate or
-    join runs in parallel. Column pruning and pushed filters still reach the
-    scan below this exchange. A large input has far more splits than slots,
-    so on a cluster this is a no-op.
+    ``spread``: a small file written as a single Parquet row group is read by
+    one task however many splits are planned, so everything up to the first
+    shuffle would run on one core. Tables below :data:`SPREAD_MAX_BYTES` are
+    therefore dealt over all task slots right after the scan (column pruning
+    and pushed filters still reach the scan below that exchange). Larger
+    inputs already have many row groups and splits and are never reshuffled.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread_small(df) if spread else df
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def plan_size_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (file sizes for a scan; no data read)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (estimate unavailable: leave the scan as is)
+        return None
+
+
+def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES, seed: int = 17) -> DataFrame:
+    """Hash-deal a small input over all slots by a seeded random key.
+
+    Unlike round-robin this needs no local sort to be repeatable: a retried
+    task re-reads the same split in the same order and draws the same keys.
+    """
+    size = plan_size_bytes(df)
+    if size is None or size > max_bytes:
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    return df.repartition(slots, F.rand(seed))
 
 
 def event_ticks(events: DataFrame) -> DataFrame:
