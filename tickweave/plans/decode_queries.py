@@ -58,7 +58,7 @@ REENC_SCHEMA = StructType([StructField("event_id", LongType()), StructField("eve
 @register("tick_reencode_decode", sql=f"""
 SELECT event_id, event_type, value, {SQL_EVENT_QTY} AS k, CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM events
-""", ids=("P14", "P15", "M5", "C8"))
+""", ids=("P14", "P15", "M5", "C8", "X7"))
 def q_tick_reencode_decode(spark, sf_dir):
     """Payload JSON-encoded twice (a JSON string holding JSON), sent as bytes, unwrapped once."""
     ev = table(spark, sf_dir, "events")
@@ -82,7 +82,7 @@ SELECT event_id,
        CASE WHEN kind IN (0, 2, 3) THEN NULL ELSE epoch_us(ts) // 1000000 - 315532800 END AS LastUpdateTime,
        CASE WHEN kind IN (0, 1, 2) THEN 'malformed' WHEN kind = 3 THEN 'null_key' END AS _reason
 FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN (event_id // 7) % 4 END AS kind FROM events)
-""", ids=("P1", "X10", "D4"))
+""", ids=("P1", "X10", "X26", "D4"))
 def q_tick_quarantine(spark, sf_dir):
     """Decode with quarantine: malformed text and NULL keys get a reason, clean rows none."""
     ev = table(spark, sf_dir, "events")

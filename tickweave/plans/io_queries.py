@@ -36,7 +36,7 @@ SELECT event_id, 1512 AS MessageCode, 4 AS MessageVersion, 0 AS ApplicationType,
        epoch_us(ts) // 1000000 - 315532800 AS LastUpdateTime,
        strftime(ts, '%Y_%m_%d') AS ingest_date
 FROM events
-""", ids=("S1", "K1", "K7", "W2", "W3", "W4", "W6", "S8", "S9", "S3", "S4", "X14", "X15", "X17"))
+""", ids=("S1", "K1", "K7", "W2", "W3", "W4", "W6", "S8", "S9", "S3", "S4", "X11", "X14", "X15", "X17"))
 def q_tick_landing_stream(spark, sf_dir):
     """Stream payloads -> decode -> Parquet partitioned by tick day (checkpointed), read back."""
     root = work_path(spark, "landing")
@@ -56,12 +56,12 @@ STREAM_DELAY_MIN = 5
 @register("ohlcv_bars_stream", sql=f"""
 SELECT * FROM ({_event_bar_sql(3600)})
 WHERE bar_end <= (SELECT max(ts) FROM events) - INTERVAL {STREAM_DELAY_MIN} MINUTE
-""", ids=("W1", "W5", "X6"))
+""", ids=("W1", "W5", "X6", "X20"))
 def q_ohlcv_bars_stream(spark, sf_dir):
     """Hourly bars from the tick stream with a 5-minute watermark (append mode), read back."""
     root = work_path(spark, "live-bars")
     ticks = event_ticks(_events_stream(spark, sf_dir))
-    bars = live_bars(ticks, "1 hour", f"{STREAM_DELAY_MIN} minutes")
+    bars = live_bars(ticks, "1 hour", f"{STREAM_DELAY_MIN} minutes", dedupe_on=("instrument", "seq"))
     q = land(bars, f"{root}/data", f"{root}/checkpoint", partition_by=(), available_now=True)
     q.awaitTermination()
     return spark.read.schema(bars.schema).parquet(f"{root}/data")
@@ -74,7 +74,7 @@ def _events(spark, sf_dir):
     return table(spark, sf_dir, "events")
 
 
-@register("csv_roundtrip", sql=_EVENTS_SQL, ids=("K3", "S5"))
+@register("csv_roundtrip", sql=_EVENTS_SQL, ids=("K3", "S5", "X21"))
 def q_csv_roundtrip(spark, sf_dir):
     """Events exported as CSV with a header and read back with an explicit schema."""
     ev = _events(spark, sf_dir)

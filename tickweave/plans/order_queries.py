@@ -13,6 +13,7 @@ from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import SQL_EVENT_QTY, register
 from tickweave.plans.decode_queries import q_tick_quarantine
 from tickweave.schemas import TICK_FEED1
+from tickweave.sinks.bus import kafka_records
 from tickweave.sources.messages import feed1_messages
 from tickweave.sources.tables import ORDER_STATES, event_orders, event_ticks, table, trade_fills
 
@@ -39,7 +40,7 @@ WHERE MessageCode IN ({", ".join(str(k) for k in kinds)})
 
 
 @register("topic_router", sql=_router_sql("full", [1501, 1502, 1505, 1507, 1510, 1512, 1105]),
-          ids=("F5", "C6", "W8"))
+          ids=("F5", "C6", "W8", "X8"))
 def q_topic_router(spark, sf_dir):
     """Route every message to ``message<code>_json_full`` (one job writes all topics)."""
     ev = table(spark, sf_dir, "events").select("event_id", _kind_col().alias("MessageCode"))
@@ -54,6 +55,22 @@ def q_topic_router_partial(spark, sf_dir):
     return route(ev, mode="partial")
 
 
+@register("bus_records", sql=f"""
+SELECT '2_' || CAST(user_id AS VARCHAR) AS key, topic, event_id, value AS price
+FROM (SELECT *, 'message' || CAST({_KIND_SQL} AS VARCHAR) || '_json_full' AS topic FROM events)
+""", ids=("K2", "X16", "P15", "M5"))
+def q_bus_records(spark, sf_dir):
+    """Bus records (key = segment_instrument, JSON value, topic per row), value decoded back."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", _kind_col().alias("MessageCode"), F.lit(2).alias("ExchangeSegment"),
+        F.col("user_id").cast("int").alias("ExchangeInstrumentID"), F.col("value").alias("LastTradedPrice"))
+    recs = kafka_records(route(ev, mode="full"), ["ExchangeSegment", "ExchangeInstrumentID"],
+                         ["event_id", "LastTradedPrice"], topic_col="topic")
+    return recs.select("key", "topic",
+                       F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+                       F.get_json_object("value", "$.LastTradedPrice").cast("double").alias("price"))
+
+
 SUBSCRIBED = [(2, 1), (2, 5), (2, 8), (2, 42), (2, 77), (2, 120), (2, 149)]
 WITHDRAWN = [(2, 8), (2, 42)]
 _KEYS = ["ExchangeSegment", "ExchangeInstrumentID"]

@@ -28,7 +28,7 @@ SELECT 2 AS exchangeSegment, CAST(user_id AS INTEGER) AS exchangeInstrumentID,
 FROM events
 WHERE ts IS NOT NULL
 GROUP BY user_id, 3
-""", ids=("S7", "P10", "P11", "F2", "C3", "C4", "N3", "T5", "M1"))
+""", ids=("S7", "P10", "P11", "F2", "C3", "C4", "N3", "T5", "M1", "X22"))
 def q_broker_bars_decode(spark, sf_dir):
     """Hourly bars per user sent as broker responses (one per user-day), decoded back."""
     ev = table(spark, sf_dir, "events")
@@ -79,7 +79,7 @@ FROM ({_SIDE.replace('{w}', '')}) a
 """
 
 
-@register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("S5", "P6", "J1", "P12", "N2"))
+@register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("S5", "P6", "J1", "P12", "N2", "X13"))
 def q_volume_reconcile(spark, sf_dir):
     """Daily bars of all lines (broker side) vs lines 1-5 (landed side): matched bars and volume gap."""
     api, landed = _daily_sides(spark, sf_dir)
@@ -143,7 +143,7 @@ def _master(spark, sf_dir):
     return I.repair_futures(I.parse_master_lines(master_lines(table(spark, sf_dir, "part"))))
 
 
-@register("instrument_master", sql=MASTER_SQL, ids=("S6", "P9", "C1", "C5", "M6", "W7", "K3"))
+@register("instrument_master", sql=MASTER_SQL, ids=("S6", "P9", "C1", "C5", "M6", "W7", "K3", "X23"))
 def q_instrument_master(spark, sf_dir):
     """Master dump written as ragged pipe text to the shared folder, read back, futures repaired."""
     path = work_path(spark, "master-dump")

@@ -39,17 +39,18 @@ def plan_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES, seed: int = 17) -> DataFrame:
-    """Hash-deal a small input over all slots by a seeded random key.
+def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Deal a small input round-robin over all slots.
 
-    Unlike round-robin this needs no local sort to be repeatable: a retried
-    task re-reads the same split in the same order and draws the same keys.
+    Round-robin (no key expression) lets Catalyst push filters and column
+    pruning below the exchange into the scan; a keyed exchange on a random
+    value would block filter pushdown. Spark sorts each input partition before
+    dealing, so a retried task deals the same rows to the same places.
     """
     size = plan_size_bytes(df)
     if size is None or size > max_bytes:
         return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, F.rand(seed))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def event_ticks(events: DataFrame) -> DataFrame:
