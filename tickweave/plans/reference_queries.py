@@ -167,6 +167,7 @@ def q_instrument_isin(spark, sf_dir):
 SELECT DISTINCT Series FROM ({MASTER_SQL}) WHERE ExchangeSegment = 'NSEFO'
 """, ids=("L1",))
 def q_instrument_series(spark, sf_dir):
+    """Series listed in a segment."""
     return I.series_of(_master(spark, sf_dir), "NSEFO")
 
 
@@ -174,6 +175,7 @@ def q_instrument_series(spark, sf_dir):
 SELECT * FROM ({MASTER_SQL}) WHERE ExchangeSegment = 'NSECM' AND Series = 'Brand#12' AND Name = 'ECONOMY'
 """, ids=("L2",))
 def q_instrument_equity(spark, sf_dir):
+    """Equity look-up by segment, series and symbol."""
     return I.equity(_master(spark, sf_dir), "NSECM", "Brand#12", "ECONOMY")
 
 
@@ -182,6 +184,7 @@ SELECT DISTINCT ContractExpiration FROM ({MASTER_SQL})
 WHERE ExchangeSegment = 'NSEFO' AND Series = 'FUTBrand#12' AND Name = 'PROMO' AND ContractExpiration IS NOT NULL
 """, ids=("L3",))
 def q_instrument_expiry(spark, sf_dir):
+    """Contract expiry dates of a symbol, sorted."""
     return I.expiry_dates(_master(spark, sf_dir), "NSEFO", "FUTBrand#12", "PROMO")
 
 
@@ -190,6 +193,7 @@ SELECT * FROM ({MASTER_SQL})
 WHERE ExchangeSegment = 'NSEFO' AND Series = 'FUTBrand#12' AND Name = 'PROMO' AND ContractExpiration = '2024-02-29'
 """, ids=("L4",))
 def q_instrument_future(spark, sf_dir):
+    """Future look-up by segment, series, symbol and expiry."""
     return I.future(_master(spark, sf_dir), "NSEFO", "FUTBrand#12", "PROMO", "2024-02-29")
 
 
@@ -199,6 +203,7 @@ WHERE ExchangeSegment = 'NSEFO' AND Series = 'Brand#16' AND Name = 'LARGE' AND C
   AND OptionType = '3' AND StrikePrice = '3'
 """, ids=("L5",))
 def q_instrument_option(spark, sf_dir):
+    """Option look-up by expiry, option type and strike."""
     return I.option(_master(spark, sf_dir), "NSEFO", "Brand#16", "LARGE", "2024-01-25", "3", "3")
 
 
@@ -208,6 +213,7 @@ WHERE ExchangeSegment = 'NSEFO' AND Series = 'Brand#16' AND Name = 'LARGE' AND C
   AND OptionType IS NOT NULL
 """, ids=("L6",))
 def q_instrument_option_types(spark, sf_dir):
+    """Option types listed for a symbol and expiry."""
     return I.option_types(_master(spark, sf_dir), "NSEFO", "Brand#16", "LARGE", "2024-01-25")
 
 
@@ -216,6 +222,7 @@ SELECT DISTINCT UnderlyingIndexName FROM ({MASTER_SQL})
 WHERE ExchangeSegment = 'NSEFO' AND UnderlyingIndexName IS NOT NULL
 """, ids=("L7",))
 def q_instrument_index_list(spark, sf_dir):
+    """Underlying index names of a segment."""
     return I.index_list(_master(spark, sf_dir), "NSEFO")
 
 
@@ -227,6 +234,7 @@ SELECT m.* FROM ({MASTER_SQL}) m
 WHERE (m.ExchangeSegment, m.ExchangeInstrumentID) IN (VALUES {", ".join(f"('{a}', '{b}')" for a, b in SEARCH_PAIRS)})
 """, ids=("L8",))
 def q_instrument_search_ids(spark, sf_dir):
+    """Search by a list of (segment, instrument id) pairs (broadcast semi-join)."""
     pairs = spark.createDataFrame(SEARCH_PAIRS, "ExchangeSegment string, ExchangeInstrumentID string")
     return I.search_by_ids(_master(spark, sf_dir), pairs)
 
@@ -235,6 +243,7 @@ def q_instrument_search_ids(spark, sf_dir):
 SELECT * FROM ({MASTER_SQL}) WHERE lower(Name) LIKE '%gizmo%' OR lower(DisplayName) LIKE '%gizmo%'
 """, ids=("L9",))
 def q_instrument_search_text(spark, sf_dir):
+    """Case-insensitive text search on symbol or display name."""
     return I.search_text(_master(spark, sf_dir), "GIZMO")
 
 
@@ -242,4 +251,5 @@ def q_instrument_search_text(spark, sf_dir):
 SELECT * FROM ({MASTER_SQL}) WHERE ExchangeSegment IN ('NSECM', 'NSEFO')
 """, ids=("L10",))
 def q_instrument_multi_segment(spark, sf_dir):
+    """Master rows of several segments."""
     return I.segments(_master(spark, sf_dir), ["NSECM", "NSEFO"])
