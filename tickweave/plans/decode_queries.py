@@ -74,6 +74,18 @@ def _spoil_kind():
     return F.when(F.col("event_id") % 7 == 0, (F.col("event_id") / 7).cast("long") % 4)
 
 
+def spoilt_feed1_text():
+    """Feed-1 payload text of an events row, spoilt for every 7th event id."""
+    good = to_json_text(*feed1_fields())
+    bad_price = to_json_text(*feed1_fields(LastTradedPrice=F.lit("abc")))
+    kind = _spoil_kind()
+    return (F.when(kind == 0, F.lit("hello"))
+            .when(kind == 1, bad_price)
+            .when(kind == 2, F.regexp_replace(good, '"BookType":1', '"BookType":None'))
+            .when(kind == 3, F.lit(None).cast("string"))
+            .otherwise(good))
+
+
 @register("tick_quarantine", sql=f"""
 SELECT event_id,
        CASE WHEN kind IN (0, 2, 3) THEN NULL ELSE CAST(user_id AS INTEGER) END AS ExchangeInstrumentID,
@@ -86,14 +98,7 @@ FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN (event_id // 7) % 4 END AS kind
 def q_tick_quarantine(spark, sf_dir):
     """Decode with quarantine: malformed text and NULL keys get a reason, clean rows none."""
     ev = table(spark, sf_dir, "events")
-    good = to_json_text(*feed1_fields())
-    bad_price = to_json_text(*feed1_fields(LastTradedPrice=F.lit("abc")))
-    kind = _spoil_kind()
-    text = (F.when(kind == 0, F.lit("hello"))
-            .when(kind == 1, bad_price)
-            .when(kind == 2, F.regexp_replace(good, '"BookType":1', '"BookType":None'))
-            .when(kind == 3, F.lit(None).cast("string"))
-            .otherwise(good))
+    text = spoilt_feed1_text()
     checked = decode_checked(ev.select("event_id", text.alias("value")), "value", TICK_FEED1,
                              required=["ExchangeInstrumentID", "LastUpdateTime"], keep=["event_id"])
     return checked.select("event_id", "ExchangeInstrumentID", "LastTradedPrice",

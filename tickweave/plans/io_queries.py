@@ -117,3 +117,25 @@ def q_ping_log(spark, sf_dir):
     path = work_path(spark, "ping-log")
     rows.write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+@register("tick_landing_quarantine", sql="""
+SELECT event_id, CASE WHEN kind IN (0, 1, 2) THEN 'malformed' ELSE 'null_key' END AS _reason
+FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN (event_id // 7) % 4 END AS kind FROM events)
+WHERE kind IS NOT NULL
+""", ids=("D4", "X10", "W8"))
+def q_tick_landing_quarantine(spark, sf_dir):
+    """Stream of partly spoilt payloads landed in one pass: clean rows and quarantine, quarantine read back."""
+    from tickweave.operators.decode import decode_checked
+    from tickweave.plans.decode_queries import spoilt_feed1_text
+    from tickweave.streaming.landing import land_with_quarantine
+
+    root = work_path(spark, "landing-q")
+    msgs = _events_stream(spark, sf_dir).select("event_id", spoilt_feed1_text().alias("value"))
+    checked = decode_checked(msgs, "value", TICK_FEED1, required=["ExchangeInstrumentID", "LastUpdateTime"],
+                             keep=["event_id"])
+    checked = with_ingest_date(checked, from_epoch1980("LastUpdateTime"))
+    q = land_with_quarantine(checked, f"{root}/data", f"{root}/quarantine", f"{root}/checkpoint",
+                             available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/quarantine").select("event_id", "_reason")

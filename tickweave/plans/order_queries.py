@@ -263,3 +263,15 @@ def q_quality_anomaly(spark, sf_dir):
 def q_quality_bar_rules(spark, sf_dir):
     """Rule checks on hourly bars (price <= 0, high < low, open/close outside range, volume < 0)."""
     return Q.bar_rule_counts(ohlcv(event_ticks(table(spark, sf_dir, "events")), "1 hour"))
+
+
+@register("quality_handled", sql="""
+SELECT event_id, ExchangeInstrumentID, LastTradedPrice,
+       coalesce(LastTradedQunatity, 0) AS LastTradedQunatity, LastUpdateTime, _reason
+FROM (""" + _quarantine_sql() + """)
+WHERE ExchangeInstrumentID IS NOT NULL AND LastUpdateTime IS NOT NULL
+""", ids=("D1",))
+def q_quality_handled(spark, sf_dir):
+    """Missing values handled by rule: rows without keys dropped, missing quantity filled with 0."""
+    return Q.handle_missing(q_tick_quarantine(spark, sf_dir), required=["ExchangeInstrumentID", "LastUpdateTime"],
+                            fill={"LastTradedQunatity": 0})
