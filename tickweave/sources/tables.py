@@ -13,7 +13,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Tables at most this large may be re-dealt over all task slots after the scan.
+# Tables up to this size are re-dealt over all task slots after the scan.
 SPREAD_MAX_BYTES = 1 << 30
 
 
@@ -27,10 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     and pushed filters still reach the scan below that exchange). Larger
     inputs already have many row groups and splits and are never reshuffled.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS.setdefault(path, spark.read.parquet(path).schema)
+    df = spark.read.schema(schema).parquet(path)
     return spread_small(df) if spread else df
 
 
+# Footer schemas already read, by path: later reads pass the schema explicitly
+# and skip inference (a driver-side footer read per query otherwise).
+_SCHEMAS: dict = {}
+
+
 def plan_size_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (file sizes for a scan; no data read)."""
     try:
