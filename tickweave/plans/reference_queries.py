@@ -8,6 +8,7 @@ from tickweave.operators import instruments as I
 from tickweave.operators.bars import ohlcv
 from tickweave.operators.broker import decode_broker_bars, encode_broker_responses
 from tickweave.operators.reconcile import column_profile, reconcile_volume
+from tickweave.operators.routing import request_table
 from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket
 from tickweave.session import work_path
 from tickweave.sources.files import read_master_dump
@@ -235,7 +236,7 @@ WHERE (m.ExchangeSegment, m.ExchangeInstrumentID) IN (VALUES {", ".join(f"('{a}'
 """, ids=("L8",))
 def q_instrument_search_ids(spark, sf_dir):
     """Search by a list of (segment, instrument id) pairs (broadcast semi-join)."""
-    pairs = spark.createDataFrame(SEARCH_PAIRS, "ExchangeSegment string, ExchangeInstrumentID string")
+    pairs = request_table(spark, SEARCH_PAIRS, "ExchangeSegment string, ExchangeInstrumentID string")
     return I.search_by_ids(_master(spark, sf_dir), pairs)
 
 

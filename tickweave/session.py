@@ -54,6 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store): "
+                               "jobs write checkpoints and work tables there")
         root = tempfile.mkdtemp(prefix="tickweave-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -59,7 +59,11 @@ def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
     size = plan_size_bytes(df)
     if size is None or size > max_bytes:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001  (no local context, e.g. a remote session)
+        return df
+    return df.repartition(slots)
 
 
 def event_ticks(events: DataFrame) -> DataFrame:
