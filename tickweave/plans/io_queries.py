@@ -12,7 +12,7 @@ from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import SQL_EVENT_QTY, register
 from tickweave.schemas import TICK_FEED1
 from tickweave.session import work_path
-from tickweave.sinks.files import append_json_lines, append_table, write_csv
+from tickweave.sinks.files import append_json_lines, append_table, cluster_for_partitioned_write, write_csv
 from tickweave.sources.files import read_csv, read_json_lines, read_landed
 from tickweave.sources.messages import feed1_fields
 from tickweave.sources.tables import event_ticks, table
@@ -154,10 +154,11 @@ def q_bars_correction(spark, sf_dir):
     late = F.col("event_id") % 5 == 0
     landed_path, bars_path = f"{root}/landed", f"{root}/bars"
     # First pass: on-time ticks landed and barred.
-    with_ingest_date(ev.where(~late), "ts").write.partitionBy("ingest_date").parquet(landed_path)
+    cluster = lambda d: cluster_for_partitioned_write(d, ["ingest_date"], ["ts"])
+    cluster(with_ingest_date(ev.where(~late), "ts")).write.partitionBy("ingest_date").parquet(landed_path)
     write_bars(bars_by_day(event_ticks(spark.read.parquet(landed_path)), "1 hour"), bars_path, dynamic=False)
     # Late ticks land afterwards; bars of the days they touch are rebuilt.
     late_rows = with_ingest_date(ev.where(late), "ts")
-    late_rows.write.mode("append").partitionBy("ingest_date").parquet(landed_path)
+    cluster(late_rows).write.mode("append").partitionBy("ingest_date").parquet(landed_path)
     correct_bars(spark, landed_path, bars_path, touched_days(ev.where(late)), "1 hour", ticks_view=event_ticks)
     return spark.read.parquet(bars_path)

@@ -30,6 +30,17 @@ def append_json_lines(df: DataFrame, path: str) -> str:
     return path
 
 
+def cluster_for_partitioned_write(df: DataFrame, partition_by, order=()) -> DataFrame:
+    """Range-partition rows on (partition columns, order) before a ``partitionBy`` write.
+
+    Each task then holds a contiguous key range, so it writes files for only a
+    few partition values (few, large files), while a hot partition value is
+    still cut over several tasks by ``order`` instead of landing in one.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *partition_by, *order)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> str:
     w = df.write.mode(mode)
     if partition_by:

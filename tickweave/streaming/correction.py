@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.timeutil import day_tag
 from tickweave.operators.bars import ohlcv
+from tickweave.sinks.files import cluster_for_partitioned_write
 
 
 def bars_by_day(ticks: DataFrame, width: str, **kw) -> DataFrame:
@@ -23,6 +24,7 @@ def bars_by_day(ticks: DataFrame, width: str, **kw) -> DataFrame:
 
 def write_bars(bars: DataFrame, path: str, dynamic: bool = True) -> None:
     """Write day-partitioned bars; with ``dynamic`` only the days present are replaced."""
+    bars = cluster_for_partitioned_write(bars, ["ingest_date"], ["bar_start"])
     w = bars.write.mode("overwrite").partitionBy("ingest_date")
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
