@@ -29,6 +29,11 @@ def test_fixture_payloads(spark):
     assert r[9].a is None and r[9]._corrupt_record               # JSON inside a JSON string
 
 
+def test_python_datetime_repr_is_quarantined(spark):
+    r = run(spark, ["{'a': 1, 'p': 2.0, 's': datetime.datetime(2024, 8, 8, 9, 15)}"], python_repr=True)
+    assert (r[0].a, r[0].p, r[0].s) == (None, None, None) and r[0]._corrupt_record
+
+
 def test_python_literals_normalised_on_failures_only(spark):
     r = run(spark, ["{'a': None, 'p': 2.5, 's': 'x'}", "{'a': 1, 's': 'None, True'}",
                     "{'a': 2, 'p': 1.5, 's': 'ok'}"], python_repr=True)

@@ -52,3 +52,25 @@ def test_stream_equals_batch(spark, tmp_dir):
     want = ohlcv(event_ticks(ev), "1 hour").where(F.col("bar_end") <= F.lit(cutoff))
     cols = want.columns
     assert sorted(got.select(*cols).collect()) == sorted(want.collect())
+
+
+def test_landing_reports_observed_metrics(spark, tmp_dir):
+    from tickweave.operators.decode import decode_checked
+    from tickweave.schemas import TICK_FEED1
+    from tickweave.streaming.landing import land_with_quarantine, observed, with_ingest_date
+    from tickweave.functions.timeutil import from_epoch1980
+
+    src = os.path.join(tmp_dir, "src")
+    rows = [('{"ExchangeInstrumentID": 1, "LastUpdateTime": 100, "LastTradedPrice": 1.5}',), ("junk",), (None,)]
+    spark.createDataFrame(rows, "value string").coalesce(1).write.json(src)
+    stream = file_stream(spark, src, spark.createDataFrame([], "value string").schema, fmt="json")
+    checked = decode_checked(stream, "value", TICK_FEED1, required=["ExchangeInstrumentID", "LastUpdateTime"])
+    checked = observed(with_ingest_date(checked, from_epoch1980("LastUpdateTime")))
+    q = land_with_quarantine(checked, os.path.join(tmp_dir, "d"), os.path.join(tmp_dir, "q"),
+                             os.path.join(tmp_dir, "c"), available_now=True)
+    q.awaitTermination()
+    report = [r for r in progress_summary(q) if r["observed"]]
+    m = report[0]["observed"]["landing"]
+    assert (m["rows"], m["corrupt"], m["quarantined"]) == (3, 1, 2)
+    assert spark.read.parquet(os.path.join(tmp_dir, "q")).count() == 2
+    assert spark.read.parquet(os.path.join(tmp_dir, "d")).count() == 1

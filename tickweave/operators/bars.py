@@ -29,13 +29,14 @@ def _order(ts: str, seq: str | None) -> Column:
 def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
           ts: str = "ts", price: str = "price", qty: str = "qty", seq: str | None = "seq",
           calendar: str | None = None, label: str | None = None,
-          label_side: str = "end") -> DataFrame:
+          label_side: str = "end", extra_aggs: dict | None = None) -> DataFrame:
     """Bars per ``keys`` and time bucket.
 
     width     -- bar width as an interval string or seconds (tumbling window, epoch aligned)
     calendar  -- instead of width: 'day' | 'week' | 'month' | 'quarter' | 'year' (batch only)
     label     -- optional text label of the bar edge given by ``label_side`` (e.g. 'HH:mm')
-    Output: keys, bar_start, bar_end, open, high, low, close, volume, ticks.
+    extra_aggs -- {name: aggregate column} computed in the same pass
+    Output: keys, bar_start, bar_end, open, high, low, close, volume, ticks[, extras].
     """
     if isinstance(width, int):
         width = f"{width} seconds"
@@ -47,7 +48,9 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
         F.max_by(F.col(price), order).alias("close"),
         F.sum(qty).alias("volume"),
         F.count(F.lit(1)).alias("ticks"),
+        *[agg.alias(name) for name, agg in (extra_aggs or {}).items()],
     ]
+    extra = list(extra_aggs or {})
     if calendar:
         unit = calendar.lower()
         start = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
@@ -59,7 +62,7 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
         grouped = ticks.groupBy(*keys, F.window(F.col(ts), width).alias("bar")).agg(*aggs)
         out = grouped.select(*keys, F.col("bar.start").alias("bar_start"),
                              F.col("bar.end").alias("bar_end"),
-                             "open", "high", "low", "close", "volume", "ticks")
+                             "open", "high", "low", "close", "volume", "ticks", *extra)
     else:
         # Batch groups on a plain bar_start column, so the result is hash
         # partitioned on (keys, bar_start): a later join or aggregate on the
@@ -68,7 +71,7 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
         grouped = (ticks.where(F.col(ts).isNotNull())
                    .groupBy(*keys, start.alias("bar_start")).agg(*aggs))
         out = grouped.withColumn("bar_end", (F.col("bar_start") + F.expr(f"INTERVAL {width}")))
-    cols = [*keys, "bar_start", "bar_end", "open", "high", "low", "close", "volume", "ticks"]
+    cols = [*keys, "bar_start", "bar_end", "open", "high", "low", "close", "volume", "ticks", *extra]
     out = out.select(*cols)
     if label:
         out = out.withColumn("bar_label", clock_label(F.col("bar_" + label_side), label))

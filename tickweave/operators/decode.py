@@ -63,9 +63,14 @@ def wrap_json_string(text) -> Column:
     return F.substring(arr, F.lit(2), F.length(arr) - 2)
 
 
+# Times in payload text keep microseconds (the JSON default writes milliseconds).
+JSON_TIME_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def to_json_text(*cols) -> Column:
     """Serialise columns as one JSON object text (the bus payload)."""
-    return F.to_json(F.struct(*cols))
+    return F.to_json(F.struct(*cols), JSON_TIME_OPTIONS)
 
 
 def decode(df: DataFrame, text, schema: StructType, keep=(), python_repr: bool = False,

@@ -10,7 +10,7 @@ from tickweave.functions import text as T
 from tickweave.functions import timeutil as TU
 from tickweave.operators.decode import (bytes_to_text, decode, decode_checked, explode_ticks,
                                         prune_tick, to_json_text, wrap_json_string)
-from tickweave.plans.catalog import SQL_EVENT_QTY, register
+from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket
 from tickweave.schemas import TICK_FEED1, TICK_FEED2, TICK_FEED2_RAW
 from tickweave.sources.messages import (event_k, feed1_fields, feed1_messages, feed2_tick_lists,
                                         python_repr_messages)
@@ -195,3 +195,61 @@ def q_depth_info_split(spark, sf_dir):
     ai = T.depth_text(F.col("l_quantity").cast("long"), "l_extendedprice", "l_linenumber")
     return li.select("l_orderkey", "l_linenumber", T.split_depth(ai).alias("d")).select(
         "l_orderkey", "l_linenumber", "d.size", "d.price", "d.orders")
+
+
+@register("candle_decode", sql=f"""
+SELECT 2 AS segment, CAST(user_id AS BIGINT) AS instrument,
+       {sql_bucket('ts', 3600)} AS bt,
+       first(value ORDER BY ts, event_id) AS o, max(value) AS h, min(value) AS l,
+       last(value ORDER BY ts, event_id) AS c,
+       CAST(sum({SQL_EVENT_QTY}) AS BIGINT) AS bv,
+       CAST(sum(CAST(value AS DECIMAL(18,2)) * {SQL_EVENT_QTY}) AS DOUBLE) AS pv,
+       CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM events WHERE ts IS NOT NULL
+GROUP BY user_id, 3
+""", ids=("X6", "X7", "P7", "P14", "W5"))
+def q_candle_decode(spark, sf_dir):
+    """Vendor candle messages (JSON-encoded twice by the producer) unwrapped, decoded, key split."""
+    from tickweave.operators.bars import ohlcv
+    from tickweave.schemas import CANDLE
+
+    ev = table(spark, sf_dir, "events")
+    ticks = ev.select(F.col("user_id").alias("instrument"), "ts", F.col("value").alias("price"),
+                      event_k().alias("qty"), F.col("event_id").alias("seq"),
+                      (F.col("value").cast("decimal(18,2)") * event_k()).alias("pq"))
+    bars = ohlcv(ticks, "1 hour", extra_aggs={"pv": F.sum("pq").cast("double")})
+    candle = to_json_text(T.compound_key(F.lit(2), "instrument").alias("t"), F.col("open").alias("o"),
+                          F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"),
+                          F.col("bar_start").cast("timestamp").alias("bt"), F.col("volume").alias("bv"), "pv")
+    msgs = bars.select(F.encode(wrap_json_string(candle), "UTF-8").alias("value"))
+    out = decode(msgs, bytes_to_text("value"), CANDLE, unwrap=True)
+    return out.select(T.split_compound_key("t").alias("k"), "*").select(
+        "k.segment", "k.instrument", F.col("bt").cast("timestamp_ntz").alias("bt"),
+        "o", "h", "l", "c", "bv", "pv", "_corrupt_record")
+
+
+@register("touchline_decode", sql=f"""
+SELECT event_id, '2_' || CAST(user_id AS VARCHAR) AS t, value AS ltp, CAST({SQL_EVENT_QTY} AS BIGINT) AS ltq,
+       CAST({SQL_EVENT_QTY} AS BIGINT) * 10 AS ask_size, value + 0.05 AS ask_price, CAST(1 AS BIGINT) AS ask_orders,
+       CAST({SQL_EVENT_QTY} AS BIGINT) * 20 AS bid_size, value - 0.05 AS bid_price, CAST(2 AS BIGINT) AS bid_orders,
+       ts AS ltt
+FROM events
+""", ids=("P8", "P7", "C2"))
+def q_touchline_decode(spark, sf_dir):
+    """Compact touchline messages decoded; best ask / bid ``size|price|orders`` split into fields."""
+    from tickweave.schemas import TOUCHLINE
+
+    ev = table(spark, sf_dir, "events")
+    k = event_k().cast("long")
+    ask = T.depth_text(k * 10, F.col("value") + 0.05, F.lit(1))
+    bid = T.depth_text(k * 20, F.col("value") - 0.05, F.lit(2))
+    msg = to_json_text(T.compound_key(F.lit(2), "user_id").alias("t"), F.col("value").alias("ltp"),
+                       k.alias("ltq"), F.col("ts").cast("timestamp").alias("ltt"),
+                       ask.alias("ai"), bid.alias("bi"))
+    out = decode(ev.select("event_id", msg.alias("value")), "value", TOUCHLINE, keep=["event_id"])
+    return out.select("event_id", "t", "ltp", "ltq",
+                      T.split_depth("ai").alias("a"), T.split_depth("bi").alias("b"),
+                      F.col("ltt").cast("timestamp_ntz").alias("ltt")).select(
+        "event_id", "t", "ltp", "ltq", F.col("a.size").alias("ask_size"), F.col("a.price").alias("ask_price"),
+        F.col("a.orders").alias("ask_orders"), F.col("b.size").alias("bid_size"),
+        F.col("b.price").alias("bid_price"), F.col("b.orders").alias("bid_orders"), "ltt")

@@ -16,7 +16,7 @@ from tickweave.sinks.files import append_json_lines, append_table, cluster_for_p
 from tickweave.sources.files import read_csv, read_json_lines, read_landed
 from tickweave.sources.messages import feed1_fields
 from tickweave.sources.tables import event_ticks, table
-from tickweave.streaming.landing import land, with_ingest_date
+from tickweave.streaming.landing import land, observed, with_ingest_date
 from tickweave.streaming.live_bars import live_bars
 from tickweave.streaming.sources import file_stream
 
@@ -134,7 +134,7 @@ def q_tick_landing_quarantine(spark, sf_dir):
     msgs = _events_stream(spark, sf_dir).select("event_id", spoilt_feed1_text().alias("value"))
     checked = decode_checked(msgs, "value", TICK_FEED1, required=["ExchangeInstrumentID", "LastUpdateTime"],
                              keep=["event_id"])
-    checked = with_ingest_date(checked, from_epoch1980("LastUpdateTime"))
+    checked = observed(with_ingest_date(checked, from_epoch1980("LastUpdateTime")))
     q = land_with_quarantine(checked, f"{root}/data", f"{root}/quarantine", f"{root}/checkpoint",
                              available_now=True)
     q.awaitTermination()

@@ -19,6 +19,20 @@ def with_ingest_date(df: DataFrame, ts) -> DataFrame:
     return df.withColumn("ingest_date", day_tag(F.col(ts) if isinstance(ts, str) else ts))
 
 
+def observed(stream: DataFrame, name: str = "landing") -> DataFrame:
+    """Attach per-batch metrics (rows, corrupt rows, quarantined rows) to the stream.
+
+    They appear in each micro-batch's progress under ``observedMetrics`` (the
+    delivery report of the bus producer, computed on executors).
+    """
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if CORRUPT in stream.columns:
+        metrics.append(F.count(F.col(CORRUPT)).alias("corrupt"))
+    if REASON in stream.columns:
+        metrics.append(F.count(F.col(REASON)).alias("quarantined"))
+    return stream.observe(name, *metrics)
+
+
 def land(stream: DataFrame, path: str, checkpoint: str, partition_by=("ingest_date",),
          available_now: bool = False, processing_time: str | None = None,
          query_name: str | None = None) -> StreamingQuery:
@@ -64,10 +78,12 @@ def land_with_quarantine(checked: DataFrame, path: str, quarantine_path: str, ch
 
 
 def progress_summary(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch delivery report: batch id, input rows, late rows dropped."""
+    """Per micro-batch delivery report: batch id, input rows, late rows dropped, observed metrics."""
     out = []
     for p in query.recentProgress:
         dropped = sum(s.get("numRowsDroppedByWatermark", 0) for s in p.get("stateOperators", []))
         out.append({"batchId": p.get("batchId"), "numInputRows": p.get("numInputRows"),
-                    "droppedByWatermark": dropped})
+                    "droppedByWatermark": dropped,
+                    "observed": {k: (v.asDict() if hasattr(v, "asDict") else dict(v))
+                                 for k, v in (p.get("observedMetrics") or {}).items()}})
     return out
