@@ -126,7 +126,7 @@ def q_sorted_head(spark, sf_dir):
 @register("sql_adhoc", sql=f"""
 SELECT instrument, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume,
        max(high) AS high, min(low) AS low,
-       round(avg(close - open), 6) AS mean_move
+       CAST(sum(CAST(close - open AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_move
 FROM ({_event_bar_sql(HOUR)})
 GROUP BY instrument
 """, ids=("D3",))
@@ -136,5 +136,6 @@ def q_sql_adhoc(spark, sf_dir):
     event_bars(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT instrument, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume,
-               max(high) AS high, min(low) AS low, round(avg(close - open), 6) AS mean_move
+               max(high) AS high, min(low) AS low,
+               CAST(sum(CAST(close - open AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_move
         FROM {view} GROUP BY instrument""")
