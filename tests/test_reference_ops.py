@@ -67,6 +67,23 @@ def test_reconcile_statuses_and_profile(spark):
     assert prof["instrument_api"] == ("bigint", 3, 4) and prof["status"] == ("string", 4, 4)
 
 
+def test_reconcile_from_csv_exports(spark, tmp_dir):
+    from tickweave.sinks.files import write_csv
+    from tickweave.sources.files import read_bar_csv
+
+    t = dt.datetime(2024, 8, 8, 9, 15)
+    schema = ("instrument long, bar_start timestamp_ntz, bar_end timestamp_ntz, open double, high double, "
+              "low double, close double, volume double, ticks long")
+    end = t + dt.timedelta(minutes=1)
+    api = spark.createDataFrame([(1, t, end, 1.0, 2.0, 0.5, 1.5, 10.0, 3), (2, t, end, 1.0, 1.0, 1.0, 1.0, 4.0, 1)], schema)
+    landed = spark.createDataFrame([(1, t, end, 1.0, 2.0, 0.5, 1.5, 7.0, 2)], schema)
+    a = read_bar_csv(spark, write_csv(api, f"{tmp_dir}/api"))
+    b = read_bar_csv(spark, write_csv(landed, f"{tmp_dir}/s3"))
+    rows = reconcile_volume(a, b, how="full_outer").collect()
+    assert sorted((r.status, r.Volume_Difference) for r in rows) == [("api_only", None), ("differ", 3.0)]
+    assert rows[0].bar_start_api == t
+
+
 def test_sequence_steps_matches_brute_force_on_skewed_groups(spark):
     rows = []
     for i in range(3000):  # group 0 holds most rows (hot key), a few small groups

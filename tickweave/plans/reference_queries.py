@@ -80,7 +80,7 @@ FROM ({_SIDE.replace('{w}', '')}) a
 """
 
 
-@register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("S5", "P6", "J1", "P12", "N2", "X13"))
+@register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("P6", "J1", "P12", "N2", "X13"))
 def q_volume_reconcile(spark, sf_dir):
     """Daily bars of all lines (broker side) vs lines 1-5 (landed side): matched bars and volume gap."""
     api, landed = _daily_sides(spark, sf_dir)

@@ -41,3 +41,13 @@ def read_master_dump(spark: SparkSession, path: str) -> DataFrame:
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).options(**TIME_OPTIONS).json(path)
+
+
+# Bar table as exported to CSV (keys, bar times, OHLC, volume, tick count).
+BAR_CSV_SCHEMA = ("instrument bigint, bar_start timestamp_ntz, bar_end timestamp_ntz, open double, "
+                  "high double, low double, close double, volume double, ticks bigint")
+
+
+def read_bar_csv(spark: SparkSession, path: str, schema: str = BAR_CSV_SCHEMA) -> DataFrame:
+    """A bar table exported as CSV with a header (paths are arguments, not fixed)."""
+    return read_csv(spark, path, schema)
