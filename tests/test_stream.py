@@ -74,3 +74,21 @@ def test_landing_reports_observed_metrics(spark, tmp_dir):
     assert (m["rows"], m["corrupt"], m["quarantined"]) == (3, 1, 2)
     assert spark.read.parquet(os.path.join(tmp_dir, "q")).count() == 2
     assert spark.read.parquet(os.path.join(tmp_dir, "d")).count() == 1
+
+
+def test_landed_day_read_prunes_partitions(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from tickweave.sources.files import read_landed
+    from tickweave.streaming.landing import with_ingest_date
+
+    rows = [("X", dt.datetime(2024, 8, d, 9, 15), 1.0, 1, d) for d in (7, 8, 9)]
+    ticks = with_ingest_date(spark.createDataFrame(rows, SCHEMA), "ts")
+    ticks.write.partitionBy("ingest_date").parquet(os.path.join(tmp_dir, "landed"))
+    day = read_landed(spark, os.path.join(tmp_dir, "landed"), day="2024_08_08")
+    assert [r.seq for r in day.collect()] == [8]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day.explain()
+    assert "PartitionFilters: [isnotnull(ingest_date" in buf.getvalue()

@@ -13,7 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Tables up to this size are re-dealt over all task slots after the scan.
+# Tables between these sizes are re-dealt over all task slots after the scan
+# (below the floor one task reads the whole table faster than an exchange costs).
+SPREAD_MIN_BYTES = 1 << 20
 SPREAD_MAX_BYTES = 1 << 30
 
 
@@ -25,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     shuffle would run on one core. Tables below :data:`SPREAD_MAX_BYTES` are
     therefore dealt over all task slots right after the scan (column pruning
     and pushed filters still reach the scan below that exchange). Larger
-    inputs already have many row groups and splits and are never reshuffled.
+    inputs already have many row groups and splits and are never reshuffled;
+    inputs under 1 MiB are read by one task.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = _SCHEMAS.get(path)
@@ -48,7 +51,8 @@ def plan_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES,
+                 min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Deal a small input round-robin over all slots.
 
     Round-robin (no key expression) lets Catalyst push filters and column
@@ -57,7 +61,7 @@ def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
     dealing, so a retried task deals the same rows to the same places.
     """
     size = plan_size_bytes(df)
-    if size is None or size > max_bytes:
+    if size is None or size > max_bytes or size < min_bytes:
         return df
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
