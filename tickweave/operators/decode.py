@@ -87,7 +87,9 @@ def decode(df: DataFrame, text, schema: StructType, keep=(), python_repr: bool =
     parsed = parse_json(t, schema)
     if python_repr:
         retry = parse_json(normalize_python_literals(t), schema)
-        parsed = F.when(parsed[CORRUPT].isNotNull(), retry).otherwise(parsed)
+        # Take the retry only when it decodes cleanly; otherwise keep the first
+        # attempt, so the quarantine holds the original payload text.
+        parsed = F.when(parsed[CORRUPT].isNotNull() & retry[CORRUPT].isNull(), retry).otherwise(parsed)
     return df.select(*keep, parsed.alias("__d")).select(*keep, "__d.*")
 
 

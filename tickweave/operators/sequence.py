@@ -45,7 +45,9 @@ def sequence_steps(df: DataFrame, group: str, order: list[str], value: str,
         F.coalesce(F.sum("__cnt").over(across.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__offset"),
         F.lag("__last").over(across).alias("__carry"))
-    out = ranged.join(edges, ["__range", group], "left")
+    out = ranged.join(edges.withColumnRenamed(group, "__g").withColumnRenamed("__range", "__r"),
+                      (F.col("__range") == F.col("__r")) & F.col(group).eqNullSafe(F.col("__g")), "left")
+    out = out.drop("__r", "__g")
     return (out.withColumn(prev, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__lag")))
             .withColumn("step", F.col("__rn") + F.col("__offset"))
             .drop("__range", "__lag", "__rn", "__offset", "__carry"))
