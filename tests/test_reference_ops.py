@@ -102,6 +102,17 @@ def test_sequence_steps_matches_brute_force_on_skewed_groups(spark):
     assert ((m["prev_state"] == m["prev_state_want"]) | (m["prev_state"].isna() & m["prev_state_want"].isna())).all()
 
 
+def test_quote_snapshot_with_subscriptions(spark):
+    from tickweave.operators.orders import quote_snapshot
+
+    t = dt.datetime(2024, 8, 8, 9, 15)
+    ticks = spark.createDataFrame([("A", t, 1.0, 1), ("A", t, 2.0, 2), ("B", t, 3.0, 1)],
+                                  "instrument string, ts timestamp_ntz, price double, seq long")
+    assert {(r.instrument, r.price) for r in quote_snapshot(ticks).collect()} == {("A", 2.0), ("B", 3.0)}
+    subs = spark.createDataFrame([("B",)], "instrument string")
+    assert [(r.instrument, r.updates) for r in quote_snapshot(ticks, subscriptions=subs).collect()] == [("B", 1)]
+
+
 def test_books_and_positions(spark):
     t = dt.datetime(2024, 8, 8, 9, 15)
     ev = spark.createDataFrame([("C1", 1, "New", t, 1), ("C1", 1, "Filled", t, 2), ("C2", 2, "New", t, 3)],

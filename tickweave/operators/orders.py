@@ -42,8 +42,11 @@ def order_history(order_events: DataFrame, order_id=None) -> DataFrame:
     return sequence_steps(ev, "appOrderID", list(ORDER_KEY), "state")
 
 
-def quote_snapshot(ticks: DataFrame, keys=("instrument",)) -> DataFrame:
-    """Latest tick per instrument."""
+def quote_snapshot(ticks: DataFrame, keys=("instrument",), subscriptions: DataFrame | None = None) -> DataFrame:
+    """Latest tick per instrument, optionally only for subscribed instruments
+    (a broadcast semi-join with the request list before the aggregate)."""
+    if subscriptions is not None:
+        ticks = ticks.join(F.broadcast(subscriptions), list(keys), "left_semi")
     return latest_per_key(ticks, list(keys))
 
 
