@@ -162,3 +162,24 @@ def q_bars_correction(spark, sf_dir):
     cluster(late_rows).write.mode("append").partitionBy("ingest_date").parquet(landed_path)
     correct_bars(spark, landed_path, bars_path, touched_days(ev.where(late)), "1 hour", ticks_view=event_ticks)
     return spark.read.parquet(bars_path)
+
+
+@register("topic_landing_stream", sql="""
+SELECT event_id, MessageCode, 'message' || CAST(MessageCode AS VARCHAR) || '_json_full' AS topic,
+       strftime(ts, '%Y_%m_%d') AS ingest_date
+FROM (SELECT event_id, ts, CASE event_type WHEN 'click' THEN 1501 WHEN 'view' THEN 1502
+             WHEN 'signup' THEN 1505 WHEN 'error' THEN 1507 WHEN 'purchase' THEN 1512 END AS MessageCode
+      FROM events)
+""", ids=("F5", "W8", "K1", "K7"))
+def q_topic_landing_stream(spark, sf_dir):
+    """Every message kind routed and landed by one streaming job, partitioned by topic and day."""
+    from tickweave.operators.routing import route
+    from tickweave.plans.order_queries import _kind_col
+
+    root = work_path(spark, "topics")
+    ev = _events_stream(spark, sf_dir).select("event_id", "ts", _kind_col().alias("MessageCode"))
+    routed = with_ingest_date(route(ev, mode="full"), "ts").drop("ts")
+    q = land(routed, f"{root}/data", f"{root}/checkpoint", partition_by=("topic", "ingest_date"),
+             available_now=True)
+    q.awaitTermination()
+    return spark.read.schema(routed.schema).parquet(f"{root}/data")
