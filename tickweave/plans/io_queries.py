@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tickweave.functions.timeutil import from_epoch1980, stamp_text
-from tickweave.operators.decode import bytes_to_text, decode
+from tickweave.operators.decode import bytes_to_text, decode, to_json_text
 from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import SQL_EVENT_QTY, register
 from tickweave.schemas import TICK_FEED1
@@ -24,7 +24,8 @@ _EVENTS_COLS = "event_id, ts, user_id, event_type, value, props"
 
 
 def _events_stream(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    """The events table as a file stream (stands in for the bus topic)."""
+    schema = table(spark, sf_dir, "events", spread=False).schema
     return file_stream(spark, sf_dir, schema, glob="events.parquet")
 
 
@@ -41,13 +42,12 @@ def q_tick_landing_stream(spark, sf_dir):
     """Stream payloads -> decode -> Parquet partitioned by tick day (checkpointed), read back."""
     root = work_path(spark, "landing")
     msgs = _events_stream(spark, sf_dir).select(
-        "event_id", F.to_json(F.struct(*feed1_fields())).cast("binary").alias("value"))
+        "event_id", F.encode(to_json_text(*feed1_fields()), "UTF-8").alias("value"))
     ticks = decode(msgs, bytes_to_text("value"), TICK_FEED1, keep=["event_id"]).drop("_corrupt_record")
     ticks = with_ingest_date(ticks, from_epoch1980("LastUpdateTime"))
     q = land(ticks, f"{root}/data", f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
-    schema = ticks.schema
-    return read_landed(spark, f"{root}/data", schema=schema)
+    return read_landed(spark, f"{root}/data", schema=ticks.schema)
 
 
 STREAM_DELAY_MIN = 5
