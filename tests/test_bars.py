@@ -67,3 +67,13 @@ def test_history_bounds_inclusive(spark):
     out = history_bars(df, "Aug 8 2024 091500", "Aug 8 2024 091600", 60).orderBy("bar_start").collect()
     # ticks at 09:15:00 .. 09:16:00 inclusive: 4 ticks, two bars
     assert sum(b.ticks for b in out) == 4
+
+
+def test_time_only_ordering_and_start_label(spark):
+    df = spark.createDataFrame(nine_ticks(), SCHEMA)
+    a = sorted(ohlcv(df, "1 minute").drop("bar_end").collect())
+    b = ohlcv(df, "1 minute", seq=None, label="HH:mm", label_side="start")
+    assert sorted(b.drop("bar_end", "bar_label").collect()) == a
+    assert sorted(r.bar_label for r in b.collect()) == ["09:15", "09:16", "09:17"]
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan  # fixed-width ordering key: hash aggregation
