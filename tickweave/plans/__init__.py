@@ -4,7 +4,7 @@ from tickweave.plans.catalog import REGISTRY, oracle_sql, queries  # noqa: F401
 from tickweave.plans import (  # noqa: F401  (import fills the registry)
     bar_queries,
     decode_queries,
-    reference_queries,
+    reconcile_queries,
     order_queries,
     io_queries,
 )

@@ -41,7 +41,7 @@ def q_ohlcv_bars(spark, sf_dir):
 
 @register("ohlcv_bars_minute", sql=_event_bar_sql(60, label=True), ids=("T2", "T3", "T4", "A1", "X1", "X2", "X3", "X4", "X5"))
 def q_ohlcv_bars_minute(spark, sf_dir):
-    """One-minute bars with the reference's ``HH:mm`` bar-end label kept beside full times."""
+    """One-minute bars with the legacy ``HH:mm`` bar-end label kept beside full times."""
     return ohlcv(event_ticks(table(spark, sf_dir, "events")), "1 minute", label="HH:mm", label_side="end")
 
 

@@ -1,4 +1,4 @@
-"""Broker bars, reconciliation, profiling and instrument-master queries."""
+"""Broker bars, reconciliation, profiling and instrument-master (reference data) queries."""
 
 from __future__ import annotations
 
