@@ -77,3 +77,10 @@ def test_time_only_ordering_and_start_label(spark):
     assert sorted(r.bar_label for r in b.collect()) == ["09:15", "09:16", "09:17"]
     plan = b._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan  # fixed-width ordering key: hash aggregation
+
+
+def test_exchange_zone_label_for_display_only(spark):
+    rows = [("X", dt.datetime(2024, 8, 8, 3, 45, 10), 1.0, 1, 1)]
+    b = ohlcv(spark.createDataFrame(rows, SCHEMA), "1 minute", label="HH:mm", label_side="start",
+              label_zone="Asia/Kolkata").first()
+    assert b.bar_start == dt.datetime(2024, 8, 8, 3, 45) and b.bar_label == "09:15"

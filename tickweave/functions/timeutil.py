@@ -39,9 +39,16 @@ def truncate_minute(ts) -> Column:
     return F.date_trunc("minute", _c(ts)).cast("timestamp_ntz")
 
 
-def clock_label(ts, fmt: str = "HH:mm") -> Column:
-    """Display label such as ``HH:mm`` or ``HH:mm:ss``; never a grouping key."""
-    return F.date_format(_c(ts), fmt)
+def clock_label(ts, fmt: str = "HH:mm", zone: str | None = None) -> Column:
+    """Display label such as ``HH:mm`` or ``HH:mm:ss``; never a grouping key.
+
+    Times are UTC; ``zone`` (e.g. the exchange's ``Asia/Kolkata``) shifts the
+    label only, for display.
+    """
+    t = _c(ts)
+    if zone:
+        t = F.from_utc_timestamp(t.cast("timestamp"), zone).cast("timestamp_ntz")
+    return F.date_format(t, fmt)
 
 
 def day_tag(ts) -> Column:

@@ -29,12 +29,14 @@ def _order(ts: str, seq: str | None) -> Column:
 def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
           ts: str = "ts", price: str = "price", qty: str = "qty", seq: str | None = "seq",
           calendar: str | None = None, label: str | None = None,
-          label_side: str = "end", extra_aggs: dict | None = None) -> DataFrame:
+          label_side: str = "end", extra_aggs: dict | None = None,
+          label_zone: str | None = None) -> DataFrame:
     """Bars per ``keys`` and time bucket.
 
     width     -- bar width as an interval string or seconds (tumbling window, epoch aligned)
     calendar  -- instead of width: 'day' | 'week' | 'month' | 'quarter' | 'year' (batch only)
-    label     -- optional text label of the bar edge given by ``label_side`` (e.g. 'HH:mm')
+    label     -- optional text label of the bar edge given by ``label_side`` (e.g. 'HH:mm'),
+                 shown in ``label_zone`` when given (grouping stays UTC)
     extra_aggs -- {name: aggregate column} computed in the same pass
     Output: keys, bar_start, bar_end, open, high, low, close, volume, ticks[, extras].
     """
@@ -74,7 +76,7 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
     cols = [*keys, "bar_start", "bar_end", "open", "high", "low", "close", "volume", "ticks", *extra]
     out = out.select(*cols)
     if label:
-        out = out.withColumn("bar_label", clock_label(F.col("bar_" + label_side), label))
+        out = out.withColumn("bar_label", clock_label(F.col("bar_" + label_side), label, label_zone))
     return out
 
 
