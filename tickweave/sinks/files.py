@@ -56,3 +56,20 @@ def append_table(df: DataFrame, name: str, path: str | None = None) -> str:
         w = w.option("path", path)
     w.saveAsTable(name)
     return name
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None,
+                   sort: bool = True) -> str:
+    """Write a table bucketed (and sorted) by ``key`` into ``buckets`` files per task group.
+
+    Two tables bucketed the same way on their join key are joined later
+    without shuffling either side (sort-merge join on co-located buckets), so
+    a join that is run again and again over large tables pays the shuffle once.
+    """
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key)
+    if sort:
+        w = w.sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+    return name
