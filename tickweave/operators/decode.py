@@ -1,8 +1,9 @@
 """Payload decoding with a fixed schema, quarantine of bad rows, tick-list pruning.
 
 All of it is column expressions (``from_json`` / ``get_json_object`` /
-``regexp_replace``): it runs inside whole-stage code generation on every
-executor and works the same on a batch DataFrame and on a stream.
+``regexp_replace``) evaluated in the JVM on every executor, with no Python in
+the row path; it works the same on a batch DataFrame and on a stream. (The
+JSON parser itself runs interpreted, outside whole-stage code generation.)
 """
 
 from __future__ import annotations
