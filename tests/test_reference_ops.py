@@ -152,3 +152,22 @@ def test_quality(spark):
     out = zscore_outliers(spark.createDataFrame(vals, "id int, k string, v double"), "k", "v")
     assert [r.id for r in out.collect()] == [99]
     assert t  # keeps the datetime import used
+
+
+def test_landed_master_lookups_prune_and_push_down(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from conftest import SF001
+    from tickweave.sources.messages import master_lines
+    from tickweave.sources.tables import table
+
+    m = I.repair_futures(I.parse_master_lines(master_lines(table(spark, SF001, "part"))))
+    landed = I.read_master(spark, I.land_master(m, f"{tmp_dir}/master"))
+    q = I.equity(landed, "NSECM", "Brand#12", "ECONOMY")
+    assert sorted(q.collect()) == sorted(I.equity(m, "NSECM", "Brand#12", "ECONOMY").collect())
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(ExchangeSegment" in plan and "EqualTo(Name,ECONOMY)" in plan

@@ -110,3 +110,18 @@ def search_text(master: DataFrame, text: str) -> DataFrame:
 
 def segments(master: DataFrame, names) -> DataFrame:
     return master.where(F.col("ExchangeSegment").isin(list(names)))
+
+
+def land_master(master: DataFrame, path: str) -> str:
+    """Store the repaired master as Parquet partitioned by segment.
+
+    Look-ups filter on segment first, so reading the landed master prunes to
+    one segment folder and pushes the other equality filters into the scan.
+    """
+    master.write.mode("overwrite").partitionBy("ExchangeSegment").parquet(path)
+    return path
+
+
+def read_master(spark, path: str) -> DataFrame:
+    from tickweave.schemas import MASTER_TEXT
+    return spark.read.schema(MASTER_TEXT).parquet(path).select(*MASTER_FIELDS)
