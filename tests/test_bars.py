@@ -84,3 +84,13 @@ def test_exchange_zone_label_for_display_only(spark):
     b = ohlcv(spark.createDataFrame(rows, SCHEMA), "1 minute", label="HH:mm", label_side="start",
               label_zone="Asia/Kolkata").first()
     assert b.bar_start == dt.datetime(2024, 8, 8, 3, 45) and b.bar_label == "09:15"
+
+
+def test_packed_order_key_exact_at_the_edges(spark):
+    old = dt.datetime(1960, 1, 1, 0, 0, 30)
+    rows = [("X", old, 1.0, 1, -(2 ** 63)), ("X", old, 2.0, 1, 2 ** 63 - 1), ("X", old, 3.0, 1, 0),
+            ("Y", T0, 4.0, 1, 5), ("Y", T0 + dt.timedelta(microseconds=1), 5.0, 1, -5)]
+    bars = ohlcv(spark.createDataFrame(rows, SCHEMA), "1 minute")
+    got = {b.instrument: (b.open, b.close) for b in bars.collect()}
+    assert got == {"X": (1.0, 2.0), "Y": (4.0, 5.0)}
+    assert "HashAggregate" in bars._jdf.queryExecution().executedPlan().toString()
