@@ -15,41 +15,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tickweave.functions.ordering import order_key
 from tickweave.functions.timeutil import clock_label, parse_request_time
 
 CALENDAR_UNITS = {"day": "1 day", "week": "1 week", "month": "1 month",
                   "quarter": "3 months", "year": "1 year"}
 
 
-# Fixed values of the packed (ts, seq) ordering key; see _order.
-_TS_SHIFT_MICROS = 300_000_000_000_000_000      # makes any year 0001-9999 non-negative
-_SEQ_SHIFT = "9223372036854775808"               # 2^63: makes any long non-negative
-_SEQ_SPAN = "100000000000000000000"              # 10^20 > 2^64: room for a shifted long
-
-
-def _order(ticks: DataFrame, ts: str, seq: str | None) -> Column:
-    """The (ts, seq) order of ticks as one aggregate-friendly key.
-
-    With an integral ``seq`` the pair packs exactly into one DECIMAL(38,0):
-    (micros + 3e17) * 10^20 + (seq + 2^63) keeps the lexicographic order and
-    stays below 10^38 for every timestamp and long. A decimal buffer is
-    mutable in place, so min_by / max_by then run as a hash aggregate. Any
-    other ``seq`` (e.g. a struct of tie-breakers) orders by a struct, which
-    Spark aggregates by sorting.
-    """
-    if not seq:
-        return F.col(ts)
-    types = dict((f.name, f.dataType) for f in ticks.schema.fields)
-    if isinstance(types.get(seq), (T.IntegerType, T.LongType, T.ShortType)) and \
-            isinstance(types.get(ts), (T.TimestampType, T.TimestampNTZType)):
-        micros = (F.unix_micros(F.col(ts).cast("timestamp")) + F.lit(_TS_SHIFT_MICROS)).cast("decimal(38,0)")
-        shifted = F.col(seq).cast("decimal(20,0)") + F.expr(f"CAST('{_SEQ_SHIFT}' AS DECIMAL(20,0))")
-        return (micros * F.expr(f"CAST('{_SEQ_SPAN}' AS DECIMAL(38,0))") + shifted).cast("decimal(38,0)")
-    return F.struct(F.col(ts), F.col(seq))
-
-
 def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
           ts: str = "ts", price: str = "price", qty: str = "qty", seq: str | None = "seq",
           calendar: str | None = None, label: str | None = None,
@@ -66,7 +39,7 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
     """
     if isinstance(width, int):
         width = f"{width} seconds"
-    order = _order(ticks, ts, seq)
+    order = order_key(ticks, ts, seq)
     aggs = [
         F.min_by(F.col(price), order).alias("open"),
         F.max(price).alias("high"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickweave.functions.ordering import fixed_width, order_key, packable
 from tickweave.operators.sequence import sequence_steps
 
 ORDER_KEY = ("ts", "seq")
@@ -21,8 +22,17 @@ def _client(df: DataFrame, client_id) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys, order=ORDER_KEY, cols=None) -> DataFrame:
-    """The latest row per key by ``order`` (ties broken by the full order)."""
+    """The latest row per key by ``order`` (ties broken by the full order).
+
+    With a (timestamp, integer) order and fixed-width values, each value is a
+    ``max_by`` on the packed decimal order key: all buffers are fixed width and
+    Spark hash-aggregates. Otherwise one ``max_by`` over a struct of the values.
+    """
     cols = [c for c in (cols or df.columns) if c not in keys]
+    if len(order) == 2 and packable(df, *order) and fixed_width(df, cols):
+        okey = order_key(df, *order)
+        return df.groupBy(*keys).agg(*[F.max_by(F.col(c), okey).alias(c) for c in cols],
+                                     F.count(F.lit(1)).alias("updates"))
     okey = F.struct(*[F.col(c) for c in order])
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("__r"),
