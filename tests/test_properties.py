@@ -30,3 +30,15 @@ def test_bars_equal_brute_force(spark, ticks):
         assert (m[c] == m[c + "_w"]).all(), c
     assert (got["low"] <= got[["open", "close"]].min(axis=1)).all()
     assert (got["high"] >= got[["open", "close"]].max(axis=1)).all()
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.datetimes(min_value=dt.datetime(1, 1, 2), max_value=dt.datetime(9999, 12, 30)),
+                          st.integers(-(2 ** 63), 2 ** 63 - 1)), min_size=2, max_size=60, unique=True))
+def test_packed_order_key_preserves_order(spark, pairs):
+    from tickweave.functions.ordering import order_key
+
+    df = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(pairs)], "i int, ts timestamp_ntz, seq long")
+    got = [r.i for r in df.withColumn("k", order_key(df, "ts", "seq")).orderBy("k").collect()]
+    want = [i for i, _ in sorted(enumerate(pairs), key=lambda x: x[1])]
+    assert got == want
