@@ -132,12 +132,24 @@ SELECT appOrderID, last(clientID ORDER BY ts, seq) AS clientID, last(state ORDER
        last(filled_price ORDER BY ts, seq) AS filled_price,
        max(ts) AS ts, last(seq ORDER BY ts, seq) AS seq, count(*) AS updates
 FROM ({_ORDERS_SQL}) GROUP BY appOrderID
-""", ids=("R1", "R2"))
+""", ids=("R1",))
 def q_order_book(spark, sf_dir):
     """Current state of every order of every client (the dealer book; a client id filters)."""
     return O.order_book(event_orders(table(spark, sf_dir, "events")))
 
 
+@register("dealer_order_book", sql=f"""
+SELECT appOrderID, last(clientID ORDER BY ts, seq) AS clientID, last(state ORDER BY ts, seq) AS state,
+       last(filled_quantity ORDER BY ts, seq) AS filled_quantity,
+       last(filled_price ORDER BY ts, seq) AS filled_price,
+       max(ts) AS ts, last(seq ORDER BY ts, seq) AS seq, count(*) AS updates
+FROM ({_ORDERS_SQL}) GROUP BY appOrderID
+""", ids=("R2",))
+def q_dealer_order_book(spark, sf_dir):
+    """Dealer order book: every client's orders (no client filter; equals the all-client order_book)."""
+    return O.order_book(event_orders(table(spark, sf_dir, "events")), client_id=None)
+
+
 @register("order_history", sql=f"""
 SELECT clientID, appOrderID, ts, seq, state,
        lag(state) OVER w AS prev_state, row_number() OVER w AS step
@@ -164,12 +176,18 @@ def _fills(spark, sf_dir):
     return trade_fills(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
 
 
-@register("trade_book", sql=_FILLS_SQL, ids=("R4", "R5"))
+@register("trade_book", sql=_FILLS_SQL, ids=("R4",))
 def q_trade_book(spark, sf_dir):
     """Fills and part fills of every client and day (client / day arguments filter)."""
     return O.trade_book(_fills(spark, sf_dir))
 
 
+@register("dealer_trade_book", sql=_FILLS_SQL, ids=("R5",))
+def q_dealer_trade_book(spark, sf_dir):
+    """Dealer trade book: fills of every client and day (no filters; equals the all-client trade_book)."""
+    return O.trade_book(_fills(spark, sf_dir), client_id=None, day=None)
+
+
 def _positions_sql(keys: list[str], where: str = "", having: str = "") -> str:
     k = ", ".join(keys)
     return f"""
