@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import exact_dedup, shard_tree, url_rules
+from tickweave.llm import exact_dedup, minhash, shard_tree, url_rules
 from tickweave.llm.work import table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
@@ -61,6 +61,13 @@ FROM r
 """
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, Jaccard of 0.85 or more."""
+    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold_pct=85)
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+                      F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
     norm = exact_dedup.normalised("text")
@@ -81,6 +88,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM h
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_url_rules": op2_url_rules,
+    "op7_minhash": op7_minhash,
     "op9_exact_dedup": op9_exact_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL}
