@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import exact_dedup, minhash, shard_tree, url_rules
+from tickweave.llm import exact_dedup, minhash, shard_tree, toxicity, url_rules
 from tickweave.llm.work import table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
              ("com/fr/", "allow"), ("com/de/", "block")]
 
+TOXIC_FROM = 0.3  # fixed value of the toxicity contract
+
 # The method's own list, for urls that no rule above fits: host labels of junk sites.
 JUNK_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
@@ -68,6 +70,15 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; labels of ids in hash bucket 2 of 4 are never learnt."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.bucket4("__id") != 2)
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", F.coalesce(toxicity.bucket4() == 2, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
     norm = exact_dedup.normalised("text")
@@ -89,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_url_rules": op2_url_rules,
     "op7_minhash": op7_minhash,
+    "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL}
