@@ -53,7 +53,7 @@ def refine(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix: int =
     members = cut(
         rows.join(alike.withColumn("__alike", F.lit(True)), ["__len", "__pre"], "left")
         .withColumn("__full", F.when(F.col("__alike"), F.sha2("__text", 256)))
-        .drop("__text", "__alike"), "members").withColumn("__uid", F.monotonically_increasing_id())
+        .drop("__text", "__alike").withColumn("__uid", F.monotonically_increasing_id()), "members")
     key = ["__len", "__pre", "__full"]
     first = F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"),
                            F.col("__uid").alias("uid")))

@@ -132,8 +132,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = base.schema["id"].dataType.simpleString()
     signed = cut(base.mapInArrow(_sign(width, k, seed), f"id {id_type}, n long, cls binary, sig binary"), "signed")
     classes = cut(signed.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first_id"),
-                                                                      F.min("sig").alias("sig")), "classes")
-    classes = classes.withColumn("node", F.monotonically_increasing_id())
+                                                                      F.min("sig").alias("sig"))
+                  .withColumn("node", F.monotonically_increasing_id()), "classes")
     labels = _labels(base, classes, width, threshold_pct, bands, rows, margin)
     named = classes.select("node", "cls", "first_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))

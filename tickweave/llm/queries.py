@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import exact_dedup, minhash, shard_tree, toxicity, url_rules
+from tickweave.llm import best_fit, exact_dedup, minhash, shard_tree, toxicity, url_rules
 from tickweave.llm.work import table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
@@ -63,6 +63,11 @@ FROM r
 """
 
 
+def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return best_fit.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, Jaccard of 0.85 or more."""
     out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold_pct=85)
@@ -99,6 +104,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM h
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_url_rules": op2_url_rules,
+    "op5_best_fit": op5_best_fit,
     "op7_minhash": op7_minhash,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
