@@ -59,8 +59,8 @@ def _sign(width: int, k: int, seed: int):
                 cls.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 sig.append(signature(s, a, b).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()), pa.array(sig, pa.binary())],
-                names=["id", "n", "cls", "sig"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
+                 pa.array(sig, pa.binary())], names=["id", "carry", "n", "cls", "sig"])
     return run
 
 
@@ -112,8 +112,8 @@ def _with(pairs: DataFrame, values: DataFrame, col: str) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     threshold_pct: int = 80, bands: int = 20, rows: int = 4, margin: float = 0.2,
-                    seed: int = 7) -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``n`` (distinct shingles), ``cls``, ``component_id``.
+                    seed: int = 7, carry: dict[str, F.Column] | None = None) -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``n`` (distinct shingles), ``component_id``, ``leader``, and ``carry``.
 
     Links texts with ``100 * intersection >= threshold_pct * union`` of their
     word-shingle sets (confirmed on full sets). A pair at the threshold shares
@@ -121,26 +121,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     0.85); the signature check before it drops pairs whose agreement is
     ``margin`` below the threshold (over four standard deviations).
 
-    ``component_id`` is the smallest id reachable over links and equal texts.
-    Texts without words (null, empty, blanks) have ``n`` 0, a null ``cls`` and
-    are linked with nothing. A null id is never a component's id unless all its
+    ``component_id`` is the smallest id reachable over links and equal texts;
+    ``leader`` marks rows whose word sequence is that id's. Texts without words
+    (null, empty, blanks) have ``n`` 0, are linked with nothing and lead. A null id is never a component's id unless all its
     ids are null. Rows that repeat an id are rows of their own. Other columns
     of ``docs`` are not read; empty tables give no rows.
     """
     k = bands * rows
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = base.schema["id"].dataType.simpleString()
-    signed = cut(base.mapInArrow(_sign(width, k, seed), f"id {id_type}, n long, cls binary, sig binary"), "signed")
+    carry = carry or {}
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.struct(F.lit(0).alias("_"), *[c.alias(n) for n, c in carry.items()]).alias("carry"))
+    signed = cut(base.mapInArrow(_sign(width, k, seed), base.select("id", "carry").schema.add("n", "long")
+                                 .add("cls", "binary").add("sig", "binary")), "signed")
     classes = cut(signed.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first_id"),
                                                                       F.min("sig").alias("sig"))
                   .withColumn("node", F.monotonically_increasing_id()), "classes")
     labels = _labels(base, classes, width, threshold_pct, bands, rows, margin)
     named = classes.select("node", "cls", "first_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = cut(named.join(ids, "component").select("cls", "component_id"), "class_components")
-    return (signed.select("id", "n", "cls").join(of_class, "cls", "left")
-            .withColumn("component_id", F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))))
+    # The leading class: the one with the smallest id (nulls last), of equal ids the smallest hash.
+    ids = named.groupBy("component").agg(F.min(F.struct(
+        F.col("first_id").isNull().alias("last"), F.col("first_id").alias("id"), F.col("cls").alias("cls"))).alias("low"))
+    of_class = cut(named.join(ids, "component").select(
+        "cls", F.col("low.id").alias("component_id"), (F.col("cls") == F.col("low.cls")).alias("leader")), "of_class")
+    return (signed.join(of_class, "cls", "left")
+            .select("id", "n", F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))
+                    .alias("component_id"), F.coalesce("leader", F.lit(True)).alias("leader"),
+                    *[F.col(f"carry.{c}").alias(c) for c in carry]))
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with its smallest id; options as above.
+
+    Texts without words all stay. Rows that repeat both id and text stay or go
+    together (exact dedup tells them apart).
+    """
+    key = F.xxhash64(F.col(text_col))
+    rows = near_duplicates(docs, id_col, text_col, carry={"__key": key}, **options)
+    stay = (rows.filter(F.col("leader") & F.col("id").eqNullSafe(F.col("component_id")))
+            .select(F.col("id").alias("__id"), F.col("__key").alias("__stay")))
+    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (key == F.col("__stay")), "left_semi")
 
 
 def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int, bands: int, rows: int,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import best_fit, exact_dedup, minhash, shard_tree, toxicity, url_rules
+from tickweave.llm import best_fit, exact_dedup, minhash, mixing, shard_tree, toxicity, url_rules
 from tickweave.llm.work import table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
@@ -101,6 +101,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM h
 """
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, fitted rate and copies of every document."""
+    out, _ = mixing.rates(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)],
+                      "rate", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_url_rules": op2_url_rules,
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minhash": op7_minhash,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_mixing": op10_mixing,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL}
 
