@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.work import BLANK, cut
+from tickweave.llm.work import BLANK, apart, cut
 
 PREFIX = 256
 
@@ -48,18 +48,20 @@ def refine(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix: int =
         F.octet_length("__text").alias("__len"), F.xxhash64(F.substring("__text", 1, prefix)).alias("__pre"))
     pairs = light.groupBy("__len", "__pre").agg(F.count("*").alias("__n"))
     lengths = pairs.groupBy("__len").agg(F.sum("__n").alias("__in_len")).filter("__in_len > 1")
-    alike = cut(pairs.filter("__n > 1").join(lengths, "__len", "left_semi").select("__len", "__pre"), "alike")
+    alike = pairs.filter("__n > 1").join(lengths, "__len", "left_semi").select(
+        "__len", "__pre", apart("__len", "__pre").alias("__apart"), F.lit(True).alias("__alike"))
     # 3: the full hash, for those rows only.
     members = cut(
-        rows.join(alike.withColumn("__alike", F.lit(True)), ["__len", "__pre"], "left")
+        rows.withColumn("__apart", apart("__len", "__pre")).join(alike, ["__len", "__pre", "__apart"], "left")
         .withColumn("__full", F.when(F.col("__alike"), F.sha2("__text", 256)))
-        .drop("__text", "__alike").withColumn("__uid", F.monotonically_increasing_id()), "members")
+        .drop("__text", "__alike", "__apart").withColumn("__uid", F.monotonically_increasing_id()), "members")
     key = ["__len", "__pre", "__full"]
     first = F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"),
                            F.col("__uid").alias("uid")))
-    groups = cut(members.filter("__full is not null").groupBy(*key)
-                 .agg(first.alias("__first"), F.count("*").alias("__size")).filter("__size > 1"), "groups")
-    return (members.join(groups, key, "left")
+    groups = (members.filter("__full is not null").groupBy(*key)
+              .agg(first.alias("__first"), F.count("*").alias("__size")).filter("__size > 1")
+              .withColumn("__apart", apart(*key)))
+    return (members.withColumn("__apart", apart(*key)).join(groups, [*key, "__apart"], "left")
             .withColumn("keep_id", F.coalesce(F.col("__first.id"), F.col(id_col)))
             .withColumn("group_size", F.coalesce("__size", F.lit(1)).cast("long"))
             .withColumn("kept", F.coalesce(F.col("__first.uid") == F.col("__uid"), F.lit(True)))

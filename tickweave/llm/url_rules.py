@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickweave.llm.work import ascii_lower, cut
+from tickweave.llm.work import apart, ascii_lower, hold
 
 RULE_SCHEMA = T.StructType([
     T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType()),
@@ -96,16 +96,16 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     own = ("host", "path", "rule", "verdict")
     cols = [c for c in pages.columns if c not in own]
     keyed = pages.select(*[F.col(c) for c in cols], host_of(url_col).alias("host"), path_of(url_col).alias("path"))
-    urls = cut(pages.select(host_of(url_col).alias("host"), path_of(url_col).alias("path")).distinct(), "urls")
+    urls = hold(pages.select(host_of(url_col).alias("host"), path_of(url_col).alias("path")).distinct())
     words = urls.select("host", "path", F.explode(tokens_of(F.col("host"), F.col("path"))).alias("token"))
-    index = cut(index_rules(rules, words.select("token")), "rule_index")
+    index = hold(index_rules(rules, words.select("token")))
     # Candidates: only rules whose index token the url has run their expression.
     fits = (words.join(index, "token")
             .filter(F.expr("concat(host, path) rlike regex"))
             .groupBy("host", "path")
             .agg(F.min(F.struct(-F.col("rank"), -F.length("rule"), "rule", "verdict")).alias("__b")))
-    fits = cut(fits.select("host", "path", F.col("__b.rule").alias("rule"), F.col("__b.verdict").alias("verdict")),
-               "url_fits")
-    return (keyed.join(fits, ["host", "path"], "left")
+    fits = fits.select("host", "path", apart("host", "path").alias("__apart"), F.col("__b.rule").alias("rule"),
+                       F.col("__b.verdict").alias("verdict"))
+    return (keyed.withColumn("__apart", apart("host", "path")).join(fits, ["host", "path", "__apart"], "left")
             .withColumn("verdict", F.coalesce("verdict", F.lit(default)))
             .select(*cols, *own))

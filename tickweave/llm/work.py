@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tickweave.session import work_path
 BLANK = r"[\x20\x09-\x0D]+"
 
 _LIVE: dict[str, SparkSession] = {}
+_HELD: list[DataFrame] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,15 +22,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, one_wave: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Ends the lineage on storage every executor can read, so a lost executor
     costs a re-read and not a re-run. The plan is run once (``checkpoint()``
-    runs it twice). Tables are removed by :func:`drop`, or when the driver ends.
+    runs it twice). For tables whose numbers must never be drawn again
+    (generated ids) and for rounds of a loop. Removed by :func:`drop`, or when
+    the driver ends.
+
+    ``one_wave``: written by as many tasks as the cluster has cores, for small
+    rows that come out of a shuffle (many small files cost more than they save).
     """
     spark = df.sparkSession
     path = work_path(spark, name)
+    if one_wave:
+        df = df.coalesce(spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     _LIVE[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
@@ -36,9 +45,32 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def hold(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it on the executors' disks, for steps that read it more than once.
+
+    The lineage stays: blocks of a lost executor are computed again. Only for
+    deterministic plans. Released by :func:`drop` or :func:`release`.
+    """
+    out = df.persist(StorageLevel.DISK_ONLY)
+    out.count()
+    _HELD.append(out)
+    return out
+
+
+def release() -> None:
+    """Free all held and written work tables; results that still read them must be written first."""
+    while _HELD:
+        _HELD.pop().unpersist()
+    for path in list(_LIVE):
+        _delete(_LIVE.pop(path), path)
+
+
 def drop(*tables: DataFrame) -> None:
-    """Remove work tables that no later step reads."""
+    """Free work tables that no later step reads."""
     for t in tables:
+        if any(t is h for h in _HELD):
+            _HELD[:] = [h for h in _HELD if h is not t]
+            t.unpersist()
         path = getattr(t, "_work_path", None)
         if path in _LIVE:
             _delete(_LIVE.pop(path), path)
@@ -57,6 +89,15 @@ def _delete_all() -> None:
             _delete(spark, path)
 
 
+def apart(*cols: str) -> Column:
+    """A join key derived from join keys, joined beside them.
+
+    The sides of such a join are never already dealt by its keys, so both get
+    an exchange of their own, which AQE can split where a key is hot.
+    """
+    return F.xxhash64(*cols)
+
+
 def text_bytes(col: str | Column) -> Column:
     """UTF-8 length of a text; none for a null."""
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
