@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.components import connected
 from tickweave.llm.shingles import WordHashes, shingle_set, words_of
-from tickweave.llm.work import cut, drop
+from tickweave.llm.work import apart, cut, drop, hold
 
 BLOCK = 2048  # shingles hashed at once
 
@@ -131,20 +131,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     carry = carry or {}
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.struct(F.lit(0).alias("_"), *[c.alias(n) for n, c in carry.items()]).alias("carry"))
-    signed = cut(base.mapInArrow(_sign(width, k, seed), base.select("id", "carry").schema.add("n", "long")
-                                 .add("cls", "binary").add("sig", "binary")), "signed")
+    signed = hold(base.mapInArrow(_sign(width, k, seed), base.select("id", "carry").schema.add("n", "long")
+                                  .add("cls", "binary").add("sig", "binary")))
     classes = cut(signed.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first_id"),
                                                                       F.min("sig").alias("sig"))
-                  .withColumn("node", F.monotonically_increasing_id()), "classes")
+                  .withColumn("node", F.monotonically_increasing_id()), "classes", one_wave=True)
     labels = _labels(base, classes, width, threshold_pct, bands, rows, margin)
     named = classes.select("node", "cls", "first_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     # The leading class: the one with the smallest id (nulls last), of equal ids the smallest hash.
     ids = named.groupBy("component").agg(F.min(F.struct(
         F.col("first_id").isNull().alias("last"), F.col("first_id").alias("id"), F.col("cls").alias("cls"))).alias("low"))
-    of_class = cut(named.join(ids, "component").select(
-        "cls", F.col("low.id").alias("component_id"), (F.col("cls") == F.col("low.cls")).alias("leader")), "of_class")
-    return (signed.join(of_class, "cls", "left")
+    of_class = named.join(ids, "component").select(
+        "cls", apart("cls").alias("apart"), F.col("low.id").alias("component_id"),
+        (F.col("cls") == F.col("low.cls")).alias("leader"))
+    return (signed.drop("sig").withColumn("apart", apart("cls")).join(of_class, ["cls", "apart"], "left")
             .select("id", "n", F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id"))
                     .alias("component_id"), F.coalesce("leader", F.lit(True)).alias("leader"),
                     *[F.col(f"carry.{c}").alias(c) for c in carry]))
@@ -169,42 +170,46 @@ def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int,
     k, step = bands * rows, 4 * rows
     banded = classes.select("node", F.posexplode(F.array(*[
         F.xxhash64(F.lit(b), F.substring("sig", b * step + 1, step)) for b in range(bands)])).alias("band", "bucket"))
-    shared = cut(banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
-    members = cut(banded.select("node", "bucket").join(shared, "bucket"), "members")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = hold(_meet(banded.select("node", "bucket"), shared))
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))  # high where many neighbours meet
-    sets = cut(base.join(classes.select("node", "cls", "first_id").join(weight, "node", "left_semi"),
+    sets = hold(base.join(classes.select("node", "cls", "first_id").join(weight, "node", "left_semi"),
                          F.col("id").eqNullSafe(F.col("first_id")))
-               .select("node", "cls", "text").mapInArrow(_sets(width), "node long, shingles binary"), "sets")
+               .select("node", "cls", "text").mapInArrow(_sets(width), "node long, shingles binary"))
     sigs = classes.select("node", "sig")
-    open_ = cut(members.select("bucket", "node").join(weight, "node")
-                .withColumn("component", F.col("node")), "open")
+    open_ = hold(members.select("bucket", "node").join(weight, "node").withColumn("component", F.col("node")))
     tested = links = None
     while True:
-        pivots = cut(_first_pivots(open_) if links is None else _next_pivots(open_), "pivots")
-        pairs = (open_.join(pivots, "bucket").filter("component <> pcomp")
+        pivots = hold(_first_pivots(open_) if links is None else _next_pivots(open_))
+        pairs = (_meet(open_, pivots).filter("component <> pcomp")
                  .select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = cut(pairs, "pairs")
+        pairs = hold(pairs)
         likely = _with(pairs, sigs, "sig").mapInArrow(
             _agree(k, int(k * (threshold_pct / 100 - margin))), "u long, v long")
-        new = cut(_with(cut(likely, "likely"), sets, "shingles").mapInArrow(_similar(threshold_pct), "u long, v long"),
-                  "links")
+        new = cut(_with(likely, sets, "shingles").mapInArrow(_similar(threshold_pct), "u long, v long"), "links",
+                  one_wave=True)
         links = new if links is None else links.unionByName(new)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = cut(connected(links), "labels")
+        labels = hold(connected(links))
         # Used pivots are done; a bucket stays open while members of two components are left.
         left = (open_.drop("component")
                 .join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
                 .join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        left = cut(left, "left")
-        mixed = cut(left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .filter("lo < hi").select("bucket"), "mixed")
+        mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
+            "lo < hi").select("bucket")
+        after = cut(_meet(left, mixed), "open", one_wave=True)
         drop(open_)
-        if mixed.isEmpty():
+        if after.isEmpty():
             return labels
-        open_ = cut(left.join(mixed, "bucket"), "open")
-        drop(left, mixed)
+        open_ = after
+
+
+def _meet(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Members with what is known of their bucket; members of a hot bucket can be split."""
+    return (members.withColumn("apart", apart("bucket"))
+            .join(buckets.withColumn("apart", apart("bucket")), ["bucket", "apart"]).drop("apart"))
 
 
 def _top(open_: DataFrame, *keys: str) -> DataFrame:
@@ -221,7 +226,7 @@ def _first_pivots(open_: DataFrame) -> DataFrame:
 
 def _next_pivots(open_: DataFrame) -> DataFrame:
     """One pivot per component of a bucket, but none for its largest component."""
-    tops = cut(_top(open_, "bucket", "component"), "tops")
+    tops = hold(_top(open_, "bucket", "component"))
     largest = tops.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
     return (tops.join(largest, "bucket").filter("component <> largest")
             .select("bucket", (-F.col("top.minus")).alias("pivot"), F.col("component").alias("pcomp")))

@@ -11,7 +11,7 @@ _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9,
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    limit = 500_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
