@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickweave.llm.work import hold
+
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
 
@@ -50,12 +52,21 @@ def read(text: str | None) -> tuple[str, list[str]]:
     return text, WORD.findall(text.lower())
 
 
-def all_features(text: str | None) -> set[int]:
-    text, words = read(text)
-    out = set(shape_features(text, words))
-    for w in set(words):
-        out.update(word_features(w))
-    return out
+class Features(dict):
+    """Feature ids of a word, remembered up to a bound; only those in ``only`` if given."""
+
+    limit = 100_000
+
+    def __init__(self, only=None):
+        super().__init__()
+        self.only = only
+
+    def __missing__(self, word: str) -> list[int]:
+        if len(self) >= self.limit:
+            self.clear()
+        ids = word_features(word)
+        ids = self[word] = ids if self.only is None else [i for i in ids if i in self.only]
+        return ids
 
 
 @dataclass
@@ -67,20 +78,14 @@ class Model:
 
     def scorer(self):
         """A function of a text giving its class posteriors (for one class: its probability)."""
-        known: dict[str, list[int]] = {}
         weights, bias = self.weights, self.bias
+        known = Features(weights)
 
         def posterior(text: str | None) -> np.ndarray:
             text, words = read(text)
             ids = set(i for i in shape_features(text, words) if i in weights)
-            if len(known) > 500_000:
-                known.clear()
             for w in set(words):
-                f = known.get(w)
-                if f is None:
-                    f = known[w] = [i for i in word_features(w) if i in weights]
-                if f:
-                    ids.update(f)
+                ids.update(known[w])
             z = bias + sum((weights[i] for i in sorted(ids)), np.zeros_like(bias))
             if len(z) == 1:
                 return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -103,13 +108,14 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id_col: str = "doc_id",
- text_col: str = "text", swaps=None) -> pd.DataFrame:
-    """Features of a bounded sample of labelled documents: at most ``limits[y]`` label rows of each value ``y``.
+           text_col: str = "text", swaps=None) -> DataFrame:
+    """A bounded sample of labelled documents as ``y, key, ids, pairs``: at most ``limits[y]`` label rows of each ``y``.
 
     Rows are taken in the order of a hash of their id, so the sample does not
     depend on how the tables are stored. Only the sampled ids are joined to the
-    texts (broadcast: their number is bounded by ``limits``); equal texts are
-    taken once. ``swaps``: a function of a text giving counterfactual pairs.
+    texts (broadcast: their number is bounded by ``limits``); equal texts
+    (``key``) are taken once. ``swaps``: a function of a text giving
+    counterfactual pairs of feature sets, kept as what each swap removes and adds.
     """
     rows = labels.select(F.col(id_col).alias("__id"), label.cast("int").alias("__y")).filter("__id is not null")
     picked = None
@@ -121,77 +127,64 @@ def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id
              .join(F.broadcast(picked), "__id").select("y", "text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Features()
         for batch in batches:
             ys, keys, ids, pairs = [], [], [], []
-            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for y, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                t = t.as_py()
+                text, words = read(t)
+                mine = set(shape_features(text, words))
+                for w in set(words):
+                    mine.update(known[w])
                 ys.append(y)
-                keys.append(xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass")) >> 1)
-                ids.append(np.array(sorted(all_features(t)), np.int64).tobytes())
-                pairs.append([p for pair in (swaps(t) if swaps else []) for p in
-                              (np.array(sorted(pair[0] - pair[1]), np.int64).tobytes(),
-                               np.array(sorted(pair[1] - pair[0]), np.int64).tobytes())])
+                keys.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1)
+                ids.append(np.fromiter(mine, np.int64, len(mine)))
+                pairs.append([sorted(a) for one, other in (swaps(t) if swaps else []) for a in
+                              (one - other, other - one)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ys, pa.int32()), pa.array(keys, pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(pairs, pa.list_(pa.binary()))], names=["y", "key", "ids", "pairs"])
+                [pa.array(ys, pa.int32()), pa.array(keys, pa.int64()), pa.array(ids, pa.list_(pa.int64())),
+                 pa.array(pairs, pa.list_(pa.list_(pa.int64())))], names=["y", "key", "ids", "pairs"])
 
-    got = texts.mapInArrow(extract, "y int, key long, ids binary, pairs array<binary>").toPandas()
-    return got.sort_values(["key", "y"]).drop_duplicates("key").reset_index(drop=True)
+    got = texts.mapInArrow(extract, "y int, key long, ids array<long>, pairs array<array<long>>")
+    return hold(got.groupBy("key").agg(F.min_by(F.struct("y", "ids", "pairs"), "y").alias("g")).select("key", "g.*"))
 
 
-def fit(got: pd.DataFrame, classes: list[int], prior: list[float], features: int = 6000, least_docs: int = 6,
+def fit(got: DataFrame, classes: list[int], prior: list[float], features: int = 6000, least_docs: int = 4,
         least_z: float = 4.0, l2: float = 2e-4, swap_penalty: float = 0.0, steps: int = 250,
         rate: float = 0.08) -> Model:
     """Train on :func:`sample`'s rows. ``prior``: the classes' true shares, to undo the sample's balance.
 
-    One class of two is a logistic, more a softmax. Features are those in
-    ``least_docs`` documents or more whose share differs between classes by
-    ``least_z`` standard errors. ``swap_penalty`` weighs the mean squared change
-    of the score when identity terms are swapped.
+    One class of two is a logistic, more a softmax. Features are counted by
+    class in Spark; the driver gets at most ``features`` of them (in
+    ``least_docs`` documents or more, their share differing between classes by
+    ``least_z`` standard errors), and the sample's rows cut down to those.
+    ``swap_penalty`` weighs the mean squared change of the score when identity
+    terms are swapped.
     """
     k = len(classes)
-    y = np.searchsorted(classes, got["y"].to_numpy()) if len(got) else np.empty(0, int)
     prior = np.maximum(np.array(prior, float), 1e-6)
     prior = prior / prior.sum()
     base = np.log(prior)
-    if len(np.unique(y)) < 2:
-        return Model(np.array([base[1] - base[0]]) if k == 2 else base)
-    ids = [np.frombuffer(b, np.int64) for b in got["ids"]]
-    row = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
-    names, col = np.unique(np.concatenate(ids), return_inverse=True)
-    del ids
-    n = np.bincount(y, minlength=k).astype(float)
-    df = np.stack([np.bincount(col[y[row] == c], minlength=len(names)) for c in range(k)]).astype(float)
-    total = df.sum(axis=0)
-    z = np.zeros(len(names))
-    for c in range(k):
-        if 0 < n[c] < len(y):
-            p = np.clip(total / len(y), 1e-9, 1 - 1e-9)
-            gap = df[c] / n[c] - (total - df[c]) / (len(y) - n[c])
-            z = np.maximum(z, np.abs(gap) / np.sqrt(p * (1 - p) * (1 / n[c] + 1 / (len(y) - n[c]))))
-    z[total < least_docs] = 0
-    chosen = np.sort(np.argsort(-z, kind="stable")[:features])
-    chosen = chosen[z[chosen] >= least_z]
-    place = np.full(len(names), -1)
-    place[chosen] = np.arange(len(chosen))
-    hit = place[col] >= 0
-    row, col, names = row[hit], place[col[hit]], names[chosen]
-    # Counterfactual pairs: the features each swap removes (+1) and adds (-1).
-    at = {int(x): i for i, x in enumerate(names)}
-    pr, pc, ps = [], [], []
-    for pairs in got["pairs"]:
-        for i in range(0, len(pairs), 2):
-            mine = [(at[f], s) for b, s in ((pairs[i], 1.0), (pairs[i + 1], -1.0))
-                    for f in np.frombuffer(b, np.int64).tolist() if f in at]
-            if mine:
-                pc.extend(c for c, _ in mine)
-                ps.extend(s for _, s in mine)
-                pr.extend([0 if not pr else pr[-1] + 1] * len(mine))
-    pr, pc, ps = np.array(pr, int), np.array(pc, int), np.array(ps, float)
     outs = 1 if k == 2 else k
-    balance = prior / np.maximum(n, 1) * len(y)  # weights that restore the true shares
-    wt = balance[y]
+    bias = np.array([base[1] - base[0]]) if outs == 1 else base.copy()
+    n = dict(got.groupBy("y").count().collect())  # at most k rows
+    n = np.array([n.get(c, 0) for c in classes], float)
+    if (n > 0).sum() < 2:
+        return Model(bias)
+    names = _telling(got, classes, n, features, least_docs, least_z)
+    if not len(names):
+        return Model(bias)
+    data = _cut_down(got, names).toPandas().sort_values("key")  # bounded by the sample and ``features``
+    y = np.searchsorted(classes, data["y"].to_numpy())
+    row = np.repeat(np.arange(len(data)), data["at"].map(len))
+    col = np.concatenate([*data["at"], np.empty(0, int)]).astype(int)
+    pairs = [p for ps in data["swaps"] for p in ps if len(p)]  # signed places: +i + 1 removed, -i - 1 added
+    pr = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
+    signed = np.concatenate([*pairs, np.empty(0, int)]).astype(int)
+    pc, ps = np.abs(signed) - 1, np.sign(signed).astype(float)
+    wt = (prior / np.maximum(n, 1) * len(y))[y]  # restores the true shares
     target = (y == 1).astype(float)[:, None] if outs == 1 else np.eye(k)[y]
-    w, b = np.zeros((len(names), outs)), np.array([base[1] - base[0]]) if outs == 1 else base.copy()
+    w, b = np.zeros((len(names), outs)), bias
     m = [np.zeros_like(w), np.zeros_like(b)]
     v = [np.zeros_like(w), np.zeros_like(b)]
     for t in range(1, steps + 1):
@@ -203,13 +196,48 @@ def fit(got: pd.DataFrame, classes: list[int], prior: list[float], features: int
             post /= post.sum(axis=1, keepdims=True)
         r = (post - target) * wt[:, None] / len(y)
         gw = np.stack([np.bincount(col, r[row, c], len(names)) for c in range(outs)], axis=1) + l2 * w
-        if swap_penalty and len(pr):
+        if swap_penalty and len(pairs):
             for c in range(outs):
-                change = np.bincount(pr, ps * w[pc, c])
-                gw[:, c] += 2 * swap_penalty / len(change) * np.bincount(pc, ps * change[pr], len(names))
+                change = np.bincount(pr, ps * w[pc, c], len(pairs))
+                gw[:, c] += 2 * swap_penalty / len(pairs) * np.bincount(pc, ps * change[pr], len(names))
         for i, (x, g) in enumerate(((w, gw), (b, r.sum(axis=0)))):
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.999 * v[i] + 0.001 * g * g
             x -= rate * (m[i] / (1 - 0.9 ** t)) / (np.sqrt(v[i] / (1 - 0.999 ** t)) + 1e-8)
     keep = np.abs(w).max(axis=1) > 1e-3
     return Model(b, {int(f): x for f, x in zip(names[keep], w[keep])})
+
+
+def _telling(got: DataFrame, classes: list[int], n: np.ndarray, features: int, least_docs: int,
+             least_z: float) -> np.ndarray:
+    """Ids of the features that tell classes apart best, in ascending order."""
+    total = float(n.sum())
+    df = got.select("y", F.explode("ids").alias("id")).groupBy("id").agg(
+        F.count("*").cast("double").alias("n"), *[F.sum((F.col("y") == c).cast("double")).alias(f"n{i}")
+                                                  for i, c in enumerate(classes)])
+    p = F.col("n") / total
+    z = [F.abs(F.col(f"n{i}") / float(x) - (F.col("n") - F.col(f"n{i}")) / float(total - x))
+         / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * float(1 / x + 1 / (total - x)))
+         for i, x in enumerate(n) if 0 < x < total]
+    best = (df.filter(F.col("n") >= least_docs).select("id", F.greatest(*z, F.lit(0.0)).alias("z"))
+            .filter(F.col("z") >= least_z).orderBy(F.desc("z"), "id").limit(features))
+    return np.sort(np.array([r["id"] for r in best.collect()], np.int64))
+
+
+def _cut_down(got: DataFrame, names: np.ndarray) -> DataFrame:
+    """``y, key``, the places of a row's features in ``names``, and of its swaps (signed, from 1)."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {int(x): i for i, x in enumerate(names)}
+        for batch in batches:
+            mine = [[at[i] for i in ids.values.to_numpy() if i in at] for ids in batch.column(2)]
+            swaps = []
+            for ps in batch.column(3).to_pylist():
+                swaps.append([[at[i] + 1 for i in ps[j] if i in at] + [-at[i] - 1 for i in ps[j + 1] if i in at]
+                              for j in range(0, len(ps or []), 2)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(mine, pa.list_(pa.int32())),
+                 pa.array(swaps, pa.list_(pa.list_(pa.int32())))], names=["y", "key", "at", "swaps"])
+
+    return got.select("y", "key", "ids", "pairs").mapInArrow(
+        places, "y int, key long, at array<int>, swaps array<array<int>>")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import linear
+from tickweave.llm.linear import WORD, word_features
 
 # Identity terms by kind; a term is swapped for the others of its kind.
 IDENTITY_TERMS = {
@@ -36,7 +37,7 @@ def swapper(terms: dict[str, list[str]]):
     any_term = re.compile(r"\b(" + "|".join(sorted(map(re.escape, kind), key=len, reverse=True)) + r")\b")
 
     def words(sentence: str) -> set[int]:
-        return {f for w in set(linear.WORD.findall(sentence)) for f in linear.word_features(w)}
+        return {f for w in set(WORD.findall(sentence)) for f in word_features(w)}
 
     def pairs(text: str | None) -> list[tuple[set[int], set[int]]]:
         out = []
