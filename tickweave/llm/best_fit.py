@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import tokens
-from tickweave.llm.work import cut
+from tickweave.llm.work import cut, hold
 
 ITEM, GAP = 0, 1
+CUT_EVERY = 4  # rounds between written tables, which end the lineage
 BUCKETS = 4096  # hash buckets by which items of one size are told apart when only some open a sequence
 
 
@@ -130,12 +131,13 @@ def _across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int
     return out
 
 
-def _round(pool: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+def _round(pool: DataFrame, written: bool) -> tuple[DataFrame, DataFrame]:
     """One sweep: all rows after it (as ``SWEPT``, matches across ranges resolved), as two tables."""
     spark = pool.sparkSession
     ranged = (pool.repartitionByRange("size", "kind", "spread").sortWithinPartitions("size", "kind", "spread")
               .select("uid", "size", "kind"))
-    swept = cut(ranged.mapInArrow(_sweep, SWEPT), name)
+    swept = ranged.mapInArrow(_sweep, SWEPT)
+    swept = cut(swept, "pack", one_wave=True) if written else hold(swept)
     free = swept.filter("rank is not null")
     counts = free.groupBy("part").agg(F.count("bin").alias("gaps"), F.count("uid").alias("items")).collect()
     matches = _across([(r["part"], r["gaps"], r["items"]) for r in counts])  # at most two per range
@@ -146,17 +148,17 @@ def _round(pool: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         runs += [(ip, True, ir - n + 1, ir, first + ir, -1), (gp, False, gr, gr + n - 1, first - gr, 1)]
         first += n
     table = F.broadcast(spark.createDataFrame(
-        runs, "part int, item boolean, low long, high long, base long, way int"))
-    met = cut(free.withColumn("item", F.col("uid").isNotNull()).join(
-        table, (free.part == table.part) & (F.col("item") == table.item) & F.col("rank").between(
-            F.col("low"), F.col("high")), "left")
-        .select(free.part, "rank", "uid", "size", "bin", "gap",
-                (F.col("base") + F.col("way") * F.col("rank")).alias("match")), name + "-met")
+        runs, "of int, item boolean, low long, high long, base long, way int"))
+    met = hold(free.join(
+        table, (F.col("part") == F.col("of")) & (F.col("uid").isNotNull() == F.col("item"))
+        & F.col("rank").between(F.col("low"), F.col("high")), "left")
+        .select("part", "rank", "uid", "size", "bin", "gap",
+                (F.col("base") + F.col("way") * F.col("rank")).alias("match")))
     pairs = (met.filter("match is not null").groupBy("match")
              .agg(F.max("uid").alias("uid"), F.max("size").alias("size"), F.max("bin").alias("bin"),
                   F.max("gap").alias("gap"))
              .select("uid", "size", "bin", "gap"))
-    placed = swept.filter("rank is null").select("uid", "size", "bin", "gap").unionByName(cut(pairs, name + "-pairs"))
+    placed = swept.filter("rank is null").select("uid", "size", "bin", "gap").unionByName(hold(pairs))
     return placed, met.filter("match is null")
 
 
@@ -186,14 +188,14 @@ def place(items: DataFrame, capacity: int = 1024) -> DataFrame:
             break
         stuck = {s: n for s, n in waiting.items() if s > max(gaps, default=0)}
         if stuck:
-            opening = cut(pool.filter(F.col("kind") == ITEM).filter(_opening(pool, stuck, capacity)),
-                          f"pack-open{turn}")
+            chosen = (F.col("kind") == ITEM) & _opening(pool, stuck, capacity)
+            opening = hold(pool.filter(chosen))
             done.append(opening.select("uid", F.col("uid").alias("sequence_id"), F.lit(0).alias("offset")))
-            pool = (pool.filter(~((F.col("kind") == ITEM) & _opening(pool, stuck, capacity)))
+            pool = (pool.filter(~chosen)
                     .unionByName(opening.select("uid", (capacity - F.col("size")).alias("size"),
                                                 F.lit(GAP).alias("kind"))))
         placed, free = _round(_spread(pool.filter((F.col("kind") == ITEM) | (F.col("size") >= min(waiting)))),
-                              f"pack-{turn}")
+                              turn % CUT_EVERY == CUT_EVERY - 1)
         done.append(placed.select("uid", F.col("bin").alias("sequence_id"), (capacity - F.col("gap")).alias("offset")))
         pool = (placed.filter("gap > size").select(F.col("bin").alias("uid"), (F.col("gap") - F.col("size")).alias("size"),
                                                    F.lit(GAP).alias("kind"))

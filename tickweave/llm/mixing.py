@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import linear
-from tickweave.llm.work import cut
+from tickweave.llm.work import hold
 
 # The labelled table's domains, and their default target shares of tokens.
 TARGETS = {"good": 0.80, "low": 0.14, "toxic": 0.06}
@@ -121,7 +121,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     k = len(targets)
     model = train(docs, labels, domain_of_labels() if domain is None else domain, k, MOST, id_col, text_col)
     scored = docs.withColumn("tokens", token_count(text_col)).withColumn("p", posteriors(model, k, text_col))
-    steps, info = fit_rates(cut(scored.select("tokens", "p"), "posteriors"), list(targets.values()), total)
+    steps, info = fit_rates(hold(scored.select("tokens", "p")), list(targets.values()), total)
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("copies")), 11).cast("double") / F.lit(float(2 ** 53))
     out = scored.withColumn("rate", rate("p", steps)).withColumn(
         "copies", (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))

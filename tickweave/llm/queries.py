@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.llm import best_fit, exact_dedup, minhash, mixing, shard_tree, toxicity, url_rules
+from tickweave.llm import (
+    best_fit, exact_dedup, license_scan, minhash, mixing, sentence_spans, shard_tree, sphere_caps, toxicity, url_rules,
+)
 from tickweave.llm.work import table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
@@ -63,11 +65,28 @@ FROM r
 """
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in every document, with the share of the template that aligns."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_sphere_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate links and components of all embeddings within their labels, cosine 0.93 or more."""
+    out = sphere_caps.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                      F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return best_fit.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span of repeated sentences that is not its first occurrence in the corpus."""
+    return sentence_spans.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, Jaccard of 0.85 or more."""
     out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold_pct=85)
@@ -111,7 +130,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_url_rules": op2_url_rules,
+    "op3_license_scan": op3_license_scan,
+    "op4_sphere_caps": op4_sphere_caps,
     "op5_best_fit": op5_best_fit,
+    "op6_sentence_spans": op6_sentence_spans,
     "op7_minhash": op7_minhash,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
