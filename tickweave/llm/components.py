@@ -4,7 +4,7 @@ Large-star links every larger neighbour of a node to the smallest node near
 it; small-star links a node and its smaller neighbours to the smallest of them.
 Alternating both shrinks any graph to stars around each component's smallest
 node in a logarithmic number of rounds. Edges stay a distributed table, written
-to the shared checkpoint folder every few rounds; the driver sees one bit a round.
+to the shared checkpoint folder each round; the driver sees one bit a round.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.work import cut, drop, hold
 
-CUT_EVERY = 3  # rounds between written tables, which end the lineage
 SALTS = 16  # a hub's neighbours are dealt over so many tasks when they meet its minimum
 
 
@@ -25,11 +24,8 @@ def connected(edges: DataFrame, salts: int = SALTS) -> DataFrame:
     harm; edges with a null end are left out; no edges give no rows.
     """
     now = hold(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    turn = 0
     while not _is_stars(now):
-        turn += 1
-        after = _small_star(_large_star(now, salts))
-        after = cut(after, "stars", one_wave=True) if turn % CUT_EVERY == 0 else hold(after)
+        after = cut(_small_star(_large_star(now, salts)), "stars", few=True)
         drop(now)
         now = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

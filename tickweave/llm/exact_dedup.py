@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.work import BLANK, apart, cut
+from tickweave.llm.work import BLANK, apart, hold
 
 PREFIX = 256
 
@@ -40,7 +40,8 @@ def refine(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix: int =
     extra = extra or {}
     cols = [c for c in (docs.columns if keep is None else keep) if c not in own and c not in extra]
     body = F.coalesce(text, F.lit(""))
-    rows = (docs.select(*cols, *[e.alias(c) for c, e in extra.items()], body.alias("__text"))
+    rows = (docs.select(*cols, *[e.alias(c) for c, e in extra.items()], body.alias("__text"),
+                        F.monotonically_increasing_id().alias("__uid"))
             .withColumn("__len", F.octet_length("__text"))
             .withColumn("__pre", F.xxhash64(F.substring("__text", 1, prefix))))
     # 1, 2: lengths met twice, and within them prefixes met twice.
@@ -51,10 +52,10 @@ def refine(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix: int =
     alike = pairs.filter("__n > 1").join(lengths, "__len", "left_semi").select(
         "__len", "__pre", apart("__len", "__pre").alias("__apart"), F.lit(True).alias("__alike"))
     # 3: the full hash, for those rows only.
-    members = cut(
+    members = hold(
         rows.withColumn("__apart", apart("__len", "__pre")).join(alike, ["__len", "__pre", "__apart"], "left")
         .withColumn("__full", F.when(F.col("__alike"), F.sha2("__text", 256)))
-        .drop("__text", "__alike", "__apart").withColumn("__uid", F.monotonically_increasing_id()), "members")
+        .drop("__text", "__alike", "__apart"))
     key = ["__len", "__pre", "__full"]
     first = F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"),
                            F.col("__uid").alias("uid")))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,23 +24,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str, one_wave: bool = False) -> DataFrame:
+# Rows read and sent to Python at once while work tables are made: texts can be long, and the
+# defaults (thousands of rows) would hold tens of MB per task and copy in flight.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.parquet.columnarReaderBatchSize": "512"}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Plan what runs inside with :data:`BATCHES`; the session's own settings come back after."""
+    before = {k: spark.conf.get(k) for k in BATCHES}
+    try:
+        for k, v in BATCHES.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def one_wave(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as the cluster has cores: for small rows that come out of a shuffle."""
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def cut(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Ends the lineage on storage every executor can read, so a lost executor
     costs a re-read and not a re-run. The plan is run once (``checkpoint()``
     runs it twice). For tables whose numbers must never be drawn again
-    (generated ids) and for rounds of a loop. Removed by :func:`drop`, or when
-    the driver ends.
+    (generated ids) and for rounds of a loop, whose plan would else grow with
+    every round. Removed by :func:`drop`, or when the driver ends.
 
-    ``one_wave``: written by as many tasks as the cluster has cores, for small
-    rows that come out of a shuffle (many small files cost more than they save).
+    ``few``: written in one wave of tasks (:func:`one_wave`).
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    if one_wave:
-        df = df.coalesce(spark.sparkContext.defaultParallelism)
-    df.write.parquet(path)
+    with small_batches(spark):
+        (one_wave(df) if few else df).write.parquet(path)
     _LIVE[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out._work_path = path  # noqa: SLF001  (own marker, read by drop)
@@ -52,7 +75,8 @@ def hold(df: DataFrame) -> DataFrame:
     deterministic plans. Released by :func:`drop` or :func:`release`.
     """
     out = df.persist(StorageLevel.DISK_ONLY)
-    out.count()
+    with small_batches(df.sparkSession):
+        out.count()
     _HELD.append(out)
     return out
 
