@@ -31,7 +31,6 @@ from tickweave.llm import tokens
 from tickweave.llm.work import cut, hold
 
 ITEM, GAP = 0, 1
-CUT_EVERY = 4  # rounds between written tables, which end the lineage
 BUCKETS = 4096  # hash buckets by which items of one size are told apart when only some open a sequence
 
 
@@ -131,13 +130,12 @@ def _across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int
     return out
 
 
-def _round(pool: DataFrame, written: bool) -> tuple[DataFrame, DataFrame]:
+def _round(pool: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One sweep: all rows after it (as ``SWEPT``, matches across ranges resolved), as two tables."""
     spark = pool.sparkSession
     ranged = (pool.repartitionByRange("size", "kind", "spread").sortWithinPartitions("size", "kind", "spread")
               .select("uid", "size", "kind"))
-    swept = ranged.mapInArrow(_sweep, SWEPT)
-    swept = cut(swept, "pack", one_wave=True) if written else hold(swept)
+    swept = cut(ranged.mapInArrow(_sweep, SWEPT), "swept", few=True)
     free = swept.filter("rank is not null")
     counts = free.groupBy("part").agg(F.count("bin").alias("gaps"), F.count("uid").alias("items")).collect()
     matches = _across([(r["part"], r["gaps"], r["items"]) for r in counts])  # at most two per range
@@ -179,7 +177,6 @@ def place(items: DataFrame, capacity: int = 1024) -> DataFrame:
     pool = items.filter(~big).select("uid", "size", F.lit(ITEM).alias("kind")).unionByName(
         opens.filter(F.col("size") < capacity).select("uid", (capacity - F.col("size")).alias("size"),
                                                       F.lit(GAP).alias("kind")))
-    turn = 0
     while True:
         rows = pool.groupBy("kind", "size").agg(F.count("*").alias("n")).collect()  # at most 2 x capacity
         waiting = {r["size"]: r["n"] for r in rows if r["kind"] == ITEM}
@@ -194,14 +191,12 @@ def place(items: DataFrame, capacity: int = 1024) -> DataFrame:
             pool = (pool.filter(~chosen)
                     .unionByName(opening.select("uid", (capacity - F.col("size")).alias("size"),
                                                 F.lit(GAP).alias("kind"))))
-        placed, free = _round(_spread(pool.filter((F.col("kind") == ITEM) | (F.col("size") >= min(waiting)))),
-                              turn % CUT_EVERY == CUT_EVERY - 1)
+        placed, free = _round(_spread(pool.filter((F.col("kind") == ITEM) | (F.col("size") >= min(waiting)))))
         done.append(placed.select("uid", F.col("bin").alias("sequence_id"), (capacity - F.col("gap")).alias("offset")))
         pool = (placed.filter("gap > size").select(F.col("bin").alias("uid"), (F.col("gap") - F.col("size")).alias("size"),
                                                    F.lit(GAP).alias("kind"))
                 .unionByName(free.select(F.coalesce("uid", "bin").alias("uid"), F.coalesce("size", "gap").alias("size"),
                                          F.when(F.col("uid").isNull(), GAP).otherwise(ITEM).alias("kind"))))
-        turn += 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
