@@ -135,7 +135,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                   .add("cls", "binary").add("sig", "binary")))
     classes = cut(signed.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first_id"),
                                                                       F.min("sig").alias("sig"))
-                  .withColumn("node", F.monotonically_increasing_id()), "classes", one_wave=True)
+                  .withColumn("node", F.monotonically_increasing_id()), "classes", few=True)
     labels = _labels(base, classes, width, threshold_pct, bands, rows, margin)
     named = classes.select("node", "cls", "first_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -189,7 +189,7 @@ def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int,
         likely = _with(pairs, sigs, "sig").mapInArrow(
             _agree(k, int(k * (threshold_pct / 100 - margin))), "u long, v long")
         new = cut(_with(likely, sets, "shingles").mapInArrow(_similar(threshold_pct), "u long, v long"), "links",
-                  one_wave=True)
+                  few=True)
         links = new if links is None else links.unionByName(new)
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = hold(connected(links))
@@ -199,7 +199,7 @@ def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int,
                 .join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
         mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
             "lo < hi").select("bucket")
-        after = cut(_meet(left, mixed), "open", one_wave=True)
+        after = cut(_meet(left, mixed), "open", few=True)
         drop(open_)
         if after.isEmpty():
             return labels
