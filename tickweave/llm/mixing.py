@@ -108,12 +108,17 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
-          total: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict]:
+          total: float | None = None, id_col: str = "doc_id", text_col: str = "text",
+          keep: list[str] | None = None) -> tuple[DataFrame, dict]:
     """``docs`` with ``tokens``, ``p`` (posterior per domain), ``rate`` and ``copies``; and the fit's totals.
 
+    ``keep``: columns of ``docs`` that come back beside them, from the table
+    the rates are fitted on; by default all, scored again as the result is read
+    (so that texts are not kept twice).
+
     ``copies`` is the rate rounded up or down by a hash of the id, so that the
-    expected number of copies is the rate. All rows and columns come back
-    (columns of those names are replaced). A null or empty text has no tokens
+    expected number of copies is the rate. All rows come back (columns of those
+    names are replaced). A null or empty text has no tokens
     and a rate like any other. Labels may be null, repeated or of unknown ids;
     without labels every posterior is the same and rates are 1 or a constant.
     """
@@ -121,7 +126,10 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     k = len(targets)
     model = train(docs, labels, domain_of_labels() if domain is None else domain, k, MOST, id_col, text_col)
     scored = docs.withColumn("tokens", token_count(text_col)).withColumn("p", posteriors(model, k, text_col))
-    steps, info = fit_rates(hold(scored.select("tokens", "p")), list(targets.values()), total)
+    own = ("tokens", "p", "rate", "copies")
+    fitted = hold(scored.select(*[c for c in keep or [] if c not in own], "tokens", "p"))
+    steps, info = fit_rates(fitted, list(targets.values()), total)
+    scored = scored if keep is None else fitted
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("copies")), 11).cast("double") / F.lit(float(2 ** 53))
     out = scored.withColumn("rate", rate("p", steps)).withColumn(
         "copies", (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))

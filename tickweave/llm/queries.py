@@ -1,4 +1,8 @@
-"""The registered queries of this subpackage: one thin query per operator, whole tables."""
+"""The registered queries of this subpackage: one thin query per operator, whole tables.
+
+Results are a few numbers per row, returned in one wave of partitions; Python
+passes over texts run while a work table is made, in small batches.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 from tickweave.llm import (
     best_fit, exact_dedup, license_scan, minhash, mixing, sentence_spans, shard_tree, sphere_caps, toxicity, url_rules,
 )
-from tickweave.llm.work import table, text_bytes
+from tickweave.llm.work import hold, one_wave, table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
@@ -29,14 +33,14 @@ def op1_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
     tree = shard_tree.balanced_tree(16)
     out = shard_tree.assign(docs, tree, shard_tree.grow(tree))
-    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    return one_wave(out).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page url judged by the contract's rules, then by the junk-site list."""
     rules = url_rules.rules_frame(spark, URL_RULES, rank=1).unionByName(
         url_rules.rules_frame(spark, [(f"||{w}.*", "block") for w in JUNK_LABELS]))
-    out = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    out = one_wave(url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules))
     listed = F.col("rule").isin([r for r, _ in URL_RULES])
     return out.select("page_id", "host", "path", F.when(listed, F.col("rule")).alias("rule"), "verdict",
                       F.when(~listed, F.col("rule")).alias("method_rule"))
@@ -67,29 +71,29 @@ FROM r
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every license notice in every document, with the share of the template that aligns."""
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return one_wave(hold(license_scan.scan(table(spark, sf_dir, "documents"))))
 
 
 def op4_sphere_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate links and components of all embeddings within their labels, cosine 0.93 or more."""
-    out = sphere_caps.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93)
+    out = one_wave(sphere_caps.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.93))
     return out.select(F.col("id").alias("vec_id"), "n_links", "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    return best_fit.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return one_wave(best_fit.pack(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every span of repeated sentences that is not its first occurrence in the corpus."""
-    return sentence_spans.repeated_spans(table(spark, sf_dir, "documents"))
+    return one_wave(sentence_spans.repeated_spans(table(spark, sf_dir, "documents")))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, Jaccard of 0.85 or more."""
-    out = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold_pct=85)
+    out = one_wave(minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, threshold_pct=85))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
@@ -98,7 +102,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text; labels of ids in hash bucket 2 of 4 are never learnt."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.bucket4("__id") != 2)
-    out = toxicity.score(docs, model)
+    out = one_wave(hold(toxicity.score(docs, model).select("doc_id", "score")))
     return out.select("doc_id", F.coalesce(toxicity.bucket4() == 2, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
@@ -106,8 +110,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
     norm = exact_dedup.normalised("text")
-    out = exact_dedup.refine(table(spark, sf_dir, "documents"), norm, keep=["doc_id"],
-                             extra={"text_sha256": F.sha2(norm, 256)})
+    out = one_wave(exact_dedup.refine(table(spark, sf_dir, "documents"), norm, keep=["doc_id"],
+                                      extra={"text_sha256": F.sha2(norm, 256)}))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -122,8 +126,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM h
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors, fitted rate and copies of every document."""
-    out, _ = mixing.rates(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)],
+    out, _ = mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return one_wave(out).select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(mixing.TARGETS)],
                       "rate", "copies")
 
 
