@@ -81,28 +81,28 @@ def runs(words: list[int], run: int, least_words: int) -> list[tuple[int, int]]:
 
 def _hash_runs(run: int, least_words: int, long: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "row", "first", "last", "lo", "hi", "words", "h"]
-        types = [None, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         for batch in batches:
-            cols: list[list] = [[] for _ in names]
-            for at, (row, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
+            out: list[tuple] = []
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found = sentences(text.as_py(), long)
                 for a, b in runs([s[2] for s in found], run, least_words):
-                    h = xxhash.xxh3_128_digest(b"\n".join(s[3] for s in found[a:b + 1]))
-                    for c, x in zip(cols, (at, row, a, b, found[a][0], found[b][1],
-                                           sum(s[2] for s in found[a:b + 1]), h)):
-                        c.append(x)
-                if len(cols[0]) > 50_000:
-                    yield _batch(batch, cols, names, types)
-                    cols = [[] for _ in names]
-            yield _batch(batch, cols, names, types)
+                    h = xxhash.xxh3_128_intdigest(b"\n".join(s[3] for s in found[a:b + 1]))
+                    out.append(((h >> 64) - 2 ** 63, (h & (2 ** 64 - 1)) - 2 ** 63, row, a << 32 | b,
+                                found[a][0] << 32 | found[b][1]))
+                if len(out) > 50_000:
+                    yield _batch(out)
+                    out = []
+            yield _batch(out)
     return work
 
 
-def _batch(batch: pa.RecordBatch, cols: list[list], names: list[str], types: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, t) for c, t in zip(cols[1:], types[1:])]],
-        names=names)
+RUNS = "h long, h2 long, row long, places long, chars long"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                      names=["h", "h2", "row", "places", "chars"])
 
 
 def repeated_spans(docs: DataFrame, run: int = 3, least_words: int = 12, long: int = LONG, id_col: str = "doc_id",
@@ -115,30 +115,36 @@ def repeated_spans(docs: DataFrame, run: int = 3, least_words: int = 12, long: i
     row, then place. Repeats within a document count. Null and empty texts and
     texts shorter than a run give no rows. Other columns are not read.
 
-    Hashes meet in one aggregation with map-side minima, so a run that a third
-    of all documents share reaches the shuffle once per task; first places are
-    joined back to runs as an exchange of its own, which AQE can split.
+    Texts are hashed twice so that runs need not be kept: 64 bits of every hash
+    are counted with map-side sums, and only runs whose 64 bits are met again
+    are read as rows. A run that a third of all documents share is one count
+    per task, and its rows meet that count in a join AQE can split.
     """
     base = docs.select(F.col(id_col).alias("doc"), F.monotonically_increasing_id().alias("row"),
                        F.col(text_col).alias("text"))
-    kind = base.schema["doc"].dataType.simpleString()
-    found = hold(base.mapInArrow(
-        _hash_runs(run, least_words, long),
-        f"doc {kind}, row long, first int, last int, lo int, hi int, words int, h binary"))
-    place = F.struct(F.col("doc").isNull().alias("none"), F.col("doc").alias("doc"), F.col("row").alias("row"),
-                     F.col("first").alias("first"))
-    firsts = found.groupBy("h").agg(F.min(place).alias("low"), F.count("*").alias("n")).filter("n > 1").select(
-        "h", apart("h").alias("apart"), "low")
-    later = (found.withColumn("apart", apart("h")).join(firsts, ["h", "apart"]).filter((F.col("row") != F.col("low.row")) | (F.col("first") != F.col("low.first")))
-             .select("doc", "row", "first", "last", "lo", "hi", F.col("low.doc").alias("of")))
+    found = base.select("row", "text").mapInArrow(_hash_runs(run, least_words, long), RUNS)
+    again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", apart("h").alias("apart"))
+    shared = (found.withColumn("apart", apart("h")).join(again, ["h", "apart"], "left_semi")
+              .withColumn("first", F.shiftright("places", 32)).drop("apart"))
+    shared = hold(shared.join(base.select("row", "doc"), "row"))
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "first")
+    firsts = shared.groupBy("h", "h2").agg(F.min(place).alias("low"), F.count("*").alias("n")).filter("n > 1").select(
+        "h", "h2", apart("h", "h2").alias("apart"), "low")
+    low_half = F.lit(2 ** 32 - 1)
+    later = (shared.withColumn("apart", apart("h", "h2")).join(firsts, ["h", "h2", "apart"])
+             .filter((F.col("row") != F.col("low.row")) | (F.col("first") != F.col("low.first")))
+             .select("doc", "row", "first", F.col("places").bitwiseAND(low_half).alias("last"),
+                     F.shiftright("chars", 32).alias("lo"), F.col("chars").bitwiseAND(low_half).alias("hi"),
+                     F.col("low.doc").alias("of")))
     # Runs of one document that share or touch sentences form one stretch.
     order = Window.partitionBy("row").orderBy("first", "last")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = later.withColumn("opens", (F.coalesce(reach, F.lit(-2)) + 1 < F.col("first")).cast("int"))
     stretch = marked.withColumn("stretch", F.sum("opens").over(order))
     return stretch.groupBy("row", "stretch").agg(
-        F.first("doc").alias("doc_id"), F.min("first").alias("first_sentence"), F.max("last").alias("last_sentence"),
-        F.min("lo").alias("start"), F.max("hi").alias("end"), F.min("of").alias("first_doc")).drop("stretch")
+        F.first("doc").alias("doc_id"), F.min("first").cast("int").alias("first_sentence"),
+        F.max("last").cast("int").alias("last_sentence"), F.min("lo").cast("int").alias("start"),
+        F.max("hi").cast("int").alias("end"), F.min("of").alias("first_doc")).drop("stretch")
 
 
 def _remove(spans: list | None, text: str | None) -> str | None:

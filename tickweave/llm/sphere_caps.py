@@ -2,7 +2,8 @@
 
 Filter directions are sums of one codeword per block of coordinates, from a
 random code per block (after a random rotation): ``size ** blocks`` directions
-for ``size * blocks`` dot products. Each vector is list-decoded to all
+for ``size * blocks`` dot products; a few such tables, independently drawn, even
+out how many directions a vector gets. Each vector is list-decoded to all
 directions it exceeds the cap threshold for; vectors of a label that share a
 direction are candidates, and candidates are verified by cosine in double
 precision. Equal vectors are one class and are decoded and compared once.
@@ -82,27 +83,28 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(vec, pa.binary())], names=["id", "label", "cls", "vec"])
 
 
-def _decode(dtype: str, blocks: int, size: int, cap: float, seed: int):
+def _decode(dtype: str, tables: int, blocks: int, size: int, cap: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books: dict[int, tuple] = {}
+        books: dict[int, list[tuple]] = {}
         for batch in batches:
             nodes, labels = batch.column(0).to_pylist(), batch.column(1)
             vecs = [np.frombuffer(b, dtype) for b in batch.column(2).to_pylist()]
             at, filters = [], []
             for dim in sorted({len(v) for v in vecs}):
                 if dim not in books:
-                    books[dim] = codes(dim, blocks, size, seed)
-                turn, words, parts = books[dim]
+                    books[dim] = [codes(dim, blocks, size, seed + t) for t in range(tables)]
                 mine = [i for i, v in enumerate(vecs) if len(v) == dim]
-                # A block score has standard deviation 1 / sqrt(block width) per unit of length.
-                limit = cap / np.sqrt(parts[0].stop)
                 for lo in range(0, len(mine), CHUNK):
-                    x = np.stack([unit(vecs[i]) for i in mine[lo:lo + CHUNK]]) @ turn
-                    scores = [x[:, p] @ w.T for p, w in zip(parts, words)]
-                    for row, i in enumerate(mine[lo:lo + CHUNK]):
-                        got = decode([s[row] for s in scores], limit)
-                        at += [i] * len(got)
-                        filters += got
+                    units = np.stack([unit(vecs[i]) for i in mine[lo:lo + CHUNK]])
+                    for t, (turn, words, parts) in enumerate(books[dim]):
+                        x = units @ turn
+                        scores = [x[:, p] @ w.T for p, w in zip(parts, words)]
+                        # A block score has standard deviation 1 / sqrt(block width) per unit of length.
+                        limit = cap / np.sqrt(parts[0].stop)
+                        for row, i in enumerate(mine[lo:lo + CHUNK]):
+                            got = decode([s[row] for s in scores], limit)
+                            at += [i] * len(got)
+                            filters += [g * tables + t for g in got]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([nodes[i] for i in at], pa.int64()), labels.take(pa.array(at, pa.int64())),
                  pa.array([len(vecs[i]) for i in at], pa.int32()), pa.array(filters, pa.int64())],
@@ -130,12 +132,12 @@ def _verify(dtype: str, least: float):
     return run
 
 
-def links(classes: DataFrame, dtype: str, least: float, blocks: int, size: int, cap: float,
+def links(classes: DataFrame, dtype: str, least: float, tables: int, blocks: int, size: int, cap: float,
           seed: int) -> DataFrame:
     """Verified pairs ``(u, v, nu, nv)`` of classes ``(node, label, vec, n)``."""
     kind = classes.schema["label"].dataType.simpleString()
     found = hold(classes.select("node", "label", "vec").mapInArrow(
-        _decode(dtype, blocks, size, cap, seed), f"node long, label {kind}, dim int, filter long"))
+        _decode(dtype, tables, blocks, size, cap, seed), f"node long, label {kind}, dim int, filter long"))
     other = found.withColumnRenamed("node", "v")
     pairs = (found.withColumnRenamed("node", "u").join(other, ["label", "dim", "filter"]).filter("u < v")
              .select("u", "v").distinct())
@@ -145,8 +147,8 @@ def links(classes: DataFrame, dtype: str, least: float, blocks: int, size: int,
                .mapInArrow(_verify(dtype, least), "u long, v long, nu long, nv long"))
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93, blocks: int = 2, size: int = 1024, cap: float = 4.0,
-                    seed: int = 11, id_col: str = "vec_id", vec_col: str = "embedding",
+def near_duplicates(vectors: DataFrame, least: float = 0.93, tables: int = 4, blocks: int = 2, size: int = 1024,
+                    cap: float = 3.9, seed: int = 11, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label") -> DataFrame:
     """One row per row of ``vectors``: ``id``, ``n_links``, ``component_id``.
 
@@ -169,8 +171,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, blocks: int = 2, si
     read = hold(base.mapInArrow(_read, f"id {ids}, label {kind}, cls binary, vec binary"))
     classes = cut(read.filter("cls is not null").groupBy("cls", "label").agg(
         F.min("id").alias("first_id"), F.count("*").alias("n"), F.min("vec").alias("vec"))
-        .withColumn("node", F.monotonically_increasing_id()), "vector_classes", one_wave=True)
-    found = links(classes, dtype, least, blocks, size, cap, seed)
+        .withColumn("node", F.monotonically_increasing_id()), "vector_classes", few=True)
+    found = links(classes, dtype, least, tables, blocks, size, cap, seed)
     degree = (found.select(F.col("u").alias("node"), F.col("nv").alias("d"))
               .unionByName(found.select(F.col("v").alias("node"), F.col("nu").alias("d")))
               .groupBy("node").agg(F.sum("d").alias("d")))
