@@ -90,7 +90,7 @@ def test_sequence_steps_matches_brute_force_on_skewed_groups(spark):
         g = 0 if i % 10 else (None if i % 70 == 0 else i % 7 + 1)
         rows.append((g, i // 3, i, f"s{i % 5}"))
     df = spark.createDataFrame(rows, "g long, ts long, seq long, state string")
-    got = sequence_steps(df, "g", ["ts", "seq"], "state", num_ranges=16).toPandas()
+    got = sequence_steps(df, "g", ["ts", "seq"], "state", bucket=100).toPandas()
     pdf = pd.DataFrame(rows, columns=["g", "ts", "seq", "state"]).fillna({"g": -1})
     pdf = pdf.sort_values(["g", "ts", "seq"])
     pdf["prev_state"] = pdf.groupby("g")["state"].shift(1)

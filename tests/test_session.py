@@ -12,4 +12,16 @@ def test_configure_is_idempotent(spark):
     configure(spark)
     for k, v in RUNTIME_CONF.items():
         assert spark.conf.get(k) == v
-    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+
+
+def test_configure_leaves_the_callers_settings(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "123")
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        configure(spark)
+        assert spark.conf.get(key) == "123" and spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

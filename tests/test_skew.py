@@ -7,7 +7,8 @@ import io
 from tickweave.sources.tables import trade_fills
 
 SKEW_CONF = {
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",   # force the shuffle join for this check
+    "spark.sql.autoBroadcastJoinThreshold": "-1",            # force the shuffle join for this check
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",

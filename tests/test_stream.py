@@ -42,7 +42,7 @@ def test_late_tick_dropped_and_counted(spark, tmp_dir):
 
 
 def test_stream_equals_batch(spark, tmp_dir):
-    ev = table(spark, SF001, "events", spread=False)
+    ev = table(spark, SF001, "events")
     stream = file_stream(spark, SF001, ev.schema, glob="events.parquet")
     bars = live_bars(event_ticks(stream), "1 hour", "5 minutes")
     q = land(bars, os.path.join(tmp_dir, "o"), os.path.join(tmp_dir, "c"), partition_by=(), available_now=True)
@@ -57,7 +57,7 @@ def test_stream_equals_batch(spark, tmp_dir):
 def test_landing_reports_observed_metrics(spark, tmp_dir):
     from tickweave.operators.decode import decode_checked
     from tickweave.schemas import TICK_FEED1
-    from tickweave.streaming.landing import land_with_quarantine, observed, with_ingest_date
+    from tickweave.streaming.landing import land_checked, observed, with_ingest_date
     from tickweave.functions.timeutil import from_epoch1980
 
     src = os.path.join(tmp_dir, "src")
@@ -66,14 +66,13 @@ def test_landing_reports_observed_metrics(spark, tmp_dir):
     stream = file_stream(spark, src, spark.createDataFrame([], "value string").schema, fmt="json")
     checked = decode_checked(stream, "value", TICK_FEED1, required=["ExchangeInstrumentID", "LastUpdateTime"])
     checked = observed(with_ingest_date(checked, from_epoch1980("LastUpdateTime")))
-    q = land_with_quarantine(checked, os.path.join(tmp_dir, "d"), os.path.join(tmp_dir, "q"),
-                             os.path.join(tmp_dir, "c"), available_now=True)
+    q = land_checked(checked, os.path.join(tmp_dir, "d"), os.path.join(tmp_dir, "c"), available_now=True)
     q.awaitTermination()
     report = [r for r in progress_summary(q) if r["observed"]]
     m = report[0]["observed"]["landing"]
     assert (m["rows"], m["corrupt"], m["quarantined"]) == (3, 1, 2)
-    assert spark.read.parquet(os.path.join(tmp_dir, "q")).count() == 2
-    assert spark.read.parquet(os.path.join(tmp_dir, "d")).count() == 1
+    landed = spark.read.parquet(os.path.join(tmp_dir, "d"))
+    assert {r["status"]: r["count"] for r in landed.groupBy("status").count().collect()} == {"clean": 1, "quarantine": 2}
 
 
 def test_landed_day_read_prunes_partitions(spark, tmp_dir):

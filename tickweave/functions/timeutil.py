@@ -31,10 +31,6 @@ def unix_seconds(ts) -> Column:
     return F.unix_seconds(_c(ts).cast("timestamp"))
 
 
-def unix_micros(ts) -> Column:
-    return F.unix_micros(_c(ts).cast("timestamp"))
-
-
 def truncate_minute(ts) -> Column:
     return F.date_trunc("minute", _c(ts)).cast("timestamp_ntz")
 

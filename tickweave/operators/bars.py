@@ -23,7 +23,14 @@ CALENDAR_UNITS = {"day": "1 day", "week": "1 week", "month": "1 month",
                   "quarter": "3 months", "year": "1 year"}
 
 
-def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
+def bar_start(ts: str, width: str | None = None, calendar: str | None = None) -> Column:
+    """Start of the bar a time falls in (batch): an epoch-aligned width, or a calendar unit."""
+    if calendar:
+        return F.date_trunc(calendar.lower(), F.col(ts)).cast("timestamp_ntz")
+    return F.window(F.col(ts), width).start
+
+
+def ohlcv(ticks: DataFrame, width: str | int | None = "1 minute", keys=("instrument",),
           ts: str = "ts", price: str = "price", qty: str = "qty", seq: str | None = "seq",
           calendar: str | None = None, label: str | None = None,
           label_side: str = "end", extra_aggs: dict | None = None,
@@ -52,7 +59,7 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
     extra = list(extra_aggs or {})
     if calendar:
         unit = calendar.lower()
-        start = F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
+        start = bar_start(ts, calendar=unit)
         grouped = ticks.where(F.col(ts).isNotNull()).groupBy(*keys, start.alias("bar_start")).agg(*aggs)
         out = grouped.withColumn(
             "bar_end", (F.col("bar_start") + F.expr(f"INTERVAL {CALENDAR_UNITS[unit]}")).cast("timestamp_ntz"))
@@ -66,7 +73,7 @@ def ohlcv(ticks: DataFrame, width: str | int = "1 minute", keys=("instrument",),
         # Batch groups on a plain bar_start column, so the result is hash
         # partitioned on (keys, bar_start): a later join or aggregate on the
         # same keys reuses that partitioning instead of shuffling again.
-        start = F.window(F.col(ts), width).start
+        start = bar_start(ts, width)
         grouped = (ticks.where(F.col(ts).isNotNull())
                    .groupBy(*keys, start.alias("bar_start")).agg(*aggs))
         out = grouped.withColumn("bar_end", (F.col("bar_start") + F.expr(f"INTERVAL {width}")))

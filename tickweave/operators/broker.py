@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions.text import positional_fields, strip_trailing
 from tickweave.functions.timeutil import clock_label, from_unix_seconds
+from tickweave.operators.decode import REASON
 
 RESPONSE_PATH = "$.result.dataReponse"
 
@@ -21,33 +22,44 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def decode_broker_bars(df: DataFrame, response, segment, instrument, keep=(),
-                       drop_empty_fields: bool = False, label: str = "HH:mm") -> DataFrame:
-    """One row per bar of each response.
+def decode_broker_bars_checked(df: DataFrame, response, segment, instrument, keep=(),
+                               drop_empty_fields: bool = False, label: str = "HH:mm") -> DataFrame:
+    """One row per bar of each response, and one per response without any; ``_reason`` says what is wrong.
 
-    segment / instrument -- request keys attached to every row (literal or column)
+    segment / instrument -- request keys attached to every row (literal or column; ids are longs)
     drop_empty_fields    -- old rule: remove empty fields before naming (shifts fields left)
+    ``_reason``: ``no_data`` (not JSON, or without bar text), ``bad_key`` (instrument id is no
+    integer), ``bad_time``, ``bad_number`` (a field that is there and is no number), else NULL.
     """
     text = strip_trailing(F.get_json_object(_c(response), RESPONSE_PATH), ",")
     rows = F.filter(F.split(text, ","), lambda r: r != F.lit(""))
     seg = segment if isinstance(segment, Column) else F.lit(segment)
-    inst = _c(instrument)
     exploded = df.select(*keep, seg.alias("exchangeSegment"),
-                         inst.try_cast("int").alias("exchangeInstrumentID"),
-                         F.explode(rows).alias("__row"))
+                         _c(instrument).try_cast("bigint").alias("exchangeInstrumentID"),
+                         F.explode_outer(rows).alias("__row"))
     f = positional_fields(F.col("__row"), 7, drop_empty=drop_empty_fields)
     secs = F.get(f, 0).try_cast("long")
+    numbers = [(n, F.get(f, i), t) for i, (n, t) in enumerate(
+        [("Open", "double"), ("High", "double"), ("Low", "double"), ("Close", "double"), ("Volume", "long"),
+         ("OI", "long")], 1)]
+    bad_number = F.lit(False)
+    for _, text_field, kind in numbers:
+        there = F.coalesce(F.trim(text_field) != "", F.lit(False))
+        bad_number = bad_number | (there & text_field.try_cast(kind).isNull())
+    reason = (F.when(F.col("__row").isNull(), F.lit("no_data"))
+              .when(F.col("exchangeInstrumentID").isNull(), F.lit("bad_key"))
+              .when(secs.isNull(), F.lit("bad_time")).when(bad_number, F.lit("bad_number")))
     return exploded.select(
         *keep, "exchangeSegment", "exchangeInstrumentID",
         from_unix_seconds(secs).alias("bar_time"),
         clock_label(from_unix_seconds(secs), label).alias("Timestamp"),
-        F.get(f, 1).try_cast("double").alias("Open"),
-        F.get(f, 2).try_cast("double").alias("High"),
-        F.get(f, 3).try_cast("double").alias("Low"),
-        F.get(f, 4).try_cast("double").alias("Close"),
-        F.get(f, 5).try_cast("long").alias("Volume"),
-        F.get(f, 6).try_cast("long").alias("OI"),
-    )
+        *[c.try_cast(kind).alias(n) for n, c, kind in numbers], reason.alias(REASON))
+
+
+def decode_broker_bars(df: DataFrame, response, segment, instrument, **options) -> DataFrame:
+    """The clean bars of :func:`decode_broker_bars_checked`."""
+    checked = decode_broker_bars_checked(df, response, segment, instrument, **options)
+    return checked.where(F.col(REASON).isNull()).drop(REASON)
 
 
 def encode_broker_responses(bars: DataFrame, keys=("instrument",), oi: Column | None = None) -> DataFrame:

@@ -106,12 +106,20 @@ def decode_checked(df: DataFrame, text, schema: StructType, required=(), keep=()
     return out.withColumn(REASON, reason)
 
 
+STATUS = "status"
+CLEAN, QUARANTINE = "clean", "quarantine"
+
+
+def with_status(checked: DataFrame) -> DataFrame:
+    """Add ``status``: ``clean`` or ``quarantine``, a partition column for one job that lands both."""
+    return checked.withColumn(STATUS, F.when(F.col(REASON).isNull(), F.lit(CLEAN)).otherwise(F.lit(QUARANTINE)))
+
+
 def split_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean rows without the bookkeeping columns, quarantined rows).
 
-    When both go to storage from one source, write them in one job (for
-    instance ``partitionBy`` on a status column, or ``foreachBatch`` over a
-    persisted micro-batch) so the payload is parsed once.
+    When both go to storage from one source, land them in one job partitioned
+    by :func:`with_status`, so the payload is parsed once.
     """
     good = checked.where(F.col(REASON).isNull()).drop(CORRUPT, REASON)
     bad = checked.where(F.col(REASON).isNotNull())
@@ -125,15 +133,40 @@ def explode_ticks(df: DataFrame, text, element_schema: StructType, keep=(),
     """Decode a JSON array of ticks and emit one row per tick (with ``pos``).
 
     ``first_only`` keeps only element 0, the producer's old rule; an empty or
-    undecodable list yields no row.
+    undecodable list yields no row (:func:`explode_ticks_checked` keeps it).
     """
     arr = F.from_json(_c(text), ArrayType(element_schema))
     if first_only:
-        return (df.select(*keep, F.lit(0).alias("pos"), F.get(arr, 0).alias("__t"))
-                .where(F.col("__t").isNotNull()).select(*keep, "pos", "__t.*"))
+        arr = F.slice(arr, 1, 1)
     return df.select(*keep, F.posexplode(arr).alias("pos", "__t")).select(*keep, "pos", "__t.*")
 
 
+def explode_ticks_checked(df: DataFrame, text, element_schema: StructType, required=(), keep=(),
+                          first_only: bool = False) -> DataFrame:
+    """:func:`explode_ticks` that loses nothing: one row per tick, and one per list without any.
+
+    ``_reason``: ``bad_list`` (NULL or not an array), ``empty_list``,
+    ``malformed`` (a tick that does not decode; its text is in
+    ``_corrupt_record``), ``null_key`` (a required field is NULL), else NULL.
+    """
+    arr = F.from_json(_c(text), ArrayType(StringType()))  # elements stay text, decoded one by one
+    if first_only:
+        arr = F.slice(arr, 1, 1)
+    # A text that is not an array decodes to one NULL element or to NULL.
+    bad = ~F.coalesce(F.ltrim(_c(text)).startswith("["), F.lit(False)) | arr.isNull()
+    rows = (df.select(*keep, F.when(bad, F.lit("bad_list")).when(F.size(arr) == 0, F.lit("empty_list")).alias("__list"),
+                      F.when(~bad, arr).alias("__arr"))
+            .select(*keep, "__list", F.posexplode_outer("__arr").alias("pos", "__e"))
+            .withColumn("__d", parse_json("__e", element_schema)))
+    null_key = F.lit(False)
+    for r in required:
+        null_key = null_key | F.col("__d")[r].isNull()
+    reason = (F.when(F.col("__list").isNotNull(), F.col("__list"))
+              .when(F.col("__d")[CORRUPT].isNotNull(), F.lit("malformed"))
+              .when(F.col("__e").isNull() | null_key, F.lit("null_key")))
+    return rows.select(*keep, "pos", "__d.*", reason.alias(REASON))
+
+
 def prune_tick(df: DataFrame, drop=("ohlc", "depth", "tradable"),
                time_fields=("last_trade_time", "exchange_timestamp")) -> DataFrame:
     """Producer-side pruning: mark ticks that carried depth, drop nested parts,

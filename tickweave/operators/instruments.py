@@ -25,7 +25,8 @@ def parse_master_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def split_dump(dump: DataFrame, col: str = "value") -> DataFrame:
     """A dump held as one text per row with newline-separated records -> one record per row."""
-    return dump.select(F.explode(F.split(F.trim(F.col(col)), "\n")).alias(col))
+    text = F.btrim(F.col(col), F.lit(" \t\r\n"))
+    return dump.select(F.explode(F.split(text, "\n")).alias(col))
 
 
 def repair_futures(master: DataFrame) -> DataFrame:
@@ -96,9 +97,9 @@ def index_list(master: DataFrame, segment: str) -> DataFrame:
 def search_by_ids(master: DataFrame, pairs: DataFrame) -> DataFrame:
     """Semi-join on a table of (ExchangeSegment, ExchangeInstrumentID) pairs.
 
-    The request list is small and bounded (it is a request), so it is broadcast.
+    A list of any size works; Spark broadcasts it when it is small.
     """
-    return master.join(F.broadcast(pairs), ["ExchangeSegment", "ExchangeInstrumentID"], "left_semi")
+    return master.join(pairs, ["ExchangeSegment", "ExchangeInstrumentID"], "left_semi")
 
 
 def search_text(master: DataFrame, text: str) -> DataFrame:

@@ -15,6 +15,7 @@ from tickweave.operators.sequence import sequence_steps
 
 ORDER_KEY = ("ts", "seq")
 FILLED = ("F", "P")
+MONEY = "decimal(18,4)"
 
 
 def _client(df: DataFrame, client_id) -> DataFrame:
@@ -33,7 +34,7 @@ def latest_per_key(df: DataFrame, keys, order=ORDER_KEY, cols=None) -> DataFrame
         okey = order_key(df, *order)
         return df.groupBy(*keys).agg(*[F.max_by(F.col(c), okey).alias(c) for c in cols],
                                      F.count(F.lit(1)).alias("updates"))
-    okey = F.struct(*[F.col(c) for c in order])
+    okey = F.struct(*[F.col(c) for c in order])  # a NULL part is the lowest, as in the packed key
     return (df.groupBy(*keys)
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), okey).alias("__r"),
                  F.count(F.lit(1)).alias("updates"))
@@ -53,10 +54,10 @@ def order_history(order_events: DataFrame, order_id=None) -> DataFrame:
 
 
 def quote_snapshot(ticks: DataFrame, keys=("instrument",), subscriptions: DataFrame | None = None) -> DataFrame:
-    """Latest tick per instrument, optionally only for subscribed instruments
-    (a broadcast semi-join with the request list before the aggregate)."""
+    """Latest tick per instrument, optionally only for listed instruments (a
+    semi-join with the request list, of any size, before the aggregate)."""
     if subscriptions is not None:
-        ticks = ticks.join(F.broadcast(subscriptions), list(keys), "left_semi")
+        ticks = ticks.join(subscriptions, list(keys), "left_semi")
     return latest_per_key(ticks, list(keys))
 
 
@@ -68,8 +69,8 @@ def trade_book(fills: DataFrame, client_id=None, day=None) -> DataFrame:
 
 
 def _money(c):
-    # Sum money exactly in decimal, report as double.
-    return F.col(c).cast("decimal(18,2)")
+    # Sum money exactly in decimal (currency segments trade in four decimals), report as double.
+    return F.col(c).cast(MONEY)
 
 
 def positions(fills: DataFrame, by=("clientID", "instrument"), day_wise: bool = False,
@@ -81,8 +82,8 @@ def positions(fills: DataFrame, by=("clientID", "instrument"), day_wise: bool =
     out = t.groupBy(*keys).agg(
         F.sum(F.when(buy, F.col("qty")).otherwise(0.0)).alias("bought_qty"),
         F.sum(F.when(sell, F.col("qty")).otherwise(0.0)).alias("sold_qty"),
-        F.sum(F.when(buy, _money("amount")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("__bv"),
-        F.sum(F.when(sell, _money("amount")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("__sv"),
+        F.sum(F.when(buy, _money("amount")).otherwise(F.lit(0).cast(MONEY))).alias("__bv"),
+        F.sum(F.when(sell, _money("amount")).otherwise(F.lit(0).cast(MONEY))).alias("__sv"),
         F.count(F.lit(1)).alias("trades"))
     return out.select(*keys, "bought_qty", "sold_qty",
                       (F.col("bought_qty") - F.col("sold_qty")).alias("net_qty"),

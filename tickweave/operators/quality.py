@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.operators.reconcile import column_profile
+from tickweave.session import work_path
 
 
 def missing_report(df: DataFrame) -> DataFrame:
-    """Per column: type, non-NULL count, rows and NULL rate."""
+    """Per column: type, non-NULL count, rows and NULL rate (NULL for an empty table)."""
     p = column_profile(df)
-    return p.withColumn("null_rate", 1.0 - F.col("non_null") / F.col("rows"))
+    return p.withColumn("null_rate", F.lit(1.0) - F.try_divide(F.col("non_null"), F.col("rows")))
 
 
 def handle_missing(df: DataFrame, required=(), fill: dict | None = None) -> DataFrame:
@@ -51,11 +52,18 @@ def bar_rule_counts(bars: DataFrame) -> DataFrame:
 
 def zscore_outliers(df: DataFrame, key: str, value: str, threshold: float = 3.0) -> DataFrame:
     """Rows whose value is more than ``threshold`` population standard deviations
-    from its key's mean. Stats come from one partial/final aggregate; the join
-    back is broadcast by AQE when the stats are measured small, and a hot key on
-    the large side is split by AQE's skew-join handling otherwise."""
-    stats = df.groupBy(key).agg(F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__std"))
-    z = (F.col(value) - F.col("__mean")) / F.col("__std")
-    return (df.join(stats, key).withColumn("z", z)
-            .where((F.col("__std") > 0) & (F.abs(F.col("z")) > threshold))
-            .drop("__mean", "__std"))
+    from its key's mean. A NULL key is a key; keys without spread have no outliers.
+
+    The statistics (one row per key) are written to the shared folder first, so
+    their size is known: Spark broadcasts them if they are small, and the raw
+    rows are then never exchanged. Else both sides are shuffled and AQE can
+    split a hot key."""
+    spark = df.sparkSession
+    stats = df.groupBy(F.col(key).alias("__key")).agg(F.avg(value).alias("__mean"), F.stddev_pop(value).alias("__std"))
+    path = work_path(spark, "key-stats")
+    stats.where(F.col("__std") > 0).write.parquet(path)
+    known = spark.read.schema(stats.schema).parquet(path)
+    z = F.try_divide(F.col(value) - F.col("__mean"), F.col("__std"))
+    return (df.join(known, F.col(key).eqNullSafe(F.col("__key"))).withColumn("z", z)
+            .where(F.abs(F.col("z")) > threshold)
+            .drop("__key", "__mean", "__std"))

@@ -20,21 +20,21 @@ def reconcile_volume(api: DataFrame, landed: DataFrame, keys=("instrument", "bar
     When both inputs come from :func:`ohlcv` on the same keys they are already
     hash partitioned on them, so the join adds no shuffle.
     """
-    a = suffix_columns(api, api_suffix)
-    b = suffix_columns(landed, landed_suffix)
+    a = suffix_columns(api, api_suffix).withColumn("__a", F.lit(True))
+    b = suffix_columns(landed, landed_suffix).withColumn("__b", F.lit(True))
     cond = [a[k + api_suffix] == b[k + landed_suffix] for k in keys]
     j = a.join(b, cond, how)
     va, vb = F.col("volume" + api_suffix), F.col("volume" + landed_suffix)
     j = j.withColumn("Volume_Difference", va - vb)
     if how != "inner":
-        present_a = F.col(keys[0] + api_suffix).isNotNull()
-        present_b = F.col(keys[0] + landed_suffix).isNotNull()
-        status = (F.when(present_a & ~present_b, F.lit("api_only"))
-                  .when(~present_a & present_b, F.lit("landed_only"))
-                  .when(F.abs(va - vb) <= F.lit(tolerance), F.lit("match"))
+        # Each side carries a presence flag: a bar with NULL keys is still seen by its side.
+        status = (F.when(F.col("__b").isNull(), F.lit("api_only"))
+                  .when(F.col("__a").isNull(), F.lit("landed_only"))
+                  .when(va.eqNullSafe(vb) | F.coalesce(F.abs(va - vb) <= F.lit(tolerance), F.lit(False)),
+                        F.lit("match"))
                   .otherwise(F.lit("differ")))
         j = j.withColumn("status", status)
-    return j
+    return j.drop("__a", "__b")
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:

@@ -2,16 +2,12 @@
 
 ``lag`` / ``row_number`` over ``Window.partitionBy(group)`` put every row of a
 group into one task; a group holding a third of the data then runs in one task.
-Here rows are range partitioned on (group, order...) instead: Spark samples the
-keys and cuts even ranges, so a hot group is split over many tasks. Each task
-computes the local previous value and position; a small table with one row per
-(range, group) pair, at most (#groups + #ranges) rows, carries each group's
-count and last value across range edges and is joined back.
-
-The range id is read once and the tagged rows are checkpointed to the shared
-checkpoint folder, so both uses see the same ids (a recomputed range exchange
-could be coalesced differently by AQE) and a lost executor does not force the
-range sort to run again.
+Here a group is cut by a time bucket of its order column: rows are exchanged
+once, by (group, bucket), and each bucket numbers its own rows. A small table
+with one row per (group, bucket) carries counts and last values across bucket
+edges and is joined back on the same keys, so the rows are not exchanged again.
+The bucket is a column of the data: no sampling, no checkpoint, the same cut in
+every run.
 """
 
 from __future__ import annotations
@@ -19,35 +15,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.session import checkpoint_root
-
 
 def sequence_steps(df: DataFrame, group: str, order: list[str], value: str,
-                   num_ranges: int | None = None) -> DataFrame:
+                   bucket: str | int = "day") -> DataFrame:
     """Add ``prev_<value>`` (value of the preceding row in the group, NULL for
-    the first) and ``step`` (1-based position in the group) by ``order``."""
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    the first) and ``step`` (1-based position in the group) by ``order``.
+
+    ``bucket``: unit (``hour``, ``day``, ``month``) of the first order column, a time; or, if that
+    column is an integer, the length of its buckets. Rows of a group within one bucket are numbered
+    by one task. A NULL is a bucket of its own, the first.
+    """
     prev, okey = f"prev_{value}", F.struct(*[F.col(c) for c in order])
-    ranged = (df.repartitionByRange(n, F.col(group), *[F.col(c) for c in order])
-              .withColumn("__range", F.spark_partition_id()))
-    local = Window.partitionBy("__range", group).orderBy(*order)
-    ranged = (ranged.withColumn("__lag", F.lag(value).over(local))
-              .withColumn("__rn", F.row_number().over(local)))
-    checkpoint_root(spark)  # make sure a checkpoint folder is set (tests / local runs)
-    ranged = ranged.checkpoint(eager=True)
-    # One row per (range, group): count and last value of the group in that range.
-    edges = (ranged.groupBy("__range", group)
-             .agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(F.col(value), okey).alias("__last")))
-    across = Window.partitionBy(group).orderBy("__range")
+    if isinstance(bucket, int):
+        cut = F.floor(F.col(order[0]) / bucket)
+    else:
+        cut = F.unix_seconds(F.date_trunc(bucket, F.col(order[0])).cast("timestamp"))
+    rows = df.withColumn("__bucket", F.coalesce(cut.cast("long"), F.lit(-2 ** 63)))
+    local = Window.partitionBy(group, "__bucket").orderBy(*order)
+    # One row per (group, bucket): count and last value of the group in that bucket.
+    edges = (rows.groupBy(group, "__bucket")
+             .agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(F.struct(F.col(value)), okey).alias("__last")))
+    across = Window.partitionBy(group).orderBy("__bucket")
     edges = edges.select(
-        "__range", group,
+        F.col(group).alias("__g"), F.col("__bucket").alias("__b"),
         F.coalesce(F.sum("__cnt").over(across.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__offset"),
-        F.lag("__last").over(across).alias("__carry"))
-    out = ranged.join(edges.withColumnRenamed(group, "__g").withColumnRenamed("__range", "__r"),
-                      (F.col("__range") == F.col("__r")) & F.col(group).eqNullSafe(F.col("__g")), "left")
-    out = out.drop("__r", "__g")
+        F.lag("__last").over(across)[value].alias("__carry"))
+    rows = rows.withColumn("__lag", F.lag(value).over(local)).withColumn("__rn", F.row_number().over(local))
+    out = rows.join(edges, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__bucket") == F.col("__b")), "left")
     return (out.withColumn(prev, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__lag")))
             .withColumn("step", F.col("__rn") + F.col("__offset"))
-            .drop("__range", "__lag", "__rn", "__offset", "__carry"))
+            .drop("__bucket", "__lag", "__rn", "__offset", "__carry", "__g", "__b"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickweave.operators.bars import history_bars, ohlcv, stack_bars
+from tickweave.operators.reconcile import non_null_counts
 from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket, sql_bucket_end
 from tickweave.sources.tables import event_ticks, lineitem_ticks, table
 
@@ -123,19 +124,35 @@ def q_sorted_head(spark, sf_dir):
     return event_bars(spark, sf_dir).orderBy("bar_start", "instrument").limit(5)
 
 
+@register("sorted_head_20", sql=f"""
+SELECT * FROM ({_event_bar_sql(HOUR)}) ORDER BY bar_start, instrument LIMIT 20
+""", ids=("O1", "O3"))
+def q_sorted_head_20(spark, sf_dir):
+    """First twenty bars in time order (a top-k report: the limit is the feature)."""
+    return event_bars(spark, sf_dir).orderBy("bar_start", "instrument").limit(20)
+
+
+@register("bar_non_null_counts", sql=f"""
+SELECT {", ".join(f"count({c}) AS {c}" for c in
+                  ("instrument", "bar_start", "bar_end", "open", "high", "low", "close", "volume", "ticks"))}
+FROM ({_event_bar_sql(HOUR)})
+""", ids=("A8",))
+def q_bar_non_null_counts(spark, sf_dir):
+    """One row with the non-NULL count of every bar column."""
+    return non_null_counts(event_bars(spark, sf_dir))
+
+
 @register("sql_adhoc", sql=f"""
 SELECT instrument, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume,
        max(high) AS high, min(low) AS low,
-       CAST(sum(CAST(close - open AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_move
+       CAST(sum(CAST(close - open AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean_move
 FROM ({_event_bar_sql(HOUR)})
 GROUP BY instrument
 """, ids=("D3",))
 def q_sql_adhoc(spark, sf_dir):
-    """Ad-hoc SQL over a temp view of the bars."""
-    view = "bars_" + __import__("uuid").uuid4().hex[:8]
-    event_bars(spark, sf_dir).createOrReplaceTempView(view)
-    return spark.sql(f"""
+    """Ad-hoc SQL over the bars (named in the text, no view is left behind)."""
+    return spark.sql("""
         SELECT instrument, count(*) AS bars, CAST(sum(volume) AS BIGINT) AS volume,
                max(high) AS high, min(low) AS low,
-               CAST(sum(CAST(close - open AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_move
-        FROM {view} GROUP BY instrument""")
+               CAST(sum(CAST(close - open AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean_move
+        FROM {bars} GROUP BY instrument""", bars=event_bars(spark, sf_dir))

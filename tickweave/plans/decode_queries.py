@@ -8,10 +8,11 @@ from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, S
 
 from tickweave.functions import text as T
 from tickweave.functions import timeutil as TU
-from tickweave.operators.decode import (bytes_to_text, decode, decode_checked, explode_ticks,
+from tickweave.operators.bars import ohlcv
+from tickweave.operators.decode import (bytes_to_text, decode, decode_checked, explode_ticks, explode_ticks_checked,
                                         prune_tick, to_json_text, wrap_json_string)
 from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket
-from tickweave.schemas import TICK_FEED1, TICK_FEED2, TICK_FEED2_RAW
+from tickweave.schemas import CANDLE, TICK_FEED1, TICK_FEED2, TICK_FEED2_RAW
 from tickweave.sources.messages import (event_k, feed1_fields, feed1_messages, feed2_tick_lists,
                                         python_repr_messages)
 from tickweave.sources.tables import table
@@ -71,7 +72,7 @@ def q_tick_reencode_decode(spark, sf_dir):
 #   0 -> not JSON at all; 1 -> text in the price field; 2 -> Python None as a value;
 #   3 -> NULL payload (decodes to all NULL without being corrupt: caught as a NULL key)
 def _spoil_kind():
-    return F.when(F.col("event_id") % 7 == 0, (F.col("event_id") / 7).cast("long") % 4)
+    return F.when(F.col("event_id") % 7 == 0, F.expr("event_id div 7") % 4)
 
 
 def spoilt_feed1_text():
@@ -150,6 +151,27 @@ def q_tick_list_first(spark, sf_dir):
     return _tick_lists(spark, sf_dir, first_only=True)
 
 
+@register("tick_list_checked", sql=f"""
+SELECT list_id, pos, instrument_token, last_price, CAST(NULL AS VARCHAR) AS _reason
+FROM ({_tick_list_sql(False)}) WHERE list_id % 5 NOT IN (0, 1)
+UNION ALL
+SELECT list_id, pos, instrument_token, CASE WHEN pos = 0 THEN NULL ELSE last_price END, CASE WHEN pos = 0 THEN 'malformed' END
+FROM ({_tick_list_sql(False)}) WHERE list_id % 5 = 1
+UNION ALL
+SELECT DISTINCT event_id // 4, CAST(NULL AS INTEGER), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), 'bad_list'
+FROM events WHERE (event_id // 4) % 5 = 0
+""", ids=("P4", "M3", "X10", "X26", "D4"))
+def q_tick_list_checked(spark, sf_dir):
+    """Partly spoilt callback lists: every tick or list comes back, with a reason where it does not decode."""
+    lists = feed2_tick_lists(table(spark, sf_dir, "events"))
+    kind = F.col("list_id") % 5  # 0: the list is cut off; 1: the price of its first tick is text
+    bad_price = F.regexp_replace("value", r'^(\[\{.*?"last_price":)[-0-9.E]+', '$1"abc"')
+    spoilt = lists.withColumn("value", F.when(kind == 0, F.lit('{"not": "a list')).when(kind == 1, bad_price)
+                              .otherwise(F.col("value")))
+    out = explode_ticks_checked(spoilt, "value", TICK_FEED2_RAW, required=["instrument_token"], keep=["list_id"])
+    return out.select("list_id", "pos", "instrument_token", "last_price", "_reason")
+
+
 @register("epoch1980_decode", sql="""
 SELECT event_id,
        epoch_us(ts) // 1000000 - 315532800 AS LastUpdateTime,
@@ -203,29 +225,30 @@ SELECT 2 AS segment, CAST(user_id AS BIGINT) AS instrument,
        first(value ORDER BY ts, event_id) AS o, max(value) AS h, min(value) AS l,
        last(value ORDER BY ts, event_id) AS c,
        CAST(sum({SQL_EVENT_QTY}) AS BIGINT) AS bv,
-       CAST(sum(CAST(value AS DECIMAL(18,2)) * {SQL_EVENT_QTY}) AS DOUBLE) AS pv,
+       CAST(sum(CAST(value AS DECIMAL(18,4)) * {SQL_EVENT_QTY}) AS DOUBLE) AS pv,
        CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM events WHERE ts IS NOT NULL
 GROUP BY user_id, 3
 """, ids=("X6", "X7", "P7", "P14", "W5"))
 def q_candle_decode(spark, sf_dir):
     """Vendor candle messages (JSON-encoded twice by the producer) unwrapped, decoded, key split."""
-    from tickweave.operators.bars import ohlcv
-    from tickweave.schemas import CANDLE
+    out = decode(candle_messages(spark, sf_dir), bytes_to_text("value"), CANDLE, unwrap=True)
+    return out.select(T.split_compound_key("t").alias("k"), "*").select(
+        "k.segment", "k.instrument", F.col("bt").cast("timestamp_ntz").alias("bt"),
+        "o", "h", "l", "c", "bv", "pv", "_corrupt_record")
+
 
+def candle_messages(spark, sf_dir):
+    """(value bytes) hourly candles per user as the vendor sends them, JSON-encoded twice."""
     ev = table(spark, sf_dir, "events")
     ticks = ev.select(F.col("user_id").alias("instrument"), "ts", F.col("value").alias("price"),
                       event_k().alias("qty"), F.col("event_id").alias("seq"),
-                      (F.col("value").cast("decimal(18,2)") * event_k()).alias("pq"))
+                      (F.col("value").cast("decimal(18,4)") * event_k()).alias("pq"))
     bars = ohlcv(ticks, "1 hour", extra_aggs={"pv": F.sum("pq").cast("double")})
     candle = to_json_text(T.compound_key(F.lit(2), "instrument").alias("t"), F.col("open").alias("o"),
                           F.col("high").alias("h"), F.col("low").alias("l"), F.col("close").alias("c"),
                           F.col("bar_start").cast("timestamp").alias("bt"), F.col("volume").alias("bv"), "pv")
-    msgs = bars.select(F.encode(wrap_json_string(candle), "UTF-8").alias("value"))
-    out = decode(msgs, bytes_to_text("value"), CANDLE, unwrap=True)
-    return out.select(T.split_compound_key("t").alias("k"), "*").select(
-        "k.segment", "k.instrument", F.col("bt").cast("timestamp_ntz").alias("bt"),
-        "o", "h", "l", "c", "bv", "pv", "_corrupt_record")
+    return bars.select(F.encode(wrap_json_string(candle), "UTF-8").alias("value"))
 
 
 @register("touchline_decode", sql=f"""

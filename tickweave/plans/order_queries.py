@@ -8,7 +8,7 @@ from tickweave.operators import orders as O
 from tickweave.operators import quality as Q
 from tickweave.operators.bars import ohlcv
 from tickweave.operators.decode import bytes_to_text, decode
-from tickweave.operators.routing import request_table, route, subscribe, unsubscribe
+from tickweave.operators.routing import request_table, route, route_all, subscribe, unsubscribe
 from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import SQL_EVENT_QTY, register
 from tickweave.plans.decode_queries import q_tick_quarantine
@@ -55,6 +55,26 @@ def q_topic_router_partial(spark, sf_dir):
     return route(ev, mode="partial")
 
 
+# Kinds dealt to events by id, so that every kind, an unknown one and a missing one occur.
+ALL_KINDS = [1501, 1502, 1505, 1507, 1510, 1512, 1105, 9999]
+
+
+@register("topic_router_all", sql=f"""
+SELECT *, CASE WHEN (mode = 'full' AND MessageCode IN (1501, 1502, 1505, 1507, 1510, 1512, 1105))
+               OR (mode = 'partial' AND MessageCode IN (1501, 1502, 1505, 1510, 1512, 1105))
+          THEN 'message' || CAST(MessageCode AS VARCHAR) || '_json_' || mode ELSE 'message_dead_letter' END AS topic
+FROM (SELECT event_id, CASE event_id % 9 {" ".join(f"WHEN {i} THEN {k}" for i, k in enumerate(ALL_KINDS))} END
+               AS MessageCode, CASE WHEN user_id % 2 = 0 THEN 'full' ELSE 'partial' END AS mode FROM events)
+""", ids=("F5", "X8", "X10"))
+def q_topic_router_all(spark, sf_dir):
+    """All kinds in both modes routed to their 13 topics; unpublished, unknown and missing kinds to dead letters."""
+    kinds = F.array(*[F.lit(k) for k in ALL_KINDS], F.lit(None).cast("int"))
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.get(kinds, (F.col("event_id") % 9).cast("int")).alias("MessageCode"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("full")).otherwise(F.lit("partial")).alias("mode"))
+    return route_all(ev)
+
+
 @register("bus_records", sql=f"""
 SELECT '2_' || CAST(user_id AS VARCHAR) AS key, topic, event_id, value AS price
 FROM (SELECT *, 'message' || CAST({_KIND_SQL} AS VARCHAR) || '_json_full' AS topic FROM events)
@@ -119,23 +139,43 @@ def q_quote_snapshot(spark, sf_dir):
 
 _STATE_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ORDER_STATES.items()) + " END"
 _ORDERS_SQL = f"""
-SELECT 'CL' || lpad(CAST(user_id // 10 AS VARCHAR), 4, '0') AS clientID, user_id AS appOrderID,
+SELECT 'CL' || printf('%04d', user_id // 10) AS clientID, user_id AS appOrderID,
        {_STATE_SQL} AS state, CAST(json_extract_string(props, '$.k') AS BIGINT) AS filled_quantity,
        value AS filled_price, ts, event_id AS seq
 FROM events
 """
 
 
+QUOTE_KIND = 1512
+
+
+@register("quote_snapshot_listed", sql=f"""
+SELECT CAST(user_id AS BIGINT) AS instrument, last(ts ORDER BY ts, event_id) AS ts,
+       last(value ORDER BY ts, event_id) AS price, last(event_id ORDER BY ts, event_id) AS seq, count(*) AS updates
+FROM events WHERE {_KIND_SQL} = {QUOTE_KIND} AND user_id IN ({", ".join(str(i) for _, i in SUBSCRIBED)})
+GROUP BY user_id
+""", ids=("Q1",))
+def q_quote_snapshot_listed(spark, sf_dir):
+    """Latest tick of one message kind for a list of instruments (the service's arguments)."""
+    ticks = table(spark, sf_dir, "events").where(_kind_col() == QUOTE_KIND).select(
+        F.col("user_id").alias("instrument"), "ts", F.col("value").alias("price"), F.col("event_id").alias("seq"))
+    listed = request_table(spark, [(i,) for _, i in SUBSCRIBED], "instrument bigint")
+    return O.quote_snapshot(ticks, subscriptions=listed)
+
+
+CLIENT = "CL0003"
+
+
 @register("order_book", sql=f"""
 SELECT appOrderID, last(clientID ORDER BY ts, seq) AS clientID, last(state ORDER BY ts, seq) AS state,
        last(filled_quantity ORDER BY ts, seq) AS filled_quantity,
        last(filled_price ORDER BY ts, seq) AS filled_price,
        max(ts) AS ts, last(seq ORDER BY ts, seq) AS seq, count(*) AS updates
-FROM ({_ORDERS_SQL}) GROUP BY appOrderID
+FROM ({_ORDERS_SQL}) WHERE clientID = '{CLIENT}' GROUP BY appOrderID
 """, ids=("R1",))
 def q_order_book(spark, sf_dir):
-    """Current state of every order of every client (the dealer book; a client id filters)."""
-    return O.order_book(event_orders(table(spark, sf_dir, "events")))
+    """Current state of every order of one client (the service's argument)."""
+    return O.order_book(event_orders(table(spark, sf_dir, "events")), client_id=CLIENT)
 
 
 @register("dealer_order_book", sql=f"""
@@ -161,6 +201,20 @@ def q_order_history(spark, sf_dir):
     return O.order_history(event_orders(table(spark, sf_dir, "events")))
 
 
+ORDER_ID = 42
+
+
+@register("order_history_one", sql=f"""
+SELECT clientID, appOrderID, ts, seq, state,
+       lag(state) OVER w AS prev_state, row_number() OVER w AS step
+FROM ({_ORDERS_SQL}) WHERE appOrderID = {ORDER_ID}
+WINDOW w AS (PARTITION BY appOrderID ORDER BY ts, seq)
+""", ids=("R3",))
+def q_order_history_one(spark, sf_dir):
+    """State chain of one order (the service's argument)."""
+    return O.order_history(event_orders(table(spark, sf_dir, "events")), order_id=ORDER_ID)
+
+
 _FILLS_SQL = """
 SELECT o.o_custkey AS clientID, l.l_orderkey AS appOrderID, l.l_linenumber AS fill_no,
        l.l_suppkey AS counterparty, l.l_partkey AS instrument,
@@ -176,10 +230,15 @@ def _fills(spark, sf_dir):
     return trade_fills(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
 
 
-@register("trade_book", sql=_FILLS_SQL, ids=("R4",))
+TRADE_CLIENT, TRADE_DAY = 3, "1999-10-02"
+
+
+@register("trade_book", sql=f"""
+SELECT * FROM ({_FILLS_SQL}) WHERE clientID = {TRADE_CLIENT} AND trade_day = DATE '{TRADE_DAY}'
+""", ids=("R4",))
 def q_trade_book(spark, sf_dir):
-    """Fills and part fills of every client and day (client / day arguments filter)."""
-    return O.trade_book(_fills(spark, sf_dir))
+    """Fills and part fills of one client on one day (the service's arguments)."""
+    return O.trade_book(_fills(spark, sf_dir), client_id=TRADE_CLIENT, day=TRADE_DAY)
 
 
 @register("dealer_trade_book", sql=_FILLS_SQL, ids=("R5",))
@@ -196,10 +255,10 @@ SELECT {k},
        sum(CASE WHEN side = 'SELL' THEN qty ELSE 0.0 END) AS sold_qty,
        sum(CASE WHEN side = 'BUY' THEN qty ELSE 0.0 END) - sum(CASE WHEN side = 'SELL' THEN qty ELSE 0.0 END)
          AS net_qty,
-       CAST(sum(CASE WHEN side = 'BUY' THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS bought_value,
-       CAST(sum(CASE WHEN side = 'SELL' THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS sold_value,
-       CAST(sum(CASE WHEN side = 'SELL' THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END)
-          - sum(CASE WHEN side = 'BUY' THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS net_value,
+       CAST(sum(CASE WHEN side = 'BUY' THEN CAST(amount AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS bought_value,
+       CAST(sum(CASE WHEN side = 'SELL' THEN CAST(amount AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS sold_value,
+       CAST(sum(CASE WHEN side = 'SELL' THEN CAST(amount AS DECIMAL(18,4)) ELSE 0 END)
+          - sum(CASE WHEN side = 'BUY' THEN CAST(amount AS DECIMAL(18,4)) ELSE 0 END) AS DOUBLE) AS net_value,
        count(*) AS trades
 FROM ({_FILLS_SQL}) f {where}
 GROUP BY {k} {having}

@@ -6,21 +6,21 @@ from pyspark.sql import functions as F
 
 from tickweave.operators import instruments as I
 from tickweave.operators.bars import ohlcv
-from tickweave.operators.broker import decode_broker_bars, encode_broker_responses
+from tickweave.operators.broker import decode_broker_bars, decode_broker_bars_checked, encode_broker_responses
 from tickweave.operators.reconcile import column_profile, reconcile_volume
 from tickweave.operators.routing import request_table
 from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket
 from tickweave.session import work_path
 from tickweave.sources.files import read_master_dump
 from tickweave.sinks.files import write_text
-from tickweave.sources.messages import master_lines
+from tickweave.sources.messages import event_k, master_lines
 from tickweave.sources.tables import lineitem_ticks, table
 
 # ---- broker bars -------------------------------------------------------------
 
 
 @register("broker_bars_decode", sql=f"""
-SELECT 2 AS exchangeSegment, CAST(user_id AS INTEGER) AS exchangeInstrumentID,
+SELECT 2 AS exchangeSegment, CAST(user_id AS BIGINT) AS exchangeInstrumentID,
        {sql_bucket('ts', 3600)} AS bar_time,
        strftime({sql_bucket('ts', 3600)}, '%H:%M') AS Timestamp,
        first(value ORDER BY ts, event_id) AS Open, max(value) AS High, min(value) AS Low,
@@ -43,9 +43,11 @@ def q_broker_bars_decode(spark, sf_dir):
 # ---- reconciliation ------------------------------------------------------------
 
 def _daily_sides(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    """Daily bars of all traded lines (broker side) and of the lines whose order is filled (landed side)."""
+    li, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    filled = orders.where(F.col("o_orderstatus").isin("F", "P")).select("o_orderkey")
     api = ohlcv(lineitem_ticks(li), "1 day")
-    landed = ohlcv(lineitem_ticks(li.where(F.col("l_linenumber") <= 5)), "1 day")
+    landed = ohlcv(lineitem_ticks(li.join(filled, li.l_orderkey == filled.o_orderkey, "left_semi")), "1 day")
     return api, landed
 
 
@@ -75,14 +77,14 @@ def _reconcile_sql(how: str) -> str:
 SELECT {_SUFFIXED.format(p='a', s='_api')}, {_SUFFIXED.format(p='b', s='_s3')},
        a.volume - b.volume AS Volume_Difference{status}
 FROM ({_SIDE.replace('{w}', '')}) a
-{how} JOIN ({_SIDE.replace('{w}', 'AND l_linenumber <= 5')}) b
+{how} JOIN ({_SIDE.replace('{w}', "AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P'))")}) b
   ON a.instrument = b.instrument AND a.bar_start = b.bar_start
 """
 
 
-@register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("P6", "J1", "P12", "N2", "X13"))
+@register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("P6", "J1", "P12", "N2"))
 def q_volume_reconcile(spark, sf_dir):
-    """Daily bars of all lines (broker side) vs lines 1-5 (landed side): matched bars and volume gap."""
+    """Daily bars of all lines (broker side) vs lines of filled orders (landed side): matched bars and volume gap."""
     api, landed = _daily_sides(spark, sf_dir)
     return reconcile_volume(api, landed, how="inner")
 
@@ -109,6 +111,31 @@ def q_column_profile(spark, sf_dir):
     return column_profile(reconcile_volume(api, landed, how="full_outer"))
 
 
+@register("broker_bars_checked", sql=f"""
+WITH b AS (
+  SELECT CAST(user_id AS BIGINT) AS id, {sql_bucket('ts', 3600)} AS bar_time,
+         CAST(sum({SQL_EVENT_QTY}) AS BIGINT) AS Volume FROM events WHERE ts IS NOT NULL GROUP BY user_id, 2)
+SELECT id AS exchangeInstrumentID, bar_time, Volume, CAST(NULL AS VARCHAR) AS _reason FROM b WHERE id % 5 <> 0
+UNION ALL
+SELECT id, CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT), 'no_data'
+FROM (SELECT DISTINCT id, CAST(bar_time AS DATE) FROM b WHERE id % 5 = 0)
+UNION ALL
+SELECT id, CAST(NULL AS TIMESTAMP), CAST(5 AS BIGINT), 'bad_time'
+FROM (SELECT DISTINCT id, CAST(bar_time AS DATE) FROM b WHERE id % 5 = 1)
+""", ids=("S7", "F2", "N3", "X10", "D4"))
+def q_broker_bars_checked(spark, sf_dir):
+    """Partly spoilt broker responses: clean bars, and a row with a reason for each that does not decode."""
+    ev = table(spark, sf_dir, "events")
+    ticks = ev.select(F.col("user_id").alias("instrument"), "ts", F.col("value").alias("price"),
+                      event_k().alias("qty"), F.col("event_id").alias("seq"))
+    responses = encode_broker_responses(ohlcv(ticks, "1 hour"))
+    kind = F.col("instrument") % 5  # 0: cut off; 1: one more row without a time
+    spoilt = responses.withColumn("response", F.when(kind == 0, F.substring("response", 1, 30)).when(
+        kind == 1, F.regexp_replace("response", r'("dataReponse":")', "$1noon|1|2|3|4|5|0|,")).otherwise(F.col("response")))
+    out = decode_broker_bars_checked(spoilt, "response", 2, "instrument")
+    return out.select("exchangeInstrumentID", "bar_time", "Volume", "_reason")
+
+
 # ---- instrument master -----------------------------------------------------------
 
 def _fields_sql() -> str:
@@ -141,10 +168,22 @@ MASTER_SQL = _fields_sql()
 
 
 def _master(spark, sf_dir):
-    return I.repair_futures(I.parse_master_lines(master_lines(table(spark, sf_dir, "part"))))
+    """The repaired master landed by segment, as look-ups read it: they prune folders and push filters into the scan."""
+    master = I.repair_futures(I.parse_master_lines(master_lines(table(spark, sf_dir, "part"))))
+    return I.read_master(spark, I.land_master(master, work_path(spark, "master")))
+
+
+@register("master_dump_split", sql=MASTER_SQL, ids=("C1", "C2", "P9"))
+def q_master_dump_split(spark, sf_dir):
+    """Master dumps held as one text of many lines (here a dump per 50 instruments), trimmed and split on newlines."""
+    part = table(spark, sf_dir, "part")
+    lines = master_lines(part.select("*", F.expr("p_partkey div 50").alias("dump")), keep=["dump"])
+    dumps = lines.groupBy("dump").agg(F.concat(F.lit("\n"), F.array_join(F.collect_list("value"), "\n"),
+                                               F.lit("\n\n")).alias("value"))
+    return I.repair_futures(I.parse_master_lines(I.split_dump(dumps)))
 
 
-@register("instrument_master", sql=MASTER_SQL, ids=("S6", "P9", "C1", "C5", "M6", "W7", "K3", "X23"))
+@register("instrument_master", sql=MASTER_SQL, ids=("S6", "P9", "C5", "M6", "W7", "X23"))
 def q_instrument_master(spark, sf_dir):
     """Master dump written as ragged pipe text to the shared folder, read back, futures repaired."""
     path = work_path(spark, "master-dump")

@@ -79,36 +79,9 @@ MASTER_FIELDS = [
 ]
 MASTER_TEXT = _struct([(n, StringType()) for n in MASTER_FIELDS])
 
-# Broker bar rows: positional fields of one "a|b|c|..." row.
-BROKER_BAR_FIELDS = ["Timestamp", "Open", "High", "Low", "Close", "Volume", "OI"]
-
-# Ping log (network probe output).
-PING_LOG = _struct([
-    ("timestamp", StringType()), ("latency", DoubleType()),
-    ("sponsor", StringType()), ("distance", DoubleType()),
-])
-
-# Order state rows (request field names + our own state columns).
-ORDER_EVENT = _struct([
-    ("clientID", StringType()), ("appOrderID", LongType()),
-    ("orderUniqueIdentifier", StringType()), ("exchangeSegment", StringType()),
-    ("exchangeInstrumentID", LongType()), ("productType", StringType()),
-    ("orderType", StringType()), ("orderSide", StringType()),
-    ("timeInForce", StringType()), ("orderQuantity", LongType()),
-    ("disclosedQuantity", LongType()), ("limitPrice", DoubleType()),
-    ("stopPrice", DoubleType()), ("state", StringType()),
-    ("filled_quantity", LongType()), ("filled_price", DoubleType()),
-    ("ts", TimestampType()), ("seq", LongType()),
-])
-
-# Exchange segment names and message kinds of the market-data socket.
-SEGMENTS = ["NSECM", "NSEFO", "NSECD", "MCXFO", "BSECM"]
-MESSAGE_KINDS = {
-    1501: "touchline", 1502: "market depth", 1505: "candle",
-    1507: "market status", 1510: "open interest", 1512: "last traded price",
-    1105: "instrument property change",
-}
-# Kinds published in full mode and in partial mode (market status is full only).
+# Message kinds of the market-data socket that are published in full mode
+# and in partial mode: 1501 touchline, 1502 market depth, 1505 candle, 1507 market status
+# (full only), 1510 open interest, 1512 last traded price, 1105 instrument property change.
 FULL_MODE_KINDS = [1501, 1502, 1505, 1507, 1510, 1512, 1105]
 PARTIAL_MODE_KINDS = [1501, 1502, 1505, 1510, 1512, 1105]
 

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job expects. Time is kept in UTC; the exchange zone is only
-# applied for display (labels), never for grouping.
+# Settings of sessions built here (on a cluster: of spark-submit). Time is kept in
+# UTC; the exchange zone is only applied for display (labels), never for grouping.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only on measured sizes: never from a plan-time estimate, but at
-    # run time (AQE) when a finished shuffle side is below the threshold.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+    # Streaming state on local disk instead of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -37,10 +37,9 @@ def build_session(master: str = "local[8]", app: str = "tickweave",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on (idempotent)."""
-    for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+    """Set the one setting results depend on, the UTC session zone; all others stay the caller's."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -63,6 +62,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_WORK: dict[str, SparkSession] = {}
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one job output."""
-    return f"{checkpoint_root(spark)}/tickweave/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared checkpoint folder for one job output.
+
+    Results read it lazily, so it is kept until :func:`clean_up`, or until the
+    driver ends.
+    """
+    path = f"{checkpoint_root(spark)}/tickweave/{name}-{uuid.uuid4().hex[:12]}"
+    _WORK[path] = spark
+    return path
+
+
+def delete_work(path: str) -> None:
+    """Delete one work folder now."""
+    spark = _WORK.pop(path, None)
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def clean_up() -> None:
+    """Delete all work folders; results that still read them must have been written."""
+    for path in list(_WORK):
+        delete_work(path)

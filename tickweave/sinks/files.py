@@ -37,16 +37,7 @@ def cluster_for_partitioned_write(df: DataFrame, partition_by, order=()) -> Data
     few partition values (few, large files), while a hot partition value is
     still cut over several tasks by ``order`` instead of landing in one.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *partition_by, *order)
-
-
-def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> str:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    return df.repartitionByRange(*partition_by, *order)  # no fixed number: AQE may coalesce ranges
 
 
 def append_table(df: DataFrame, name: str, path: str | None = None) -> str:

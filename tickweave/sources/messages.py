@@ -85,13 +85,13 @@ def feed2_tick_lists(events: DataFrame, per_list: int = 4) -> DataFrame:
     Lists are runs of consecutive event ids, so every group is bounded by
     ``per_list`` however the data is skewed.
     """
-    lst = (F.col("event_id") / per_list).cast("long")
+    lst = F.expr(f"event_id div {int(per_list)}")
     return (events.groupBy(lst.alias("list_id"))
             .agg(F.array_sort(F.collect_list(F.struct(F.col("event_id"), feed2_tick().alias("t")))).alias("a"))
             .select("list_id", F.to_json(F.transform("a", lambda x: x["t"])).alias("value")))
 
 
-def master_lines(part: DataFrame) -> DataFrame:
+def master_lines(part: DataFrame, keep=()) -> DataFrame:
     """Instrument-master dump rows built from ``part`` (one pipe-joined line per part).
 
     symbol (Name) = p_type, series = p_brand, strike = p_size; PROMO parts play
@@ -114,4 +114,4 @@ def master_lines(part: DataFrame) -> DataFrame:
     tail = [F.concat_ws(" ", F.col("p_name"), s("p_size")), F.lit("1"), F.lit("1"),
             F.concat_ws(" ", F.col("p_name"), F.col("p_brand"))]
     line = F.when(fut, F.concat_ws("|", *head, *tail)).otherwise(F.concat_ws("|", *head, *strike_opt, *tail))
-    return part.select(line.alias("value"))
+    return part.select(*keep, line.alias("value"))

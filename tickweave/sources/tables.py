@@ -13,61 +13,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-# Tables between these sizes are re-dealt over all task slots after the scan
-# (below the floor one task reads the whole table faster than an exchange costs).
-SPREAD_MIN_BYTES = 1 << 20
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Read one driver table.
-
-    ``spread``: a small file written as a single Parquet row group is read by
-    one task however many splits are planned, so everything up to the first
-    shuffle would run on one core. Tables below :data:`SPREAD_MAX_BYTES` are
-    therefore dealt over all task slots right after the scan (column pruning
-    and pushed filters still reach the scan below that exchange). Larger
-    inputs already have many row groups and splits and are never reshuffled;
-    inputs under 1 MiB are read by one task.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        schema = _SCHEMAS.setdefault(path, spark.read.parquet(path).schema)
-    df = spark.read.schema(schema).parquet(path)
-    return spread_small(df) if spread else df
-
-
-# Footer schemas already read, by path: later reads pass the schema explicitly
-# and skip inference (a driver-side footer read per query otherwise).
-_SCHEMAS: dict = {}
-
-
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (file sizes for a scan; no data read)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (estimate unavailable: leave the scan as is)
-        return None
-
-
-def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES,
-                 min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Deal a small input round-robin over all slots.
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table: one plan at every size.
 
-    Round-robin (no key expression) lets Catalyst push filters and column
-    pruning below the exchange into the scan; a keyed exchange on a random
-    value would block filter pushdown. Spark sorts each input partition before
-    dealing, so a retried task deals the same rows to the same places.
+    Spark cuts the scan by ``spark.sql.files.maxPartitionBytes`` and row group.
     """
-    size = plan_size_bytes(df)
-    if size is None or size > max_bytes or size < min_bytes:
-        return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001  (no local context, e.g. a remote session)
-        return df
-    return df.repartition(slots)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def event_ticks(events: DataFrame) -> DataFrame:
@@ -119,7 +70,7 @@ def event_orders(events: DataFrame) -> DataFrame:
     for et, st in ORDER_STATES.items():
         state = F.when(F.col("event_type") == et, F.lit(st)).otherwise(state)
     return events.select(
-        F.format_string("CL%04d", (F.col("user_id") / 10).cast("long")).alias("clientID"),
+        F.format_string("CL%04d", F.expr("user_id div 10")).alias("clientID"),
         F.col("user_id").alias("appOrderID"),
         state.alias("state"),
         F.get_json_object("props", "$.k").try_cast("long").alias("filled_quantity"),

@@ -2,9 +2,11 @@
 
 Ticks that arrive after the watermark are dropped by the live bars query. The
 landed table still receives them (landing has no watermark), so a batch run
-re-derives the bars of the touched days from the landed ticks and overwrites
-only those day partitions of the bar table (dynamic partition overwrite);
-the read prunes to the touched ``ingest_date`` partitions.
+re-derives bars from the landed ticks. Bar tables are partitioned by the day a
+bar starts in. The days replaced are the *start days of the bars* the late ticks
+fall in; to rebuild every bar that starts on such a day, the run reads each day
+those bars span (a bar over midnight, a week or a month spans several). Only
+the replaced days are overwritten (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -13,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.functions.timeutil import day_tag
-from tickweave.operators.bars import ohlcv
+from tickweave.operators.bars import CALENDAR_UNITS, bar_start, ohlcv
 from tickweave.sinks.files import cluster_for_partitioned_write
 
 
-def bars_by_day(ticks: DataFrame, width: str, **kw) -> DataFrame:
+def bars_by_day(ticks: DataFrame, width: str | None, **kw) -> DataFrame:
     """Bars with an ``ingest_date`` partition column taken from the bar start."""
     return ohlcv(ticks, width, **kw).withColumn("ingest_date", day_tag("bar_start"))
 
@@ -31,22 +33,31 @@ def write_bars(bars: DataFrame, path: str, dynamic: bool = True) -> None:
     w.parquet(path)
 
 
-def touched_days(late_ticks: DataFrame, ts: str = "ts") -> DataFrame:
-    """Distinct day tags of late ticks (one row per day: bounded by the calendar)."""
-    return late_ticks.select(day_tag(ts).alias("ingest_date")).distinct()
+def touched_days(late_ticks: DataFrame, width: str | None = None, calendar: str | None = None,
+                 ts: str = "ts") -> DataFrame:
+    """Start days of the bars that late ticks fall in (one row per day: bounded by the calendar)."""
+    return (late_ticks.where(F.col(ts).isNotNull())
+            .select(F.to_date(bar_start(ts, width, calendar)).alias("day")).distinct())
+
+
+def _spanned_days(days: DataFrame, width: str | None, calendar: str | None) -> DataFrame:
+    """Day tags of all days that bars starting on ``days`` span."""
+    length = F.expr(f"INTERVAL {CALENDAR_UNITS[calendar.lower()] if calendar else width}")
+    # The last bar that starts on a day starts before the next day.
+    until = F.to_date(F.date_add("day", 1).cast("timestamp_ntz") + length)
+    return days.select(F.explode(F.sequence(F.col("day"), until)).alias("day")).distinct().select(
+        day_tag("day").alias("ingest_date"))
 
 
 def correct_bars(spark: SparkSession, landed_path: str, bars_path: str, days: DataFrame,
-                 width: str, ticks_view=lambda df: df, **kw) -> None:
-    """Recompute bars of ``days`` from the landed ticks and replace those day partitions.
+                 width: str | None = None, ticks_view=lambda df: df, calendar: str | None = None, **kw) -> None:
+    """Rebuild all bars that start on ``days`` (see :func:`touched_days`) and replace those day partitions.
 
-    ``days`` is a DataFrame of ``ingest_date`` values; it is semi-joined (and
-    broadcast: one row per calendar day) so the landed scan only reads those
-    partitions once dynamic partition pruning applies.
+    The landed scan is semi-joined with the spanned days on its partition
+    column, so other days are not read.
     """
-    landed = spark.read.parquet(landed_path)
-    affected = landed.join(F.broadcast(days), "ingest_date", "left_semi")
-    bars = bars_by_day(ticks_view(affected), width, **kw)
-    # A bar belongs to the day it starts in; only keep bars of the touched days.
-    bars = bars.join(F.broadcast(days), "ingest_date", "left_semi")
+    spanned = _spanned_days(days, width, calendar)
+    affected = spark.read.parquet(landed_path).join(spanned, "ingest_date", "left_semi")
+    bars = bars_by_day(ticks_view(affected), width, calendar=calendar, **kw)
+    bars = bars.join(days.select(day_tag("day").alias("ingest_date")), "ingest_date", "left_semi")
     write_bars(bars, bars_path, dynamic=True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickweave.functions.timeutil import day_tag
-from tickweave.operators.decode import CORRUPT, REASON
+from tickweave.operators.decode import CORRUPT, REASON, STATUS, with_status
 
 
 def with_ingest_date(df: DataFrame, ts) -> DataFrame:
@@ -35,8 +35,15 @@ def observed(stream: DataFrame, name: str = "landing") -> DataFrame:
 
 def land(stream: DataFrame, path: str, checkpoint: str, partition_by=("ingest_date",),
          available_now: bool = False, processing_time: str | None = None,
-         query_name: str | None = None) -> StreamingQuery:
-    """Append the stream to Parquet at ``path`` (one folder per partition value)."""
+         query_name: str | None = None, files_per_partition: int | None = None) -> StreamingQuery:
+    """Append the stream to Parquet at ``path`` (one folder per partition value).
+
+    ``files_per_partition``: deal rows by partition value and a hash over so many tasks, so that a
+    micro-batch writes at most that many files per folder (not one per task and folder).
+    """
+    if partition_by and files_per_partition:
+        rest = [c for c in stream.columns if c not in partition_by]
+        stream = stream.repartition(*partition_by, F.pmod(F.xxhash64(*rest), F.lit(files_per_partition)))
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     if partition_by:
@@ -50,31 +57,13 @@ def land(stream: DataFrame, path: str, checkpoint: str, partition_by=("ingest_da
     return w.start()
 
 
-def land_with_quarantine(checked: DataFrame, path: str, quarantine_path: str, checkpoint: str,
-                         partition_by=("ingest_date",), available_now: bool = False) -> StreamingQuery:
-    """Clean rows to ``path``, bad rows (with reason and raw text) to ``quarantine_path``.
+def land_checked(checked: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    """Clean and quarantined rows (with reason and raw text) in one table, partitioned by (status, ingest_date).
 
-    One ``foreachBatch`` writes both outputs from one parse of the micro-batch.
-    Each batch writes into its own ``batch=<id>`` folders with overwrite, so a
-    replayed batch after a failure replaces its earlier partial output.
+    One streaming query and one commit log: readers see whole batches, and a
+    filter on ``status`` or ``ingest_date`` prunes folders.
     """
-    def write_batch(batch: DataFrame, batch_id: int):
-        batch.persist()
-        try:
-            good = batch.where(F.col(REASON).isNull()).drop(CORRUPT, REASON)
-            bad = batch.where(F.col(REASON).isNotNull())
-            w = good.write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(*partition_by)
-            w.parquet(f"{path}/batch={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
-
-    w = checked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    return w.start()
+    return land(with_status(checked), path, checkpoint, partition_by=(STATUS, "ingest_date"), **options)
 
 
 def progress_summary(query: StreamingQuery) -> list[dict]:
