@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -10,12 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickweave.session import work_path
+from tickweave.session import delete_work, work_path
 
 # White space of the text contracts: space and the five ASCII control blanks.
 BLANK = r"[\x20\x09-\x0D]+"
 
-_LIVE: dict[str, SparkSession] = {}
 _HELD: list[DataFrame] = []
 
 
@@ -62,7 +60,6 @@ def cut(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     path = work_path(spark, name)
     with small_batches(spark):
         (one_wave(df) if few else df).write.parquet(path)
-    _LIVE[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out._work_path = path  # noqa: SLF001  (own marker, read by drop)
     return out
@@ -82,11 +79,9 @@ def hold(df: DataFrame) -> DataFrame:
 
 
 def release() -> None:
-    """Free all held and written work tables; results that still read them must be written first."""
+    """Free all held work tables (``session.clean_up`` frees written ones); write results that read them first."""
     while _HELD:
         _HELD.pop().unpersist()
-    for path in list(_LIVE):
-        _delete(_LIVE.pop(path), path)
 
 
 def drop(*tables: DataFrame) -> None:
@@ -95,22 +90,7 @@ def drop(*tables: DataFrame) -> None:
         if any(t is h for h in _HELD):
             _HELD[:] = [h for h in _HELD if h is not t]
             t.unpersist()
-        path = getattr(t, "_work_path", None)
-        if path in _LIVE:
-            _delete(_LIVE.pop(path), path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-@atexit.register
-def _delete_all() -> None:
-    for path, spark in list(_LIVE.items()):
-        if spark.sparkContext._jsc is not None:
-            _delete(spark, path)
+        delete_work(getattr(t, "_work_path", ""))
 
 
 def apart(*cols: str) -> Column:
