@@ -7,6 +7,7 @@ sample is bounded by a parameter; everything else runs over all rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,15 +25,15 @@ WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
 
 
-def feature_id(name: str) -> int:
-    return xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass")) >> 1
+def word_features(words: set[str]) -> set[str]:
+    """Names of the features of distinct words: the word, and its first letters marked by a star."""
+    out = set(words)
+    for k in PREFIXES:
+        out.update([w[:k] + "*" for w in words if len(w) >= k])
+    return out
 
 
-def word_features(word: str) -> list[int]:
-    return [feature_id("w" + word), *(feature_id("p" + word[:k]) for k in PREFIXES if len(word) >= k)]
-
-
-def shape_features(text: str, words: list[str]) -> list[int]:
+def shape_features(text: str, words: list[str]) -> list[str]:
     """One feature per figure and bin: repetition, symbols, digits, capitals, word length, line repetition."""
     n, m = max(1, len(text)), max(1, len(words))
     letters = sum(map(len, words))
@@ -40,11 +41,11 @@ def shape_features(text: str, words: list[str]) -> list[int]:
     lines = [x for x in text.split("\n") if x.strip()] or [""]
     figures = {
         "distinct": len(set(words)) / m, "symbols": 1 - letters / n - (blanks - 1) / n, "glued": m / blanks,
-        "digits": sum(map(text.count, "0123456789")) / n, "length": letters / m,
+        "digits": sum(map(text.count, "0123456789")) / n, "length": letters / m / 10,
         "lines": len(set(lines)) / len(lines), "perline": min(1.0, m / len(lines) / 100),
         "longest": max(map(len, words), default=0) / 40, "bars": text.count("|") / blanks,
         "stops": (text.count(".") + text.count(",")) / blanks}
-    return [feature_id(f"s{k}{min(20, int(v * 10)) if k != 'length' else min(20, int(v))}") for k, v in figures.items()]
+    return [f"#{k}:{min(20, int(v * 10))}" for k, v in figures.items()]
 
 
 def read(text: str | None) -> tuple[str, list[str]]:
@@ -52,45 +53,32 @@ def read(text: str | None) -> tuple[str, list[str]]:
     return text, WORD.findall(text.lower())
 
 
-class Features(dict):
-    """Feature ids of a word, remembered up to a bound; only those in ``only`` if given."""
-
-    limit = 100_000
-
-    def __init__(self, only=None):
-        super().__init__()
-        self.only = only
-
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= self.limit:
-            self.clear()
-        ids = word_features(word)
-        ids = self[word] = ids if self.only is None else [i for i in ids if i in self.only]
-        return ids
-
-
 @dataclass
 class Model:
     """``score = softmax`` (or sigmoid, for one class) of ``bias + sum of weights`` of the features present."""
 
     bias: np.ndarray
-    weights: dict[int, np.ndarray] = field(default_factory=dict)
+    weights: dict[str, tuple[float, ...]] = field(default_factory=dict)
 
     def scorer(self):
         """A function of a text giving its class posteriors (for one class: its probability)."""
-        weights, bias = self.weights, self.bias
-        known = Features(weights)
+        weights, bias = self.weights, self.bias.tolist()
+        whole = {n for n in weights if n[0] != "#" and n[-1] != "*"}
+        starts = {k: {n[:-1] for n in weights if n[-1] == "*" and len(n) == k + 1} for k in PREFIXES}
 
-        def posterior(text: str | None) -> np.ndarray:
+        def posterior(text: str | None) -> list[float]:
             text, words = read(text)
-            ids = set(i for i in shape_features(text, words) if i in weights)
-            for w in set(words):
-                ids.update(known[w])
-            z = bias + sum((weights[i] for i in sorted(ids)), np.zeros_like(bias))
+            distinct = set(words)
+            there = [n for n in shape_features(text, words) if n in weights]
+            there += distinct & whole
+            for k, known in starts.items():
+                there += [p + "*" for p in {w[:k] for w in distinct} & known]
+            found = [weights[n] for n in sorted(there)]
+            z = [b + sum([f[c] for f in found]) for c, b in enumerate(bias)]
             if len(z) == 1:
-                return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            e = np.exp(z - z.max())
-            return e / e.sum()
+                return [1 / (1 + math.exp(-min(30.0, max(-30.0, z[0]))))]
+            e = [math.exp(x - max(z)) for x in z]
+            return [x / sum(e) for x in e]
 
         return posterior
 
@@ -102,7 +90,7 @@ class Model:
         def posteriors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             posterior = model.scorer()
             for s in batches:
-                yield pd.Series([posterior(t).tolist() for t in s])
+                yield pd.Series([posterior(t) for t in s])
 
         return posteriors(F.col(text))
 
@@ -127,25 +115,21 @@ def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id
              .join(F.broadcast(picked), "__id").select("y", "text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Features()
         for batch in batches:
             ys, keys, ids, pairs = [], [], [], []
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 t = t.as_py()
                 text, words = read(t)
-                mine = set(shape_features(text, words))
-                for w in set(words):
-                    mine.update(known[w])
                 ys.append(y)
                 keys.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1)
-                ids.append(np.fromiter(mine, np.int64, len(mine)))
+                ids.append([*shape_features(text, words), *sorted(word_features(set(words)))])
                 pairs.append([sorted(a) for one, other in (swaps(t) if swaps else []) for a in
                               (one - other, other - one)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ys, pa.int32()), pa.array(keys, pa.int64()), pa.array(ids, pa.list_(pa.int64())),
-                 pa.array(pairs, pa.list_(pa.list_(pa.int64())))], names=["y", "key", "ids", "pairs"])
+                [pa.array(ys, pa.int32()), pa.array(keys, pa.int64()), pa.array(ids, pa.list_(pa.string())),
+                 pa.array(pairs, pa.list_(pa.list_(pa.string())))], names=["y", "key", "ids", "pairs"])
 
-    got = texts.mapInArrow(extract, "y int, key long, ids array<long>, pairs array<array<long>>")
+    got = texts.mapInArrow(extract, "y int, key long, ids array<string>, pairs array<array<string>>")
     return hold(got.groupBy("key").agg(F.min_by(F.struct("y", "ids", "pairs"), "y").alias("g")).select("key", "g.*"))
 
 
@@ -205,12 +189,12 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], features: int =
             v[i] = 0.999 * v[i] + 0.001 * g * g
             x -= rate * (m[i] / (1 - 0.9 ** t)) / (np.sqrt(v[i] / (1 - 0.999 ** t)) + 1e-8)
     keep = np.abs(w).max(axis=1) > 1e-3
-    return Model(b, {int(f): x for f, x in zip(names[keep], w[keep])})
+    return Model(b, {f: tuple(x) for f, x in zip(names[keep].tolist(), w[keep].tolist())})
 
 
 def _telling(got: DataFrame, classes: list[int], n: np.ndarray, features: int, least_docs: int,
              least_z: float) -> np.ndarray:
-    """Ids of the features that tell classes apart best, in ascending order."""
+    """Names of the features that tell classes apart best, in ascending order."""
     total = float(n.sum())
     df = got.select("y", F.explode("ids").alias("id")).groupBy("id").agg(
         F.count("*").cast("double").alias("n"), *[F.sum((F.col("y") == c).cast("double")).alias(f"n{i}")
@@ -221,16 +205,16 @@ def _telling(got: DataFrame, classes: list[int], n: np.ndarray, features: int, l
          for i, x in enumerate(n) if 0 < x < total]
     best = (df.filter(F.col("n") >= least_docs).select("id", F.greatest(*z, F.lit(0.0)).alias("z"))
             .filter(F.col("z") >= least_z).orderBy(F.desc("z"), "id").limit(features))
-    return np.sort(np.array([r["id"] for r in best.collect()], np.int64))
+    return np.array(sorted(r["id"] for r in best.collect()), dtype=object)
 
 
 def _cut_down(got: DataFrame, names: np.ndarray) -> DataFrame:
     """``y, key``, the places of a row's features in ``names``, and of its swaps (signed, from 1)."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {int(x): i for i, x in enumerate(names)}
+        at = {x: i for i, x in enumerate(names)}
         for batch in batches:
-            mine = [[at[i] for i in ids.values.to_numpy() if i in at] for ids in batch.column(2)]
+            mine = [[at[i] for i in ids if i in at] for ids in batch.column(2).to_pylist()]
             swaps = []
             for ps in batch.column(3).to_pylist():
                 swaps.append([[at[i] + 1 for i in ps[j] if i in at] + [-at[i] - 1 for i in ps[j + 1] if i in at]

@@ -36,10 +36,10 @@ def swapper(terms: dict[str, list[str]]):
     kind = {t: ts for ts in terms.values() for t in ts}
     any_term = re.compile(r"\b(" + "|".join(sorted(map(re.escape, kind), key=len, reverse=True)) + r")\b")
 
-    def words(sentence: str) -> set[int]:
-        return {f for w in set(WORD.findall(sentence)) for f in word_features(w)}
+    def words(sentence: str) -> set[str]:
+        return word_features(set(WORD.findall(sentence)))
 
-    def pairs(text: str | None) -> list[tuple[set[int], set[int]]]:
+    def pairs(text: str | None) -> list[tuple[set[str], set[str]]]:
         out = []
         for s in SENTENCE.findall((text or "").lower()):
             for term in sorted(set(any_term.findall(s))):
