@@ -4,12 +4,12 @@
    its word sequence (equal sequences form one class), and ``bands * rows``
    minima under universal hash functions.
 2. Classes that share a band meet in a bucket. Buckets are never expanded into
-   all pairs: each round compares a bucket's members with pivots, verified by
-   signature and then on full shingle sets, and links are contracted to
-   components. A bucket is done when its members are one component, or every
-   pair across components has been compared with a pivot; so no link that
-   would join two components of a bucket is missed, and copies of a text that
-   are already joined cost nothing.
+   pairs: their members are compared with one pivot, verified by signature and
+   then on full shingle sets, and links are contracted to components. Where
+   members of other components than the pivot's are left, the members of all
+   buckets of that pivot are dealt into blocks of bounded size, and each pair of
+   blocks is one task's work: it counts the shingles that its texts share (a
+   product of small matrices) and returns only links that join components.
 3. Components by large-star / small-star.
 """
 
@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.components import connected
 from tickweave.llm.shingles import WordHashes, shingle_set, words_of
-from tickweave.llm.work import apart, cut, drop, hold
+from tickweave.llm.work import apart, cut, hold
 
 BLOCK = 2048  # shingles hashed at once
+BLOCK_ROWS = 256  # texts of a block, on average
+COLUMNS = 8192  # shingles counted at once
 
 
 def _coefficients(k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,56 +179,81 @@ def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int,
                          F.col("id").eqNullSafe(F.col("first_id")))
                .select("node", "cls", "text").mapInArrow(_sets(width), "node long, shingles binary"))
     sigs = classes.select("node", "sig")
-    open_ = hold(members.select("bucket", "node").join(weight, "node").withColumn("component", F.col("node")))
-    tested = links = None
-    while True:
-        pivots = hold(_first_pivots(open_) if links is None else _next_pivots(open_))
-        pairs = (_meet(open_, pivots).filter("component <> pcomp")
-                 .select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = hold(pairs)
-        likely = _with(pairs, sigs, "sig").mapInArrow(
-            _agree(k, int(k * (threshold_pct / 100 - margin))), "u long, v long")
-        new = cut(_with(likely, sets, "shingles").mapInArrow(_similar(threshold_pct), "u long, v long"), "links",
-                  few=True)
-        links = new if links is None else links.unionByName(new)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = hold(connected(links))
-        # Used pivots are done; a bucket stays open while members of two components are left.
-        left = (open_.drop("component")
-                .join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-                .join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        mixed = left.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
-            "lo < hi").select("bucket")
-        after = cut(_meet(left, mixed), "open", few=True)
-        drop(open_)
-        if after.isEmpty():
-            return labels
-        open_ = after
+    open_ = members.select("bucket", "node").join(weight, "node")
+    pivots = open_.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top"))
+    pivots = pivots.select("bucket", (-F.col("top.minus")).alias("pivot"))
+    faced = hold(_meet(open_, pivots).filter("node <> pivot").select("node", "pivot").distinct())
+    pairs = faced.select(F.col("node").alias("u"), F.col("pivot").alias("v"))
+    likely = _with(pairs, sigs, "sig").mapInArrow(_agree(k, int(k * (threshold_pct / 100 - margin))), "u long, v long")
+    links = cut(_with(likely, sets, "shingles").mapInArrow(_similar(threshold_pct), "u long, v long"), "links",
+                few=True)
+    labels = hold(connected(links))
+    more = cut(_block_links(faced, labels, sets, threshold_pct), "block_links", few=True)
+    return labels if more.isEmpty() else connected(links.unionByName(more))
+
+
+def _block_links(faced: DataFrame, labels: DataFrame, sets: DataFrame, threshold_pct: int,
+                 block: int = BLOCK_ROWS) -> DataFrame:
+    """Links ``(u, v)`` between components among the members that share a pivot, for pivots not joined to them all."""
+    near = labels.select(F.col("node").alias("n"), F.col("component").alias("l"))
+    met = hold(faced.join(near.select(F.col("n").alias("node"), F.col("l").alias("c")), "node", "left")
+               .join(near.select(F.col("n").alias("pivot"), F.col("l").alias("p")), "pivot", "left")
+               .select("node", "pivot", F.coalesce("c", "node").alias("component"),
+                       (F.coalesce("c", "node") == F.coalesce("p", "pivot")).alias("joined")))
+    groups = met.groupBy("pivot").agg(F.count("*").alias("n"), F.min("joined").alias("all"),
+                                      F.min("component").alias("lo"), F.max("component").alias("hi"))
+    groups = groups.filter("not all and lo < hi").select(
+        "pivot", F.ceil(F.col("n") / block).cast("int").alias("blocks"), apart("pivot").alias("apart"))
+    dealt = (met.withColumn("apart", apart("pivot")).join(groups, ["pivot", "apart"])
+             .withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("pivot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
+                     "node", "component"))
+    return (dealt.join(sets, "node").groupBy("pivot", "i", "j")
+            .applyInArrow(_compare(threshold_pct), "u long, v long"))
+
+
+def _compare(threshold_pct: int):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("node")
+        node, comp, mine, i, j = (group.column(c).to_numpy() for c in ("node", "component", "mine", "i", "j"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles").combine_chunks()]
+        size = np.array([len(x) for x in sets])
+        words, at = np.unique(np.concatenate(sets), return_inverse=True)
+        row = np.repeat(np.arange(len(sets)), size)
+        shared = np.bincount(at, minlength=len(words)) > 1
+        place = np.cumsum(shared) - 1
+        row, at = row[shared[at]], place[at[shared[at]]]
+        order = np.argsort(at, kind="stable")
+        row, at = row[order], at[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        for lo in range(0, int(shared.sum()), COLUMNS):
+            a, b = np.searchsorted(at, (lo, lo + COLUMNS))
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[row[a:b], at[a:b] - lo] = 1
+            both += part @ part.T
+        link = 100 * both >= threshold_pct * (size[:, None] + size[None, :] - both)
+        link &= comp[:, None] != comp[None, :]
+        if len(node) and i[0] != j[0]:
+            link &= mine[:, None] != mine[None, :]  # pairs within a block are its own task's work
+        parent = {int(c): int(c) for c in comp}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        out = []
+        for a, b in np.argwhere(np.triu(link, 1)).tolist():
+            x, y = find(int(comp[a])), find(int(comp[b]))
+            if x != y:
+                parent[x] = y
+                out.append((int(node[a]), int(node[b])))
+        return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
+    return run
 
 
 def _meet(members: DataFrame, buckets: DataFrame) -> DataFrame:
     """Members with what is known of their bucket; members of a hot bucket can be split."""
     return (members.withColumn("apart", apart("bucket"))
             .join(buckets.withColumn("apart", apart("bucket")), ["bucket", "apart"]).drop("apart"))
-
-
-def _top(open_: DataFrame, *keys: str) -> DataFrame:
-    """The heaviest member per group (of equals, the smallest node), and the group's size."""
-    return open_.groupBy(*keys).agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top"),
-                                    F.count("*").alias("n"))
-
-
-def _first_pivots(open_: DataFrame) -> DataFrame:
-    """One pivot per bucket."""
-    node = -F.col("top.minus")
-    return _top(open_, "bucket").select("bucket", node.alias("pivot"), node.alias("pcomp"))
-
-
-def _next_pivots(open_: DataFrame) -> DataFrame:
-    """One pivot per component of a bucket, but none for its largest component."""
-    tops = hold(_top(open_, "bucket", "component"))
-    largest = tops.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
-    return (tops.join(largest, "bucket").filter("component <> largest")
-            .select("bucket", (-F.col("top.minus")).alias("pivot"), F.col("component").alias("pcomp")))
