@@ -133,8 +133,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id
     return hold(got.groupBy("key").agg(F.min_by(F.struct("y", "ids", "pairs"), "y").alias("g")).select("key", "g.*"))
 
 
-def fit(got: DataFrame, classes: list[int], prior: list[float], features: int = 6000, least_docs: int = 4,
-        least_z: float = 4.0, l2: float = 2e-4, swap_penalty: float = 0.0, steps: int = 250,
+def fit(got: DataFrame, classes: list[int], prior: list[float], features: int = 4000, least_docs: int = 4,
+        least_z: float = 4.0, l2: float = 2e-4, swap_penalty: float = 0.0, steps: int = 150,
         rate: float = 0.08) -> Model:
     """Train on :func:`sample`'s rows. ``prior``: the classes' true shares, to undo the sample's balance.
 

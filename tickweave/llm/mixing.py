@@ -22,7 +22,7 @@ from tickweave.llm.work import hold
 
 # The labelled table's domains, and their default target shares of tokens.
 TARGETS = {"good": 0.80, "low": 0.14, "toxic": 0.06}
-MOST = 6_000  # label rows per domain that the classifier is trained on at most
+MOST = 4_000  # label rows per domain that the classifier is trained on at most
 
 
 def domain_of_labels(quality: str = "quality", toxic: str = "toxic") -> Column:
