@@ -17,13 +17,13 @@ WHERE = {
     "S1": "streaming.sources.kafka_stream (file_stream in tests)", "S2": "operators.decode.bytes_to_text",
     "S3": "sources.files.read_landed", "S4": "sources.files.read_landed (folder, not part file)",
     "S5": "sources.files.read_csv", "S6": "sources.files.read_master_dump / operators.instruments.parse_master_lines",
-    "S7": "operators.broker.decode_broker_bars", "S8": "streaming.landing.land_with_quarantine (foreachBatch)",
+    "S7": "operators.broker.decode_broker_bars_checked", "S8": "streaming.landing.land_checked",
     "S9": "operators.decode.decode inside the stream",
     "K1": "streaming.landing.land", "K2": "sinks.bus.kafka_records / write_kafka", "K3": "sinks.files.write_csv",
     "K4": "sinks.files (append writes)", "K5": "sinks.files.append_table", "K6": "sinks.files.append_json_lines",
     "K7": "streaming.landing.with_ingest_date", "K8": "sinks.bus.write_jdbc (not runnable here: no database)",
     "P1": "operators.decode.parse_json / decode", "P2": "operators.decode.decode (flatten)",
-    "P3": "operators.decode.normalize_python_literals", "P4": "operators.decode.explode_ticks / prune_tick",
+    "P3": "operators.decode.normalize_python_literals", "P4": "operators.decode.explode_ticks(_checked) / prune_tick",
     "P5": "operators.bars.ohlcv (select)", "P6": "functions.text.suffix_columns",
     "P7": "functions.text.compound_key / split_compound_key", "P8": "functions.text.split_depth",
     "P9": "operators.instruments.repair_futures", "P10": "functions.text.positional_fields",
@@ -31,7 +31,7 @@ WHERE = {
     "P13": "operators.bars.ohlcv (bar_start / bar_end)", "P14": "operators.decode.unwrap_json_string / wrap_json_string",
     "P15": "operators.decode.to_json_text", "F1": "operators.instruments.keep_instruments",
     "F2": "operators.broker.decode_broker_bars (filter empty rows)", "F3": "operators.routing.subscribe",
-    "F4": "operators.routing.unsubscribe", "F5": "operators.routing.route / topic_name",
+    "F4": "operators.routing.unsubscribe", "F5": "operators.routing.route / route_all",
     "F6": "operators.bars.restrict_time", "J1": "operators.reconcile.reconcile_volume(how='inner')",
     "J2": "operators.reconcile.reconcile_volume(how='full_outer')",
     **{f"A{i}": "operators.bars.ohlcv" for i in range(1, 8)},
@@ -54,7 +54,7 @@ WHERE = {
     "W2": "streaming.landing.land (append)", "W3": "streaming.landing.land (checkpointLocation)",
     "W4": "StreamingQuery.awaitTermination", "W5": "streaming.live_bars.live_bars",
     "W6": "streaming.landing.progress_summary / observed", "W7": "column expressions (no UDF)",
-    "W8": "routing column + foreachBatch", "L1": "operators.instruments.series_of", "L2": "operators.instruments.equity",
+    "W8": "routing column (one job writes all topics)", "L1": "operators.instruments.series_of", "L2": "operators.instruments.equity",
     "L3": "operators.instruments.expiry_dates", "L4": "operators.instruments.future", "L5": "operators.instruments.option",
     "L6": "operators.instruments.option_types", "L7": "operators.instruments.index_list",
     "L8": "operators.instruments.search_by_ids", "L9": "operators.instruments.search_text",
@@ -65,7 +65,7 @@ WHERE = {
     "R6": "operators.orders.positions(day_wise=True)", "R7": "operators.orders.positions",
     "R8": "operators.orders.positions(by=('instrument',))", "R9": "operators.orders.holdings",
     "D1": "operators.quality.missing_report / handle_missing",
-    "D2": "operators.quality.bar_rule_counts / zscore_outliers", "D3": "spark.sql over a temp view",
+    "D2": "operators.quality.bar_rule_counts / zscore_outliers", "D3": "spark.sql over a DataFrame argument",
     "D4": "operators.decode.decode_checked -> streaming.landing", "X1": "ohlcv windows the full timestamp",
     "X2": "min_by / max_by over (ts, seq)", "X3": "no truncation before the aggregate", "X4": "session time zone UTC",
     "X5": "label_side parameter; joins on bar start", "X6": "watermark on a real timestamp column",
