@@ -25,24 +25,28 @@ from tickweave.llm.work import apart, hold
 
 BREAK = re.compile(r"[.!?]+(?=\s)|\n+")
 COMMA = re.compile(r"[,;:](?=\s)")
-WORD = re.compile(r"\w+")
+WORD = re.compile(r"\w")
 LONG = 24  # words from which a sentence is also cut at commas
 
 
 def sentences(text: str | None, long: int = LONG) -> list[tuple[int, int, int, bytes]]:
-    """``(start, end, words, normal form)`` of a text's sentences, in characters; those without a word are left out."""
+    """``(start, end, words, normal form)`` of a text's sentences, in characters; those without a letter are left out.
+
+    The normal form is lower case with single spaces.
+    """
     out = []
     text = text or ""
 
     def add(lo: int, hi: int, cut_long: bool) -> None:
-        words = WORD.findall(text[lo:hi].lower())
+        part = text[lo:hi]
+        words = part.lower().split()
         if cut_long and len(words) > long:
             at = lo
             for m in COMMA.finditer(text, lo, hi):
                 add(at, m.end(), False)
                 at = m.end()
             add(at, hi, False)
-        elif words:
+        elif words and WORD.search(part):
             out.append((lo, hi, len(words), " ".join(words).encode("utf-8", "surrogatepass")))
 
     at = 0
