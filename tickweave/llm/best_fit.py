@@ -5,10 +5,10 @@ document is an item. Items over half a sequence cannot share one, so each opens
 a sequence and leaves a gap. Then, in rounds:
 
 1. items and gaps are range-sorted by size into one order, dealt over all tasks;
-2. a sweep in ascending order gives each gap the largest free item that fits
-   (an item waits on a stack until a gap of its size or more comes by). Tasks
-   sweep their ranges on their own; what a range leaves over is matched across
-   ranges from two counts per range, by its rank;
+2. a sweep in ascending order gives each gap the largest waiting item that fits,
+   and again for what is left of the gap. Tasks sweep their ranges on their own;
+   items and gaps that a range leaves over are matched across ranges, one to one,
+   from two counts per range, by their rank;
 3. matched gaps shrink, the rest stay; items larger than every gap open as many
    new sequences as their tokens fill.
 
@@ -19,6 +19,7 @@ number of items and gaps of each size (at most two per token of a sequence).
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import tokens
-from tickweave.llm.work import cut, hold
+from tickweave.llm.work import cut, hold, one_wave
 
 ITEM, GAP = 0, 1
 BUCKETS = 4096  # hash buckets by which items of one size are told apart when only some open a sequence
@@ -74,37 +75,53 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = 1024, end_i
         f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
-SWEPT = "part int, rank long, uid long, size int, bin long, gap int"
+SWEPT = "part int, rank long, uid long, size int, bin long, gap int, gaps long, items long"
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Match items and gaps of one range, in ascending order of size.
 
-    Rows out: a match (item ``uid`` and ``size``, its ``bin`` and the gap
-    before); an item left over (``bin`` null, ``rank`` from the bottom of the
-    stack); a gap left over (``uid`` null, ``rank`` in order).
+    A gap takes the largest item that waits and fits, then the largest that
+    fits what is left, and so on. Rows out: a match (item ``uid`` and ``size``,
+    its ``bin`` and the gap before); the rest of a gap that took items (``uid``
+    and ``rank`` null); an item left over (``bin`` null, ``rank`` in order of
+    size); a gap that took none (``uid`` null, ``rank`` in order); and, last,
+    how many ``gaps`` and ``items`` the range leaves over.
     """
     part = TaskContext.get().partitionId()
     schema = pa.schema([("part", pa.int32()), ("rank", pa.int64()), ("uid", pa.int64()), ("size", pa.int32()),
-                        ("bin", pa.int64()), ("gap", pa.int32())])
-    stack: list[tuple[int, int]] = []
+                        ("bin", pa.int64()), ("gap", pa.int32()), ("gaps", pa.int64()), ("items", pa.int64())])
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    sizes: list[int] = []  # of the items that wait, ascending
+    waiting: list[int] = []
     lone = 0
     for batch in batches:
         out = []
         for uid, size, kind in zip(*(batch.column(i).to_pylist() for i in range(3))):
             if kind == ITEM:
-                stack.append((uid, size))
-            elif stack:
-                item, taken = stack.pop()
-                out.append((part, None, item, taken, uid, size))
+                sizes.append(size)
+                waiting.append(uid)
+            elif sizes:
+                left = size
+                while left and (at := bisect_right(sizes, left) - 1) >= 0:
+                    taken, item = sizes.pop(at), waiting.pop(at)
+                    out.append((part, None, item, taken, uid, left, None, None))
+                    left -= taken
+                if left:  # what is left of the gap waits for the next round
+                    out.append((part, None, None, None, uid, left, None, None))
             else:
-                out.append((part, lone, None, None, uid, size))
+                out.append((part, lone, None, None, uid, size, None, None))
                 lone += 1
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-    for i in range(0, len(stack), 10_000):
-        out = [(part, i + j, uid, size, None, None) for j, (uid, size) in enumerate(stack[i:i + 10_000])]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            yield rows(out)
+    for i in range(0, len(sizes), 10_000):
+        yield rows([(part, i + j, uid, size, None, None, None, None)
+                    for j, (uid, size) in enumerate(zip(waiting[i:i + 10_000], sizes[i:i + 10_000]))])
+    if lone or sizes:
+        yield rows([(part, None, None, None, None, None, lone, len(sizes))])
 
 
 def _across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
@@ -131,33 +148,37 @@ def _across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int
 
 
 def _round(pool: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One sweep: all rows after it (as ``SWEPT``, matches across ranges resolved), as two tables."""
+    """One sweep: what it placed (``uid, size, bin, gap`` before), and the pool after it."""
     spark = pool.sparkSession
     ranged = (pool.repartitionByRange("size", "kind", "spread").sortWithinPartitions("size", "kind", "spread")
               .select("uid", "size", "kind"))
     swept = cut(ranged.mapInArrow(_sweep, SWEPT), "swept", few=True)
     free = swept.filter("rank is not null")
-    counts = free.groupBy("part").agg(F.count("bin").alias("gaps"), F.count("uid").alias("items")).collect()
-    matches = _across([(r["part"], r["gaps"], r["items"]) for r in counts])  # at most two per range
-    if not matches:
-        return swept.filter("rank is null"), free
-    runs, first = [], 0
-    for ip, ir, gp, gr, n in matches:
-        runs += [(ip, True, ir - n + 1, ir, first + ir, -1), (gp, False, gr, gr + n - 1, first - gr, 1)]
-        first += n
-    table = F.broadcast(spark.createDataFrame(
-        runs, "of int, item boolean, low long, high long, base long, way int"))
-    met = hold(free.join(
-        table, (F.col("part") == F.col("of")) & (F.col("uid").isNotNull() == F.col("item"))
-        & F.col("rank").between(F.col("low"), F.col("high")), "left")
-        .select("part", "rank", "uid", "size", "bin", "gap",
-                (F.col("base") + F.col("way") * F.col("rank")).alias("match")))
-    pairs = (met.filter("match is not null").groupBy("match")
-             .agg(F.max("uid").alias("uid"), F.max("size").alias("size"), F.max("bin").alias("bin"),
-                  F.max("gap").alias("gap"))
-             .select("uid", "size", "bin", "gap"))
-    placed = swept.filter("rank is null").select("uid", "size", "bin", "gap").unionByName(hold(pairs))
-    return placed, met.filter("match is null")
+    counts = swept.filter("gaps is not null").select("part", "gaps", "items").collect()  # a row per range
+    matches = _across([tuple(r) for r in counts])  # at most two per range
+    placed = swept.filter("rank is null and uid is not null").select("uid", "size", "bin", "gap")
+    rests = swept.filter("rank is null and uid is null and bin is not null").select("bin", "gap")
+    if matches:
+        runs, first = [], 0
+        for ip, ir, gp, gr, n in matches:
+            runs += [(ip, True, ir - n + 1, ir, first + ir, -1), (gp, False, gr, gr + n - 1, first - gr, 1)]
+            first += n
+        table = F.broadcast(spark.createDataFrame(
+            runs, "of int, item boolean, low long, high long, base long, way int"))
+        met = hold(free.join(
+            table, (F.col("part") == F.col("of")) & (F.col("uid").isNotNull() == F.col("item"))
+            & F.col("rank").between(F.col("low"), F.col("high")), "left")
+            .select("uid", "size", "bin", "gap", (F.col("base") + F.col("way") * F.col("rank")).alias("match")))
+        pairs = hold(one_wave(met.filter("match is not null").groupBy("match").agg(
+            F.max("uid").alias("uid"), F.max("size").alias("size"), F.max("bin").alias("bin"), F.max("gap").alias("gap"))
+            .select("uid", "size", "bin", "gap")))
+        placed = placed.unionByName(pairs)
+        rests = rests.unionByName(pairs.filter("gap > size").select("bin", (F.col("gap") - F.col("size")).alias("gap")))
+        free = met.filter("match is null")
+    pool = (rests.select(F.col("bin").alias("uid"), F.col("gap").alias("size"), F.lit(GAP).alias("kind"))
+            .unionByName(free.select(F.coalesce("uid", "bin").alias("uid"), F.coalesce("size", "gap").alias("size"),
+                                     F.when(F.col("uid").isNull(), GAP).otherwise(ITEM).alias("kind"))))
+    return placed, pool
 
 
 def _spread(pool: DataFrame) -> DataFrame:
@@ -186,17 +207,13 @@ def place(items: DataFrame, capacity: int = 1024) -> DataFrame:
         stuck = {s: n for s, n in waiting.items() if s > max(gaps, default=0)}
         if stuck:
             chosen = (F.col("kind") == ITEM) & _opening(pool, stuck, capacity)
-            opening = hold(pool.filter(chosen))
+            opening = hold(one_wave(pool.filter(chosen)))
             done.append(opening.select("uid", F.col("uid").alias("sequence_id"), F.lit(0).alias("offset")))
             pool = (pool.filter(~chosen)
                     .unionByName(opening.select("uid", (capacity - F.col("size")).alias("size"),
                                                 F.lit(GAP).alias("kind"))))
-        placed, free = _round(_spread(pool.filter((F.col("kind") == ITEM) | (F.col("size") >= min(waiting)))))
+        placed, pool = _round(_spread(pool.filter((F.col("kind") == ITEM) | (F.col("size") >= min(waiting)))))
         done.append(placed.select("uid", F.col("bin").alias("sequence_id"), (capacity - F.col("gap")).alias("offset")))
-        pool = (placed.filter("gap > size").select(F.col("bin").alias("uid"), (F.col("gap") - F.col("size")).alias("size"),
-                                                   F.lit(GAP).alias("kind"))
-                .unionByName(free.select(F.coalesce("uid", "bin").alias("uid"), F.coalesce("size", "gap").alias("size"),
-                                         F.when(F.col("uid").isNull(), GAP).otherwise(ITEM).alias("kind"))))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
