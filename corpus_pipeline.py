@@ -39,7 +39,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that low and good quality reach their target shares; none is left out (10)."""
     domain = F.when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, domain)
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, domain, all_stay=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

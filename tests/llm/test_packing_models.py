@@ -175,6 +175,8 @@ def test_mixing_edge_cases(spark):
         out, _ = mixing.rates(docs, labels)
         assert out.count() == 4 and out.filter("rate < 0 or copies < 0").count() == 0
     assert mixing.mix(docs, odd).columns == docs.columns
+    assert mixing.mix(docs, odd, all_stay=True).select("doc_id", "text").distinct().count() == 4
+    assert mixing.mix(docs.limit(0), none, all_stay=True).count() == 0
     assert mixing.mix(docs.limit(0), none).count() == 0
 
 

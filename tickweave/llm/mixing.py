@@ -109,9 +109,11 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
           total: float | None = None, id_col: str = "doc_id", text_col: str = "text",
-          keep: list[str] | None = None) -> tuple[DataFrame, dict]:
+          keep: list[str] | None = None, all_stay: bool = False) -> tuple[DataFrame, dict]:
     """``docs`` with ``tokens``, ``p`` (posterior per domain), ``rate`` and ``copies``; and the fit's totals.
 
+    ``all_stay``: scale all rates by one factor so that the least is 1 (shares
+    of domains stay as fitted) and no document is left out.
     ``keep``: columns of ``docs`` that come back beside them, from the table
     the rates are fitted on; by default all, scored again as the result is read
     (so that texts are not kept twice).
@@ -131,13 +133,17 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     steps, info = fit_rates(fitted, list(targets.values()), total)
     scored = scored if keep is None else fitted
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("copies")), 11).cast("double") / F.lit(float(2 ** 53))
-    out = scored.withColumn("rate", rate("p", steps)).withColumn(
-        "copies", (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
-    return out, info | {"steps": len(steps)}
+    low = fitted.agg(F.min(rate("p", steps)).alias("low")).first()["low"] if all_stay else None
+    least, scale = (1, 1 / low) if low else (0, 1.0)
+    out = scored.withColumn("rate", rate("p", steps) * F.lit(scale)).withColumn(
+        "copies", F.greatest(F.lit(least), F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int"))
+        .cast("int"))
+    return out, info | {"steps": len(steps), "scale": scale}
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
-        total: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        total: float | None = None, id_col: str = "doc_id", text_col: str = "text",
+        all_stay: bool = False) -> DataFrame:
     """The mixed corpus: the columns of ``docs``, each row as often as its ``copies``."""
-    out, _ = rates(docs, labels, targets, domain, total, id_col, text_col)
+    out, _ = rates(docs, labels, targets, domain, total, id_col, text_col, all_stay=all_stay)
     return out.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("__copy")).drop("__copy")
