@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,14 +35,15 @@ def word_features(words: set[str]) -> set[str]:
 def shape_features(text: str, words: list[str]) -> list[str]:
     """One feature per figure and bin: repetition, symbols, digits, capitals, word length, line repetition."""
     n, m = max(1, len(text)), max(1, len(words))
-    letters = sum(map(len, words))
-    blanks = len(text.split()) or 1
+    lengths = list(map(len, words)) or [0]
+    letters = sum(lengths)
+    blanks = text.count(" ") + text.count("\n") + 1
     lines = [x for x in text.split("\n") if x.strip()] or [""]
     figures = {
         "distinct": len(set(words)) / m, "symbols": 1 - letters / n - (blanks - 1) / n, "glued": m / blanks,
         "digits": sum(map(text.count, "0123456789")) / n, "length": letters / m / 10,
         "lines": len(set(lines)) / len(lines), "perline": min(1.0, m / len(lines) / 100),
-        "longest": max(map(len, words), default=0) / 40, "bars": text.count("|") / blanks,
+        "longest": max(lengths) / 40, "bars": text.count("|") / blanks,
         "stops": (text.count(".") + text.count(",")) / blanks}
     return [f"#{k}:{min(20, int(v * 10))}" for k, v in figures.items()]
 
@@ -64,17 +64,17 @@ class Model:
         """A function of a text giving its class posteriors (for one class: its probability)."""
         weights, bias = self.weights, self.bias.tolist()
         whole = {n for n in weights if n[0] != "#" and n[-1] != "*"}
-        starts = {k: {n[:-1] for n in weights if n[-1] == "*" and len(n) == k + 1} for k in PREFIXES}
+        starts = {k: {n[:-1]: w for n, w in weights.items() if n[-1] == "*" and len(n) == k + 1} for k in PREFIXES}
 
         def posterior(text: str | None) -> list[float]:
             text, words = read(text)
             distinct = set(words)
             there = [n for n in shape_features(text, words) if n in weights]
             there += distinct & whole
+            found = [weights[n] for n in there]
             for k, known in starts.items():
-                there += [p + "*" for p in {w[:k] for w in distinct} & known]
-            found = [weights[n] for n in sorted(there)]
-            z = [b + sum([f[c] for f in found]) for c, b in enumerate(bias)]
+                found += [known[p] for p in {w[:k] for w in distinct} & known.keys()]
+            z = [math.fsum([b, *[f[c] for f in found]]) for c, b in enumerate(bias)]  # exact in any order
             if len(z) == 1:
                 return [1 / (1 + math.exp(-min(30.0, max(-30.0, z[0]))))]
             e = [math.exp(x - max(z)) for x in z]
@@ -86,11 +86,11 @@ class Model:
         """Posteriors of a text column, as ``array<double>``."""
         model = self
 
-        @F.pandas_udf("array<double>")
-        def posteriors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("array<double>")
+        def posteriors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             posterior = model.scorer()
-            for s in batches:
-                yield pd.Series([posterior(t) for t in s])
+            for texts in batches:
+                yield pa.array([posterior(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
         return posteriors(F.col(text))
 
@@ -133,7 +133,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id
     return hold(got.groupBy("key").agg(F.min_by(F.struct("y", "ids", "pairs"), "y").alias("g")).select("key", "g.*"))
 
 
-def fit(got: DataFrame, classes: list[int], prior: list[float], features: int = 4000, least_docs: int = 4,
+def fit(got: DataFrame, classes: list[int], prior: list[float], features: int = 2500, least_docs: int = 4,
         least_z: float = 4.0, l2: float = 2e-4, swap_penalty: float = 0.0, steps: int = 150,
         rate: float = 0.08) -> Model:
     """Train on :func:`sample`'s rows. ``prior``: the classes' true shares, to undo the sample's balance.
