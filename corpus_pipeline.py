@@ -23,7 +23,7 @@ TARGETS = {"good": 0.86, "low": 0.14}
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the toxicity threshold (8)."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.bucket4("__id") != 2)
-    return toxicity.score(docs, model, out="__score").filter(F.col("__score") < TOXIC_FROM).select(*docs.columns)
+    return docs.filter(model.column("text")[0] < TOXIC_FROM)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

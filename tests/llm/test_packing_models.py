@@ -210,3 +210,29 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, sf).collect()
     check_packing(out)
     assert {r["doc_id"] for r in out} == ids
+
+
+def test_stages_on_odd_documents(spark, tmp_dir):
+    """Nulls, repeated rows and ids, blank and long texts, clashing names, empty tables."""
+    rows = [(1, "a b c d e f g", "s", 1.0, "x"), (1, "a b c d e f g", "s", 1.0, "x"), (None, "a b c d e f g", None, None, "y"),
+            (None, None, None, 2.0, None), (2, None, "s", 2.0, "z"), (3, "", "s", 2.0, "z"), (4, " \n ", "s", 3.0, "z"),
+            (5, "word " * 30_000, "s", 3.0, "z"), (6, "word " * 30_000 + "!", "s", 3.0, "z"), (None, "other text", "s", 3.0, "q")]
+    schema = "doc_id long, text string, source string, rate double, kept string"
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 0, 1), (3, 0, None), (99, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_dir}/labels.parquet")
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        at, n = docs, []
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            at = stage(spark, at, tmp_dir)
+            assert at.columns == docs.columns
+            got = at.collect()
+            at = spark.createDataFrame(got, docs.schema)
+            n.append(len(got))
+            assert {(r["rate"], r["kept"]) for r in got} <= {(r[3], r[4]) for r in rows}
+        packed = corpus_pipeline.STAGES[-1][1](spark, at, tmp_dir).collect()
+        check_packing(packed)
+        if docs.isEmpty():
+            assert n == [0, 0, 0, 0] and not packed
+        else:
+            assert n[0] == len(rows) and n[1] == 6 and n[2] == 6 and n[3] >= 6

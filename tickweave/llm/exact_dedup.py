@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickweave.llm.work import BLANK, apart, hold
+from tickweave.llm.work import BLANK, ID, TEXT, apart, hold, whole_rows
 
 PREFIX = 256
 
@@ -70,5 +70,6 @@ def refine(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix: int =
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
-    return refine(docs, normalised(text_col), id_col).filter("kept").select(*docs.columns)
+    """The rows that stay, with the columns of ``docs``, whatever their names."""
+    rows = whole_rows(docs, id_col, text_col)
+    return refine(rows, normalised(TEXT), ID, keep=["__row", ID]).filter("kept").select("__row.*")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickweave.llm import linear
-from tickweave.llm.work import hold
+from tickweave.llm.work import ID, TEXT, hold, whole_rows
 
 # The labelled table's domains, and their default target shares of tokens.
 TARGETS = {"good": 0.80, "low": 0.14, "toxic": 0.06}
@@ -144,6 +144,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
         total: float | None = None, id_col: str = "doc_id", text_col: str = "text",
         all_stay: bool = False) -> DataFrame:
-    """The mixed corpus: the columns of ``docs``, each row as often as its ``copies``."""
-    out, _ = rates(docs, labels, targets, domain, total, id_col, text_col, all_stay=all_stay)
-    return out.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("__copy")).drop("__copy")
+    """The mixed corpus: the columns of ``docs``, whatever their names, each row as often as its ``copies``."""
+    out, _ = rates(whole_rows(docs, id_col, text_col), labels.withColumnRenamed(id_col, ID), targets, domain, total, ID,
+                   TEXT, all_stay=all_stay)
+    return out.select("__row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("__row.*")

@@ -102,6 +102,15 @@ def apart(*cols: str) -> Column:
     return F.xxhash64(*cols)
 
 
+ID, TEXT = "__doc_id", "__doc_text"
+
+
+def whole_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` as one struct ``__row`` beside its id and text, so that no column name can clash with a step's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(id_col).alias(ID),
+                       F.col(text_col).alias(TEXT))
+
+
 def text_bytes(col: str | Column) -> Column:
     """UTF-8 length of a text; none for a null."""
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
