@@ -218,7 +218,7 @@ def test_stages_on_odd_documents(spark, tmp_dir):
             (None, None, None, 2.0, None), (2, None, "s", 2.0, "z"), (3, "", "s", 2.0, "z"), (4, " \n ", "s", 3.0, "z"),
             (5, "word " * 30_000, "s", 3.0, "z"), (6, "word " * 30_000 + "!", "s", 3.0, "z"), (None, "other text", "s", 3.0, "q")]
     schema = "doc_id long, text string, source string, rate double, kept string"
-    labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 0, 1), (3, 0, None), (99, 1, 1)],
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 0, 1), (3, 0, None), (99, 1, 0), (5, 1, 0), (6, 1, 0)],
                                    "doc_id long, quality int, toxic int")
     labels.write.parquet(f"{tmp_dir}/labels.parquet")
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
