@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickweave.llm import (
     best_fit, exact_dedup, license_scan, minhash, mixing, sentence_spans, shard_tree, sphere_caps, toxicity, url_rules,
 )
-from tickweave.llm.work import hold, one_wave, table, text_bytes
+from tickweave.llm.work import hold, one_wave, release, table, text_bytes
 
 # Fixed values of the url contract: (host and path, verdict).
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
@@ -146,8 +146,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL}
 
 
+def _fresh(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Free what earlier queries hold (a result not yet written would be computed again), then run."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        release()
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: _fresh(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
