@@ -87,26 +87,26 @@ def _hash_runs(run: int, least_words: int, long: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for at, (row, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
                 found = sentences(text.as_py(), long)
                 for a, b in runs([s[2] for s in found], run, least_words):
                     h = xxhash.xxh3_128_intdigest(b"\n".join(s[3] for s in found[a:b + 1]))
-                    out.append(((h >> 64) - 2 ** 63, (h & (2 ** 64 - 1)) - 2 ** 63, row, a << 32 | b,
+                    out.append((at, (h >> 64) - 2 ** 63, (h & (2 ** 64 - 1)) - 2 ** 63, row, a << 32 | b,
                                 found[a][0] << 32 | found[b][1]))
                 if len(out) > 50_000:
-                    yield _batch(out)
+                    yield _batch(batch, out)
                     out = []
-            yield _batch(out)
+            yield _batch(batch, out)
     return work
 
 
 RUNS = "h long, h2 long, row long, places long, chars long"
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                      names=["h", "h2", "row", "places", "chars"])
+def _batch(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+    at, *cols = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 6)]
+    return pa.RecordBatch.from_arrays([batch.column(0).take(at), *cols],
+                                      names=["doc", "h", "h2", "row", "places", "chars"])
 
 
 def repeated_spans(docs: DataFrame, run: int = 3, least_words: int = 12, long: int = LONG, id_col: str = "doc_id",
@@ -126,11 +126,11 @@ def repeated_spans(docs: DataFrame, run: int = 3, least_words: int = 12, long: i
     """
     base = docs.select(F.col(id_col).alias("doc"), F.monotonically_increasing_id().alias("row"),
                        F.col(text_col).alias("text"))
-    found = base.select("row", "text").mapInArrow(_hash_runs(run, least_words, long), RUNS)
+    kind = base.schema["doc"].dataType.simpleString()
+    found = base.mapInArrow(_hash_runs(run, least_words, long), f"doc {kind}, {RUNS}")
     again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h", apart("h").alias("apart"))
-    shared = (found.withColumn("apart", apart("h")).join(again, ["h", "apart"], "left_semi")
-              .withColumn("first", F.shiftright("places", 32)).drop("apart"))
-    shared = hold(shared.join(base.select("row", "doc"), "row"))
+    shared = hold(found.withColumn("apart", apart("h")).join(again, ["h", "apart"], "left_semi")
+                  .withColumn("first", F.shiftright("places", 32)).drop("apart"))
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "row", "first")
     firsts = shared.groupBy("h", "h2").agg(F.min(place).alias("low"), F.count("*").alias("n")).filter("n > 1").select(
         "h", "h2", apart("h", "h2").alias("apart"), "low")
