@@ -77,7 +77,7 @@ def index_rules(rules: DataFrame, url_tokens: DataFrame) -> DataFrame:
     """Each rule under its rarest literal token over all urls (``url_tokens``: a row per url and token)."""
     lit = rules.select("rule", F.explode_outer("tokens").alias("token")).fillna("", ["token"])
     wanted = lit.select("token").distinct()
-    counts = url_tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    counts = url_tokens.groupBy("token").agg(F.count("*").alias("n")).join(wanted, "token", "left_semi")
     rarest = (lit.join(counts, "token", "left").fillna(0, ["n"])
               .groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("token")))
     return rules.join(rarest, "rule").select("token", "rule", "verdict", "rank", "regex")
