@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Settings of sessions built here (on a cluster: of spark-submit). Time is kept in
@@ -85,8 +87,13 @@ def delete_work(path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-@atexit.register
 def clean_up() -> None:
     """Delete all work folders; results that still read them must have been written."""
     for path in list(_WORK):
         delete_work(path)
+
+
+@atexit.register
+def _at_exit() -> None:
+    with contextlib.suppress(Py4JError, OSError):  # the JVM may be gone already
+        clean_up()
