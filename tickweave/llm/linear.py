@@ -61,12 +61,12 @@ class Model:
     weights: dict[str, tuple[float, ...]] = field(default_factory=dict)
 
     def scorer(self):
-        """A function of a text giving its class posteriors (for one class: its probability)."""
+        """A function of a text giving its number of words and class posteriors (for one class: its probability)."""
         weights, bias = self.weights, self.bias.tolist()
         whole = {n for n in weights if n[0] != "#" and n[-1] != "*"}
         starts = {k: {n[:-1]: w for n, w in weights.items() if n[-1] == "*" and len(n) == k + 1} for k in PREFIXES}
 
-        def posterior(text: str | None) -> list[float]:
+        def posterior(text: str | None) -> tuple[int, list[float]]:
             text, words = read(text)
             distinct = set(words)
             there = [n for n in shape_features(text, words) if n in weights]
@@ -76,21 +76,22 @@ class Model:
                 found += [known[p] for p in {w[:k] for w in distinct} & known.keys()]
             z = [math.fsum([b, *[f[c] for f in found]]) for c, b in enumerate(bias)]  # exact in any order
             if len(z) == 1:
-                return [1 / (1 + math.exp(-min(30.0, max(-30.0, z[0]))))]
+                return len(words), [1 / (1 + math.exp(-min(30.0, max(-30.0, z[0]))))]
             e = [math.exp(x - max(z)) for x in z]
-            return [x / sum(e) for x in e]
+            return len(words), [x / sum(e) for x in e]
 
         return posterior
 
-    def column(self, text: str) -> F.Column:
-        """Posteriors of a text column, as ``array<double>``."""
+    def column(self, text: str, count: bool = False) -> F.Column:
+        """Posteriors of a text column, as ``array<double>``; with ``count``, the number of words before them."""
         model = self
 
         @F.arrow_udf("array<double>")
         def posteriors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             posterior = model.scorer()
             for texts in batches:
-                yield pa.array([posterior(t.as_py()) for t in texts], pa.list_(pa.float64()))
+                both = (posterior(t.as_py()) for t in texts)
+                yield pa.array([[float(n), *p] if count else p for n, p in both], pa.list_(pa.float64()))
 
         return posteriors(F.col(text))
 

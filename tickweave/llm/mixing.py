@@ -41,15 +41,10 @@ def train(docs: DataFrame, labels: DataFrame, domain: Column, k: int, most: int
     return linear.fit(got, list(range(k)), [s / max(1, sum(shares)) for s in shares])
 
 
-def posteriors(model: linear.Model, k: int, text_col: str = "text") -> Column:
-    """``array<double>`` of ``k`` posteriors."""
-    p = model.column(text_col)
-    return F.array(1 - p[0], p[0]) if k == 2 else p
-
-
-def token_count(text_col: str = "text") -> Column:
-    """Words of a text (runs without white space); none for a null."""
-    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"\S+")), F.lit(0)).cast("long")
+def scored_columns(model: linear.Model, k: int, text_col: str = "text") -> tuple[Column, Column]:
+    """Tokens of a text (its words, runs of letters and digits; none for a null) and ``array<double>`` of ``k`` posteriors."""
+    got = model.column(text_col, count=True)
+    return got[0].cast("long"), F.array(1 - got[1], got[1]) if k == 2 else F.slice(got, 2, k)
 
 
 def rate(p: str, steps: list[list[float]]) -> Column:
@@ -127,7 +122,8 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     targets = targets or TARGETS
     k = len(targets)
     model = train(docs, labels, domain_of_labels() if domain is None else domain, k, MOST, id_col, text_col)
-    scored = docs.withColumn("tokens", token_count(text_col)).withColumn("p", posteriors(model, k, text_col))
+    tokens, p = scored_columns(model, k, text_col)
+    scored = docs.withColumns({"tokens": tokens, "p": p})
     own = ("tokens", "p", "rate", "copies")
     fitted = hold(scored.select(*[c for c in keep or [] if c not in own], "tokens", "p"))
     steps, info = fit_rates(fitted, list(targets.values()), total)
