@@ -134,6 +134,27 @@ def test_swaps_keep_neutral_mentions_clean(spark):
     assert share[0.0] > 0.5 and share[5.0] < 0.2, share
 
 
+def test_every_telling_word_has_a_weight(spark):
+    """7000 words tell the classes apart equally well; texts of any 20 of them are told apart."""
+    r = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = r.sample([x + y + z for x in letters for y in letters for z in letters], 7000)
+    docs, tests = [], []
+    for toxic, words in enumerate((vocabulary[:3500], vocabulary[3500:])):
+        texts = [set() for _ in range(600)]
+        for w in words:
+            for t in r.sample(texts, 20):
+                t.add(w)
+        docs += [(len(docs) + i, " ".join(sorted(t)), toxic) for i, t in enumerate(texts)]
+        words = sorted(words)
+        tests += [(len(tests) + i // 20, " ".join(words[i:i + 20]), toxic) for i in range(0, 3500, 20)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    model = toxicity.train(d, d, swap_penalty=0.0)
+    assert set(vocabulary) <= set(model.weights)
+    got = toxicity.score(spark.createDataFrame(tests, "doc_id long, text string, toxic int"), model)
+    assert got.filter("score >= 0.5 and toxic = 0 or score <= 0.5 and toxic = 1").count() == 0
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "x y", "a"), (1, "x " * 50_000, "a")],
                                  "doc_id long, text string, score string")

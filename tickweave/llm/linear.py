@@ -134,15 +134,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id
     return hold(got.groupBy("key").agg(F.min_by(F.struct("y", "ids", "pairs"), "y").alias("g")).select("key", "g.*"))
 
 
-def fit(got: DataFrame, classes: list[int], prior: list[float], features: int = 2500, least_docs: int = 4,
-        least_z: float = 4.0, l2: float = 2e-4, swap_penalty: float = 0.0, steps: int = 150,
-        rate: float = 0.08) -> Model:
+def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int = 4, least_z: float = 4.0,
+        l2: float = 2e-4, swap_penalty: float = 0.0, steps: int = 250, rate: float = 0.08) -> Model:
     """Train on :func:`sample`'s rows. ``prior``: the classes' true shares, to undo the sample's balance.
 
     One class of two is a logistic, more a softmax. Features are counted by
-    class in Spark; the driver gets at most ``features`` of them (in
-    ``least_docs`` documents or more, their share differing between classes by
-    ``least_z`` standard errors), and the sample's rows cut down to those.
+    class in Spark; the driver gets each that is in ``least_docs`` documents or
+    more and whose share differs between classes by ``least_z`` standard errors,
+    and the sample's rows cut down to those. Only the sample bounds their number.
     ``swap_penalty`` weighs the mean squared change of the score when identity
     terms are swapped.
     """
@@ -156,46 +155,48 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], features: int =
     n = np.array([n.get(c, 0) for c in classes], float)
     if (n > 0).sum() < 2:
         return Model(bias)
-    names = _telling(got, classes, n, features, least_docs, least_z)
+    names = _telling(got, classes, n, least_docs, least_z)
     if not len(names):
         return Model(bias)
-    data = _cut_down(got, names).toPandas().sort_values("key")  # bounded by the sample and ``features``
+    data = _cut_down(got, names).toArrow().sort_by("key").combine_chunks()  # bounded by the sample
+    at, swaps = data["at"].combine_chunks(), data["swaps"].combine_chunks().flatten()
     y = np.searchsorted(classes, data["y"].to_numpy())
-    row = np.repeat(np.arange(len(data)), data["at"].map(len))
-    col = np.concatenate([*data["at"], np.empty(0, int)]).astype(int)
-    pairs = [p for ps in data["swaps"] for p in ps if len(p)]  # signed places: +i + 1 removed, -i - 1 added
-    pr = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
-    signed = np.concatenate([*pairs, np.empty(0, int)]).astype(int)
+    wide = at.value_lengths().to_numpy()
+    row = np.repeat(np.arange(len(y)), wide)
+    col = at.flatten().to_numpy().astype(int)
+    size = swaps.value_lengths().to_numpy()
+    pairs = np.count_nonzero(size)
+    pr = np.repeat(np.arange(len(size)), size)
+    signed = swaps.flatten().to_numpy().astype(int)  # signed places: +i + 1 removed, -i - 1 added
     pc, ps = np.abs(signed) - 1, np.sign(signed).astype(float)
     wt = (prior / np.maximum(n, 1) * len(y))[y]  # restores the true shares
     target = (y == 1).astype(float)[:, None] if outs == 1 else np.eye(k)[y]
-    w, b = np.zeros((len(names), outs)), bias
+    w, b = np.zeros((outs, len(names))), bias
     m = [np.zeros_like(w), np.zeros_like(b)]
     v = [np.zeros_like(w), np.zeros_like(b)]
     for t in range(1, steps + 1):
-        logit = b + np.stack([np.bincount(row, w[col, c], len(y)) for c in range(outs)], axis=1)
+        logit = b + np.stack([np.bincount(row, w[c].take(col), len(y)) for c in range(outs)], axis=1)
         if outs == 1:
             post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         else:
             post = np.exp(logit - logit.max(axis=1, keepdims=True))
             post /= post.sum(axis=1, keepdims=True)
         r = (post - target) * wt[:, None] / len(y)
-        gw = np.stack([np.bincount(col, r[row, c], len(names)) for c in range(outs)], axis=1) + l2 * w
-        if swap_penalty and len(pairs):
+        gw = np.stack([np.bincount(col, np.repeat(r[:, c], wide), len(names)) for c in range(outs)]) + l2 * w
+        if swap_penalty and pairs:
             for c in range(outs):
-                change = np.bincount(pr, ps * w[pc, c], len(pairs))
-                gw[:, c] += 2 * swap_penalty / len(pairs) * np.bincount(pc, ps * change[pr], len(names))
+                change = np.bincount(pr, ps * w[c].take(pc), len(size))
+                gw[c] += 2 * swap_penalty / pairs * np.bincount(pc, ps * change[pr], len(names))
         for i, (x, g) in enumerate(((w, gw), (b, r.sum(axis=0)))):
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.999 * v[i] + 0.001 * g * g
             x -= rate * (m[i] / (1 - 0.9 ** t)) / (np.sqrt(v[i] / (1 - 0.999 ** t)) + 1e-8)
-    keep = np.abs(w).max(axis=1) > 1e-3
-    return Model(b, {f: tuple(x) for f, x in zip(names[keep].tolist(), w[keep].tolist())})
+    keep = np.abs(w).max(axis=0) > 1e-3
+    return Model(b, {f: tuple(x) for f, x in zip(names[keep].tolist(), w.T[keep].tolist())})
 
 
-def _telling(got: DataFrame, classes: list[int], n: np.ndarray, features: int, least_docs: int,
-             least_z: float) -> np.ndarray:
-    """Names of the features that tell classes apart best, in ascending order."""
+def _telling(got: DataFrame, classes: list[int], n: np.ndarray, least_docs: int, least_z: float) -> np.ndarray:
+    """Names of all features that tell classes apart, in ascending order."""
     total = float(n.sum())
     df = got.select("y", F.explode("ids").alias("id")).groupBy("id").agg(
         F.count("*").cast("double").alias("n"), *[F.sum((F.col("y") == c).cast("double")).alias(f"n{i}")
@@ -205,7 +206,7 @@ def _telling(got: DataFrame, classes: list[int], n: np.ndarray, features: int, l
          / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * float(1 / x + 1 / (total - x)))
          for i, x in enumerate(n) if 0 < x < total]
     best = (df.filter(F.col("n") >= least_docs).select("id", F.greatest(*z, F.lit(0.0)).alias("z"))
-            .filter(F.col("z") >= least_z).orderBy(F.desc("z"), "id").limit(features))
+            .filter(F.col("z") >= least_z))
     return np.array(sorted(r["id"] for r in best.collect()), dtype=object)
 
 
