@@ -186,6 +186,40 @@ def test_rates_reach_their_targets(spark):
             assert np.abs(np.array(sums) / sum(sums) - weights).sum() < np.abs(start - weights).sum()
 
 
+@pytest.mark.parametrize("a, b, reached", [(40, 1, True), (4, 36, True), (2, 18, True), (2, 60, False), (400, 7600, False)])
+def test_staying_rates_lose_no_document(spark, a, b, reached):
+    """Weak and clean classifiers: no rate under 1, a bounded corpus, shares nearer to their targets."""
+    r = random.Random(a * 100 + b)
+    clean = (a, b) == (40, 1)  # a tenth of the documents surely of the second domain; else all posteriors alike
+    low = [r.betavariate(a, b) if not clean or r.random() < 0.1 else r.betavariate(1, 60) for _ in range(3000)]
+    df = spark.createDataFrame([(r.randrange(1, 900), [1 - x, x]) for x in low], "tokens long, p array<double>")
+    steps, info = mixing.fit_staying(df, [0.86, 0.14])
+    got = df.withColumn("r", mixing.rate("p", steps, 1.0)).collect()
+    assert min(g["r"] for g in got) >= 1
+    sums = np.array([sum(g["tokens"] * g["p"][i] * g["r"] for g in got) for i in range(2)])
+    start = np.array(info["before"]) / sum(info["before"])
+    assert np.allclose(sums, info["after"])
+    assert sums.sum() <= 2 * max(info["before"][0] / 0.86, info["before"][1] / 0.14) * 1.001
+    gap = abs(sums[1] / sums.sum() - 0.14)
+    assert abs(info["missed"] - gap) < 1e-9 and (gap < 1e-3 if reached else gap < abs(start[1] - 0.14))
+
+
+def test_mixing_with_a_weak_classifier_keeps_all(spark):
+    """Labels that the texts hardly tell: no document is lost and none repeated without bound."""
+    r = random.Random(12)
+    words = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(1500):
+        low = r.random() < 0.1
+        rows.append((i, " ".join(r.choice(words[:14] if low and r.random() < 0.25 else words) for _ in range(20)), int(not low)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    domain = F.when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
+    for targets in ({"good": 0.86, "low": 0.14}, {"good": 0.3, "low": 0.7}):
+        out = mixing.mix(docs, docs, targets, domain, all_stay=True).groupBy("doc_id").count().collect()
+        assert {x["doc_id"] for x in out} == set(range(1500))
+        assert sum(x["count"] for x in out) <= 2 * 1500 * max(0.9 / targets["good"], 0.2 / targets["low"]) * 1.2
+
+
 def test_mixing_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (None, "x y", "a"), (1, "x " * 5_000, "a")],
                                  "doc_id long, text string, rate string")

@@ -47,12 +47,12 @@ def scored_columns(model: linear.Model, k: int, text_col: str = "text") -> tuple
     return got[0].cast("long"), F.array(1 - got[1], got[1]) if k == 2 else F.slice(got, 2, k)
 
 
-def rate(p: str, steps: list[list[float]]) -> Column:
-    """The rate of a document with posterior column ``p`` after ``steps``."""
+def rate(p: str, steps: list[list[float]], least: float = 0.0) -> Column:
+    """The rate of a document with posterior column ``p`` after ``steps``, none below ``least``."""
     r = F.lit(1.0)
     for step in steps:
         dot = sum((F.col(p)[i] * F.lit(float(s)) for i, s in enumerate(step)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), r - dot)
+        r = F.greatest(F.lit(least), r - dot)
     return r
 
 
@@ -102,13 +102,83 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
     return steps, {"total": total, "before": before.tolist(), "after": s.tolist(), "targets": goal.tolist()}
 
 
+def fit_staying(rows: DataFrame, weights: list[float], total: float | None = None, tolerance: float = 1e-4,
+                most_growth: float = 2.0, most_steps: int = 25) -> tuple[list[list[float]], dict]:
+    """One step whose :func:`rate` with ``least`` 1 brings ``rows (tokens, p)`` nearest to shares ``weights``.
+
+    Of all rates of 1 or more that reach the shares, those nearest to 1 (squares
+    weighted by tokens). They are ``max(1, 1 - posterior . step)``; the step is
+    the minimum of a convex function, found by Newton steps, one Spark job each.
+    Shares that take more than ``most_growth`` times the least total at which no
+    domain has to shrink, or that no such rates reach, are missed: then totals
+    are brought as near as can be to ``weights`` of that least total (or of
+    ``total``, if given). ``info["missed"]`` is the largest gap of a share.
+    """
+    k = len(weights)
+    w = np.array(weights, float) / sum(weights)
+
+    def sums(step):
+        steps = [step.tolist()]
+        r = rows.select("tokens", "p", rate("p", steps, 1.0).alias("r"))
+        free = F.lit(True) if not step.any() else F.col("r") > 1
+        cells = [F.sum(F.col("tokens") * F.col("p")[i] * F.col("r")).alias(f"s{i}") for i in range(k)] + [
+            F.sum(F.when(free, F.col("tokens") * F.col("p")[i] * F.col("p")[j])).alias(f"g{i}_{j}")
+            for i in range(k) for j in range(i, k)] + [
+            F.sum(F.col("tokens") * (F.col("r") - 1) * (F.col("r") - 1)).alias("e")]
+        got = r.agg(*cells).first()
+        s = np.array([got[f"s{i}"] or 0.0 for i in range(k)])
+        g = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+        return s, g, got["e"] or 0.0
+
+    start = sums(np.zeros(k))
+    before = start[0]
+    if not before.sum():
+        return [], {"total": 0.0, "before": before.tolist(), "after": before.tolist(), "targets": [0.0] * k, "missed": 0.0}
+    least = float(max(before[i] / w[i] for i in range(k) if w[i] > 0))
+
+    def solve(a, goal):
+        """Rates of 1 or more that bring ``a.T @ sums`` nearest to ``goal``."""
+        ridge = 1e-7 * np.trace(start[1])
+        x, (s, g, e) = np.zeros(k), start
+        value = 0.0
+        for _ in range(most_steps):
+            slope = ridge * x - (a.T @ s - goal)
+            if np.abs(slope).max() <= tolerance / 10 * least:
+                break
+            step = np.linalg.solve(a.T @ g @ a + ridge * np.eye(k), -slope)
+            for _ in range(10):  # halve a step that overshoots
+                y = x + step
+                s2, g2, e2 = sums(a @ y)
+                new = ridge * (y @ y) / 2 + (goal - a.T @ before) @ y + e2 / 2
+                if new <= value + 1e-4 * (slope @ step):
+                    break
+                step = step / 2
+            else:
+                break
+            x, s, g, value = y, s2, g2, new
+        return a @ x, s
+
+    def gap(s):
+        return float(np.abs(s / s.sum() - w).max())
+
+    step, s = np.zeros(k), before
+    if total is None:
+        step, s = solve(np.eye(k) - np.outer(np.ones(k), w), np.zeros(k))  # sums less their share of the total: none
+    if total is not None or gap(s) > tolerance * 10 or s.sum() > most_growth * least:
+        step, s = solve(np.eye(k), w * (total or least))
+        if s.sum() > most_growth * max(total or least, before.sum()):  # not settled within ``most_steps``
+            step, s = np.zeros(k), before
+    return [step.tolist()], {"total": float(s.sum()), "before": before.tolist(), "after": s.tolist(),
+                             "targets": (w * s.sum()).tolist(), "missed": gap(s)}
+
+
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
           total: float | None = None, id_col: str = "doc_id", text_col: str = "text",
           keep: list[str] | None = None, all_stay: bool = False) -> tuple[DataFrame, dict]:
     """``docs`` with ``tokens``, ``p`` (posterior per domain), ``rate`` and ``copies``; and the fit's totals.
 
-    ``all_stay``: scale all rates by one factor so that the least is 1 (shares
-    of domains stay as fitted) and no document is left out.
+    ``all_stay``: rates are 1 or more, so that no document is left out; shares
+    that such rates do not reach are missed (see :func:`fit_staying`).
     ``keep``: columns of ``docs`` that come back beside them, from the table
     the rates are fitted on; by default all, scored again as the result is read
     (so that texts are not kept twice).
@@ -126,15 +196,14 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
     scored = docs.withColumns({"tokens": tokens, "p": p})
     own = ("tokens", "p", "rate", "copies")
     fitted = hold(scored.select(*[c for c in keep or [] if c not in own], "tokens", "p"))
-    steps, info = fit_rates(fitted, list(targets.values()), total)
+    fit, least = (fit_staying, 1) if all_stay else (fit_rates, 0)
+    steps, info = fit(fitted, list(targets.values()), total)
     scored = scored if keep is None else fitted
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit("copies")), 11).cast("double") / F.lit(float(2 ** 53))
-    low = fitted.agg(F.min(rate("p", steps)).alias("low")).first()["low"] if all_stay else None
-    least, scale = (1, 1 / low) if low else (0, 1.0)
-    out = scored.withColumn("rate", rate("p", steps) * F.lit(scale)).withColumn(
+    out = scored.withColumn("rate", rate("p", steps, float(least))).withColumn(
         "copies", F.greatest(F.lit(least), F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("int"))
         .cast("int"))
-    return out, info | {"steps": len(steps), "scale": scale}
+    return out, info | {"steps": len(steps)}
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
