@@ -118,6 +118,22 @@ def test_scan(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(license_scan.TEMPLATES))
+def test_verbatim_notice_after_template_words(name):
+    """A template word at any distance before a notice, or an edited notice, changes nothing about it."""
+    t = license_scan.WORD.findall(license_scan.TEMPLATES[name].lower())
+    words = sorted(set(t)) if len(t) < 20 else sorted(set(t))[::12]
+    for w in words:
+        for gap in range(0 if w != t[0] else 1, len(t) * 3 // 2 + 1, 1 if len(t) < 20 else 5):
+            text = ["x", w, *["y"] * gap, *t, "z", *["y"] * 5]
+            got = license_scan.find(text, t, 0.8, 1.5)
+            assert got == [(2 + gap, 1 + gap + len(t), 1.0)], (w, gap)
+    if len(t) >= 10:
+        edited = [x for i, x in enumerate(t) if i != len(t) // 2]
+        got = license_scan.find([*edited, "y", *t], t, 0.8, 1.5)
+        assert got == [(0, len(t) - 2, (len(t) - 1) / len(t)), (len(t), 2 * len(t) - 1, 1.0)]
+
+
 def test_op3_finds_every_license_line(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     want = {(d["doc_id"], k) for d in docs for k, t in license_scan.TEMPLATES.items() if t in d["text"]}

@@ -99,6 +99,26 @@ def _longest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _settle(words: list[str], hits: list[int], i: int, got: list[tuple[int, int]], template: list[str],
+            span: int) -> tuple[int, int, int]:
+    """First word, last word and number of aligned words of the notice that ``got``, aligned from ``hits[i]``, is part of.
+
+    A window that starts at a template word before the notice can end inside
+    it. So whole windows from later starts are aligned too; of those that share
+    half of ``got`` the one with the most words stands, then the shortest.
+    """
+    seen = {(hits[i] + x, y) for x, y in got}
+    half = -(-len(got) // 2)
+    best = (len(got), got[0][0] - got[-1][0], hits[i] + got[0][0])
+    for at in hits[i + 1:]:
+        if best[0] == len(template) == 1 - best[1] or at > hits[i] + got[-half][0]:
+            break
+        here = [(at + x, y) for x, y in align(words[at:at + span], template)]
+        if len(seen.intersection(here)) >= half:
+            best = max(best, (len(here), here[0][0] - here[-1][0], here[0][0]), key=lambda b: b[:2])
+    return best[2], best[2] - best[1], best[0]
+
+
 def find(words: list[str], template: list[str], least: float, stretch: float) -> list[tuple[int, int, float]]:
     """``(first word, last word, coverage)`` of each place that covers ``least`` of the template, in order."""
     need = max(1, -(-int(round(least * len(template) * 1000)) // 1000))
@@ -112,8 +132,8 @@ def find(words: list[str], template: list[str], least: float, stretch: float) ->
             continue
         got = align(words[hits[i]:hits[i] + span], template)
         if len(got) >= need:
-            first, last = hits[i] + got[0][0], hits[i] + got[-1][0]
-            out.append((first, last, len(got) / len(template)))
+            first, last, n = _settle(words, hits, i, got, template, span)
+            out.append((first, last, n / len(template)))
             i = bisect_left(hits, last + 1)
         else:
             i += 1
