@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import (
-    best_fit, exact_dedup, license_scan, minhash, mixing, sentence_spans, shard_tree, sphere_caps, toxicity, url_rules,
+    best_fit, exact_dedup, license_scan, minhash, mixing, sentence_spans, shard_tree, sphere_caps, token_counts, toxicity,
+    url_rules,
 )
 from tickweave.llm.work import hold, one_wave, release, table, text_bytes
 
@@ -131,6 +132,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "rate", "copies")
 
 
+def op13_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole text; a flag for those over 1024 tokens."""
+    return one_wave(hold(token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_tree": op1_shard_tree,
     "op2_url_rules": op2_url_rules,
@@ -142,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op13_whole_tokens": op13_whole_tokens,
 }
 ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL}
 
