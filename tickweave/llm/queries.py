@@ -6,14 +6,15 @@ passes over texts run while a work table is made, in small batches.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import (
-    best_fit, exact_dedup, license_scan, minhash, mixing, sentence_spans, shard_tree, sphere_caps, token_counts, toxicity,
-    url_rules,
+    best_fit, bit_planes, exact_dedup, license_scan, minhash, mixing, ranked_search, sentence_spans, shard_tree, sphere_caps,
+    token_counts, toxicity, url_rules,
 )
 from tickweave.llm.work import hold, one_wave, release, table, text_bytes
 
@@ -132,6 +133,77 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "rate", "copies")
 
 
+def op11_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings of 64 components in 8 clusters after 10 rounds, in exact integers."""
+    out, centroids = bit_planes.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, salt="3", scale=1024)
+    digests = [F.lit(hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for c in centroids.tolist()]
+    digest = F.array(*digests)[F.col("cluster")] if digests else F.lit(None).cast("string")
+    return out.withColumnRenamed("id", "vec_id").withColumn("centroid_sha256", digest)
+
+
+def _op11_sql(k: int = 8, rounds: int = 10) -> str:
+    parts = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS uid, vec_id, x, list_dot_product(x, x) AS xx
+  FROM (SELECT vec_id, [floor(1024 * CAST(e AS DOUBLE)) FOR e IN embedding] AS x FROM embeddings
+        WHERE len(embedding) = 64 AND len([e FOR e IN embedding IF e IS NOT NULL AND isfinite(e)]) = 64)),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, x
+  FROM kept ORDER BY sha256('3:' || vec_id) LIMIT {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""d{r} AS (
+  SELECT k.uid, c.c, k.xx + list_dot_product(c.x, c.x) - 2 * list_dot_product(k.x, c.x) AS d FROM kept k, c{r} c),
+a{r} AS MATERIALIZED (
+  SELECT uid, c, d FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY d, c) AS n FROM d{r}) WHERE n = 1)""")
+        if r < rounds:
+            parts.append(f"""s{r} AS (
+  SELECT a.c, i, sum(CAST(k.x[i] AS HUGEINT)) AS s, count(*) AS n
+  FROM a{r} a JOIN kept k USING (uid), range(1, 65) t(i) GROUP BY a.c, i),
+m{r} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) / n AS DOUBLE) ORDER BY i) AS x FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (c))""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string([CAST(CAST(e AS BIGINT) AS VARCHAR) FOR e IN c.x], ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (uid) JOIN c{rounds} c ON c.c = a.c"""
+
+
+def op12_ranked_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item (a top-k report: the limit is the feature)."""
+    out = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+n AS (SELECT uid, doc_id, len(words) AS n, words FROM d WHERE len(words) > 0),
+c AS (SELECT count(*) AS N_, sum(n)::BIGINT AS L_ FROM n),
+q AS (
+  SELECT DISTINCT uid, item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS uid, * FROM benchmark)),
+p AS (
+  SELECT uid, term, count(*) AS tf FROM (SELECT uid, unnest(words) AS term FROM n)
+  WHERE term IN (SELECT term FROM q) GROUP BY uid, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * N_ + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+g AS (
+  SELECT p.uid, n.doc_id, p.term,
+         w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n.n * N_) // L_))) AS gain
+  FROM p JOIN w USING (term) JOIN n USING (uid), c),
+s AS (
+  SELECT q.uid AS item, q.item_id, g.uid, g.doc_id, sum(gain)::BIGINT AS score
+  FROM q JOIN g USING (term) GROUP BY ALL HAVING sum(gain) > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+
 def op13_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every whole text; a flag for those over 1024 tokens."""
     return one_wave(hold(token_counts.count(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")))
@@ -148,9 +220,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_bit_planes": op11_bit_planes,
+    "op12_ranked_terms": op12_ranked_terms,
     "op13_whole_tokens": op13_whole_tokens,
 }
-ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_url_rules": OP2_SQL, "op9_exact_dedup": OP9_SQL, "op11_bit_planes": _op11_sql(),
+                              "op12_ranked_terms": OP12_SQL}
 
 
 def _fresh(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
