@@ -23,7 +23,7 @@ WHERE = {
     "K4": "sinks.files (append writes)", "K5": "sinks.files.append_table", "K6": "sinks.files.append_json_lines",
     "K7": "streaming.landing.with_ingest_date", "K8": "sinks.bus.write_jdbc (not runnable here: no database)",
     "P1": "operators.decode.parse_json / decode", "P2": "operators.decode.decode (flatten)",
-    "P3": "operators.decode.normalize_python_literals", "P4": "operators.decode.explode_ticks(_checked) / prune_tick",
+    "P3": "operators.literals.tokens / to_json", "P4": "operators.decode.explode_ticks(_checked) / prune_tick",
     "P5": "operators.bars.ohlcv (select)", "P6": "functions.text.suffix_columns",
     "P7": "functions.text.compound_key / split_compound_key", "P8": "functions.text.split_depth",
     "P9": "operators.instruments.repair_futures", "P10": "functions.text.positional_fields",
@@ -49,7 +49,7 @@ WHERE = {
     "C8": "operators.decode.bytes_to_text", "N1": "F.round", "N2": "reconcile Volume_Difference",
     "N3": "try_cast in broker / text helpers", "M1": "operators.broker (get_json_object path)",
     "M2": "operators.decode.prune_tick", "M3": "operators.decode.explode_ticks (get / slice / filter)",
-    "M4": "operators.decode.decode(python_repr=True)", "M5": "operators.decode.to_json_text",
+    "M4": "operators.literals.to_json, operators.decode.decode(python_repr=True)", "M5": "operators.decode.to_json_text",
     "M6": "operators.instruments.repair_futures (NULL)", "W1": "streaming.live_bars.live_bars (withWatermark)",
     "W2": "streaming.landing.land (append)", "W3": "streaming.landing.land (checkpointLocation)",
     "W4": "StreamingQuery.awaitTermination", "W5": "streaming.live_bars.live_bars",

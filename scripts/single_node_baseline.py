@@ -1,8 +1,7 @@
-"""Single-process pandas timings of the steps the original tool runs outside Spark.
+"""Single-process pandas timings of the two bar steps, on the same rows as the Spark queries of that name.
 
-These are our own pandas formulations (same results as the Spark queries) used
-only as a single-node reference point for bench.py; nothing here is used by
-the library. Prints one JSON line of seconds per step.
+A single-node figure to set beside bench.py; nothing here is used by the
+library. Prints one JSON line of seconds per step.
 """
 
 from __future__ import annotations
@@ -12,73 +11,39 @@ import os
 import sys
 import time
 
-import numpy as np
 import pandas as pd
 
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 
 
-def timed(fn):
-    t0 = time.perf_counter()
-    out = fn()
-    return time.perf_counter() - t0, out
+def bars(ticks: pd.DataFrame, width: str) -> pd.DataFrame:
+    """Open, high, low, close, volume and number of ticks per instrument and time bucket; columns as in the tick view."""
+    ticks = ticks.sort_values(["ts", *[c for c in ticks.columns if c.startswith("seq")]])
+    groups = ticks.groupby(["instrument", ticks["ts"].dt.floor(width).rename("bar_start")], sort=False)
+    return groups.agg(open=("price", "first"), high=("price", "max"), low=("price", "min"), close=("price", "last"),
+                      volume=("qty", "sum"), ticks=("price", "size")).reset_index()
 
 
-def bars(df, inst, ts, price, qty, order, freq):
-    d = df.sort_values(order)
-    d = d.assign(bar_start=d[ts].dt.floor(freq))
-    return d.groupby([inst, "bar_start"], sort=False).agg(
-        open=(price, "first"), high=(price, "max"), low=(price, "min"), close=(price, "last"),
-        volume=(qty, "sum"), ticks=(price, "size")).reset_index()
-
-
-def main():
+def event_ticks() -> pd.DataFrame:
     ev = pd.read_parquet(f"{SF}/events.parquet")
-    li = pd.read_parquet(f"{SF}/lineitem.parquet")
-    part = pd.read_parquet(f"{SF}/part.parquet")
-    out = {}
-    ev["qty"] = ev["props"].str.extract(r'"k":\s*(\d+)')[0].astype("Int64")
+    qty = ev["props"].str.extract(r'"k":\s*(\d+)')[0].astype("Int64")
+    return pd.DataFrame({"instrument": ev["event_type"], "ts": ev["ts"], "price": ev["value"], "qty": qty, "seq": ev["event_id"]})
 
-    out["ohlcv_bars"], _ = timed(lambda: bars(ev, "event_type", "ts", "value", "qty", ["ts", "event_id"], "1h"))
-    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
-    out["ohlcv_bars_daily"], daily = timed(lambda: bars(li, "l_partkey", "l_shipdate", "l_extendedprice",
-                                                        "l_quantity", order, "1D"))
 
-    def reconcile():
-        landed = bars(li[li.l_linenumber <= 5], "l_partkey", "l_shipdate", "l_extendedprice", "l_quantity",
-                      order, "1D")
-        a = daily.add_suffix("_api")
-        b = landed.add_suffix("_s3")
-        m = a.merge(b, left_on=["l_partkey_api", "bar_start_api"], right_on=["l_partkey_s3", "bar_start_s3"])
-        m["Volume_Difference"] = m["volume_api"] - m["volume_s3"]
-        return m
-    out["volume_reconcile"], _ = timed(reconcile)
-
-    def master():
-        lines = (part.p_type + "|" + part.p_name + "|" + part.p_brand + "|" + part.p_size.astype(str)).tolist()
-        rows = [ln.split("|") + [None] * 19 for ln in lines]
-        df = pd.DataFrame(rows, columns=[f"c{i}" for i in range(23)])
+def line_ticks() -> pd.DataFrame:
+    li = pd.read_parquet(f"{SF}/lineitem.parquet")
+    return pd.DataFrame({"instrument": li["l_partkey"], "ts": li["l_shipdate"], "price": li["l_extendedprice"],
+                         "qty": li["l_quantity"], "seq1": li["l_orderkey"], "seq2": li["l_linenumber"],
+                         "seq3": li["l_suppkey"], "seq4": li["l_extendedprice"]})
 
-        def shift(r):
-            if "PROMO" in (r["c0"] or ""):
-                r["c22"], r["c21"], r["c20"], r["c19"] = r["c20"], r["c19"], r["c18"], r["c17"]
-                r["c17"] = r["c18"] = None
-            return r
-        return df.apply(shift, axis=1)
-    out["instrument_master"], _ = timed(master)
 
-    def broker():
-        rows = []
-        for _, g in daily.head(200_000).groupby("l_partkey", sort=False):
-            text = ",".join(f"{int(s.timestamp())}|{o}|{h}|{lo}|{c}|{v}|0|" for s, o, h, lo, c, v in
-                            zip(g.bar_start, g.open, g.high, g.low, g.close, g.volume)) + ","
-            for row in text.rstrip(",").split(","):
-                if row:
-                    rows.append([x for x in row.split("|") if x][:7])
-        return pd.DataFrame(rows, columns=["Timestamp", "Open", "High", "Low", "Close", "Volume", "OI"])
-    out["broker_bars_decode"], _ = timed(broker)
-    print(json.dumps({"metric": "pandas_single_process_seconds", "sf": SF, "steps":
-                      {k: round(v, 3) for k, v in out.items()}, "numpy": np.__version__}))
+def main() -> None:
+    out = {}
+    for name, view, width in (("ohlcv_bars", event_ticks, "1h"), ("ohlcv_bars_daily", line_ticks, "1D")):
+        t0 = time.perf_counter()
+        bars(view(), width)
+        out[name] = round(time.perf_counter() - t0, 3)
+    print(json.dumps({"metric": "pandas_single_process_seconds", "sf": SF, "steps": out}))
 
 
 if __name__ == "__main__":

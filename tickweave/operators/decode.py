@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from tickweave.operators import literals
+
 CORRUPT = "_corrupt_record"
 REASON = "_reason"
 
@@ -38,19 +40,6 @@ def parse_json(text, schema: StructType) -> Column:
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
-def normalize_python_literals(text) -> Column:
-    """``None`` / ``True`` / ``False`` standing as whole values -> JSON literals.
-
-    A value counts as whole when it follows ``:``, ``,`` or ``[`` (plus blanks)
-    and is followed by ``,``, ``}`` or ``]``. Only applied to rows that failed
-    to decode, so text values holding such words in valid JSON are untouched.
-    """
-    t = _c(text)
-    for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
-        t = F.regexp_replace(t, r"([:\[,]\s*)" + py + r"(?=\s*[,}\]])", "$1" + js)
-    return t
-
-
 def unwrap_json_string(text) -> Column:
     """A JSON string holding JSON text (``"{\\"a\\":1}"``) -> the inner text; else unchanged."""
     t = _c(text)
@@ -78,20 +67,24 @@ def decode(df: DataFrame, text, schema: StructType, keep=(), python_repr: bool =
            unwrap: bool = False) -> DataFrame:
     """Decode ``text`` with ``schema`` and flatten the fields next to ``keep``.
 
-    python_repr -- retry failed rows after turning Python literals into JSON
+    python_repr -- payloads may be Python literals (``str(dict)``): read as JSON by
+                   :mod:`tickweave.operators.literals`; other text is taken as it is
     unwrap      -- first unwrap a JSON-encoded string holding the payload
-    Output: keep..., schema fields..., _corrupt_record (NULL when clean).
+    Output: keep..., schema fields..., _corrupt_record (NULL when clean, else the payload).
     """
     t = _c(text)
     if unwrap:
         t = unwrap_json_string(t)
-    parsed = parse_json(t, schema)
-    if python_repr:
-        retry = parse_json(normalize_python_literals(t), schema)
-        # Take the retry only when it decodes cleanly; otherwise keep the first
-        # attempt, so the quarantine holds the original payload text.
-        parsed = F.when(parsed[CORRUPT].isNotNull() & retry[CORRUPT].isNull(), retry).otherwise(parsed)
-    return df.select(*keep, parsed.alias("__d")).select(*keep, "__d.*")
+    if not python_repr:
+        return df.select(*keep, parse_json(t, schema).alias("__d")).select(*keep, "__d.*")
+    # A step each, so that no step's expression is computed more than once: one parse a row.
+    rows = df.select(*keep, t.alias("__t"))
+    rows = rows.select(*keep, "__t", literals.tokens(F.col("__t")).alias("__k"))
+    rows = rows.select(*keep, "__t", literals.to_json(F.col("__t"), F.col("__k")).alias("__j"))
+    rows = rows.select(*keep, "__t", parse_json("__j", schema).alias("__d"))
+    fields = [f for f in with_corrupt(schema).fieldNames() if f != CORRUPT]
+    return rows.select(*keep, *[F.col("__d")[f].alias(f) for f in fields],
+                       F.when(F.col("__d")[CORRUPT].isNotNull(), F.col("__t")).alias(CORRUPT))
 
 
 def decode_checked(df: DataFrame, text, schema: StructType, required=(), keep=(), **kw) -> DataFrame:

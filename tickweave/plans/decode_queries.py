@@ -14,7 +14,7 @@ from tickweave.operators.decode import (bytes_to_text, decode, decode_checked, e
 from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket
 from tickweave.schemas import CANDLE, TICK_FEED1, TICK_FEED2, TICK_FEED2_RAW
 from tickweave.sources.messages import (event_k, feed1_fields, feed1_messages, feed2_tick_lists,
-                                        python_repr_messages)
+                                        python_repr_messages, python_string)
 from tickweave.sources.tables import table
 
 _FEED1_SQL = f"""
@@ -47,11 +47,42 @@ SELECT event_id AS id, event_id, event_type, value, {SQL_EVENT_QTY} AS k, value
 FROM events
 """, ids=("P3", "M4"))
 def q_tick_repr_decode(spark, sf_dir):
-    """Python ``str(dict)`` payloads: decode, and retry failures after normalising literals."""
+    """Python ``str(dict)`` payloads: literals read as JSON, strings left alone, one parse a row."""
     msgs = python_repr_messages(table(spark, sf_dir, "events")).withColumnRenamed("event_id", "id")
     return decode(msgs, "value", REPR_SCHEMA, keep=["id"], python_repr=True)
 
 
+# Notes that look like literals, hold quotes, blanks and escapes, in turn; the last two are a value None
+# and an escape without a character (half of a surrogate pair), which is quarantined.
+_NOTES = [", None, y", ": True}, [False, nan]", " it's", ' says "hi", None', ' it\'s "both": None,',
+          " C:\\new\\table\\\n\tNone\r", " bell \x07 é 漢 😀"]
+
+
+def _sql_text(text: str) -> str:
+    """A text as a DuckDB expression, control characters by number."""
+    return " || ".join(f"chr({ord(c)})" if c < " " else "'" + c.replace("'", "''") + "'" for c in text)
+
+
+@register("tick_repr_quoted", sql=f"""
+SELECT event_id AS id, CASE WHEN kind < 8 THEN event_id END AS event_id, CASE WHEN kind < 8 THEN event_type END AS event_type,
+       CASE WHEN kind < 8 THEN value END AS value, CASE WHEN kind < 8 THEN {SQL_EVENT_QTY} END AS k,
+       CASE WHEN kind < 8 THEN value > 100 END AS big,
+       CASE {" ".join(f"WHEN kind = {i} THEN 'u' || user_id || {_sql_text(n)}" for i, n in enumerate(_NOTES))} END AS note,
+       CASE WHEN kind = 8 THEN 'malformed' END AS _reason
+FROM (SELECT *, event_id % 9 AS kind FROM events)
+""", ids=("P3", "M4", "D4", "X10"))
+def q_tick_repr_quoted(spark, sf_dir):
+    """Python ``str(dict)`` payloads whose strings hold literals, quotes and escapes; a reason where one has no text."""
+    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    kind = F.col("event_id") % 9
+    note = F.when(kind == len(_NOTES), F.lit("None")).when(kind == len(_NOTES) + 1, F.lit("'half \\ud83d pair'"))
+    for i, n in enumerate(_NOTES):
+        note = note.when(kind == i, python_string(F.concat(user, F.lit(n))))
+    msgs = python_repr_messages(table(spark, sf_dir, "events"), note).withColumnRenamed("event_id", "id")
+    checked = decode_checked(msgs, "value", REPR_SCHEMA, required=["event_id"], keep=["id"], python_repr=True)
+    return checked.drop("_corrupt_record")
+
+
 REENC_SCHEMA = StructType([StructField("event_id", LongType()), StructField("event_type", StringType()),
                            StructField("value", DoubleType()), StructField("k", IntegerType())])
 

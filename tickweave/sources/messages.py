@@ -40,17 +40,29 @@ def feed1_messages(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.encode(to_json_text(*feed1_fields()), "UTF-8").alias("value"))
 
 
-def python_repr_messages(events: DataFrame) -> DataFrame:
-    """Payload written as Python ``str(dict)``: single quotes, None/True/False."""
-    def q(c):
-        return F.concat(F.lit("'"), c, F.lit("'"))
+def python_string(c: Column) -> Column:
+    """A text as Python's ``repr`` writes it (printable characters, blanks and the bell)."""
+    double = c.contains("'") & ~c.contains('"')
+    body = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for raw, escape in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\x07", "\\x07")):
+        body = F.replace(body, F.lit(raw), F.lit(escape))
+    single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(single)
+
+
+def python_repr_messages(events: DataFrame, note: Column | None = None) -> DataFrame:
+    """Payload written as Python ``str(dict)``: quoted strings, None/True/False.
+
+    ``note``: the literal text of the note field (default: ``'u<user>'`` or None).
+    """
     k = F.coalesce(event_k().cast("string"), F.lit("None"))
     big = F.when(F.col("value") > 100, F.lit("True")).otherwise(F.lit("False"))
-    note = F.when(F.col("user_id") % 3 == 0, F.lit("None")).otherwise(
-        q(F.concat(F.lit("u"), F.col("user_id").cast("string"))))
+    if note is None:
+        note = F.when(F.col("user_id") % 3 == 0, F.lit("None")).otherwise(
+            python_string(F.concat(F.lit("u"), F.col("user_id").cast("string"))))
     text = F.concat(
         F.lit("{'event_id': "), F.col("event_id").cast("string"),
-        F.lit(", 'event_type': "), q(F.col("event_type")),
+        F.lit(", 'event_type': "), python_string(F.col("event_type")),
         F.lit(", 'value': "), F.col("value").cast("string"),
         F.lit(", 'k': "), k, F.lit(", 'big': "), big, F.lit(", 'note': "), note, F.lit("}"))
     return events.select("event_id", text.alias("value"))
