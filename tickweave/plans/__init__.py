@@ -7,4 +7,5 @@ from tickweave.plans import (  # noqa: F401  (import fills the registry)
     reconcile_queries,
     order_queries,
     io_queries,
+    feed_queries,
 )

@@ -49,15 +49,20 @@ def _spanned_days(days: DataFrame, width: str | None, calendar: str | None) -> D
         day_tag("day").alias("ingest_date"))
 
 
-def correct_bars(spark: SparkSession, landed_path: str, bars_path: str, days: DataFrame,
-                 width: str | None = None, ticks_view=lambda df: df, calendar: str | None = None, **kw) -> None:
-    """Rebuild all bars that start on ``days`` (see :func:`touched_days`) and replace those day partitions.
+def rebuilt_bars(landed: DataFrame, days: DataFrame, width: str | None = None, ticks_view=lambda df: df,
+                 calendar: str | None = None, **kw) -> DataFrame:
+    """All bars that start on ``days``, from the landed ticks (a table partitioned by ``ingest_date``).
 
-    The landed scan is semi-joined with the spanned days on its partition
-    column, so other days are not read.
+    The landed scan is semi-joined with the days those bars span on its
+    partition column, so other days are not read.
     """
-    spanned = _spanned_days(days, width, calendar)
-    affected = spark.read.parquet(landed_path).join(spanned, "ingest_date", "left_semi")
+    affected = landed.join(_spanned_days(days, width, calendar), "ingest_date", "left_semi")
     bars = bars_by_day(ticks_view(affected), width, calendar=calendar, **kw)
-    bars = bars.join(days.select(day_tag("day").alias("ingest_date")), "ingest_date", "left_semi")
+    return bars.join(days.select(day_tag("day").alias("ingest_date")), "ingest_date", "left_semi")
+
+
+def correct_bars(spark: SparkSession, landed_path: str, bars_path: str, days: DataFrame,
+                 width: str | None = None, ticks_view=lambda df: df, calendar: str | None = None, **kw) -> None:
+    """Rebuild all bars that start on ``days`` (see :func:`touched_days`) and replace those day partitions."""
+    bars = rebuilt_bars(spark.read.parquet(landed_path), days, width, ticks_view, calendar, **kw)
     write_bars(bars, bars_path, dynamic=True)
