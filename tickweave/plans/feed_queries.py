@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickweave.operators import offsets, subscriptions
 from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import register
 from tickweave.session import work_path
@@ -71,3 +72,88 @@ def q_late_ticks_corrected(spark, sf_dir):
     live = spark.read.schema(bars.schema).parquet(f"{root}/live")
     return late.correct(spark, root, schema, live, f"{root}/corrected", "1 hour",
                         ticks_view=lambda df: event_ticks(df).dropDuplicates(["instrument", "seq"]))
+
+
+# How the numbered feed of the tests goes wrong: offsets 7 to 9 of every 50 are lost, every 40th comes twice at
+# once, and the second delivery (from the 16th on) starts by replaying the 14th and 15th.
+_NUMBERED_SQL = """
+SELECT 'ticks' AS topic, CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS "offset", CASE WHEN day(ts) < 16 THEN 1 ELSE 2 END AS run
+FROM events WHERE (event_id // 3) % 50 NOT IN (7, 8, 9)"""
+_OFFSETS_SQL = f"""
+WITH once AS ({_NUMBERED_SQL}),
+d AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE "offset" % 40 = 5
+      UNION ALL SELECT topic, partition, "offset", 2 FROM once JOIN events ON once."offset" = event_id // 3 AND once.partition = event_id % 3
+                WHERE day(ts) IN (14, 15)),
+present AS (SELECT DISTINCT topic, partition, "offset" FROM d),
+gap AS (SELECT topic, partition, "offset" + 1 AS from_offset,
+               lead("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") - 1 AS to_offset FROM present),
+c AS (SELECT topic, partition, run, "offset", count(*) AS n FROM d GROUP BY ALL),
+again AS (SELECT *, n + CAST(EXISTS (SELECT 1 FROM c b WHERE b.topic = c.topic AND b.partition = c.partition
+                                       AND b."offset" = c."offset" AND b.run < c.run) AS INTEGER) - 1 AS extra FROM c),
+island AS (SELECT *, "offset" - row_number() OVER (PARTITION BY topic, partition, run ORDER BY "offset") AS g FROM again WHERE extra > 0)
+SELECT topic, partition, 'missing' AS kind, CAST(NULL AS INTEGER) AS run, from_offset, to_offset, to_offset - from_offset + 1 AS n
+FROM gap WHERE to_offset >= from_offset
+UNION ALL
+SELECT topic, partition, 'redelivered', CAST(run AS INTEGER), min("offset"), max("offset"), CAST(sum(extra) AS BIGINT)
+FROM island GROUP BY topic, partition, run, g
+"""
+
+
+@register("offset_continuity", sql=_OFFSETS_SQL, ids=("S1", "S8", "X11", "X15"))
+def q_offset_continuity(spark, sf_dir):
+    """Ranges of offsets lost or delivered again, over two deliveries of a numbered feed with the state carried between."""
+    root = work_path(spark, "offsets")
+    ev = table(spark, sf_dir, "events")
+    once = ev.select(F.lit("ticks").alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"),
+                     F.expr("event_id div 3").alias("offset"), F.dayofmonth("ts").alias("day"))
+    once = once.where(~(F.col("offset") % 50).isin(7, 8, 9))
+    run = F.when(F.col("day") < 16, F.lit(1)).otherwise(F.lit(2))
+    fed = (once.withColumn("run", run).unionByName(once.where(F.col("offset") % 40 == 5).withColumn("run", run))
+           .unionByName(once.where(F.col("day").isin(14, 15)).withColumn("run", F.lit(2))))
+    state, reports = None, []
+    for r in (1, 2):
+        again, new = offsets.take(fed.where(F.col("run") == r), state, block=1000)
+        new.write.parquet(f"{root}/state-{r}")
+        state = spark.read.schema(new.schema).parquet(f"{root}/state-{r}")
+        if r == 1:  # the next delivery replaces the state that this report is read with
+            again.write.parquet(f"{root}/again-1")
+            again = spark.read.schema(again.schema).parquet(f"{root}/again-1")
+        reports.append(again.select("*", F.lit("redelivered").alias("kind"), F.lit(r).alias("run")))
+    lost = offsets.missing(state).select("*", F.lit("missing").alias("kind"), F.lit(None).cast("int").alias("run"))
+    return lost.unionByName(reports[0]).unionByName(reports[1])
+
+
+_SUBSCRIBED_SQL = """
+WITH s AS (SELECT user_id, ts, event_type, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS until
+           FROM events WHERE event_type IN ('signup', 'error') AND ts IS NOT NULL),
+t AS (SELECT event_id, CAST(user_id % 2 + 1 AS INTEGER) AS segment, user_id AS instrument, ts, value AS price
+      FROM events WHERE event_type IN ('view', 'click', 'purchase'))
+"""
+
+
+def _subscribed(spark, sf_dir):
+    """Ticks, and the times during which their instruments are subscribed (signups subscribe, errors end it)."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", (F.col("user_id") % 2 + 1).cast("int").alias("segment"), F.col("user_id").alias("instrument"), "ts",
+        F.col("value").alias("price"), "event_type")
+    held = subscriptions.intervals(ev.where(F.col("event_type").isin("signup", "error")), F.col("event_type") == "signup",
+                                   seq="event_id")
+    return ev.where(F.col("event_type").isin("view", "click", "purchase")).drop("event_type"), held
+
+
+@register("subscription_over_time", sql=_SUBSCRIBED_SQL + """
+SELECT t.* FROM t JOIN s ON t.instrument = s.user_id AND s.event_type = 'signup' AND t.ts >= s.ts
+  AND (s.until IS NULL OR t.ts < s.until)
+""", ids=("F3",))
+def q_subscription_over_time(spark, sf_dir):
+    """Ticks that came while their instrument was subscribed (subscribe and unsubscribe events as intervals)."""
+    return subscriptions.during(*_subscribed(spark, sf_dir))
+
+
+@register("unsubscription_over_time", sql=_SUBSCRIBED_SQL + """
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE t.instrument = s.user_id AND s.event_type = 'signup' AND t.ts >= s.ts
+  AND (s.until IS NULL OR t.ts < s.until))
+""", ids=("F4",))
+def q_unsubscription_over_time(spark, sf_dir):
+    """Ticks that came before their instrument was first subscribed or after it was given up."""
+    return subscriptions.outside(*_subscribed(spark, sf_dir))
