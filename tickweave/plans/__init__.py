@@ -8,4 +8,5 @@ from tickweave.plans import (  # noqa: F401  (import fills the registry)
     order_queries,
     io_queries,
     feed_queries,
+    rollup_queries,
 )

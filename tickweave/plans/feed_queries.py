@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from tickweave.operators import offsets, subscriptions
 from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import register
+from tickweave.plans.io_queries import broker_and_landed_bars, compare_sql
 from tickweave.session import work_path
 from tickweave.sources.tables import event_ticks, table
 from tickweave.streaming import late
 from tickweave.streaming.landing import land, with_ingest_date
 from tickweave.streaming.live_bars import live_bars
+from tickweave.streaming.live_reconcile import live_reconcile, settle
 from tickweave.streaming.sources import file_stream
 
 # How the test feed arrives: every 5th tick is held up for two days, every 7th comes again a day later;
@@ -157,3 +159,25 @@ SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE t.instrument = s.user_
 def q_unsubscription_over_time(spark, sf_dir):
     """Ticks that came before their instrument was first subscribed or after it was given up."""
     return subscriptions.outside(*_subscribed(spark, sf_dir))
+
+
+@register("live_reconciliation", sql=compare_sql("FULL OUTER"), ids=("J1", "J2", "W1", "W5", "X12"))
+def q_live_reconciliation(spark, sf_dir):
+    """Broker bars against landed bars as both arrive, some a delivery (ten days) late: pairs and one-sided bars from
+    the watermarked stream-stream join, late and waiting ones settled from the stored sides."""
+    root = work_path(spark, "live-compare")
+    held_up = {"api": F.col("instrument") % 4 == 0, "s3": F.col("instrument") % 6 == 1}
+    schemas = {}
+    for name, bars in broker_and_landed_bars(spark, sf_dir, root).items():
+        days = F.floor(F.datediff(F.to_date("bar_start"), F.lit("2024-01-01").cast("date")) / 10)
+        number = F.least(days + held_up[name].cast("int"), F.lit(_DELIVERIES - 1))
+        bars.withColumn("delivery", number).write.parquet(f"{root}/{name}-sent")
+        schemas[name] = bars.schema
+    for d in range(_DELIVERIES):
+        for name in schemas:
+            sent = spark.read.parquet(f"{root}/{name}-sent").where(F.col("delivery") == d).drop("delivery")
+            sent.write.mode("append").parquet(f"{root}/{name}")
+        out = live_reconcile(*[file_stream(spark, f"{root}/{name}", s) for name, s in schemas.items()], delay="5 minutes")
+        land(out, f"{root}/compared", f"{root}/compared-checkpoint", partition_by=(), available_now=True).awaitTermination()
+    streamed = spark.read.schema(out.schema).parquet(f"{root}/compared")
+    return settle(streamed, *[spark.read.schema(s).parquet(f"{root}/{name}") for name, s in schemas.items()])

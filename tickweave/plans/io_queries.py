@@ -235,12 +235,11 @@ BARS_CSV = ("instrument bigint, bar_start timestamp_ntz, open double, high doubl
             "volume bigint")
 
 
-def compare_broker_with_landed(spark, sf_dir, how):
-    """Broker responses against landed ticks: each side's hourly bars exported as CSV, read back and joined.
+def broker_and_landed_bars(spark, sf_dir, root):
+    """Hourly bars decoded from broker responses, and hourly bars of landed ticks, by side.
 
     The landed side lacks the ticks that landing quarantined; both sides are whole.
     """
-    root = work_path(spark, "compare")
     ev = table(spark, sf_dir, "events")
     ticks = ev.select(F.col("user_id").alias("instrument"), "ts", F.col("value").alias("price"),
                       event_k().alias("qty"), F.col("event_id").alias("seq"))
@@ -248,12 +247,17 @@ def compare_broker_with_landed(spark, sf_dir, how):
     broker = decode_broker_bars(responses, "response", 2, "instrument").withColumnRenamed("bar_time", "bar_start")
     msgs = _events_stream(spark, sf_dir).select("event_id", spoilt_feed1_text().alias("value"))
     landed = landed_bars(_land_feed1(spark, msgs, "value", f"{root}/landing"), "1 hour")
-    sides = []
-    for name, bars in (("api", broker), ("s3", landed)):
-        out = bars.select(F.col("exchangeInstrumentID").cast("bigint").alias("instrument"), "bar_start",
-                          F.col("Open").alias("open"), F.col("High").alias("high"), F.col("Low").alias("low"),
-                          F.col("Close").alias("close"), F.col("Volume").cast("bigint").alias("volume"))
-        sides.append(read_bar_csv(spark, write_csv(out, f"{root}/{name}"), BARS_CSV))
+    return {name: bars.select(F.col("exchangeInstrumentID").cast("bigint").alias("instrument"), "bar_start",
+                              F.col("Open").alias("open"), F.col("High").alias("high"), F.col("Low").alias("low"),
+                              F.col("Close").alias("close"), F.col("Volume").cast("bigint").alias("volume"))
+            for name, bars in (("api", broker), ("s3", landed))}
+
+
+def compare_broker_with_landed(spark, sf_dir, how):
+    """Broker responses against landed ticks: each side's hourly bars exported as CSV, read back and joined."""
+    root = work_path(spark, "compare")
+    sides = [read_bar_csv(spark, write_csv(bars, f"{root}/{name}"), BARS_CSV)
+             for name, bars in broker_and_landed_bars(spark, sf_dir, root).items()]
     return reconcile_volume(*sides, how=how)
 
 
