@@ -9,4 +9,5 @@ from tickweave.plans import (  # noqa: F401  (import fills the registry)
     io_queries,
     feed_queries,
     rollup_queries,
+    index_queries,
 )
