@@ -7,13 +7,13 @@ sample is bounded by a parameter; everything else runs over all rows.
 
 from __future__ import annotations
 
-import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,10 @@ from tickweave.llm.work import hold
 
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
+ASCII = bytes(range(128))
+# What is no word character in ASCII as a blank; bytes of other characters as they are.
+SPACED = bytes(b if b >= 128 or WORD.match(chr(b)) else 32 for b in range(256))
+TOGETHER = 4 << 20  # characters of texts that are scored together (a longer text by itself)
 
 
 def word_features(words: set[str]) -> set[str]:
@@ -32,18 +36,21 @@ def word_features(words: set[str]) -> set[str]:
     return out
 
 
-def shape_features(text: str, words: list[str]) -> list[str]:
-    """One feature per figure and bin: repetition, symbols, digits, capitals, word length, line repetition."""
-    n, m = max(1, len(text)), max(1, len(words))
-    lengths = list(map(len, words)) or [0]
-    letters = sum(lengths)
+def shape_features(text: str, words: int, distinct: int, letters: int, longest: int) -> list[str]:
+    """One feature per figure and bin: repetition, symbols, digits, capitals, word length, line repetition.
+
+    ``words``, ``distinct``: number of words and of different ones; ``letters``:
+    characters in them; ``longest``: of the longest.
+    """
+    n, m = max(1, len(text)), max(1, words)
     blanks = text.count(" ") + text.count("\n") + 1
     lines = [x for x in text.split("\n") if x.strip()] or [""]
+    raw = text.encode("utf-8", "surrogatepass")
     figures = {
-        "distinct": len(set(words)) / m, "symbols": 1 - letters / n - (blanks - 1) / n, "glued": m / blanks,
-        "digits": sum(map(text.count, "0123456789")) / n, "length": letters / m / 10,
+        "distinct": distinct / m, "symbols": 1 - letters / n - (blanks - 1) / n, "glued": m / blanks,
+        "digits": (len(raw) - len(raw.translate(None, b"0123456789"))) / n, "length": letters / m / 10,
         "lines": len(set(lines)) / len(lines), "perline": min(1.0, m / len(lines) / 100),
-        "longest": max(lengths) / 40, "bars": text.count("|") / blanks,
+        "longest": longest / 40, "bars": text.count("|") / blanks,
         "stops": (text.count(".") + text.count(",")) / blanks}
     return [f"#{k}:{min(20, int(v * 10))}" for k, v in figures.items()]
 
@@ -53,6 +60,68 @@ def read(text: str | None) -> tuple[str, list[str]]:
     return text, WORD.findall(text.lower())
 
 
+def features(text: str, words: list[str]) -> tuple[list[str], set[str]]:
+    """Shape features and word features of a text and its words."""
+    distinct = set(words)
+    shape = shape_features(text, len(words), len(distinct), sum(map(len, words)), max(map(len, words), default=0))
+    return shape, word_features(distinct)
+
+
+def _once(keys: np.ndarray) -> np.ndarray:
+    """Different keys, in order."""
+    keys = np.sort(keys)
+    return keys[np.diff(keys, prepend=-1) != 0]
+
+
+@dataclass
+class Words:
+    """The words (as :func:`read` gives them) of several texts, each different word once."""
+
+    texts: list[str]
+    distinct: pa.Array  # different words
+    size: np.ndarray  # characters of each
+    text: np.ndarray  # occurrences in order: the text,
+    word: np.ndarray  # and which different word
+    once: tuple[np.ndarray, np.ndarray]  # the same, each word of a text once
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Words:
+        raws = []
+        for text in texts:
+            low = text.lower()
+            raw = low.encode("utf-8", "surrogatepass")
+            if len(raw) != len(low):  # other characters than ASCII: what is no word character becomes a blank
+                for c in set(raw.translate(None, ASCII).decode("utf-8", "surrogatepass")):
+                    if not c.isalnum():
+                        low = low.replace(c, " ")
+                raw = low.encode("utf-8", "surrogatepass")
+            raws.append(raw.translate(SPACED))
+        ends = np.cumsum([len(r) + 1 for r in raws])
+        data = np.frombuffer(b" ".join([*raws, b""]), np.uint8)
+        letter = data != 32
+        edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
+        starts, stops = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+        offsets = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(stops - starts, out=offsets[1:])
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data[letter]))
+        coded = words.dictionary_encode()
+        text, word = np.searchsorted(ends, starts, side="right"), coded.indices.to_numpy().astype(np.int64)
+        some = max(1, len(coded.dictionary))
+        return cls(texts, coded.dictionary, pc.utf8_length(coded.dictionary).to_numpy(), text, word,
+                   np.divmod(_once(text * some + word), some))
+
+    def shapes(self) -> Iterator[list[str]]:
+        """Shape features of each text."""
+        n = len(self.texts)
+        count = np.bincount(self.text, minlength=n)
+        different = np.bincount(self.once[0], minlength=n)
+        sizes = self.size[self.word]
+        letters = np.bincount(self.text, sizes, n).astype(int)
+        longest = np.zeros(n, np.int64)
+        np.maximum.at(longest, self.text, sizes)
+        return map(shape_features, self.texts, count.tolist(), different.tolist(), letters.tolist(), longest.tolist())
+
+
 @dataclass
 class Model:
     """``score = softmax`` (or sigmoid, for one class) of ``bias + sum of weights`` of the features present."""
@@ -61,26 +130,47 @@ class Model:
     weights: dict[str, tuple[float, ...]] = field(default_factory=dict)
 
     def scorer(self):
-        """A function of a text giving its number of words and class posteriors (for one class: its probability)."""
-        weights, bias = self.weights, self.bias.tolist()
-        whole = {n for n in weights if n[0] != "#" and n[-1] != "*"}
-        starts = {k: {n[:-1]: w for n, w in weights.items() if n[-1] == "*" and len(n) == k + 1} for k in PREFIXES}
-
-        def posterior(text: str | None) -> tuple[int, list[float]]:
-            text, words = read(text)
-            distinct = set(words)
-            there = [n for n in shape_features(text, words) if n in weights]
-            there += distinct & whole
-            found = [weights[n] for n in there]
-            for k, known in starts.items():
-                found += [known[p] for p in {w[:k] for w in distinct} & known.keys()]
-            z = [math.fsum([b, *[f[c] for f in found]]) for c, b in enumerate(bias)]  # exact in any order
+        """A function of texts giving, for each, its number of words and class posteriors (for one class: its probability)."""
+        names = list(self.weights)
+        weights = np.array([self.weights[n] for n in names]).reshape(len(names), len(self.bias))
+        at = {n: i for i, n in enumerate(names)}
+        kinds = [(0, [n for n in names if n[0] != "#" and n[-1] != "*"])]
+        kinds += [(k, [n for n in names if n[-1] == "*" and len(n) == k + 1]) for k in PREFIXES]
+        known = [(k, pa.array([n[:k] if k else n for n in ns], pa.large_string()), np.array([at[n] for n in ns], np.int64))
+                 for k, ns in kinds if ns]
+
+        def together(texts: list[str]) -> list[tuple[int, list[float]]]:
+            words, n, size = Words.of(texts), len(texts), len(names)
+            text, word = words.once
+            keys = [np.array([t * size + at[f] for t, fs in enumerate(words.shapes()) for f in fs if f in at], np.int64)]
+            for k, values, places in known:
+                part = pc.utf8_slice_codeunits(words.distinct, 0, k) if k else words.distinct
+                found = pc.fill_null(pc.index_in(part, values), -1).to_numpy().astype(np.int64)
+                if k:
+                    found[words.size < k] = -1
+                found = found[word]
+                keys.append(text[found >= 0] * size + places[found[found >= 0]])
+            keys = _once(np.concatenate(keys))  # each feature of a text once, in order
+            owner, feature = np.divmod(keys, max(1, size))
+            sums = _Sums(owner, n)
+            z = [b + sums(weights[feature, c]) for c, b in enumerate(self.bias)]
+            count = np.bincount(words.text, minlength=n).tolist()
             if len(z) == 1:
-                return len(words), [1 / (1 + math.exp(-min(30.0, max(-30.0, z[0]))))]
-            e = [math.exp(x - max(z)) for x in z]
-            return len(words), [x / sum(e) for x in e]
-
-        return posterior
+                return [(m, [x]) for m, x in zip(count, (1 / (1 + np.exp(-np.clip(z[0], -30, 30)))).tolist())]
+            e = np.exp(np.stack(z, axis=1) - np.max(z, axis=0)[:, None])
+            return list(zip(count, (e / e.sum(axis=1, keepdims=True)).tolist()))
+
+        def posteriors(texts: Iterable[str | None]) -> list[tuple[int, list[float]]]:
+            out, part, held = [], [], 0
+            for text in texts:
+                if part and held + len(text or "") > TOGETHER:
+                    out += together(part)
+                    part, held = [], 0
+                part.append(text or "")
+                held += len(text or "")
+            return out + (together(part) if part else [])
+
+        return posteriors
 
     def column(self, text: str, count: bool = False) -> F.Column:
         """Posteriors of a text column, as ``array<double>``; with ``count``, the number of words before them."""
@@ -88,9 +178,9 @@ class Model:
 
         @F.arrow_udf("array<double>")
         def posteriors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            posterior = model.scorer()
+            scored = model.scorer()
             for texts in batches:
-                both = (posterior(t.as_py()) for t in texts)
+                both = scored(t.as_py() for t in texts)
                 yield pa.array([[float(n), *p] if count else p for n, p in both], pa.list_(pa.float64()))
 
         return posteriors(F.col(text))
@@ -121,9 +211,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: F.Column, limits: dict, id
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 t = t.as_py()
                 text, words = read(t)
+                shape, names = features(text, words)
                 ys.append(y)
                 keys.append(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1)
-                ids.append([*shape_features(text, words), *sorted(word_features(set(words)))])
+                ids.append([*shape, *sorted(names)])
                 pairs.append([sorted(a) for one, other in (swaps(t) if swaps else []) for a in
                               (one - other, other - one)])
             yield pa.RecordBatch.from_arrays(
@@ -174,15 +265,17 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int
     w, b = np.zeros((outs, len(names))), bias
     m = [np.zeros_like(w), np.zeros_like(b)]
     v = [np.zeros_like(w), np.zeros_like(b)]
+    by_row, by_col = _Sums(row, len(y)), _Sums(col, len(names))
+    row_of = row[by_col.order]
     for t in range(1, steps + 1):
-        logit = b + np.stack([np.bincount(row, w[c].take(col), len(y)) for c in range(outs)], axis=1)
+        logit = b + np.stack([by_row(w[c].take(col)) for c in range(outs)], axis=1)
         if outs == 1:
             post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         else:
             post = np.exp(logit - logit.max(axis=1, keepdims=True))
             post /= post.sum(axis=1, keepdims=True)
         r = (post - target) * wt[:, None] / len(y)
-        gw = np.stack([np.bincount(col, np.repeat(r[:, c], wide), len(names)) for c in range(outs)]) + l2 * w
+        gw = np.stack([by_col(r[:, c].take(row_of)) for c in range(outs)]) + l2 * w
         if swap_penalty and pairs:
             for c in range(outs):
                 change = np.bincount(pr, ps * w[c].take(pc), len(size))
@@ -195,6 +288,23 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int
     return Model(b, {f: tuple(x) for f, x in zip(names[keep].tolist(), w.T[keep].tolist())})
 
 
+class _Sums:
+    """Sums of the values of each group: those in ``order`` lie together by group (the caller's order for the first use)."""
+
+    def __init__(self, group: np.ndarray, size: int):
+        self.order = np.argsort(group, kind="stable")
+        n = np.bincount(group, minlength=size)
+        self.there = np.nonzero(n)[0]  # a group without values has the sum 0
+        self.starts = (np.cumsum(n) - n)[self.there]
+        self.size = size
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.size)
+        if len(self.there):
+            out[self.there] = np.add.reduceat(values, self.starts)
+        return out
+
+
 def _telling(got: DataFrame, classes: list[int], n: np.ndarray, least_docs: int, least_z: float) -> np.ndarray:
     """Names of all features that tell classes apart, in ascending order."""
     total = float(n.sum())
