@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tickweave.llm.work import BLANK, ID, TEXT, apart, hold, whole_rows
 
 PREFIX = 256
+SALTS = 16  # parts that the rows of one length and prefix are dealt into
 
 
 def normalised(text: str | Column) -> Column:
@@ -33,40 +34,39 @@ def refine(docs: DataFrame, text: Column, id_col: str = "doc_id", prefix: int =
 
     Shuffles: lengths and prefix hashes are counted with map-side sums; texts
     move once, to meet the counts. A group of copies of any size is counted
-    before it is shuffled, and both joins can be split by AQE (each side is an
-    exchange of its own).
+    before it is shuffled; its rows meet the counts in ``SALTS`` parts, and the
+    second join can be split by AQE (each side is an exchange of its own).
     """
     own = ("keep_id", "group_size", "kept")
     extra = extra or {}
     cols = [c for c in (docs.columns if keep is None else keep) if c not in own and c not in extra]
     body = F.coalesce(text, F.lit(""))
-    rows = (docs.select(*cols, *[e.alias(c) for c, e in extra.items()], body.alias("__text"),
-                        F.monotonically_increasing_id().alias("__uid"))
-            .withColumn("__len", F.octet_length("__text"))
-            .withColumn("__pre", F.xxhash64(F.substring("__text", 1, prefix))))
+    # What a step needs travels beside the row's own columns, which go as one struct: no name can clash.
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols], *[e.alias(c) for c, e in extra.items()])
+    rows = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), body.alias("text"),
+                       F.monotonically_increasing_id().alias("uid"))
+    rows = rows.withColumn("len", F.octet_length("text")).withColumn("pre", F.xxhash64(F.substring("text", 1, prefix)))
     # 1, 2: lengths met twice, and within them prefixes met twice.
-    light = docs.select(body.alias("__text")).select(
-        F.octet_length("__text").alias("__len"), F.xxhash64(F.substring("__text", 1, prefix)).alias("__pre"))
-    pairs = light.groupBy("__len", "__pre").agg(F.count("*").alias("__n"))
-    lengths = pairs.groupBy("__len").agg(F.sum("__n").alias("__in_len")).filter("__in_len > 1")
-    alike = pairs.filter("__n > 1").join(lengths, "__len", "left_semi").select(
-        "__len", "__pre", apart("__len", "__pre").alias("__apart"), F.lit(True).alias("__alike"))
+    light = docs.select(body.alias("text")).select(
+        F.octet_length("text").alias("len"), F.xxhash64(F.substring("text", 1, prefix)).alias("pre"))
+    pairs = light.groupBy("len", "pre").agg(F.count("*").alias("n"))
+    lengths = pairs.groupBy("len").agg(F.sum("n").alias("in_len")).filter("in_len > 1")
+    # A hot pair's rows are dealt by salt: few enough pairs are met twice that each may stand once per salt.
+    alike = pairs.filter("n > 1").join(lengths, "len", "left_semi").select(
+        "len", "pre", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("alike"))
     # 3: the full hash, for those rows only.
-    members = hold(
-        rows.withColumn("__apart", apart("__len", "__pre")).join(alike, ["__len", "__pre", "__apart"], "left")
-        .withColumn("__full", F.when(F.col("__alike"), F.sha2("__text", 256)))
-        .drop("__text", "__alike", "__apart"))
-    key = ["__len", "__pre", "__full"]
-    first = F.min(F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"),
-                           F.col("__uid").alias("uid")))
-    groups = (members.filter("__full is not null").groupBy(*key)
-              .agg(first.alias("__first"), F.count("*").alias("__size")).filter("__size > 1")
-              .withColumn("__apart", apart(*key)))
-    return (members.withColumn("__apart", apart(*key)).join(groups, [*key, "__apart"], "left")
-            .withColumn("keep_id", F.coalesce(F.col("__first.id"), F.col(id_col)))
-            .withColumn("group_size", F.coalesce("__size", F.lit(1)).cast("long"))
-            .withColumn("kept", F.coalesce(F.col("__first.uid") == F.col("__uid"), F.lit(True)))
-            .select(*cols, *extra, *own))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
+    members = hold(salted.join(alike, ["len", "pre", "salt"], "left")
+                   .withColumn("full", F.when(F.col("alike"), F.sha2("text", 256))).drop("text", "alike", "salt"))
+    key = ["len", "pre", "full"]
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("uid").alias("uid")))
+    groups = (members.filter("full is not null").groupBy(*key)
+              .agg(first.alias("first"), F.count("*").alias("size")).filter("size > 1")
+              .withColumn("apart", apart(*key)))
+    return (members.withColumn("apart", apart(*key)).join(groups, [*key, "apart"], "left")
+            .select("row.*", F.coalesce(F.col("first.id"), F.col("id")).alias("keep_id"),
+                    F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+                    F.coalesce(F.col("first.uid") == F.col("uid"), F.lit(True)).alias("kept")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
