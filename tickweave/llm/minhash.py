@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tickweave.llm.components import connected
 from tickweave.llm.shingles import WordHashes, shingle_set, words_of
-from tickweave.llm.work import apart, cut, hold
+from tickweave.llm.work import ID, TEXT, apart, cut, drop, hold, whole_rows
 
 BLOCK = 2048  # shingles hashed at once
 BLOCK_ROWS = 256  # texts of a block, on average
@@ -132,12 +132,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     k = bands * rows
     carry = carry or {}
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       F.struct(F.lit(0).alias("_"), *[c.alias(n) for n, c in carry.items()]).alias("carry"))
+                       F.struct(F.xxhash64(text_col).alias("_"), *[c.alias(n) for n, c in carry.items()]).alias("carry"))
     signed = hold(base.mapInArrow(_sign(width, k, seed), base.select("id", "carry").schema.add("n", "long")
                                   .add("cls", "binary").add("sig", "binary")))
-    classes = cut(signed.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first_id"),
-                                                                      F.min("sig").alias("sig"))
-                  .withColumn("node", F.monotonically_increasing_id()), "classes", few=True)
+    # A class is fetched again by the id and text hash of one of its rows, so rows that share an id stay apart.
+    low = F.min(F.struct(F.col("id").isNull(), F.col("id").alias("id"), F.col("carry._").alias("text")))
+    classes = cut(signed.filter("cls is not null").groupBy("cls").agg(low.alias("low"), F.min("sig").alias("sig"))
+                  .select("cls", F.col("low.id").alias("first_id"), F.col("low.text").alias("first_text"), "sig",
+                          F.monotonically_increasing_id().alias("node")), "classes", few=True)
     labels = _labels(base, classes, width, threshold_pct, bands, rows, margin)
     named = classes.select("node", "cls", "first_id").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -159,11 +161,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opt
     Texts without words all stay. Rows that repeat both id and text stay or go
     together (exact dedup tells them apart).
     """
-    key = F.xxhash64(F.col(text_col))
-    rows = near_duplicates(docs, id_col, text_col, carry={"__key": key}, **options)
-    stay = (rows.filter(F.col("leader") & F.col("id").eqNullSafe(F.col("component_id")))
-            .select(F.col("id").alias("__id"), F.col("__key").alias("__stay")))
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (key == F.col("__stay")), "left_semi")
+    whole, key = whole_rows(docs, id_col, text_col), F.xxhash64(TEXT)
+    rows = near_duplicates(whole, ID, TEXT, carry={"key": key}, **options)
+    stay = rows.filter(F.col("leader") & F.col("id").eqNullSafe(F.col("component_id"))).select("id", "key")
+    return whole.join(stay, F.col(ID).eqNullSafe(F.col("id")) & (key == F.col("key")), "left_semi").select("__row.*")
 
 
 def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int, bands: int, rows: int,
@@ -175,9 +176,14 @@ def _labels(base: DataFrame, classes: DataFrame, width: int, threshold_pct: int,
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     members = hold(_meet(banded.select("node", "bucket"), shared))
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))  # high where many neighbours meet
-    sets = hold(base.join(classes.select("node", "cls", "first_id").join(weight, "node", "left_semi"),
-                         F.col("id").eqNullSafe(F.col("first_id")))
-               .select("node", "cls", "text").mapInArrow(_sets(width), "node long, shingles binary"))
+    wanted = classes.select("node", "cls", "first_id", "first_text").join(weight, "node", "left_semi")
+    found = (base.join(wanted, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("carry._") == F.col("first_text")))
+             .select("node", "cls", "text").mapInArrow(_sets(width), "node long, shingles binary"))
+    sets = hold(found)
+    if sets.count() > weight.count():  # rows that repeat both id and text: one set of each
+        once = hold(sets.dropDuplicates(["node"]))
+        drop(sets)
+        sets = once
     sigs = classes.select("node", "sig")
     open_ = members.select("bucket", "node").join(weight, "node")
     pivots = open_.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top"))
