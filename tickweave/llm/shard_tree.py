@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickweave.llm.work import fresh
+
 
 @dataclass(frozen=True)
 class Node:
@@ -90,17 +92,19 @@ def slots(df: DataFrame, shard: str = "shard", order: tuple[str, ...] = (), buck
 
     A shard can hold any number of rows, so no task numbers a whole shard: rows
     are numbered within ``(shard, hash bucket)``, and the buckets' first numbers
-    come from a table of at most ``shards x buckets`` counts.
+    come from a table of at most ``shards x buckets`` counts. Buckets are by the
+    hash of the whole row, so rows of one key (or of none) do not share one.
     """
-    cols = list(order) or [c for c in df.columns if c != shard]
-    b = df.withColumn("__bucket", F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
-    counts = b.groupBy(shard, "__bucket").agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(shard).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select(shard, "__bucket", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__first"))
-    n = F.row_number().over(Window.partitionBy(shard, "__bucket").orderBy(*cols))
-    return (b.withColumn("__n", n).join(F.broadcast(first), [shard, "__bucket"])  # <= shards x buckets rows
-            .withColumn("slot", (F.col("__first") + F.col("__n") - 1).cast("long"))
-            .drop("__bucket", "__n", "__first"))
+    cols = [F.col(f"`{c}`") for c in (order or [c for c in df.columns if c != shard])]
+    bucket, n, first = fresh(df, "__bucket", "__n", "__first")
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])  # rows of one key are still dealt over buckets
+    b = df.withColumn(bucket, F.pmod(content, F.lit(buckets)).cast("int"))
+    counts = b.groupBy(shard, bucket).agg(F.count("*").alias(n))
+    w = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(shard, bucket, F.coalesce(F.sum(n).over(w), F.lit(0)).alias(first))
+    place = F.row_number().over(Window.partitionBy(shard, bucket).orderBy(*cols, content))
+    return (b.withColumn(n, place).join(F.broadcast(before), [shard, bucket])  # <= shards x buckets rows
+            .select(*[F.col(f"`{c}`") for c in df.columns], (F.col(first) + F.col(n) - 1).cast("long").alias("slot")))
 
 
 def assign(docs: DataFrame, tree: Node, grown: Node | None = None, key: str = "doc_id",
@@ -110,9 +114,9 @@ def assign(docs: DataFrame, tree: Node, grown: Node | None = None, key: str = "d
     ``docs``: any columns; all are kept (``shard``, ``slot`` and ``grown_shard``
     of the input are replaced). Nulls: a null key is placed like any other
     value. Repeated rows get the same shard and slots of their own. Empty
-    tables give no rows. Rows are ordered into slots by the key, then by hash.
+    tables give no rows. Rows are ordered into slots by the hash bucket of the row, then by the key.
     """
-    keep = [c for c in docs.columns if c not in ("shard", "slot", "grown_shard")]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot", "grown_shard")]
     out = docs.select(*keep, place(key, tree).alias("shard"),
                       (place(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
     return slots(out, "shard", (key,), buckets)

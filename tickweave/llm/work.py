@@ -111,6 +111,17 @@ def whole_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias(TEXT))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (names are the same whatever their case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def text_bytes(col: str | Column) -> Column:
     """UTF-8 length of a text; none for a null."""
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
