@@ -2,9 +2,9 @@
 
 Every run of several consecutive sentences is hashed and met with all others of
 the corpus; of a repeated run the first occurrence stays, and sentences covered
-by any other occurrence are removed. Sentences end at ``.``, ``!``, ``?`` or a
-line end, and long ones also at commas, so that a passage of two long sentences
-still holds several. A run is as short as it can be with ``run`` sentences and
+by any other occurrence are removed. Sentences end at ``.``, ``!``, ``?``, at
+the marks of other scripts or at a line end, and long ones also at commas, so
+that a passage of two long sentences still holds several. A run is as short as it can be with ``run`` sentences and
 ``least_words`` words, taken from each sentence forwards and from each sentence
 backwards: so every passage that holds a run is covered from its first whole
 sentence to its last, and chance repeats of a few short sentences are not runs.
@@ -21,33 +21,47 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickweave.llm.work import apart, hold
+from tickweave.llm.work import ID, TEXT, apart, hold, whole_rows
 
-BREAK = re.compile(r"[.!?]+(?=\s)|\n+")
-COMMA = re.compile(r"[,;:](?=\s)")
+# Sentence ends and commas: Latin marks before white space, and those of other scripts (CJK, Indic, Arabic, Armenian,
+# Ethiopic, Khmer, Burmese), which stand without it.
+BREAK = re.compile(r"[.!?]+[\"'”’»)\]]*(?=\s|$)|[\u3002\uff01\uff1f\uff0e\uff61\u0964\u0965\u061f\u06d4\u0589\u1362\u17d4\u104b]+|\n+")
+COMMA = re.compile(r"[,;:](?=\s)|[\u3001\uff0c\uff1b\uff1a\u060c\u061b]")
 WORD = re.compile(r"\w")
+# Words lie between white space and marks (ASCII, Latin-1, general and CJK punctuation, and the sentence ends above).
+WORDS = re.compile(r"[^\s!-/:-@\[-`{-~\u00a1\u00ab\u00b7\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u303f\uff01-\uff0f\uff1a-\uff20"
+                   r"\uff3b-\uff40\uff5b-\uff65\u0964\u0965\u060c\u061b\u061f\u06d4\u0589\u1362\u17d4\u104b]+")
+# Characters of scripts written without blanks (Han, Kana, Thai, Lao, Burmese, Khmer): each counts as a word.
+UNSPACED = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e01-\u0eff\u1000-\u109f\u1780-\u17d3]")
 LONG = 24  # words from which a sentence is also cut at commas
 
 
+def word_count(words: list[str]) -> int:
+    """Words of a sentence; where blanks do not part them, characters."""
+    return sum(1 if w.isascii() else max(1, len(UNSPACED.findall(w))) for w in words)
+
+
 def sentences(text: str | None, long: int = LONG) -> list[tuple[int, int, int, bytes]]:
     """``(start, end, words, normal form)`` of a text's sentences, in characters; those without a letter are left out.
 
-    The normal form is lower case with single spaces.
+    The normal form is the lower-case words with single spaces: quotes, dashes,
+    commas and final marks do not tell sentences apart.
     """
     out = []
     text = text or ""
 
     def add(lo: int, hi: int, cut_long: bool) -> None:
         part = text[lo:hi]
-        words = part.lower().split()
-        if cut_long and len(words) > long:
+        words = WORDS.findall(part.lower())
+        n = len(words) if part.isascii() else word_count(words)
+        if cut_long and n > long:
             at = lo
             for m in COMMA.finditer(text, lo, hi):
                 add(at, m.end(), False)
                 at = m.end()
             add(at, hi, False)
         elif words and WORD.search(part):
-            out.append((lo, hi, len(words), " ".join(words).encode("utf-8", "surrogatepass")))
+            out.append((lo, hi, n, " ".join(words).encode("utf-8", "surrogatepass")))
 
     at = 0
     for m in BREAK.finditer(text):
@@ -162,11 +176,11 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
 
     Rows of equal id and text lose the spans of both (exact dedup tells them apart).
     """
-    key = F.xxhash64(F.col(text_col))
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("k"), F.col(text_col).alias("t"))
+    whole = whole_rows(docs, id_col, text_col).withColumn("key", F.xxhash64(TEXT))
+    keyed = whole.select(F.struct(F.col(ID).alias("id"), "key").alias("k"), F.col(TEXT).alias("t"))
     spans = (repeated_spans(keyed, id_col="k", text_col="t", **options).groupBy("doc_id")
-             .agg(F.collect_set(F.struct("start", "end")).alias("__spans")))
-    spans = spans.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.key").alias("__key"), "__spans")
+             .agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    spans = spans.select(F.col("doc_id.id").alias("of"), F.col("doc_id.key").alias("of_key"), "spans")
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -174,5 +188,6 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
             yield pd.Series([t if f is None else _remove([(s["start"], s["end"]) for s in f], t)
                              for t, f in zip(texts, found)], dtype=object)
 
-    joined = docs.join(spans, F.col(id_col).eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left")
-    return joined.withColumn(text_col, clean(F.col(text_col), F.col("__spans"))).select(*docs.columns)
+    joined = whole.join(spans, F.col(ID).eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left")
+    cleaned = joined.withColumn("cleaned", clean(F.col(TEXT), F.col("spans")))
+    return cleaned.select(*[F.col("cleaned" if c == text_col else f"__row.`{c}`").alias(c) for c in docs.columns])
