@@ -46,11 +46,14 @@ def order_book(order_events: DataFrame, client_id=None) -> DataFrame:
     return latest_per_key(_client(order_events, client_id), ["appOrderID"])
 
 
-def order_history(order_events: DataFrame, order_id=None) -> DataFrame:
-    """State chain of each order: state, previous state and step, in (ts, seq) order."""
+def order_history(order_events: DataFrame, order_id=None, bucket: str = "hour") -> DataFrame:
+    """State chain of each order: state, previous state and step, in (ts, seq) order.
+
+    ``bucket``: unit of time within which one task numbers an order's changes (see :func:`sequence_steps`).
+    """
     ev = order_events if order_id is None else order_events.where(F.col("appOrderID") == order_id)
     ev = ev.select("clientID", "appOrderID", "ts", "seq", "state")
-    return sequence_steps(ev, "appOrderID", list(ORDER_KEY), "state")
+    return sequence_steps(ev, "appOrderID", list(ORDER_KEY), "state", bucket=bucket)
 
 
 def quote_snapshot(ticks: DataFrame, keys=("instrument",), subscriptions: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickweave.functions.ordering import order_key
 from tickweave.functions.text import suffix_columns
+from tickweave.operators.bars import ohlcv
 
 
 def reconcile_volume(api: DataFrame, landed: DataFrame, keys=("instrument", "bar_start"),
@@ -37,6 +39,31 @@ def reconcile_volume(api: DataFrame, landed: DataFrame, keys=("instrument", "bar
     return j.drop("__a", "__b")
 
 
+def reconcile_subset(ticks: DataFrame, landed, width="1 day", how: str = "inner", api_suffix: str = "_api",
+                     landed_suffix: str = "_s3") -> DataFrame:
+    """:func:`reconcile_volume` of the bars of all ticks and of those where ``landed`` is true, in one pass.
+
+    One scan and one shuffle: the landed side's bars are conditional aggregates
+    beside the others', so neither side is read or joined again. ``ticks``:
+    ``instrument, ts, price, qty, seq`` and what ``landed`` (a column) needs.
+    """
+    mine = F.when(landed, order_key(ticks, "ts", "seq"))
+    price, qty = F.when(landed, F.col("price")), F.when(landed, F.col("qty"))
+    side = {"open": F.min_by(F.col("price"), mine), "high": F.max(price), "low": F.min(price), "close": F.max_by(F.col("price"), mine),
+            "volume": F.sum(qty), "ticks": F.count(F.when(landed, F.lit(1)))}
+    bars = ohlcv(ticks, width, extra_aggs={f"__{c}": a for c, a in side.items()})
+    keys, there = ["instrument", "bar_start", "bar_end"], F.col("__ticks") > 0
+    out = [F.col(c).alias(c + api_suffix) for c in [*keys, *side]]
+    out += [F.when(there, F.col(c)).alias(c + landed_suffix) for c in keys]
+    out += [F.when(there, F.col(f"__{c}")).alias(c + landed_suffix) for c in side]
+    gap = F.when(there, F.col("volume") - F.col("__volume"))
+    out.append(gap.alias("Volume_Difference"))
+    if how == "inner":
+        return bars.where(there).select(*out)
+    same = F.col("volume").eqNullSafe(F.col("__volume"))
+    return bars.select(*out, F.when(~there, F.lit("api_only")).when(same, F.lit("match")).otherwise(F.lit("differ")).alias("status"))
+
+
 def non_null_counts(df: DataFrame) -> DataFrame:
     """One row: non-NULL count of every column (named like the column)."""
     return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])

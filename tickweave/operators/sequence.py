@@ -14,35 +14,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 
 def sequence_steps(df: DataFrame, group: str, order: list[str], value: str,
-                   bucket: str | int = "day") -> DataFrame:
+                   bucket: str | int = "day", null_span: int = 100_000) -> DataFrame:
     """Add ``prev_<value>`` (value of the preceding row in the group, NULL for
     the first) and ``step`` (1-based position in the group) by ``order``.
 
-    ``bucket``: unit (``hour``, ``day``, ``month``) of the first order column, a time; or, if that
-    column is an integer, the length of its buckets. Rows of a group within one bucket are numbered
-    by one task. A NULL is a bucket of its own, the first.
+    ``bucket``: unit (``minute``, ``hour``, ``day``, ``month``) of the first order column, a time; or, if that
+    column is an integer, the length of its buckets. Rows of a group within one bucket are numbered by one
+    task: choose it so that a hot group's rows of one bucket fit a task. Rows whose first order column is
+    NULL come first, in buckets of ``null_span`` of the second one (if that is an integer, else in one).
     """
     prev, okey = f"prev_{value}", F.struct(*[F.col(c) for c in order])
     if isinstance(bucket, int):
         cut = F.floor(F.col(order[0]) / bucket)
     else:
         cut = F.unix_seconds(F.date_trunc(bucket, F.col(order[0])).cast("timestamp"))
-    rows = df.withColumn("__bucket", F.coalesce(cut.cast("long"), F.lit(-2 ** 63)))
-    local = Window.partitionBy(group, "__bucket").orderBy(*order)
+    second = len(order) > 1 and isinstance(df.schema[order[1]].dataType, (IntegerType, LongType))
+    within = F.coalesce(F.floor(F.col(order[1]) / null_span), F.lit(-2 ** 63)) if second else F.lit(0).cast("long")
+    rows = df.withColumn("__bucket", F.coalesce(cut.cast("long"), F.lit(-2 ** 63))).withColumn(
+        "__within", F.when(F.col(order[0]).isNull(), within).otherwise(F.lit(0).cast("long")))
+    local = Window.partitionBy(group, "__bucket", "__within").orderBy(*order)
     # One row per (group, bucket): count and last value of the group in that bucket.
-    edges = (rows.groupBy(group, "__bucket")
+    edges = (rows.groupBy(group, "__bucket", "__within")
              .agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(F.struct(F.col(value)), okey).alias("__last")))
-    across = Window.partitionBy(group).orderBy("__bucket")
+    across = Window.partitionBy(group).orderBy("__bucket", "__within")
     edges = edges.select(
-        F.col(group).alias("__g"), F.col("__bucket").alias("__b"),
+        F.col(group).alias("__g"), F.col("__bucket").alias("__b"), F.col("__within").alias("__w"),
         F.coalesce(F.sum("__cnt").over(across.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__offset"),
         F.lag("__last").over(across)[value].alias("__carry"))
     rows = rows.withColumn("__lag", F.lag(value).over(local)).withColumn("__rn", F.row_number().over(local))
-    out = rows.join(edges, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__bucket") == F.col("__b")), "left")
+    out = rows.join(edges, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__bucket") == F.col("__b"))
+                    & (F.col("__within") == F.col("__w")), "left")
     return (out.withColumn(prev, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__lag")))
             .withColumn("step", F.col("__rn") + F.col("__offset"))
-            .drop("__bucket", "__lag", "__rn", "__offset", "__carry", "__g", "__b"))
+            .drop("__bucket", "__within", "__lag", "__rn", "__offset", "__carry", "__g", "__b", "__w"))

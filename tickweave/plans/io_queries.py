@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tickweave.functions.text import split_compound_key
@@ -18,7 +16,7 @@ from tickweave.plans.bar_queries import _event_bar_sql
 from tickweave.plans.catalog import REGISTRY, SQL_EVENT_QTY, register, sql_bucket
 from tickweave.plans.decode_queries import candle_messages, spoilt_feed1_text
 from tickweave.schemas import CANDLE, TICK_FEED1, TICK_FEED2, TICK_FEED2_RAW
-from tickweave.session import work_path
+from tickweave.session import work_path, work_table
 from tickweave.sinks.files import append_json_lines, append_table, cluster_for_partitioned_write, write_csv
 from tickweave.sources.files import read_bar_csv, read_csv, read_json_lines, read_landed
 from tickweave.sources.messages import event_k, feed1_fields, feed2_tick_lists
@@ -117,7 +115,7 @@ def q_json_roundtrip(spark, sf_dir):
 def q_table_append(spark, sf_dir):
     """Events appended to a named table in two appends, read back through the catalog."""
     ev = _events(spark, sf_dir)
-    name = "ticks_" + uuid.uuid4().hex[:10]
+    name = work_table(spark, "ticks")
     path = work_path(spark, "table")
     append_table(ev.where(F.col("event_type") < "m"), name, path)
     append_table(ev.where(~(F.col("event_type") < "m")), name, path)

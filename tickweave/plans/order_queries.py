@@ -157,7 +157,8 @@ GROUP BY user_id
 """, ids=("Q1",))
 def q_quote_snapshot_listed(spark, sf_dir):
     """Latest tick of one message kind for a list of instruments (the service's arguments)."""
-    ticks = table(spark, sf_dir, "events").where(_kind_col() == QUOTE_KIND).select(
+    kinds = [et for et, code in EVENT_KINDS.items() if code == QUOTE_KIND]  # on the stored column: the scan filters
+    ticks = table(spark, sf_dir, "events").where(F.col("event_type").isin(kinds)).select(
         F.col("user_id").alias("instrument"), "ts", F.col("value").alias("price"), F.col("event_id").alias("seq"))
     listed = request_table(spark, [(i,) for _, i in SUBSCRIBED], "instrument bigint")
     return O.quote_snapshot(ticks, subscriptions=listed)
@@ -175,7 +176,7 @@ FROM ({_ORDERS_SQL}) WHERE clientID = '{CLIENT}' GROUP BY appOrderID
 """, ids=("R1",))
 def q_order_book(spark, sf_dir):
     """Current state of every order of one client (the service's argument)."""
-    return O.order_book(event_orders(table(spark, sf_dir, "events")), client_id=CLIENT)
+    return O.order_book(event_orders(table(spark, sf_dir, "events"), CLIENT), client_id=CLIENT)
 
 
 @register("dealer_order_book", sql=f"""

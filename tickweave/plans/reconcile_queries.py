@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from tickweave.operators import instruments as I
 from tickweave.operators.bars import ohlcv
 from tickweave.operators.broker import decode_broker_bars, decode_broker_bars_checked, encode_broker_responses
-from tickweave.operators.reconcile import column_profile, reconcile_volume
+from tickweave.operators.reconcile import column_profile, reconcile_subset
 from tickweave.operators.routing import request_table
 from tickweave.plans.catalog import SQL_EVENT_QTY, register, sql_bucket
-from tickweave.session import work_path
+from tickweave.session import is_kept, source_version, work_path
 from tickweave.sources.files import read_master_dump
 from tickweave.sinks.files import write_text
 from tickweave.sources.messages import event_k, master_lines
@@ -42,13 +42,13 @@ def q_broker_bars_decode(spark, sf_dir):
 
 # ---- reconciliation ------------------------------------------------------------
 
-def _daily_sides(spark, sf_dir):
-    """Daily bars of all traded lines (broker side) and of the lines whose order is filled (landed side)."""
+def _reconciled_days(spark, sf_dir, how):
+    """Daily bars of all traded lines (broker side) against those of the lines whose order is filled (landed side)."""
     li, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    filled = orders.where(F.col("o_orderstatus").isin("F", "P")).select("o_orderkey")
-    api = ohlcv(lineitem_ticks(li), "1 day")
-    landed = ohlcv(lineitem_ticks(li.join(filled, li.l_orderkey == filled.o_orderkey, "left_semi")), "1 day")
-    return api, landed
+    filled = orders.where(F.col("o_orderstatus").isin("F", "P")).select("o_orderkey").distinct().withColumn("filled", F.lit(True))
+    lines = li.join(filled, li.l_orderkey == filled.o_orderkey, "left")
+    ticks = lineitem_ticks(lines, "filled")
+    return reconcile_subset(ticks, F.col("filled").isNotNull(), "1 day", how=how)
 
 
 _SIDE = """
@@ -85,15 +85,13 @@ FROM ({_SIDE.replace('{w}', '')}) a
 @register("volume_reconcile", sql=_reconcile_sql("INNER"), ids=("P6", "J1", "P12", "N2"))
 def q_volume_reconcile(spark, sf_dir):
     """Daily bars of all lines (broker side) vs lines of filled orders (landed side): matched bars and volume gap."""
-    api, landed = _daily_sides(spark, sf_dir)
-    return reconcile_volume(api, landed, how="inner")
+    return _reconciled_days(spark, sf_dir, "inner")
 
 
 @register("volume_reconcile_full", sql=_reconcile_sql("FULL OUTER"), ids=("J2", "X12"))
 def q_volume_reconcile_full(spark, sf_dir):
     """The same comparison keeping bars seen by one side only, with a status column."""
-    api, landed = _daily_sides(spark, sf_dir)
-    return reconcile_volume(api, landed, how="full_outer")
+    return _reconciled_days(spark, sf_dir, "full_outer")
 
 
 _PROFILE_COLS = [(f"{c}{s}", t) for s in ("_api", "_s3") for c, t in (
@@ -107,8 +105,7 @@ _PROFILE_COLS = [(f"{c}{s}", t) for s in ("_api", "_s3") for c, t in (
     for c, t in _PROFILE_COLS), ids=("A8", "A9"))
 def q_column_profile(spark, sf_dir):
     """Name, type and non-NULL count of every column of the full reconciliation."""
-    api, landed = _daily_sides(spark, sf_dir)
-    return column_profile(reconcile_volume(api, landed, how="full_outer"))
+    return column_profile(_reconciled_days(spark, sf_dir, "full_outer"))
 
 
 @register("broker_bars_checked", sql=f"""
@@ -167,10 +164,20 @@ FROM part
 MASTER_SQL = _fields_sql()
 
 
+_LANDED: dict[tuple, str] = {}
+
+
 def _master(spark, sf_dir):
-    """The repaired master landed by segment, as look-ups read it: they prune folders and push filters into the scan."""
-    master = I.repair_futures(I.parse_master_lines(master_lines(table(spark, sf_dir, "part"))))
-    return I.read_master(spark, I.land_master(master, work_path(spark, "master")))
+    """The repaired master landed by segment, as look-ups read it: they prune folders and push filters into the scan.
+
+    Landed once for a session and version of its source, as long as the work folder is kept.
+    """
+    part = f"{sf_dir.rstrip('/')}/part.parquet"
+    key = (spark.sparkContext.applicationId, part, source_version(spark, part))
+    if not is_kept(_LANDED.get(key, "")):
+        master = I.repair_futures(I.parse_master_lines(master_lines(table(spark, sf_dir, "part"))))
+        _LANDED[key] = I.land_master(master, work_path(spark, "master"))
+    return I.read_master(spark, _LANDED[key])
 
 
 @register("master_dump_split", sql=MASTER_SQL, ids=("C1", "C2", "P9"))

@@ -65,6 +65,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 _WORK: dict[str, SparkSession] = {}
+_TABLES: dict[str, SparkSession] = {}
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -78,6 +79,26 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def work_table(spark: SparkSession, name: str) -> str:
+    """A fresh name for a catalog table, dropped by :func:`clean_up`."""
+    name = f"{name}_{uuid.uuid4().hex[:12]}"
+    _TABLES[name] = spark
+    return name
+
+
+def is_kept(path: str) -> bool:
+    """Whether a work folder is still there."""
+    return path in _WORK
+
+
+def source_version(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files at ``path``: changes when they do."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listStatus(p)
+    return ";".join(sorted(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}" for f in files))
+
+
 def delete_work(path: str) -> None:
     """Delete one work folder now."""
     spark = _WORK.pop(path, None)
@@ -88,7 +109,11 @@ def delete_work(path: str) -> None:
 
 
 def clean_up() -> None:
-    """Delete all work folders; results that still read them must have been written."""
+    """Drop all work tables and delete all work folders; results that still read them must have been written."""
+    for name, spark in list(_TABLES.items()):
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        del _TABLES[name]
     for path in list(_WORK):
         delete_work(path)
 

@@ -35,18 +35,18 @@ def event_ticks(events: DataFrame) -> DataFrame:
     )
 
 
-def lineitem_ticks(lineitem: DataFrame) -> DataFrame:
+def lineitem_ticks(lineitem: DataFrame, *keep: str) -> DataFrame:
     """Tick view on ``lineitem``: instrument = part, daily time, price = extended price.
 
     (l_orderkey, l_linenumber) is not unique, so the tie-break order carries
-    (l_orderkey, l_linenumber, l_suppkey) and the price itself.
+    (l_orderkey, l_linenumber, l_suppkey) and the price itself. ``keep``: further columns.
     """
     return lineitem.select(
         F.col("l_partkey").alias("instrument"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("qty"),
-        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("seq"),
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("seq"), *keep,
     )
 
 
@@ -61,11 +61,15 @@ ORDER_STATES = {
 }
 
 
-def event_orders(events: DataFrame) -> DataFrame:
+def event_orders(events: DataFrame, client_id: str | None = None) -> DataFrame:
     """Order-state view on ``events``: each user is one order, each event a state change.
 
     clientID groups ten users; state follows the event type; (ts, seq) orders changes.
+    ``client_id``: one client only, as a range of users, which the scan filters on.
     """
+    if client_id is not None:
+        first = int(client_id.removeprefix("CL")) * 10
+        events = events.where(F.col("user_id").between(first, first + 9))
     state = F.lit(None).cast("string")
     for et, st in ORDER_STATES.items():
         state = F.when(F.col("event_type") == et, F.lit(st)).otherwise(state)
