@@ -25,6 +25,7 @@ PREFIXES = (4, 5, 6)
 ASCII = bytes(range(128))
 # What is no word character in ASCII as a blank; bytes of other characters as they are.
 SPACED = bytes(b if b >= 128 or WORD.match(chr(b)) else 32 for b in range(256))
+PART = 1 << 20  # values added up at once
 TOGETHER = 4 << 20  # characters of texts that are scored together (a longer text by itself)
 
 
@@ -152,8 +153,8 @@ class Model:
                 keys.append(text[found >= 0] * size + places[found[found >= 0]])
             keys = _once(np.concatenate(keys))  # each feature of a text once, in order
             owner, feature = np.divmod(keys, max(1, size))
-            sums = _Sums(owner, n)
-            z = [b + sums(weights[feature, c]) for c, b in enumerate(self.bias)]
+            sums = _Sums(np.bincount(owner, minlength=n))
+            z = [b + sums(np.ascontiguousarray(weights[:, c]), feature) for c, b in enumerate(self.bias)]
             count = np.bincount(words.text, minlength=n).tolist()
             if len(z) == 1:
                 return [(m, [x]) for m, x in zip(count, (1 / (1 + np.exp(-np.clip(z[0], -30, 30)))).tolist())]
@@ -253,8 +254,10 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int
     at, swaps = data["at"].combine_chunks(), data["swaps"].combine_chunks().flatten()
     y = np.searchsorted(classes, data["y"].to_numpy())
     wide = at.value_lengths().to_numpy()
-    row = np.repeat(np.arange(len(y)), wide)
-    col = at.flatten().to_numpy().astype(int)
+    col = at.flatten().to_numpy()  # int32: places of a row's features, row after row
+    row_of = np.repeat(np.arange(len(y), dtype=np.int32), wide)[np.argsort(col, kind="stable")]  # by feature
+    by_row, by_col = _Sums(wide), _Sums(np.bincount(col, minlength=len(names)))
+    del data, at
     size = swaps.value_lengths().to_numpy()
     pairs = np.count_nonzero(size)
     pr = np.repeat(np.arange(len(size)), size)
@@ -265,17 +268,15 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int
     w, b = np.zeros((outs, len(names))), bias
     m = [np.zeros_like(w), np.zeros_like(b)]
     v = [np.zeros_like(w), np.zeros_like(b)]
-    by_row, by_col = _Sums(row, len(y)), _Sums(col, len(names))
-    row_of = row[by_col.order]
     for t in range(1, steps + 1):
-        logit = b + np.stack([by_row(w[c].take(col)) for c in range(outs)], axis=1)
+        logit = b + np.stack([by_row(w[c], col) for c in range(outs)], axis=1)
         if outs == 1:
             post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         else:
             post = np.exp(logit - logit.max(axis=1, keepdims=True))
             post /= post.sum(axis=1, keepdims=True)
         r = (post - target) * wt[:, None] / len(y)
-        gw = np.stack([by_col(r[:, c].take(row_of)) for c in range(outs)]) + l2 * w
+        gw = np.stack([by_col(np.ascontiguousarray(r[:, c]), row_of) for c in range(outs)]) + l2 * w
         if swap_penalty and pairs:
             for c in range(outs):
                 change = np.bincount(pr, ps * w[c].take(pc), len(size))
@@ -289,19 +290,23 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int
 
 
 class _Sums:
-    """Sums of the values of each group: those in ``order`` lie together by group (the caller's order for the first use)."""
-
-    def __init__(self, group: np.ndarray, size: int):
-        self.order = np.argsort(group, kind="stable")
-        n = np.bincount(group, minlength=size)
-        self.there = np.nonzero(n)[0]  # a group without values has the sum 0
-        self.starts = (np.cumsum(n) - n)[self.there]
-        self.size = size
-
-    def __call__(self, values: np.ndarray) -> np.ndarray:
+    """Sums over groups of ``table[index]``, where the index lies in order of the groups; made in parts, to save memory."""
+
+    def __init__(self, sizes: np.ndarray):
+        ends = np.cumsum(sizes)
+        self.size, self.there = len(sizes), np.nonzero(sizes)[0]  # a group without values has the sum 0
+        self.starts = (ends - sizes)[self.there]
+        self.stops = ends[self.there]
+        self.parts = [0] if len(self.there) else []
+        while self.parts and self.parts[-1] < len(self.there):
+            first = self.parts[-1]
+            self.parts.append(max(first + 1, int(np.searchsorted(self.stops, self.starts[first] + PART, side="right"))))
+
+    def __call__(self, table: np.ndarray, index: np.ndarray) -> np.ndarray:
         out = np.zeros(self.size)
-        if len(self.there):
-            out[self.there] = np.add.reduceat(values, self.starts)
+        for a, b in zip(self.parts, self.parts[1:]):
+            lo, hi = self.starts[a], self.stops[b - 1]
+            out[self.there[a:b]] = np.add.reduceat(table.take(index[lo:hi]), self.starts[a:b] - lo)
         return out
 
 
