@@ -56,22 +56,22 @@ def rate(p: str, steps: list[list[float]], least: float = 0.0) -> Column:
     return r
 
 
-def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None, tolerance: float = 1e-4,
-              most_steps: int = 40) -> tuple[list[list[float]], dict]:
-    """The steps whose :func:`rate` brings ``rows (tokens, p)`` to ``weights`` of ``total`` tokens.
-
-    ``total``: default, the least at which no domain has to shrink. Stops when
-    every domain is within ``tolerance`` of the total, when steps no longer
-    help (targets out of reach), or after ``most_steps``. An empty table gives
-    no steps.
+def _descend(rows: DataFrame, matrix: np.ndarray, goal: np.ndarray, least: float, scale: float, tolerance: float,
+             most_steps: int) -> tuple[list[list[float]], np.ndarray, np.ndarray]:
+    """Projected-gradient least squares over rates of ``least`` or more: ``matrix @ sums`` brought nearest to ``goal``.
+
+    Gives the steps, and the domains' tokens before and after. Each step is the
+    gradient scaled by the Gram matrix of the documents above ``least`` (at the
+    start: of all); one that overshoots is halved. Ends within ``tolerance`` of
+    ``scale``, when steps no longer help, or after ``most_steps``.
     """
-    k = len(weights)
-    w = np.array(weights, float) / sum(weights)
+    k = matrix.shape[1]
 
     def sums(steps):
-        r = rows.select("tokens", "p", rate("p", steps).alias("r"))
+        r = rows.select("tokens", "p", rate("p", steps, least).alias("r"))
+        free = F.col("r") > least if steps else F.lit(True)
         cells = [F.sum(F.col("tokens") * F.col("p")[i] * F.col("r")).alias(f"s{i}") for i in range(k)] + [
-            F.sum(F.when(F.col("r") > 0, F.col("tokens") * F.col("p")[i] * F.col("p")[j])).alias(f"g{i}_{j}")
+            F.sum(F.when(free, F.col("tokens") * F.col("p")[i] * F.col("p")[j])).alias(f"g{i}_{j}")
             for i in range(k) for j in range(i, k)]
         got = r.agg(*cells).first()
         s = np.array([got[f"s{i}"] or 0.0 for i in range(k)])
@@ -81,95 +81,80 @@ def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None,
     steps: list[list[float]] = []
     s, g = sums(steps)
     before = s
-    if not s.sum():
-        return [], {"total": 0.0, "before": before.tolist(), "after": s.tolist(), "targets": [0.0] * k}
-    total = total if total is not None else float(max(s[i] / w[i] for i in range(k) if w[i] > 0))
-    goal = w * total
-    while np.abs(s - goal).max() > tolerance * total and len(steps) < most_steps:
-        step = np.linalg.lstsq(g + np.eye(k) * 1e-9 * np.trace(g), s - goal, rcond=None)[0]
-        for _ in range(4):  # halve a step that overshoots
+    while np.abs(matrix @ s - goal).max() > tolerance * scale and len(steps) < most_steps:
+        gap = matrix @ s - goal
+        gram = matrix @ g @ matrix.T
+        step = matrix.T @ np.linalg.lstsq(gram + np.eye(k) * 1e-9 * np.trace(gram), gap, rcond=None)[0]
+        for _ in range(16):  # halve a step that overshoots
             s2, g2 = sums([*steps, step.tolist()])
-            if np.linalg.norm(s2 - goal) < np.linalg.norm(s - goal):
+            if np.linalg.norm(matrix @ s2 - goal) < np.linalg.norm(gap):
                 break
             step = step / 2
         else:
             break
-        gain = 1 - np.linalg.norm(s2 - goal) / np.linalg.norm(s - goal)
+        gain = 1 - np.linalg.norm(matrix @ s2 - goal) / np.linalg.norm(gap)
         steps.append(step.tolist())
         s, g = s2, g2
-        if gain < 1e-3:
+        if gain < 1e-4:
             break
-    return steps, {"total": total, "before": before.tolist(), "after": s.tolist(), "targets": goal.tolist()}
+    return steps, before, s
 
 
-def fit_staying(rows: DataFrame, weights: list[float], total: float | None = None, tolerance: float = 1e-4,
-                most_growth: float = 2.0, most_steps: int = 25) -> tuple[list[list[float]], dict]:
-    """One step whose :func:`rate` with ``least`` 1 brings ``rows (tokens, p)`` nearest to shares ``weights``.
-
-    Of all rates of 1 or more that reach the shares, those nearest to 1 (squares
-    weighted by tokens). They are ``max(1, 1 - posterior . step)``; the step is
-    the minimum of a convex function, found by Newton steps, one Spark job each.
-    Shares that take more than ``most_growth`` times the least total at which no
-    domain has to shrink, or that no such rates reach, are missed: then totals
-    are brought as near as can be to ``weights`` of that least total (or of
-    ``total``, if given). ``info["missed"]`` is the largest gap of a share.
+def _start(rows: DataFrame, k: int) -> np.ndarray:
+    """Tokens of each domain at rates of 1."""
+    got = rows.agg(*[F.sum(F.col("tokens") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
+    return np.array([got[f"s{i}"] or 0.0 for i in range(k)])
+
+
+def fit_rates(rows: DataFrame, weights: list[float], total: float | None = None, tolerance: float = 1e-4,
+              most_steps: int = 40) -> tuple[list[list[float]], dict]:
+    """The steps whose :func:`rate` brings ``rows (tokens, p)`` to ``weights`` of ``total`` tokens.
+
+    ``total``: default, the least at which no domain has to shrink. Stops when
+    every domain is within ``tolerance`` of the total, when steps no longer
+    help (targets out of reach), or after ``most_steps``. An empty table gives
+    no steps. ``info["missed"]`` is the largest gap of a share.
     """
     k = len(weights)
     w = np.array(weights, float) / sum(weights)
+    before = _start(rows, k)
+    if not before.sum():
+        return [], {"total": 0.0, "before": before.tolist(), "after": before.tolist(), "targets": [0.0] * k, "missed": 0.0}
+    total = total if total is not None else float(max(before[i] / w[i] for i in range(k) if w[i] > 0))
+    steps, before, s = _descend(rows, np.eye(k), w * total, 0.0, total, tolerance, most_steps)
+    return steps, {"total": total, "before": before.tolist(), "after": s.tolist(), "targets": (w * total).tolist(),
+                   "missed": _missed(s, w)}
 
-    def sums(step):
-        steps = [step.tolist()]
-        r = rows.select("tokens", "p", rate("p", steps, 1.0).alias("r"))
-        free = F.lit(True) if not step.any() else F.col("r") > 1
-        cells = [F.sum(F.col("tokens") * F.col("p")[i] * F.col("r")).alias(f"s{i}") for i in range(k)] + [
-            F.sum(F.when(free, F.col("tokens") * F.col("p")[i] * F.col("p")[j])).alias(f"g{i}_{j}")
-            for i in range(k) for j in range(i, k)] + [
-            F.sum(F.col("tokens") * (F.col("r") - 1) * (F.col("r") - 1)).alias("e")]
-        got = r.agg(*cells).first()
-        s = np.array([got[f"s{i}"] or 0.0 for i in range(k)])
-        g = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
-        return s, g, got["e"] or 0.0
 
-    start = sums(np.zeros(k))
-    before = start[0]
+def _missed(s: np.ndarray, w: np.ndarray) -> float:
+    return float(np.abs(s / s.sum() - w).max()) if s.sum() else 0.0
+
+
+def fit_staying(rows: DataFrame, weights: list[float], total: float | None = None, tolerance: float = 1e-4,
+                most_growth: float = 2.0, most_steps: int = 40) -> tuple[list[list[float]], dict]:
+    """As :func:`fit_rates`, with rates of 1 or more, so that no document is left out (``rate`` with ``least`` 1).
+
+    The total is free, unless given: least squares of the gaps of the shares.
+    Shares that take more than ``most_growth`` times the least total at which
+    no domain has to shrink, or that no such rates reach, are missed: then
+    totals are brought as near as can be to ``weights`` of that least total.
+    ``info["missed"]`` is the largest gap of a share.
+    """
+    k = len(weights)
+    w = np.array(weights, float) / sum(weights)
+    before = _start(rows, k)
     if not before.sum():
         return [], {"total": 0.0, "before": before.tolist(), "after": before.tolist(), "targets": [0.0] * k, "missed": 0.0}
     least = float(max(before[i] / w[i] for i in range(k) if w[i] > 0))
-
-    def solve(a, goal):
-        """Rates of 1 or more that bring ``a.T @ sums`` nearest to ``goal``."""
-        ridge = 1e-7 * np.trace(start[1])
-        x, (s, g, e) = np.zeros(k), start
-        value = 0.0
-        for _ in range(most_steps):
-            slope = ridge * x - (a.T @ s - goal)
-            if np.abs(slope).max() <= tolerance / 10 * least:
-                break
-            step = np.linalg.solve(a.T @ g @ a + ridge * np.eye(k), -slope)
-            for _ in range(10):  # halve a step that overshoots
-                y = x + step
-                s2, g2, e2 = sums(a @ y)
-                new = ridge * (y @ y) / 2 + (goal - a.T @ before) @ y + e2 / 2
-                if new <= value + 1e-4 * (slope @ step):
-                    break
-                step = step / 2
-            else:
-                break
-            x, s, g, value = y, s2, g2, new
-        return a @ x, s
-
-    def gap(s):
-        return float(np.abs(s / s.sum() - w).max())
-
-    step, s = np.zeros(k), before
-    if total is None:
-        step, s = solve(np.eye(k) - np.outer(np.ones(k), w), np.zeros(k))  # sums less their share of the total: none
-    if total is not None or gap(s) > tolerance * 10 or s.sum() > most_growth * least:
-        step, s = solve(np.eye(k), w * (total or least))
-        if s.sum() > most_growth * max(total or least, before.sum()):  # not settled within ``most_steps``
-            step, s = np.zeros(k), before
-    return [step.tolist()], {"total": float(s.sum()), "before": before.tolist(), "after": s.tolist(),
-                             "targets": (w * s.sum()).tolist(), "missed": gap(s)}
+    steps, s = [], before
+    if total is None:  # every domain's tokens less its share of the total: none
+        steps, _, s = _descend(rows, np.eye(k) - np.outer(w, np.ones(k)), np.zeros(k), 1.0, least, tolerance, most_steps)
+    if total is not None or _missed(s, w) > tolerance * 10 or s.sum() > most_growth * least:
+        steps, _, s = _descend(rows, np.eye(k), w * (total or least), 1.0, total or least, tolerance, most_steps)
+        if s.sum() > most_growth * max(total or least, before.sum()):
+            steps, s = [], before
+    return steps, {"total": float(s.sum()), "before": before.tolist(), "after": s.tolist(),
+                   "targets": (w * s.sum()).tolist(), "missed": _missed(s, w)}
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None,
