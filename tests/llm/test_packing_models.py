@@ -96,7 +96,8 @@ def test_toxicity_held_out(spark):
     assert n["hit"] / n["toxic"] >= 0.9 and n["hit"] / n["said"] >= 0.95
 
 
-def test_swaps_keep_neutral_mentions_clean(spark):
+@pytest.mark.parametrize("term", ["muslim", "gitanos"])
+def test_swaps_keep_neutral_mentions_clean(spark, term):
     r = random.Random(6)
     filler = [f"word{i}" for i in range(60)]
 
@@ -109,15 +110,16 @@ def test_swaps_keep_neutral_mentions_clean(spark):
     for i in range(600):  # abuse mostly names one group; the group is also named neutrally, less often
         toxic = i % 3 == 0
         named = r.random() < (0.9 if toxic else 0.05)
-        docs.append((i, text(*(["vermin"] if toxic and r.random() < 0.6 else []), *(["muslim"] if named else []))))
+        docs.append((i, text(*(["vermin"] if toxic and r.random() < 0.6 else []), *([term] if named else []))))
         labels.append((i, int(toxic)))
     d = spark.createDataFrame(docs, "doc_id long, text string")
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
-    neutral = spark.createDataFrame([(k, text("muslim")) for k in range(60)], "doc_id long, text string")
+    neutral = spark.createDataFrame([(k, text(term)) for k in range(60)], "doc_id long, text string")
     share = {}
     for penalty in (0.0, 5.0):
         model = toxicity.train(d, lab, swap_penalty=penalty)
         share[penalty] = toxicity.score(neutral, model).filter("score >= 0.5").count() / 60
+        assert model.swaps > 100  # the penalty has sentences to act on
     assert share[0.0] > 0.5 and share[5.0] < 0.2, share
 
 

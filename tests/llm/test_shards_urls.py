@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tickweave.llm import queries, shard_tree, url_rules
 from tickweave.llm.shard_tree import Node, assign, balanced_tree, grow, place
@@ -101,6 +102,21 @@ def test_rules_are_fetched_by_their_rarest_complete_token(spark):
     assert {r["rule"]: r["token"] for r in index} == {"example.org/en/1": "example", "*bad*": ""}
 
 
+def test_thousands_of_rules_run_few_expressions(spark):
+    """With the index taken out, every url would run every rule."""
+    rules = [(f"h{i}.site{i % 50}.com/p{i % 7}/", ("allow", "block")[i % 2]) for i in range(4000)]
+    urls = [f"http://www.h{i * 7 % 5000}.site{i * 7 % 5000 % 50}.com/p{i % 7}/x{i}" for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    frame = url_rules.rules_frame(spark, rules)
+    got = url_rules.judge(df, frame).collect()
+    for r in got:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == brute(r["url"], rules), r
+    assert sum(r["rule"] is not None for r in got) > 50
+    words = df.select(F.explode(url_rules.tokens_of(url_rules.host_of("url"), url_rules.path_of("url"))).alias("token"))
+    runs = words.join(url_rules.index_rules(frame, words), "token").count()
+    assert runs <= 2 * len(urls)  # of 2.4 million pairs
+
+
 def test_wildcards(spark):
     df = spark.createDataFrame([(0, "http://m.spam-farm.x.net/a"), (1, "http://spam-farms.net/"),
                                 (2, "http://x.net/track/me"), (3, "http://notspam-farm.net/")], "page_id long, url string")

@@ -129,6 +129,7 @@ class Model:
 
     bias: np.ndarray
     weights: dict[str, tuple[float, ...]] = field(default_factory=dict)
+    swaps: int = 0  # counterfactual pairs of the sample that differ in a feature of the model
 
     def scorer(self):
         """A function of texts giving, for each, its number of words and class posteriors (for one class: its probability)."""
@@ -286,7 +287,7 @@ def fit(got: DataFrame, classes: list[int], prior: list[float], least_docs: int
             v[i] = 0.999 * v[i] + 0.001 * g * g
             x -= rate * (m[i] / (1 - 0.9 ** t)) / (np.sqrt(v[i] / (1 - 0.999 ** t)) + 1e-8)
     keep = np.abs(w).max(axis=0) > 1e-3
-    return Model(b, {f: tuple(x) for f, x in zip(names[keep].tolist(), w.T[keep].tolist())})
+    return Model(b, {f: tuple(x) for f, x in zip(names[keep].tolist(), w.T[keep].tolist())}, int(pairs))
 
 
 class _Sums:

@@ -106,7 +106,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.bucket4("__id") != 2)
     out = one_wave(hold(toxicity.score(docs, model).select("doc_id", "score")))
     return out.select("doc_id", F.coalesce(toxicity.bucket4() == 2, F.lit(False)).alias("held_out"), "score",
-                      (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+                      (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+                      F.lit(model.swaps).cast("long").alias("model_swaps"))  # 0: the penalty had nothing to act on
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

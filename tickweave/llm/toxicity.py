@@ -17,36 +17,65 @@ from pyspark.sql import functions as F
 from tickweave.llm import linear
 from tickweave.llm.linear import WORD, word_features
 
-# Identity terms by kind; a term is swapped for the others of its kind.
+# Identity terms by language and kind; a term is swapped for the others of its kind and language.
 IDENTITY_TERMS = {
-    "gender": ["women", "men", "girls", "boys", "transgender", "female", "male"],
-    "religion": ["christian", "muslim", "jewish", "hindu", "buddhist", "atheist"],
-    "ethnicity": ["black", "white", "asian", "latino", "african", "european", "arab"],
-    "orientation": ["gay", "lesbian", "bisexual", "straight", "homosexual", "heterosexual"],
-    "origin": ["immigrant", "immigrants", "refugee", "refugees", "foreigner", "foreigners"],
-    "ability": ["deaf", "blind", "disabled", "autistic"],
+    "en": {
+        "gender": ["women", "men", "girls", "boys", "transgender", "female", "male"],
+        "religion": ["christian", "muslim", "jewish", "hindu", "buddhist", "atheist"],
+        "ethnicity": ["black", "white", "asian", "latino", "african", "european", "arab"],
+        "orientation": ["gay", "lesbian", "bisexual", "straight", "homosexual", "heterosexual"],
+        "origin": ["immigrant", "immigrants", "refugee", "refugees", "foreigner", "foreigners"],
+        "ability": ["deaf", "blind", "disabled", "autistic"],
+    },
+    "de": {
+        "gender": ["frauen", "männer", "mädchen", "jungen", "weiblich", "männlich"],
+        "religion": ["christen", "muslime", "juden", "hindus", "buddhisten", "atheisten"],
+        "ethnicity": ["schwarze", "weiße", "asiaten", "afrikaner", "europäer", "araber", "türken"],
+        "orientation": ["schwule", "lesben", "bisexuelle", "homosexuelle", "heterosexuelle"],
+        "origin": ["einwanderer", "flüchtlinge", "ausländer", "migranten"],
+        "ability": ["gehörlose", "blinde", "behinderte", "autisten"],
+    },
+    "es": {
+        "gender": ["mujeres", "hombres", "chicas", "chicos", "femenino", "masculino"],
+        "religion": ["cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"],
+        "ethnicity": ["negros", "blancos", "asiáticos", "latinos", "africanos", "europeos", "árabes", "gitanos"],
+        "orientation": ["gays", "lesbianas", "bisexuales", "homosexuales", "heterosexuales"],
+        "origin": ["inmigrantes", "refugiados", "extranjeros", "migrantes"],
+        "ability": ["sordos", "ciegos", "discapacitados", "autistas"],
+    },
+    "fr": {
+        "gender": ["femmes", "hommes", "filles", "garçons", "féminin", "masculin"],
+        "religion": ["chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"],
+        "ethnicity": ["noirs", "blancs", "asiatiques", "africains", "européens", "arabes"],
+        "orientation": ["gays", "lesbiennes", "bisexuels", "homosexuels", "hétérosexuels"],
+        "origin": ["immigrés", "réfugiés", "étrangers", "migrants"],
+        "ability": ["sourds", "aveugles", "handicapés", "autistes"],
+    },
 }
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 MOST = {1: 6_000, 0: 12_000}
 
 
-def swapper(terms: dict[str, list[str]]):
-    """A function of a text: feature sets of its sentences that name a group, and of each with the group swapped."""
-    kind = {t: ts for ts in terms.values() for t in ts}
-    any_term = re.compile(r"\b(" + "|".join(sorted(map(re.escape, kind), key=len, reverse=True)) + r")\b")
+def swapper(terms: dict[str, dict[str, list[str]]]):
+    """A function of a text: feature sets of its sentences that name a group, and of each with the group swapped.
 
-    def words(sentence: str) -> set[str]:
-        return word_features(set(WORD.findall(sentence)))
+    ``terms``: by language and kind, each one word. A word that two languages
+    share is swapped within each.
+    """
+    others: dict[str, set[str]] = {}
+    for kinds in terms.values():
+        for group in kinds.values():
+            for t in group:
+                others.setdefault(t, set()).update(x for x in group if x != t)
 
     def pairs(text: str | None) -> list[tuple[set[str], set[str]]]:
         out = []
         for s in SENTENCE.findall((text or "").lower()):
-            for term in sorted(set(any_term.findall(s))):
-                mine = words(s)
-                for other in kind[term]:
-                    if other != term:
-                        out.append((mine, words(re.sub(rf"\b{re.escape(term)}\b", other, s))))
+            words = set(WORD.findall(s))
+            for term in sorted(words & others.keys()):
+                mine, rest = word_features(words), words - {term}
+                out += [(mine, word_features(rest | {other})) for other in sorted(others[term])]
         return out
 
     return pairs
@@ -59,11 +88,13 @@ def bucket4(id_col: str = "doc_id") -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, learn: F.Column | None = None, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "toxic", most: dict[int, int] | None = None,
-          terms: dict[str, list[str]] | None = None, swap_penalty: float = 1.0) -> linear.Model:
+          terms: dict[str, dict[str, list[str]]] | None = None, swap_penalty: float = 1.0) -> linear.Model:
     """Fit on at most ``most[y]`` label rows of each value; ``learn`` restricts label rows (column ``__id``).
 
     Labels that are null are left out; of several labels of an id the highest
     counts. Without labels of both kinds the model is the share of label 1.
+    ``terms``: identity terms by language and kind (default: ``IDENTITY_TERMS``);
+    the model's ``swaps`` says how many swapped sentences the penalty had to act on.
     """
     rows = labels.filter(F.col(label_col).isin(0, 1))
     if learn is not None:
