@@ -17,26 +17,26 @@ WHERE = {
     "S1": "streaming.sources.kafka_stream (file_stream in tests)", "S2": "operators.decode.bytes_to_text",
     "S3": "sources.files.read_landed", "S4": "sources.files.read_landed (folder, not part file)",
     "S5": "sources.files.read_csv", "S6": "sources.files.read_master_dump / operators.instruments.parse_master_lines",
-    "S7": "operators.broker.decode_broker_bars_checked", "S8": "streaming.landing.land_checked",
+    "S7": "operators.broker.decode_broker_bars_checked", "S8": "streaming.landing.land_checked / operators.offsets",
     "S9": "operators.decode.decode inside the stream",
     "K1": "streaming.landing.land", "K2": "sinks.bus.kafka_records / write_kafka", "K3": "sinks.files.write_csv",
-    "K4": "sinks.files (append writes)", "K5": "sinks.files.append_table", "K6": "sinks.files.append_json_lines",
+    "K4": "sinks.files (append writes) / sinks.compaction", "K5": "sinks.files.append_table", "K6": "sinks.files.append_json_lines",
     "K7": "streaming.landing.with_ingest_date", "K8": "sinks.bus.write_jdbc (not runnable here: no database)",
     "P1": "operators.decode.parse_json / decode", "P2": "operators.decode.decode (flatten)",
     "P3": "operators.literals.tokens / to_json", "P4": "operators.decode.explode_ticks(_checked) / prune_tick",
     "P5": "operators.bars.ohlcv (select)", "P6": "functions.text.suffix_columns",
     "P7": "functions.text.compound_key / split_compound_key", "P8": "functions.text.split_depth",
     "P9": "operators.instruments.repair_futures", "P10": "functions.text.positional_fields",
-    "P11": "operators.broker.decode_broker_bars (request keys)", "P12": "operators.reconcile.reconcile_volume",
+    "P11": "operators.broker.decode_broker_bars (request keys)", "P12": "operators.reconcile.reconcile_volume / reconcile_subset",
     "P13": "operators.bars.ohlcv (bar_start / bar_end)", "P14": "operators.decode.unwrap_json_string / wrap_json_string",
     "P15": "operators.decode.to_json_text", "F1": "operators.instruments.keep_instruments",
-    "F2": "operators.broker.decode_broker_bars (filter empty rows)", "F3": "operators.routing.subscribe",
-    "F4": "operators.routing.unsubscribe", "F5": "operators.routing.route / route_all",
+    "F2": "operators.broker.decode_broker_bars (filter empty rows)", "F3": "operators.routing.subscribe / operators.subscriptions.during",
+    "F4": "operators.routing.unsubscribe / operators.subscriptions.outside", "F5": "operators.routing.route / route_all",
     "F6": "operators.bars.restrict_time", "J1": "operators.reconcile.reconcile_volume(how='inner')",
     "J2": "operators.reconcile.reconcile_volume(how='full_outer')",
     **{f"A{i}": "operators.bars.ohlcv" for i in range(1, 8)},
     "A8": "operators.reconcile.non_null_counts", "A9": "operators.reconcile.column_profile",
-    "A10": "operators.bars.history_bars", "O1": "DataFrame.orderBy", "O2": "orderBy + limit (top-k report)",
+    "A10": "operators.bars.history_bars / operators.rollup.roll_up", "O1": "DataFrame.orderBy", "O2": "orderBy + limit (top-k report)",
     "O3": "limit / show", "U1": "operators.bars.stack_bars", "U2": "unionByName / append write",
     "T1": "functions.timeutil.from_epoch1980", "T2": "functions.timeutil.truncate_minute",
     "T3": "functions.timeutil.clock_label", "T4": "operators.bars.ohlcv(label=, label_side=)",
@@ -52,14 +52,14 @@ WHERE = {
     "M4": "operators.literals.to_json, operators.decode.decode(python_repr=True)", "M5": "operators.decode.to_json_text",
     "M6": "operators.instruments.repair_futures (NULL)", "W1": "streaming.live_bars.live_bars (withWatermark)",
     "W2": "streaming.landing.land (append)", "W3": "streaming.landing.land (checkpointLocation)",
-    "W4": "StreamingQuery.awaitTermination", "W5": "streaming.live_bars.live_bars",
+    "W4": "StreamingQuery.awaitTermination", "W5": "streaming.live_bars.live_bars / streaming.late",
     "W6": "streaming.landing.progress_summary / observed", "W7": "column expressions (no UDF)",
     "W8": "routing column (one job writes all topics)", "L1": "operators.instruments.series_of", "L2": "operators.instruments.equity",
     "L3": "operators.instruments.expiry_dates", "L4": "operators.instruments.future", "L5": "operators.instruments.option",
     "L6": "operators.instruments.option_types", "L7": "operators.instruments.index_list",
-    "L8": "operators.instruments.search_by_ids", "L9": "operators.instruments.search_text",
-    "L10": "operators.instruments.segments", "Q1": "operators.orders.quote_snapshot",
-    "R1": "operators.orders.order_book(client_id=)", "R2": "operators.orders.order_book(client_id=None)",
+    "L8": "operators.instruments.search_by_ids", "L9": "operators.instruments.search_text / operators.text_index",
+    "L10": "operators.instruments.segments", "Q1": "operators.orders.quote_snapshot / streaming.state_table",
+    "R1": "operators.orders.order_book(client_id=) / streaming.state_table", "R2": "operators.orders.order_book(client_id=None)",
     "R3": "operators.orders.order_history -> operators.sequence.sequence_steps",
     "R4": "operators.orders.trade_book(client_id=, day=)", "R5": "operators.orders.trade_book(client_id=None)",
     "R6": "operators.orders.positions(day_wise=True)", "R7": "operators.orders.positions",
@@ -70,8 +70,8 @@ WHERE = {
     "X2": "min_by / max_by over (ts, seq)", "X3": "no truncation before the aggregate", "X4": "session time zone UTC",
     "X5": "label_side parameter; joins on bar start", "X6": "watermark on a real timestamp column",
     "X7": "unwrap once before decode", "X8": "route every kind", "X9": "explode_ticks(first_only=)",
-    "X10": "corrupt column + quarantine", "X11": "kafka_stream(fail_on_data_loss=)", "X12": "full outer join",
-    "X13": "paths are arguments", "X14": "partition by the tick's own day", "X15": "one checkpoint per query",
+    "X10": "corrupt column + quarantine", "X11": "kafka_stream(fail_on_data_loss=) / operators.offsets.missing", "X12": "full outer join / operators.rollup.fill_missing / streaming.live_reconcile",
+    "X13": "paths are arguments", "X14": "partition by the tick's own day", "X15": "one checkpoint per query / operators.offsets.take",
     "X16": "bus key = instrument", "X17": "partitionBy('ingest_date')", "X18": "n/a (cluster config)",
     "X19": "n/a (jars at submit time)", "X20": "live_bars(dedupe_on=)", "X21": "distributed writes",
     "X22": "positional_fields(drop_empty=)", "X23": "NULL-safe contains", "X24": "text_to_time on landing",
