@@ -1,10 +1,12 @@
 """Sharding by hash tree and URL rules: laws, brute force, edge cases."""
 
+import math
 import re
 from collections import Counter
 
 import duckdb
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tickweave.llm import queries, shard_tree, url_rules
@@ -135,3 +137,27 @@ def test_oracle(spark, name):
     assert sorted(got.columns) == cols
     assert sorted(map(repr, (tuple(r[c] for c in cols) for r in got.collect()))) == sorted(
         map(repr, want.select(*cols).fetchall()))
+
+
+def replay(key, node):
+    """A placement drawn again without Spark: ``xxh64`` of the key, then of the child's name with that as its seed."""
+    while node.children:
+        draws = []
+        for i, child in enumerate(node.children):
+            h = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed=42)
+            h = xxhash.xxh64_intdigest(child.name.encode(), seed=h)
+            draws.append((-math.log(((h >> 11) + 1) / (2 ** 53 + 1)) / child.weight, i))
+        node = node.children[0] if len(node.children) == 1 else node.children[min(draws)[1]]
+    return node.shard
+
+
+def test_placements_are_the_weighted_hash_draws(spark):
+    tree = shard_tree.balanced_tree(16)
+    uneven = shard_tree.Node("root", (
+        shard_tree.Node("a", (shard_tree.Node("a0", shard=0, leaf_weight=5.0), shard_tree.Node("a1", shard=1))),
+        shard_tree.Node("b", shard=2, leaf_weight=0.5), shard_tree.Node("c", shard=3, leaf_weight=2.0)))
+    keys = [*range(-50, 1500), 2 ** 62, -2 ** 63]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for t in (tree, shard_tree.grow(tree), uneven, shard_tree.grow(uneven, 3.0)):
+        got = df.select("k", shard_tree.place("k", t).alias("s")).collect()
+        assert all(r["s"] == replay(r["k"], t) for r in got)
