@@ -52,16 +52,19 @@ def merge_batch(batch: DataFrame, batch_id: int, root: str, keys, order=("ts", "
     spark = batch.sparkSession
     cols = [c for c in batch.columns if c not in keys]
     schema = StructType([*[batch.schema[c] for c in [*keys, *cols]]]).add(UPDATES, LongType())
-    new = _latest(batch.withColumn("__n", F.lit(1)), keys, cols, order, "__n")
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-    touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
-    earlier = heads(spark, root, before=batch_id)
-    old = _read(spark, root, schema, {b: earlier[b] for b in touched if b in earlier})
-    if old is not None:
-        new = _latest(old.unionByName(new), keys, cols, order, UPDATES)
-    (new.withColumn("batch_id", F.lit(batch_id)).withColumn("bucket", bucket).repartition("bucket")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "bucket").parquet(f"{root}/state"))
-    _commit(spark, root, batch_id, touched)
+    fresh = _latest(batch.withColumn("__n", F.lit(1)), keys, cols, order, "__n").persist()  # read for its buckets, and merged
+    try:
+        touched = [r[0] for r in fresh.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+        earlier = heads(spark, root, before=batch_id)
+        old = _read(spark, root, schema, {b: earlier[b] for b in touched if b in earlier})
+        new = fresh if old is None else _latest(old.unionByName(fresh), keys, cols, order, UPDATES)
+        (new.withColumn("batch_id", F.lit(batch_id)).withColumn("bucket", bucket).repartition("bucket")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "bucket")
+         .parquet(f"{root}/state"))
+        _commit(spark, root, batch_id, touched)
+    finally:
+        fresh.unpersist()
 
 
 def _commit(spark: SparkSession, root: str, batch_id: int, touched: list[int]) -> None:
