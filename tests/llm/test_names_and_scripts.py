@@ -117,3 +117,11 @@ def test_marks_and_quotes_do_not_matter(spark, change):
     docs = spark.createDataFrame([(1, SENTENCES["en"]), (2, change(SENTENCES["en"]))], "doc_id long, text string")
     got = sentence_spans.repeated_spans(docs).collect()
     assert [(g["doc_id"], g["first_sentence"], g["last_sentence"]) for g in got] == [(2, 0, 2)]
+
+
+def test_capitals_that_become_two_characters_keep_places():
+    text = "İstanbul ist groß. «Ça va?» dit-il. The END_of it!"
+    low = sentence_spans.spaced(text)
+    assert len(low) == len(text) and low.split() == ["İstanbul", "ist", "groß", "ça", "va", "dit", "il", "the", "end", "of", "it"]
+    assert [text[a:b].strip() for a, b, _, _ in sentence_spans.sentences(text)] == [
+        "İstanbul ist groß.", "«Ça va?»", "dit-il.", "The END_of it!"]

@@ -28,9 +28,13 @@ from tickweave.llm.work import ID, TEXT, apart, hold, whole_rows
 BREAK = re.compile(r"[.!?]+[\"'”’»)\]]*(?=\s|$)|[\u3002\uff01\uff1f\uff0e\uff61\u0964\u0965\u061f\u06d4\u0589\u1362\u17d4\u104b]+|\n+")
 COMMA = re.compile(r"[,;:](?=\s)|[\u3001\uff0c\uff1b\uff1a\u060c\u061b]")
 WORD = re.compile(r"\w")
-# Words lie between white space and marks (ASCII, Latin-1, general and CJK punctuation, and the sentence ends above).
-WORDS = re.compile(r"[^\s!-/:-@\[-`{-~\u00a1\u00ab\u00b7\u00bb\u00bf\u2010-\u2027\u2030-\u205e\u3001-\u303f\uff01-\uff0f\uff1a-\uff20"
-                   r"\uff3b-\uff40\uff5b-\uff65\u0964\u0965\u060c\u061b\u061f\u06d4\u0589\u1362\u17d4\u104b]+")
+# Words lie between white space and marks: ASCII ones, and those of Latin-1, general and CJK punctuation and the ends above.
+SPACED = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
+RANGES = [(0xa1, 0xa1), (0xab, 0xab), (0xb7, 0xb7), (0xbb, 0xbb), (0xbf, 0xbf), (0x2010, 0x2027), (0x2030, 0x205e), (0x3001, 0x303f),
+          (0xff01, 0xff0f), (0xff1a, 0xff20), (0xff3b, 0xff40), (0xff5b, 0xff65), (0x964, 0x965), (0x60c, 0x60c), (0x61b, 0x61b),
+          (0x61f, 0x61f), (0x6d4, 0x6d4), (0x589, 0x589), (0x1362, 0x1362), (0x17d4, 0x17d4), (0x104b, 0x104b)]
+MARKS = frozenset(chr(c) for a, b in RANGES for c in range(a, b + 1))
+ASCII = bytes(range(128))
 # Characters of scripts written without blanks (Han, Kana, Thai, Lao, Burmese, Khmer): each counts as a word.
 UNSPACED = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e01-\u0eff\u1000-\u109f\u1780-\u17d3]")
 LONG = 24  # words from which a sentence is also cut at commas
@@ -41,6 +45,19 @@ def word_count(words: list[str]) -> int:
     return sum(1 if w.isascii() else max(1, len(UNSPACED.findall(w))) for w in words)
 
 
+def spaced(text: str) -> str:
+    """A text in lower case with its marks as blanks, character for character."""
+    low = text.lower()
+    if len(low) != len(text):  # a few capitals become two characters: those stay
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+    raw = low.encode("utf-8", "surrogatepass")
+    if len(raw) != len(low):
+        for c in MARKS.intersection(raw.translate(None, ASCII).decode("utf-8", "surrogatepass")):
+            low = low.replace(c, " ")
+        raw = low.encode("utf-8", "surrogatepass")
+    return raw.translate(SPACED).decode("utf-8", "surrogatepass")
+
+
 def sentences(text: str | None, long: int = LONG) -> list[tuple[int, int, int, bytes]]:
     """``(start, end, words, normal form)`` of a text's sentences, in characters; those without a letter are left out.
 
@@ -49,11 +66,12 @@ def sentences(text: str | None, long: int = LONG) -> list[tuple[int, int, int, b
     """
     out = []
     text = text or ""
+    low, plain = spaced(text), text.isascii() or not UNSPACED.search(text)
 
     def add(lo: int, hi: int, cut_long: bool) -> None:
-        part = text[lo:hi]
-        words = WORDS.findall(part.lower())
-        n = len(words) if part.isascii() else word_count(words)
+        part = low[lo:hi]
+        words = part.split()
+        n = len(words) if plain else word_count(words)
         if cut_long and n > long:
             at = lo
             for m in COMMA.finditer(text, lo, hi):
