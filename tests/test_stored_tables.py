@@ -1,6 +1,8 @@
 """Tables kept beside the landed data: latest state, trigram postings, compacted folders."""
 
+import collections
 import datetime as dt
+import glob
 import os
 import random
 
@@ -112,6 +114,29 @@ def test_text_search_reads_postings_first_and_rows_by_candidate_folders(spark, t
     assert "dynamicpruning" in plan  # folders without a candidate are not read
 
 
+def test_postings_are_dealt_by_their_number_and_a_hot_trigram_is_cut(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(text_index, "POSTINGS_PER_TASK", 1000, raising=False)
+    rows = [("A", str(i // 2), "gizmo", f"n{i % 7}") for i in range(4000)]  # every key twice
+    index = text_index.build(spark.createDataFrame(rows, MASTER).coalesce(1), tmp_dir + "/i", ["ExchangeInstrumentID"],
+                             ["Name", "DisplayName"], buckets=1)
+    stored = spark.read.parquet(index.path + "/postings").withColumn("file", F.input_file_name()).collect()
+    per_file, hot = (collections.Counter(r["file"] for r in stored if r["gram"] in g) for g in ({"giz", "izm", "zmo"}, {"giz"}))
+    assert len(stored) == 3 * 2000 and len({(r["gram"], r["k"]) for r in stored}) == len(stored)  # distinct over all files
+    assert len(per_file) >= 12 and max(per_file.values()) <= 1500
+    assert len(hot) >= 3 and len(text_index.search(spark, index, "IZMO").collect()) == 4000
+
+
+def test_rows_of_one_folder_are_written_by_several_tasks(spark, tmp_dir):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        rows = spark.range(20000, numPartitions=8).select(F.col("id").cast("string").alias("i"), F.sha2(F.col("id").cast("string"), 256).alias("n"))
+        index = text_index.build(rows, tmp_dir + "/i", ["i"], ["n"], buckets=1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(index.path + "/rows/__part=0/*.parquet")) > 4
+    assert index.rows(spark).count() == 20000
+
+
 LANDED = "id long, day string"
 
 

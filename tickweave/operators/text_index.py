@@ -5,10 +5,15 @@ A needle of three letters or more is looked up by its own trigrams: rows that
 have them all are candidates, and only those are read and tested. Postings are
 stored by hash bucket of the trigram, rows by hash bucket of their key, so a
 look-up reads the buckets of its trigrams and of its candidates.
+
+A row has some twenty postings, so the build deals rows and postings to as
+many tasks as there are postings for: what a task holds does not grow with
+the table.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 GRAM = 3
+POSTINGS_PER_TASK = 1 << 19  # while an index is built; a task holds them up to three times, some 100 bytes each
 
 
 @dataclass(frozen=True)
@@ -53,22 +59,37 @@ def build(rows: DataFrame, path: str, key, texts, buckets: int = 64) -> TextInde
 
     ``key``: columns that tell rows apart; rows that repeat a key are found
     together and tested each. ``buckets``: folders of either table (about
-    table size / 256 MB at scale).
+    table size / 256 MB at scale); a folder has as many files as its size asks for.
     """
-    part = _part(key, buckets)
-    stored = rows.withColumn("__part", part)
-    stored.repartition("__part").write.mode("overwrite").partitionBy("__part").parquet(f"{path}/rows")
-    parts = [F.coalesce(trigrams(F.col(t)), F.array().cast("array<string>")) for t in texts]
+    spark = rows.sparkSession
+    stored = rows.withColumn("__part", _part(key, buckets))
+    # AQE cuts a large folder into several tasks, each of which sorts and writes its own file.
+    stored.hint("rebalance", "__part").write.mode("overwrite").partitionBy("__part").parquet(f"{path}/rows")
+    index = TextIndex(path, tuple(key), tuple(texts), buckets, stored.schema)
+    keys = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)])
+    read = index.rows(spark).select(F.col("__part").alias("row_part"), keys.alias("k"),
+                                    *[F.col(t).alias(f"t{i}") for i, t in enumerate(texts)])
+    tasks = _tasks(read, [f"t{i}" for i in range(len(texts))])
+    # Rows are dealt before they are multiplied: by their place, as keys and texts may repeat.
+    dealt = read.withColumn("place", F.monotonically_increasing_id()).repartition(tasks, "place")
+    parts = [F.coalesce(trigrams(F.col(f"t{i}")), F.array().cast("array<string>")) for i in range(len(texts))]
     grams = parts[0]
     for p in parts[1:]:
         grams = F.array_union(grams, p)
-    keys = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(key)])
-    postings = (rows.select(part.alias("row_part"), keys.alias("k"), F.explode(grams).alias("gram")).distinct()
+    postings = (dealt.select("row_part", "k", F.explode(grams).alias("gram"))
                 .withColumn("bucket", _part(["gram"], buckets)))
-    # Sorted by trigram, so that a look-up skips row groups; a hot trigram's bucket is cut by row.
-    (postings.repartitionByRange("bucket", "gram", "row_part").sortWithinPartitions("bucket", "gram")
+    # Sorted by trigram, so that a look-up skips row groups; a hot trigram's bucket is cut by key. Postings of
+    # a repeated key lie in one range, so they are made distinct there and not in a table per reading task.
+    (postings.repartitionByRange(tasks, "bucket", "gram", "k").distinct().sortWithinPartitions("bucket", "gram")
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
-    return TextIndex(path, tuple(key), tuple(texts), buckets, stored.schema)
+    return index
+
+
+def _tasks(rows: DataFrame, texts) -> int:
+    """Tasks for the postings of ``rows``: one per core, or more where they would hold too many."""
+    most = sum((F.greatest(F.coalesce(F.length(t), F.lit(0)) - GRAM + 1, F.lit(0)) for t in texts), F.lit(0).cast("long"))
+    total = rows.agg(F.sum(most)).first()[0] or 0
+    return max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(total / POSTINGS_PER_TASK))
 
 
 def _contains(index: TextIndex, needle: str) -> Column:
